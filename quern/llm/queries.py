@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import encode_documents
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .url_filter import filter_urls, host_of
@@ -106,11 +107,23 @@ select doc_id, source, n_copies, cast(copy as integer) as copy, substr(sha256('0
        sha256(coalesce(text, '')) as text_sha256 from x
 """
 
+def vocabulary() -> tuple[str, str]:
+    """Path of the rank file and the pattern of the installed public vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"), *vocabulary()).drop("ids")
+
+
 QUERIES = {
     "op2_url_filters": op2_url_filters,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op10_bpe": op10_bpe,
 }
 ORACLE_SQL = {
     "op2_url_filters": OP2_SQL,
