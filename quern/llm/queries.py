@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_documents
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .toxicity import toxicity
 from .url_filter import filter_urls, host_of
 from .warc import derivatives, responses
 
@@ -14,6 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 #: (verdict, host and path) of the url rules; the longest that fits decides.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 #: A host is listed when one of these words stands between dots or hyphens in it.
@@ -119,6 +124,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
     "op4_warc_derivatives": op4_warc_derivatives,
     "op6_exact_dedup": op6_exact_dedup,
