@@ -4,8 +4,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_documents
+from .embed_dedup import near_vectors
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity
 from .url_filter import filter_urls, host_of
 from .warc import derivatives, responses
@@ -48,6 +51,14 @@ from (select page_id, host, path,
 """
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = derivatives(responses(table(spark, sf_dir, "pages")))
     return rows.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "source_digest", "block_digest", "content_length")
@@ -112,6 +123,25 @@ select doc_id, source, n_copies, cast(copy as integer) as copy, substr(sha256('0
        sha256(coalesce(text, '')) as text_sha256 from x
 """
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+with recursive v as (select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n as (select vec_id, label, e, sqrt(list_dot_product(e, e)) as norm from v),
+l as (select a.vec_id as a, b.vec_id as b from n a join n b on a.label = b.label and a.vec_id <> b.vec_id
+  where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+r as (select a as node, a as low from l union select l.b, r.low from r join l on l.a = r.node),
+c as (select node, min(low) as component from r group by node),
+k as (select a, count(*) as n from l group by a)
+select e.vec_id, coalesce(k.n, 0) as n_links, coalesce(c.component, e.vec_id) as component_id, e.vec_id = coalesce(c.component, e.vec_id) as kept
+from embeddings e left join k on k.a = e.vec_id left join c on c.node = e.vec_id
+"""
+
+
 def vocabulary() -> tuple[str, str]:
     """Path of the rank file and the pattern of the installed public vocabulary."""
     import public_tokenizers
@@ -126,9 +156,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_warc_derivatives": op4_warc_derivatives,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_mixing": op8_mixing,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_bpe": op10_bpe,
 }
 ORACLE_SQL = {
@@ -136,4 +169,5 @@ ORACLE_SQL = {
     "op4_warc_derivatives": _op4_sql(),
     "op6_exact_dedup": OP6_SQL,
     "op8_mixing": OP8_SQL,
+    "op9_embedding_dedup": OP9_SQL,
 }
