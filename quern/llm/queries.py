@@ -7,6 +7,7 @@ from .bpe import encode_documents
 from .embed_dedup import near_vectors
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .order_minhash import near_classes
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity
@@ -103,6 +104,10 @@ from (select doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
 """
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "source", "n_copies", "copy", "mix_key", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
@@ -160,6 +165,7 @@ QUERIES = {
     "op4_warc_derivatives": op4_warc_derivatives,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_order_minhash": op7_order_minhash,
     "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_bpe": op10_bpe,

@@ -1,6 +1,7 @@
 """Helpers that several corpus operators use."""
 
 import tempfile
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -29,3 +30,13 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def write_stage(df: DataFrame) -> DataFrame:
+    """The rows as a Parquet table of its own in the shared folder, read again."""
+    sc = df.sparkSession.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quern-"))
+    path = f"{sc._jsc.sc().getCheckpointDir().get()}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
