@@ -15,13 +15,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh32_intdigest
 
 from .shared import stored
 
 #: Bounds of the fit: labelled examples of each class (those of the smallest hashes), and terms.
-EXAMPLES, TERMS = 4096, 1024
-#: A term counts only from this G statistic on (one in 1,000 by chance), so that plain words don't blur distances.
-LEAST_G = 10.8
+EXAMPLES, TERMS = 4096, 256
+#: A term counts only from this G statistic on (22 toxic texts of as many and no other), so that plain words don't blur distances.
+LEAST_G = 30.0
+#: Minimum hashes that tell near copies of an example from other texts.
+KINDS = 4
 #: Neighbours that vote, examples in a block, and the length of the stems that stand beside whole words.
 NEIGHBOURS, BLOCK, STEM = 15, 64, 5
 #: Score from which a document counts as toxic.
@@ -54,18 +57,32 @@ def sample_labels(labels: DataFrame, n: int = EXAMPLES) -> tuple[DataFrame, dict
     return stored(few[0].unionByName(few[1])), {c: sizes.get(c, 0) / max(1, min(n, sizes.get(c, 0))) for c in (0, 1)}
 
 
+def kinds(words: list[str]) -> list[int]:
+    """KINDS minimum hashes of three-word shingles; near copies share most of them."""
+    grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    return [min(xxh32_intdigest(g, seed) for g in grams) for seed in range(KINDS)]
+
+
 def choose_terms(examples: DataFrame, n: int = TERMS) -> list[str]:
-    """The n terms of (text, toxic) with the largest G statistic, among those in 3 examples or more that it marks toxic."""
+    """The n terms of (text, toxic) with the largest G statistic, among those that mark toxic texts.
+
+    Toxic texts count by their kinds, so that what a group of near copies shares doesn't pass for a mark.
+    """
 
     def seen(frames):
         for pdf in frames:
-            rows = [(t, y) for text, y in zip(pdf["text"], pdf["toxic"]) for t in set(terms_of(text))]
-            yield pd.DataFrame(rows, columns=["term", "toxic"])
+            rows = []
+            for text, y in zip(pdf["text"], pdf["toxic"]):
+                kind = kinds(WORD(text.lower())) if y else [None] * KINDS
+                rows += [(t, y, *kind) for t in set(terms_of(text))]
+            yield pd.DataFrame(rows, columns=["term", "toxic", *names]).astype({k: "Int64" for k in names})
 
+    names = [f"k{i}" for i in range(KINDS)]
     each = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     a1, a0 = float(each.get(1, 0)), float(each.get(0, 0))
-    counts = examples.mapInPandas(seen, "term string, toxic int").groupBy("term").agg(
-        F.sum("toxic").cast("double").alias("b1"), F.sum(1 - F.col("toxic")).cast("double").alias("b0")
+    rows = examples.mapInPandas(seen, "term string, toxic int, " + ", ".join(f"{k} long" for k in names))
+    counts = rows.groupBy("term").agg(
+        F.least(*(F.size(F.collect_set(k)) for k in names)).cast("double").alias("b1"), F.sum(1 - F.col("toxic")).cast("double").alias("b0")
     )
     part = lambda x, p: F.when(x > 0, x * F.log(x / p)).otherwise(0.0)
     share = (F.col("b1") + F.col("b0")) / (a1 + a0) if a1 + a0 else F.lit(1.0)
@@ -73,7 +90,7 @@ def choose_terms(examples: DataFrame, n: int = TERMS) -> list[str]:
         (F.col("b1"), share * a1), (F.col("b0"), share * a0),
         (F.lit(a1) - F.col("b1"), (1 - share) * a1), (F.lit(a0) - F.col("b0"), (1 - share) * a0),
     ))
-    marks = (F.col("b1") + F.col("b0") >= 3) & (F.col("b1") > share * a1) & (2 * g >= LEAST_G)
+    marks = (F.col("b1") >= 3) & (F.col("b1") > share * a1) & (2 * g >= LEAST_G)
     best = counts.filter(marks).orderBy(F.desc(g), "term").limit(n)
     return sorted(r["term"] for r in best.select("term").collect())
 
@@ -172,9 +189,11 @@ class BlockMaxIndex:
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Knots of the weighted non-decreasing fit of y to x."""
+    values, at = np.unique(x, return_inverse=True)
+    weight = np.bincount(at, w)
     pools: list[list[float]] = []
-    for i in np.argsort(x, kind="stable"):
-        pools.append([w[i], w[i] * y[i], w[i] * x[i]])
+    for pool in zip(weight, np.bincount(at, w * y), weight * values):
+        pools.append(list(pool))
         while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
             last = pools.pop()
             pools[-1] = [a + b for a, b in zip(pools[-1], last)]
@@ -230,11 +249,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms
     def run(batches):
         m = model.value
         for batch in batches:
-            scores, evidence = [], []
+            scores, evidence, known = [], [], {}
             for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                score, found, sims = m.score(*unit_vector(t, c, m.index.idf))
-                scores.append(score)
-                evidence.append([{"doc_id": int(m.index.ids[i]), "toxic": int(m.index.labels[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)])
+                key = (*t, *c)  # equal vectors of a batch are looked up once
+                if key not in known:
+                    score, found, sims = m.score(*unit_vector(t, c, m.index.idf))
+                    near = [{"doc_id": int(m.index.ids[i]), "toxic": int(m.index.labels[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)]
+                    known[key] = score, near
+                scores.append(known[key][0])
+                evidence.append(known[key][1])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"])
 
