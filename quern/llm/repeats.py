@@ -27,7 +27,7 @@ from .shared import mix64, partitions, stored
 WINDOW = 50
 #: Units of an anchor's gram.
 GRAM = {"word": 6, "byte": 16}
-FILTER_BITS = 1 << 27
+FILTER_BITS, PIECE = 1 << 27, 1 << 19
 #: Segments from which an anchor is hot, and bytes of segments that a shard is planned for.
 HOT, SHARD_BYTES = 4096, 1_500_000
 #: Bytes of text that are looked at together, and keys or bytes held before a flush.
@@ -148,12 +148,25 @@ class BitFilter:
 
     @staticmethod
     def of(keys: DataFrame, n: int) -> "BitFilter":
+        """Executors pack the bits, FILTER_BITS / PIECE pieces at most come to the driver."""
         bits = 1 << min(FILTER_BITS.bit_length() - 1, max(16, (16 * n - 1).bit_length()))
+        piece = min(bits, PIECE)
+
+        def pack(batches):
+            held: dict[int, np.ndarray] = {}
+            for batch in batches:
+                at = batch.column(0).to_numpy().view(np.uint64) & np.uint64(bits - 1)
+                for c in np.unique(at // np.uint64(piece)).tolist():
+                    own = at[at // np.uint64(piece) == c] & np.uint64(piece - 1)
+                    bit = np.uint64(1) << (own & np.uint64(63))
+                    np.bitwise_or.at(held.setdefault(c, np.zeros(piece // 64, np.uint64)), (own >> np.uint64(6)).astype(np.int64), bit)
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["piece", "bits"])
+
+        place = F.expr(f"(key & {bits - 1}) div {piece}")
         words = np.zeros(bits // 64, np.uint64)
-        at = F.col("key").bitwiseAND(F.lit(bits - 1))
-        made = keys.select(F.shiftright(at, 6).alias("word"), F.expr(f"shiftleft(1L, cast(key & 63 as int))").alias("bit"))
-        got = made.groupBy("word").agg(F.expr("bit_or(bit)").alias("bits")).toPandas()  # FILTER_BITS / 64 rows at most
-        words[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
+        for r in keys.select("key").repartition(place).mapInArrow(pack, "piece int, bits binary").toLocalIterator():
+            words[r["piece"] * piece // 64 : (r["piece"] + 1) * piece // 64] |= np.frombuffer(r["bits"], np.uint64)
         return BitFilter(words)
 
 
