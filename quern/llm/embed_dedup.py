@@ -17,9 +17,11 @@ from .components import components
 from .shared import stored
 
 #: Tables, hashes combined in a table, and buckets a vector probes beside its own.
-TABLES, HASHES, PROBES = 10, 2, 4
+TABLES, HASHES, PROBES = 8, 2, 1
 #: Entries of one bucket that one task compares with another block's.
 BLOCK = 1024
+#: Rows of small buckets that one group holds.
+CELL = 4096
 COSINE = 0.93
 
 
@@ -69,7 +71,7 @@ def buckets(v: np.ndarray, seed: int = 0) -> np.ndarray:
     return out
 
 
-def _first_meeting(a: np.ndarray, b: np.ndarray, bucket: int) -> np.ndarray:
+def _first_meeting(a: np.ndarray, b: np.ndarray, bucket) -> np.ndarray:
     """Whether bucket is the first in which the entries of a and b (their buckets, row by row) meet."""
     won = np.zeros(len(a), bool)
     open_ = np.ones(len(a), bool)
@@ -97,32 +99,55 @@ def _spread(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         low = new
 
 
-def compare(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """One pair of blocks of one bucket: (id, other, n): links of an entry here, and an entry of its component."""
-    left, right = pdf[pdf["side"] != 1], pdf[pdf["side"] != 0]
+def _entries(pdf: pd.DataFrame) -> tuple:
+    """Ids, unit vectors, whether in their own bucket, all buckets, and counts of the rows."""
+    v = np.stack(pdf["v"]).astype(np.float64)
+    keys = np.stack(pdf["buckets"]).reshape(len(pdf), TABLES, 1 + PROBES)
+    return pdf["id"].to_numpy(), v / np.sqrt((v * v).sum(1, keepdims=True)), pdf["base"].to_numpy(), keys, pdf["count"].to_numpy()
+
+
+def _result(ids: np.ndarray, links: np.ndarray, low: np.ndarray) -> pd.DataFrame:
+    at = np.flatnonzero((links > 0) | (low != np.arange(len(low))))
+    return pd.DataFrame({"id": ids[at], "other": ids[low[at]], "n": links[at].astype(np.int64)})
+
+
+def compare_cell(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Whole buckets of BLOCK entries at most: (id, other, n): an entry's links here, and an entry of its component."""
+    pdf = pdf.sort_values("bucket", kind="stable")
+    bucket = pdf["bucket"].to_numpy()
+    ids, v, base, keys, count = _entries(pdf)
+    left, right, d = [], [], 1
+    while d < len(pdf) and len(i := np.flatnonzero(bucket[d:] == bucket[:-d])):
+        i = i[base[i] | base[i + d]]  # two probes don't meet
+        i = i[np.einsum("ij,ij->i", v[i], v[i + d]) >= cosine]
+        i = i[_first_meeting(keys[i], keys[i + d], bucket[i])]
+        left.append(i)
+        right.append(i + d)
+        d += 1
+    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    # An entry may stand here in several buckets; its first row stands for all.
+    _, first, row = np.unique(ids, return_index=True, return_inverse=True)
+    i, j = first[row[i]], first[row[j]]
+    links = np.bincount(i, count[j], len(ids)) + np.bincount(j, count[i], len(ids))
+    return _result(ids, links, _spread(i, j, len(ids)))
+
+
+def compare_blocks(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
+    """Two blocks of one large bucket, or one with itself (side 2); rows as of compare_cell."""
     same = (pdf["side"] == 2).all()
-    ids = [x["id"].to_numpy() for x in (left, right)]
-    vec = [np.stack(x["v"]).astype(np.float64) for x in (left, right)]
-    vec = [x / np.sqrt((x * x).sum(1, keepdims=True)) for x in vec]
-    base = [x["base"].to_numpy() for x in (left, right)]
-    hit = vec[0] @ vec[1].T >= cosine
-    hit &= base[0][:, None] | base[1][None, :]  # two probes don't meet
-    if same:
-        hit = np.triu(hit, 1)
-    i, j = np.nonzero(hit)
+    sides = [pdf] if same else [pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]]
+    parts = [_entries(x) for x in sides]
+    (ids, v, base, keys, count), (ids2, v2, base2, keys2, count2) = parts[0], parts[-1]
+    hit = (v @ v2.T >= cosine) & (base[:, None] | base2[None, :])
+    i, j = np.nonzero(np.triu(hit, 1) if same else hit)
     bucket = int(pdf["bucket"].iloc[0])
-    keys = [np.stack(x["buckets"]).reshape(len(x), TABLES, 1 + PROBES) for x in (left, right)]
-    keep = np.concatenate([_first_meeting(keys[0][i[s : s + 65536]], keys[1][j[s : s + 65536]], bucket) for s in range(0, len(i), 65536)] or [np.zeros(0, bool)])
+    keep = [_first_meeting(keys[i[s : s + 65536]], keys2[j[s : s + 65536]], bucket) for s in range(0, len(i), 65536)]
+    keep = np.concatenate(keep) if keep else np.zeros(0, bool)
     i, j = i[keep], j[keep]
-    count = [x["count"].to_numpy() for x in (left, right)]
-    links = np.concatenate([np.bincount(i, count[1][j], len(ids[0])), np.bincount(j, count[0][i], len(ids[1]))])
-    all_ids = np.concatenate(ids)
-    low = _spread(i, j + len(ids[0]), len(all_ids))
-    if same:  # both sides are the same entries
-        low = _spread(i, j, len(ids[0]))
-        low, all_ids = np.concatenate([low, low]), np.concatenate([ids[0], ids[0]])
-    at = np.flatnonzero((links > 0) | (low != np.arange(len(low))) if not same else links > 0)
-    return pd.DataFrame({"id": all_ids[at], "other": all_ids[low[at]], "n": links[at].astype(np.int64)})
+    if same:
+        return _result(ids, np.bincount(i, count[j], len(ids)) + np.bincount(j, count[i], len(ids)), _spread(i, j, len(ids)))
+    links = np.concatenate([np.bincount(i, count2[j], len(ids)), np.bincount(j, count[i], len(ids2))])
+    return _result(np.concatenate([ids, ids2]), links, _spread(i, j + len(ids), len(ids) + len(ids2)))
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
@@ -154,7 +179,10 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     sizes = spots.groupBy("label", "width", "bucket").agg(F.count(F.lit(1)).alias("m"), F.max("base").alias("any_base"))
     sizes = sizes.filter("m > 1 and any_base").select("label", "width", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
     placed = spots.join(sizes, ["label", "width", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    # Every pair of blocks (x <= y) is a task of its own; side 2: both are the same block.
+    cells = max(1, hashed.count() * TABLES * (1 + PROBES) // CELL)
+    small = placed.filter("blocks = 1").withColumn("cell", F.pmod(F.xxhash64("label", "width", "bucket"), F.lit(cells)))
+    near = small.groupBy("label", "width", "cell").applyInPandas(lambda pdf: compare_cell(pdf, cosine), "id long, other long, n long")
+    # Every pair of blocks (x <= y) of a large bucket is a task of its own; side 2: both are the same block.
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda o: F.struct(
@@ -162,12 +190,9 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).alias("side"),
         ),
     )
-    dealt = placed.select("label", "width", "bucket", "id", "count", "v", "buckets", "base", F.inline(pairs))
-    found = stored(
-        dealt.groupBy("label", "width", "bucket", "x", "y").applyInPandas(
-            lambda pdf: compare(pdf, cosine), "id long, other long, n long"
-        )
-    )
+    large = placed.filter("blocks > 1").select("label", "width", "bucket", "id", "count", "v", "buckets", "base", F.inline(pairs))
+    far = large.groupBy("label", "width", "bucket", "x", "y").applyInPandas(lambda pdf: compare_blocks(pdf, cosine), "id long, other long, n long")
+    found = stored(near.unionByName(far))
     links = found.groupBy("id").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
     # From entries back to rows: equal vectors are linked with each other, whatever rounding makes of their cosine.
