@@ -30,8 +30,8 @@ GRAM = {"word": 6, "byte": 16}
 FILTER_BITS, PIECE = 1 << 27, 1 << 19
 #: Segments from which an anchor is hot, and bytes of segments that a shard is planned for.
 HOT, SHARD_BYTES = 4096, 1_500_000
-#: Bytes of text that are looked at together, and keys or bytes held before a flush.
-SLICE, KEYS_HELD, BYTES_HELD = 1 << 20, 1 << 21, 1 << 24
+#: Bytes of text that are looked at together (their arrays stay in the cache), and keys or bytes held before a flush.
+SLICE, KEYS_HELD, BYTES_HELD = 1 << 17, 1 << 21, 1 << 24
 
 MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
 PLACE = np.uint64(28)  # bits of a place within a slice, beside 36 of a hash

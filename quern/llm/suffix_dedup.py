@@ -17,10 +17,11 @@ Q = 8
 
 def _refine(bucket: np.ndarray, live: np.ndarray, offset: int) -> np.ndarray:
     """Sorts the suffixes live by (own bucket, bucket at offset), renumbers in place, and gives those not alone yet."""
-    a, b = bucket[live], bucket[live + offset]
-    order = np.lexsort((b, a))
-    a, b, live = a[order], b[order], live[order]
-    new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+    key = bucket[live] * len(bucket) + bucket[live + offset]
+    order = np.argsort(key)
+    key, live = key[order], live[order]
+    a = key // len(bucket)
+    new = np.concatenate([[True], key[1:] != key[:-1]])
     group = np.cumsum(new) - 1
     head = np.flatnonzero(new)
     old = np.concatenate([[True], a[1:] != a[:-1]])
@@ -40,8 +41,9 @@ def owners(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     key = np.zeros(n + WINDOW - Q + 1, np.uint64)
     for i in range(Q):
         key = (key << np.uint64(8)) | data[i : i + len(key)]
-    order = np.argsort(key, kind="stable")
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    order = np.argsort(key)
+    in_order = key[order]
+    new = np.concatenate([[True], in_order[1:] != in_order[:-1]])
     bucket = np.zeros(len(data), np.int64)
     bucket[order] = np.flatnonzero(new)[np.cumsum(new) - 1]
     live = np.arange(len(key))
@@ -62,8 +64,7 @@ def owners(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     at = live[is_window[live]]
     best = own.copy()
     if len(at):
-        order = np.argsort(bucket[at], kind="stable")
-        at = at[order]
+        at = at[np.argsort(bucket[at])]
         head = np.flatnonzero(np.concatenate([[True], bucket[at][1:] != bucket[at][:-1]]))
         least = np.minimum.reduceat(own[at], head)
         best[at] = np.repeat(least, np.diff(np.append(head, len(at))))
