@@ -15,8 +15,9 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def _keep(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id is among decided."""
-    return docs.join(decided.select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
+    """Rows of docs whose doc_id, null included, is among decided."""
+    ids = decided.select(F.col("doc_id").alias("_kept_id"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_kept_id"]), "left_semi").select(*COLUMNS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -155,11 +155,12 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     Only rows with equal labels that are not null are linked, at a cosine of at least `cosine` in double precision.
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of
-    unequal widths. Rows of one vec_id are entries of their own that share a component. No rows give no rows.
+    unequal widths, nor rows without vec_id. Equal vectors of a label are linked. Rows that repeat a vec_id share its
+    links and component. Other columns are not read. No rows give no rows.
     """
     rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
     fine = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
-    ok = F.col("label").isNotNull() & F.coalesce(fine, F.lit(False))
+    ok = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(fine, F.lit(False))
     entries = stored(
         rows.filter(ok).groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("count"))
     )
@@ -200,5 +201,5 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
         "label", "v", (F.coalesce("n", F.lit(0)) + F.col("count") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
     )
     joined = rows.filter(ok).join(of_entry, ["label", "v"]).select("vec_id", "n_links", "component_id")
-    alone = rows.filter(~F.coalesce(ok, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    alone = rows.filter(~F.coalesce(ok, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"))
     return joined.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
