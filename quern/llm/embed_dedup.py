@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, spread
 from .shared import stored
 
 #: Tables, hashes combined in a table, and buckets a vector probes beside its own.
@@ -86,19 +86,6 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, bucket) -> np.ndarray:
     return won
 
 
-def _spread(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest place reachable from every place over the pairs (a, b)."""
-    low = np.arange(n)
-    while True:
-        new = low.copy()
-        np.minimum.at(new, a, low[b])
-        np.minimum.at(new, b, low[a])
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def _entries(pdf: pd.DataFrame) -> tuple:
     """Ids, unit vectors, whether in their own bucket, all buckets, and counts of the rows."""
     v = np.stack(pdf["v"]).astype(np.float64)
@@ -129,7 +116,7 @@ def compare_cell(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     _, first, row = np.unique(ids, return_index=True, return_inverse=True)
     i, j = first[row[i]], first[row[j]]
     links = np.bincount(i, count[j], len(ids)) + np.bincount(j, count[i], len(ids))
-    return _result(ids, links, _spread(i, j, len(ids)))
+    return _result(ids, links, spread(i, j, len(ids)))
 
 
 def compare_blocks(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
@@ -145,9 +132,9 @@ def compare_blocks(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     keep = np.concatenate(keep) if keep else np.zeros(0, bool)
     i, j = i[keep], j[keep]
     if same:
-        return _result(ids, np.bincount(i, count[j], len(ids)) + np.bincount(j, count[i], len(ids)), _spread(i, j, len(ids)))
+        return _result(ids, np.bincount(i, count[j], len(ids)) + np.bincount(j, count[i], len(ids)), spread(i, j, len(ids)))
     links = np.concatenate([np.bincount(i, count2[j], len(ids)), np.bincount(j, count[i], len(ids2))])
-    return _result(np.concatenate([ids, ids2]), links, _spread(i, j + len(ids), len(ids) + len(ids2)))
+    return _result(np.concatenate([ids, ids2]), links, spread(i, j + len(ids), len(ids) + len(ids2)))
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
