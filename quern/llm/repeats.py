@@ -15,7 +15,6 @@ document that holds it. Hot anchors are dealt over salts by document; their cont
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -325,7 +324,9 @@ def cut_documents(docs: DataFrame, unit: str, owners: Callable, finish: Callable
             for doc, text, first, end in zip(*(batch.column(i) for i in range(4))):
                 cuts = list(zip(first.as_py() or (), end.as_py() or ()))
                 rows.append((doc.as_py(), *finish(text.as_py(), cuts)))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=names), preserve_index=False)
+            columns = list(zip(*rows)) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    names = [x.split()[0] for x in schema.split(",")]
+    names, kinds = zip(*(x.split() for x in schema.split(",")))
+    kinds = [{"long": pa.int64(), "string": pa.string()}[k] for k in kinds]
     return joined.mapInArrow(run, schema)

@@ -109,5 +109,9 @@ def record_text(rows: DataFrame) -> DataFrame:
 
 
 def write_warc(rows: DataFrame, path: str) -> None:
-    """WARC files under path, written by the executors through Spark's text writer."""
-    record_text(rows).write.option("lineSep", "​").mode("errorifexists").text(path)
+    """WARC files under path, written by the executors through Spark's text writer.
+
+    The writer ends every value with a line break, so a record's own last one is left to it.
+    """
+    cut = F.expr("substring(value, 1, char_length(value) - 1)")
+    record_text(rows).select(cut.alias("value")).write.text(path)
