@@ -132,6 +132,12 @@ _keys = "list_filter(list_distinct(regexp_extract_all(lower({x}), '([a-z]{{3,}})
 _dressed_sql = "S(['Human: ', 'answer: Overall, ', chr(39), 'Based on the context: ', ''][ord % 5 + 1] || answer)"
 CLEAN = _dressed_sql
 SQL = {
+    "flagship": r"""with b as (select doc_id, ord, S(text) as text from v_blocks where length(S(text)) > 5), d as (select * from b qualify row_number() over (partition by doc_id, text order by ord) = 1),
+        l as (select doc_id, 'p1_c' || row_number() over (partition by doc_id order by ord) as chunk_id, text from d where length(text) >= 40),
+        p as (select doc_id, chunk_id, text, string_split(regexp_replace(S(text), '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) as parts from l),
+        r as (select doc_id, chunk_id, text, cast(i - 1 as int) as ord, S(parts[i]) as s from (select *, unnest(range(1, len(parts) + 1)) as i from p) x), facts as (select * from r where length(s) > 20 and not """
+    + STARTS + " and " + MARKS + "), n as (select *, len(list_intersect(WS(s), WS(text))) as n, len(WS(s)) as w from facts) select doc_id, chunk_id, ord, " + QUESTION
+    + " as prompt, text as context, s as response, n + case when n = 0 then -10.0 else 0.0 end + case when w between 5 and 40 then 1.0 when w < 3 or w > 80 then -2.0 else 0.0 end as score from n",
     "q1_sentences": SENT + " select doc_id, ord, s as sentence from sent",
     "q2_facts": FACTS + " select doc_id, ord, s as sentence from facts",
     "q3_statement_to_question": FACTS + f" select doc_id, ord, {QUESTION} as question from facts",
