@@ -62,7 +62,7 @@ QUERIES = {
     "x9_ocr_fallback": lambda s, d: X.ocr_fallback(view(s, d, "v_ocr_lines"), view(s, d, "v_ocr_lines").filter("page % 3 = 0")),
     "x10_route_pages": lambda s, d: X.route_pages(view(s, d, "v_blocks"), view(s, d, "v_blocks").groupBy("doc_id", "page").agg((F.max("ord") % 5).alias("n_images"))),
     "x11_route_documents": lambda s, d: X.route_documents(_files(s, d), view(s, d, "v_blocks").filter("doc_id % 7 <> 0")),
-    "x12_style_types": lambda s, d: X.style_types(table(s, d, "nation").select("n_nationkey", F.concat(F.when(F.col("n_nationkey") % 3 == 0, "Heading ").when(F.col("n_nationkey") % 3 == 1, "Sub Title").otherwise("Normal"), F.when(F.col("n_nationkey") % 2 == 0, F.col("n_nationkey").cast("string")).otherwise("")).alias("style"))),
+    "x12_style_types": lambda s, d: X.style_types(table(s, d, "documents").select("doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "Heading ").when(F.col("doc_id") % 3 == 1, "Sub Title").otherwise("Normal"), F.when(F.col("doc_id") % 2 == 0, F.col("doc_id").cast("string")).otherwise("")).alias("style"))),
     "x13_assemble_documents": lambda s, d: X.assemble_documents(view(s, d, "v_blocks"), view(s, d, "v_blocks").filter("ord % 4 = 0").select("doc_id", "page", F.col("ord").alias("image_index"))).select("doc_id", "total_pages", "n_chunks", "n_images", F.coalesce(F.col("chunks")[0]["text"], F.lit("")).alias("first_text")),
     "x14_batch_summary": lambda s, d: X.batch_summary(table(s, d, "documents").select(F.when(F.col("doc_id") % 5 == 0, "skipped").when(F.col("doc_id") % 7 == 0, "failed").otherwise("success").alias("status"), (F.col("doc_id") % 9).alias("chunks"), (F.col("doc_id") % 4).alias("pages"))),
     "x15_join_pages": lambda s, d: X.join_pages(_pages(s, d).withColumnRenamed("text", "markdown")),
@@ -106,9 +106,9 @@ SQL = {
     "x11_route_documents": r"""with f as (select id as doc_id, file_name || '/' || id || '.' || ['txt', 'pdf', 'TIFF', 'exe', 'md'][id % 5 + 1] as file_path from v_documents),
         t as (select doc_id, bool_or(length(S(text)) > 0) as has_text from v_blocks where doc_id % 7 <> 0 group by doc_id)
         select f.doc_id, file_path, case when file_path like '%.TIFF' then 'ocr' when file_path like '%.exe' then 'unsupported' when coalesce(has_text, false) then 'native' else 'ocr' end as route from f left join t on f.doc_id = t.doc_id""",
-    "x12_style_types": """with s as (select n_nationkey, case n_nationkey % 3 when 0 then 'Heading ' when 1 then 'Sub Title' else 'Normal' end || case when n_nationkey % 2 = 0 then cast(n_nationkey as varchar) else '' end as style from nation)
-        select n_nationkey, style, case n_nationkey % 3 when 0 then 'heading' when 1 then 'title' else 'paragraph' end as chunk_type,
-        case n_nationkey % 3 when 0 then case when n_nationkey % 2 = 0 then cast(n_nationkey as int) else 1 end when 1 then 0 end as heading_level from s""",
+    "x12_style_types": """with s as (select doc_id, case doc_id % 3 when 0 then 'Heading ' when 1 then 'Sub Title' else 'Normal' end || case when doc_id % 2 = 0 then cast(doc_id as varchar) else '' end as style from documents)
+        select doc_id, style, case doc_id % 3 when 0 then 'heading' when 1 then 'title' else 'paragraph' end as chunk_type,
+        case doc_id % 3 when 0 then case when doc_id % 2 = 0 then cast(doc_id as int) else 1 end when 1 then 0 end as heading_level from s""",
     "x13_assemble_documents": "select doc_id, max(page) as total_pages, cast(count(*) as int) as n_chunks, cast(count(*) filter (where ord % 4 = 0) as int) as n_images, arg_min(text, ord) as first_text from v_blocks group by doc_id",
     "x14_batch_summary": """with f as (select case when doc_id % 5 = 0 then 'skipped' when doc_id % 7 = 0 then 'failed' else 'success' end as status, doc_id % 9 as chunks, doc_id % 4 as pages from documents)
         select count(*) as scanned, count(*) filter (where status = 'success') as processed, count(*) filter (where status = 'skipped') as skipped, count(*) filter (where status = 'failed') as failed,

@@ -93,7 +93,7 @@ QUERIES = {
     "d16_upsert_models": _supplier_models,
     "d17_lineage": lambda s, d: D.lineage(7, chunk=view(s, d, "v_blocks").select((F.col("doc_id") * 1000 + F.col("ord")).alias("id")), question=view(s, d, "v_questions").select(F.col("question_id").alias("id"))),
     "d18_attach_metadata": lambda s, d: D.attach_metadata(_docs(s, d).select("id", "file_path"), "OPS", 2, 3, table(s, d, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("code")), [0, 2]),
-    "k1_orphans": lambda s, d: K.orphans(table(s, d, "nation"), "n_regionkey", table(s, d, "region").filter("r_regionkey <> 1"), "r_regionkey").select("n_nationkey", "n_regionkey"),
+    "k1_orphans": lambda s, d: K.orphans(table(s, d, "lineitem"), "l_orderkey", table(s, d, "orders").filter("o_orderkey % 9 <> 1"), "o_orderkey").select("l_orderkey", "l_partkey"),
     "k2_polymorphic_orphans": lambda s, d: K.polymorphic_orphans(view(s, d, "v_embeddings").select("id", "parent_type", "parent_id"), document=table(s, d, "documents").select(F.col("doc_id").alias("id")), chunk=view(s, d, "v_blocks").select(F.col("doc_id").alias("id")), question=view(s, d, "v_questions").select(F.col("doc_id").alias("id")), answer=table(s, d, "events").select(F.col("event_id").alias("id"))),
     "k3_row_counts": lambda s, d: K.row_counts(**{t: table(s, d, t) for t in ("documents", "pages", "labels", "lineitem")}),
     "k4_null_counts": lambda s, d: K.null_counts(_docs(s, d), ["id", "file_path", "audience_id", "not_there"]),
@@ -110,7 +110,7 @@ QUERIES = {
     "r1_content_hashes": lambda s, d: R.content_hashes(table(s, d, "documents"), "source", "text"),
     "r2_next_versions": lambda s, d: R.next_versions(_registry(s, d)),
     "r3_register": lambda s, d: R.register(_registry(s, d).filter("created_at % 2 = 0"), _registry(s, d).select("name", "path", "content_hash")).select("content_hash"),
-    "r4_profile": lambda s, d: R.profile(table(s, d, "region"), "region").select("name", "records"),
+    "r4_profile": lambda s, d: R.profile(table(s, d, "documents"), "documents").select("name", "records"),
     "r5_audit_state": lambda s, d: R.audit_state(table(s, d, "events").select(F.col("user_id").alias("content_hash"), F.col("event_type").alias("action"), F.struct("ts", "event_id").alias("created_at"))),
     "r6_resolve": lambda s, d: R.resolve(_registry(s, d).groupBy("name", "version").count().filter("count = 1").select("name", "version"), _registry(s, d)),
     "t1_sft_text": lambda s, d: T.sft_text(_sft(s, d)).select("conv_id", "turn", "train_text"),
@@ -160,7 +160,7 @@ SQL = {
     "d16_upsert_models": "select s_name as name, case s_suppkey % 3 when 0 then 'insert' when 1 then 'keep' else case when s_suppkey % 2 = 0 or s_nationkey = -1 then 'skip' else 'update' end end as outcome, case when s_suppkey % 3 = 1 or s_suppkey % 2 = 0 then s_nationkey else -1 end as model_type, s_acctbal as model_path from supplier",
     "d17_lineage": "select cast(7 as bigint) as run_id, 'chunk' as parent_type, doc_id * 1000 + ord as parent_id from v_blocks union select 7, 'question', question_id from v_questions",
     "d18_attach_metadata": "select d.id, file_path, 'OPS' as domain_code, 2 as audience_id, 3 as severity, r_name as tag from v_documents d, region where r_regionkey in (0, 2)",
-    "k1_orphans": "select n_nationkey, n_regionkey from nation where n_regionkey is null or n_regionkey not in (select r_regionkey from region where r_regionkey <> 1)",
+    "k1_orphans": "select l_orderkey, l_partkey from lineitem where l_orderkey is null or l_orderkey not in (select o_orderkey from orders where o_orderkey % 9 <> 1)",
     "k2_polymorphic_orphans": "select id, parent_type, parent_id from v_embeddings where (parent_type in ('document', 'chunk') and parent_id not in (select doc_id from documents)) or (parent_type = 'question' and parent_id not in (select doc_id from v_questions)) or (parent_type = 'answer' and parent_id not in (select event_id from events))",
     "k3_row_counts": " union all ".join(f"select '{t}' as table_name, count(*) as n from {t}" for t in ("documents", "pages", "labels", "lineitem")),
     "k4_null_counts": "select 'id' as column_name, count(*) filter (where id is null) as n_null from v_documents union all select 'file_path', count(*) filter (where file_path is null) from v_documents union all select 'audience_id', count(*) filter (where audience_id is null) from v_documents union all select 'not_there', -1",
@@ -177,7 +177,7 @@ SQL = {
     "r1_content_hashes": "with h as (select source as name, sha256(coalesce(text, '')) as h from documents), p as (select name, substr(h, 1, 2) as b, sha256(string_agg(h, '' order by h)) as p, count(*) as n from h group by all) select name, cast(sum(n) as bigint) as n, sha256(string_agg(p, '' order by b)) as content_hash from p group by name",
     "r2_next_versions": REG + " select name, 'v' || lpad(cast(cast(substr(arg_max(version, created_at), 2) as int) + 1 as varchar), 3, '0') as version from g group by name",
     "r3_register": REG + " select distinct content_hash from g where content_hash not in (select content_hash from g where created_at % 2 = 0)",
-    "r4_profile": "select 'region' as name, count(*) as records from region",
+    "r4_profile": "select 'documents' as name, count(*) as records from documents",
     "r5_audit_state": "select user_id as content_hash, (array_agg(event_type order by ts desc, event_id desc))[1] as state, count(*) as n_actions from events group by user_id",
     "r6_resolve": REG + " select name, version, any_value(path) as path, any_value(content_hash) as content_hash from g group by name, version having count(*) = 1",
     "t1_sft_text": SFT + " select conv_id, turn, train_text from t",
