@@ -16,6 +16,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
@@ -27,6 +28,8 @@ WINDOW = 50
 #: Units of an anchor's gram.
 GRAM = {"word": 6, "byte": 16}
 FILTER_BITS, PIECE = 1 << 27, 1 << 19
+#: Tasks that pack the bits; each sends FILTER_BITS at most, one after another.
+PACKERS = 8
 #: Segments from which an anchor is hot, and bytes of segments that a shard is planned for.
 HOT, SHARD_BYTES = 4096, 1_500_000
 #: Bytes of text that are looked at together (their arrays stay in the cache), and keys or bytes held before a flush.
@@ -110,10 +113,22 @@ class Slice:
         with np.errstate(over="ignore"):
             return mix64(_poly(self.values, WINDOW) ^ np.uint64(0x5851F42D4C957F2D))
 
-    def content(self, first: int, end: int) -> bytes:
-        if self.unit == "byte":
-            return self.data[first:end]
-        return self.data[self.unit_at[first] : self.unit_at[end] - 1]
+    def contents(self, first, end) -> list[bytes]:
+        """The bytes of units first to end, for arrays of both."""
+        if self.unit == "word":
+            first, end = self.unit_at[first], self.unit_at[end] - 1
+        return [self.data[a:b] for a, b in zip(first, end)]
+
+
+def _blobs(texts: list[bytes], docs: np.ndarray, places: np.ndarray) -> tuple[bytes, bytes]:
+    numbers = np.array([len(texts)], np.int64).tobytes() + np.array([len(t) for t in texts], np.int32).tobytes() + docs.astype(np.int64).tobytes() + places.astype(np.int32).tobytes()
+    return zstandard.compress(numbers, 1), zstandard.compress(b"".join(texts), 1)
+
+
+def _numbers(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    blob = zstandard.decompress(blob)
+    n = int(np.frombuffer(blob, np.int64, 1)[0])
+    return np.frombuffer(blob, np.int32, n, 8).astype(np.int64), np.frombuffer(blob, np.int64, n, 8 + 4 * n), np.frombuffer(blob, np.int32, n, 8 + 12 * n).astype(np.int64)
 
 
 def slices(batches, unit: str):
@@ -135,15 +150,23 @@ def slices(batches, unit: str):
         yield np.array(ids, np.int64), Slice(texts, unit)
 
 
+def probes(keys48: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    with np.errstate(over="ignore"):
+        return keys48, mix64(keys48)
+
+
 class BitFilter:
-    """Membership of 48-bit keys by their low bits."""
+    """Membership of 48-bit keys by two bits of each."""
 
     def __init__(self, words: np.ndarray):
         self.words, self.mask = words, np.uint64(64 * len(words) - 1)
 
     def has(self, keys48: np.ndarray) -> np.ndarray:
-        at = keys48 & self.mask
-        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        out = np.ones(len(keys48), bool)
+        for key in probes(keys48):
+            at = key & self.mask
+            out &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+        return out
 
     @staticmethod
     def of(keys: DataFrame, n: int) -> "BitFilter":
@@ -154,7 +177,7 @@ class BitFilter:
         def pack(batches):
             held: dict[int, np.ndarray] = {}
             for batch in batches:
-                at = batch.column(0).to_numpy().view(np.uint64) & np.uint64(bits - 1)
+                at = np.concatenate(probes(batch.column(0).to_numpy().view(np.uint64))) & np.uint64(bits - 1)
                 for c in np.unique(at // np.uint64(piece)).tolist():
                     own = at[at // np.uint64(piece) == c] & np.uint64(piece - 1)
                     bit = np.uint64(1) << (own & np.uint64(63))
@@ -162,9 +185,8 @@ class BitFilter:
             if held:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["piece", "bits"])
 
-        place = F.expr(f"(key & {bits - 1}) div {piece}")
         words = np.zeros(bits // 64, np.uint64)
-        for r in keys.select("key").repartition(place).mapInArrow(pack, "piece int, bits binary").toLocalIterator():
+        for r in keys.select("key").coalesce(PACKERS).mapInArrow(pack, "piece int, bits binary").toLocalIterator():
             words[r["piece"] * piece // 64 : (r["piece"] + 1) * piece // 64] |= np.frombuffer(r["bits"], np.uint64)
         return BitFilter(words)
 
@@ -215,8 +237,8 @@ def repeated(docs: DataFrame, unit: str, keys_of: Callable) -> DataFrame:
 def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, first, end) in units: stretches covered by windows that also start in a smaller document.
 
-    docs: (doc_id long, text). owners(contents, docs): for every window of every content the smallest of the documents
-    of all contents that hold it. Stretches of a document may overlap or touch; a row may come twice.
+    docs: (doc_id long, text). owners(contents, docs): for every window of every content, end to end, the smallest of
+    the documents of all contents that hold it; and the number of windows of each content. Stretches of a document may overlap or touch; a row may come twice.
     """
     spark = docs.sparkSession
     found = repeated(docs, unit, lambda s: s.keys)
@@ -241,73 +263,94 @@ def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT,
 
         again = repeated(docs, unit, hot_windows)
         trim = spark.sparkContext.broadcast(BitFilter.of(again, again.count()))
-    shards = max(partitions(spark), int(total * (72 if unit == "byte" else 500) // shard_bytes))
+    shards = max(1, int(total * (72 if unit == "byte" else 500) // shard_bytes))
 
     def send(batches):
-        held: dict[tuple, list] = {}
-        size = 0
+        """Segments packed by shard: a blob of lengths, documents and places, and one of texts, once a flush."""
+        plain, hot_held, size = [], {}, 0
         for ids, s in slices(batches, unit):
             keys48 = s.keys >> np.uint64(16)
-            pick = np.flatnonzero(wanted.value.has(keys48)) if len(keys48) else []
-            hots = is_hot(keys48[pick]) if len(pick) else []
-            windows = s.windows() if trim is not None and np.any(hots) else None
-            for (doc, first, last, _), key, h in zip(s.runs[pick].tolist(), keys48[pick].tolist() if len(pick) else [], hots):
-                begin, shard, doc_id = int(s.begin[doc]), key % shards, int(ids[doc])
-                stretches = [(first, last)]
-                if h:
+            pick = np.flatnonzero(wanted.value.has(keys48)) if len(keys48) else np.zeros(0, np.int64)
+            if not len(pick):
+                continue
+            hots = is_hot(keys48[pick])
+            runs, keys = s.runs[pick[~hots]], keys48[pick[~hots]]
+            texts = s.contents(runs[:, 1], runs[:, 2] + WINDOW)
+            plain.append((keys % np.uint64(shards), texts, ids[runs[:, 0]], runs[:, 1] - s.begin[runs[:, 0]]))
+            size += sum(map(len, texts)) + 16 * len(texts)
+            if hots.any():
+                windows = s.windows()
+                for (doc, first, last, _), key in zip(s.runs[pick[hots]].tolist(), keys48[pick[hots]].tolist()):
                     kept = np.flatnonzero(trim.value.has(windows[first : last + 1] >> np.uint64(16))) + first
                     breaks = np.flatnonzero(np.diff(kept) > 1)
-                    stretches = list(zip(kept[np.append(0, breaks + 1)].tolist(), kept[np.append(breaks, -1)].tolist())) if len(kept) else []
-                for a, b in stretches:
-                    text = s.content(a, b + WINDOW)
-                    for salt in range(salts) if h else (0,):
-                        at = held.setdefault((shard, salt if h else -1), {}).setdefault(text, [])
-                        if not h or salt == doc_id % salts:
-                            at.append((doc_id, a - begin))
-                        elif not at or at[0][1] >= 0 or at[0][0] > doc_id:  # an owner, first in the list, without a place
-                            at[:1] = [(doc_id, -1)] if at and at[0][1] < 0 else [(doc_id, -1), *at[:1]]
-                        size += 24 if len(at) > 1 else len(text) + 48
+                    for a, b in zip(kept[np.append(0, breaks + 1)].tolist(), kept[np.append(breaks, -1)].tolist()) if len(kept) else ():
+                        doc_id, text = int(ids[doc]), s.contents([a], [b + WINDOW])[0]
+                        least, places = hot_held.setdefault((key % shards, text), [doc_id, []])
+                        hot_held[key % shards, text][0] = min(least, doc_id)
+                        places.append((doc_id, a - int(s.begin[doc])))
+                        size += len(text) * salts * (len(places) == 1) + 16
             if size >= BYTES_HELD:
-                yield from pack(held)
-                held, size = {}, 0
-        yield from pack(held)
+                yield from pack(plain, hot_held)
+                plain, hot_held, size = [], {}, 0
+        yield from pack(plain, hot_held)
 
-    def pack(held):
+    def pack(plain, hot_held):
         rows = []
-        for (shard, salt), contents in held.items():
-            places = [p for x in contents.values() for p in x]
-            rows.append((shard, salt, b"".join(contents), np.array([len(x) for x in contents], np.int32).tobytes(), np.array([len(x) for x in contents.values()], np.int32).tobytes(), np.array([p[0] for p in places], np.int64).tobytes(), np.array([p[1] for p in places], np.int32).tobytes()))
-        names = ["shard", "salt", "texts", "sizes", "counts", "docs", "places"]
-        kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 5]
+        if plain:
+            shard, docs_, places = (np.concatenate([x[i] for x in plain]) for i in (0, 2, 3))
+            texts = [t for x in plain for t in x[1]]
+            order = np.argsort(shard, kind="stable")
+            edges = np.flatnonzero(np.concatenate([[True], shard[order][1:] != shard[order][:-1], [True]])) if len(order) else []
+            for a, b in zip(edges[:-1], edges[1:]):
+                at = order[a:b]
+                rows.append((int(shard[at[0]]), -1, *_blobs([texts[i] for i in at], docs_[at], places[at])))
+        by: dict[tuple, list] = {}
+        for (shard, text), (least, found_at) in hot_held.items():
+            for salt in range(salts):  # the owner, without a place, goes to every salt
+                by.setdefault((shard, salt), []).append((text, least, -1))
+            for doc, place in found_at:
+                by[shard, doc % salts].append((text, doc, place))
+        for (shard, salt), x in by.items():
+            rows.append((shard, salt, *_blobs([t for t, _, _ in x], np.array([d for _, d, _ in x]), np.array([p for _, _, p in x]))))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
+            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["shard", "salt", "numbers", "texts"])
 
     def settle(table: pa.Table) -> pa.Table:
-        contents: dict[bytes, list] = {}
-        for row in table.to_pylist():
-            docs_, places = np.frombuffer(row["docs"], np.int64), np.frombuffer(row["places"], np.int32)
-            at = i = 0
-            for size, count in zip(np.frombuffer(row["sizes"], np.int32).tolist(), np.frombuffer(row["counts"], np.int32).tolist()):
-                contents.setdefault(row["texts"][at : at + size], []).append((docs_[i : i + count], places[i : i + count]))
-                at, i = at + size, i + count
-        texts = list(contents)
-        stand = [(np.concatenate([d for d, _ in x]), np.concatenate([p for _, p in x])) for x in contents.values()]
-        least = np.array([d.min() for d, _ in stand], np.int64)
-        out = []
-        for (d, p), low, own in zip(stand, least, owners(texts, least)):
-            whole = (d > low) & (p >= 0)
-            size = len(own) + WINDOW - 1
-            out.append(np.stack([d[whole], p[whole], p[whole] + size], 1))
-            covered = np.flatnonzero(own < low)
-            if len(covered):  # in the smallest document itself
-                breaks = np.flatnonzero(np.diff(covered) > 1)
-                a, b = covered[np.append(0, breaks + 1)], covered[np.append(breaks, -1)] + WINDOW
-                for place in p[(d == low) & (p >= 0)].tolist():
-                    out.append(np.stack([np.full(len(a), low), a + place, b + place], 1))
-        rows = np.concatenate(out) if out else np.zeros((0, 3), np.int64)
+        number: dict[bytes, int] = {}
+        of, docs_, places = [], [], []
+        for numbers, blob in zip(table.column("numbers").to_pylist(), table.column("texts").to_pylist()):
+            sizes, d, p = _numbers(numbers)
+            ends = np.cumsum(sizes)
+            blob = zstandard.decompress(blob)
+            of.append(np.array([number.setdefault(blob[a:b], len(number)) for a, b in zip((ends - sizes).tolist(), ends.tolist())], np.int64))
+            docs_.append(d)
+            places.append(p)
+        of, docs_, places = (np.concatenate(x) for x in (of, docs_, places))
+        texts = list(number)
+        least = np.full(len(texts), np.iinfo(np.int64).max)
+        np.minimum.at(least, of, docs_)
+        own, windows = owners(texts, least)
+        whole = (docs_ > least[of]) & (places >= 0)
+        out = [np.stack([docs_[whole], places[whole], places[whole] + windows[of[whole]] + WINDOW - 1], 1)]
+        # In its smallest document a segment loses what a smaller document of another segment holds.
+        text_of = np.repeat(np.arange(len(texts)), windows)
+        gone = own < least[text_of]
+        joined = np.concatenate([[False], gone[:-1] & (text_of[1:] == text_of[:-1])])
+        follows = np.concatenate([gone[1:] & (text_of[1:] == text_of[:-1]), [False]])
+        start, stop = np.flatnonzero(gone & ~joined), np.flatnonzero(gone & ~follows)
+        begin = np.concatenate([[0], np.cumsum(windows)])
+        mine = np.flatnonzero((docs_ == least[of]) & (places >= 0))
+        mine = mine[np.argsort(of[mine], kind="stable")]
+        low, high = (np.searchsorted(of[mine], text_of[start], side) for side in ("left", "right"))
+        run = np.repeat(np.arange(len(start)), high - low)
+        at = mine[np.arange(len(run)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[run]] if len(run) else np.zeros(0, np.int64)
+        head = begin[text_of[start[run]]]
+        out.append(np.stack([docs_[at], places[at] + start[run] - head, places[at] + stop[run] - head + WINDOW], 1))
+        rows = np.concatenate(out)
         return pa.table({"doc_id": rows[:, 0].astype(np.int64), "first": rows[:, 1].astype(np.int32), "end": rows[:, 2].astype(np.int32)})
 
-    sent = docs.mapInArrow(send, "shard long, salt int, texts binary, sizes binary, counts binary, docs binary, places binary")
+    sent = docs.mapInArrow(send, "shard long, salt int, numbers binary, texts binary")
     return sent.groupBy("shard", "salt").applyInArrow(settle, "doc_id long, first int, end int")
 
 

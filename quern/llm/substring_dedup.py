@@ -78,8 +78,8 @@ class FMIndex:
         return self.block_at[block], self.block_at[block + 1]
 
 
-def owners(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-    """For every window of every text, the smallest of docs over all texts that hold it."""
+def owners(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of every text, end to end, the smallest of docs over all texts that hold it; windows a text."""
     number: dict[bytes, int] = {}
     seqs = [np.array([number.setdefault(w, len(number) + 1) for w in t.split(b" ")], np.int64) for t in texts]
     sizes = np.array([len(s) for s in seqs])
@@ -103,7 +103,8 @@ def owners(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     edges = np.unique(np.concatenate([low[is_window], high[is_window]]))
     least = np.minimum.reduceat(np.append(doc_of, np.iinfo(np.int64).max), edges)
     best = least[np.searchsorted(edges, low)]
-    return [best[s : s + n - WINDOW + 1] for s, n in zip(start, sizes)]
+    place = np.arange(len(text)) - np.repeat(start, sizes + 1)
+    return best[place <= np.repeat(sizes, sizes + 1) - WINDOW], sizes - WINDOW + 1
 
 
 def _finish(text: str, cuts: list) -> tuple[int, int, str]:

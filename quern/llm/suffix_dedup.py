@@ -32,8 +32,8 @@ def _refine(bucket: np.ndarray, live: np.ndarray, offset: int) -> np.ndarray:
     return live[size[group] > 1]
 
 
-def owners(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
-    """For every window of every text, the smallest of docs over all texts that hold it."""
+def owners(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every window of every text, end to end, the smallest of docs over all texts that hold it; windows a text."""
     sizes = np.array([len(t) for t in texts])
     data = np.frombuffer(b"".join(texts) + bytes(WINDOW), np.uint8)
     n = len(data) - WINDOW
@@ -50,8 +50,7 @@ def owners(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
     size = np.bincount(bucket[: len(key)], minlength=len(key))
     live = live[size[bucket[live]] > 1]
     is_window = np.zeros(len(data), bool)
-    for s, m in zip(start.tolist(), sizes.tolist()):
-        is_window[s : s + m - WINDOW + 1] = True
+    is_window[:n] = np.arange(n) - np.repeat(start[:-1], sizes) <= np.repeat(sizes, sizes) - WINDOW
     depth = Q
     while depth < WINDOW and len(live):
         offset = min(depth, WINDOW - depth)
@@ -68,7 +67,7 @@ def owners(texts: list[bytes], docs: np.ndarray) -> list[np.ndarray]:
         head = np.flatnonzero(np.concatenate([[True], bucket[at][1:] != bucket[at][:-1]]))
         least = np.minimum.reduceat(own[at], head)
         best[at] = np.repeat(least, np.diff(np.append(head, len(at))))
-    return [best[s : s + m - WINDOW + 1] for s, m in zip(start[:-1], sizes)]
+    return best[is_window[:n]], sizes - WINDOW + 1
 
 
 def _finish(text: str, cuts: list) -> tuple[int, int, int, str]:
