@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from quern.functions.text import strip
 from quern.operators import answers as A
 from quern.operators import embed as E
 from quern.operators import questions as Q
