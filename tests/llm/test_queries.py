@@ -124,3 +124,20 @@ def test_pipeline_brute_force(spark):
     got = P.run(spark, SF).collect()
     assert collections.Counter(r.doc_id for r in got) == want
     assert all(r.decoded_sha256 == hashlib.sha256(left[r.doc_id].encode()).hexdigest() for r in got)
+
+
+def test_op7_splits_large_families(spark, monkeypatch):
+    from quern.llm import order_minhash
+
+    monkeypatch.setattr(order_minhash, "BIG", 3)
+    monkeypatch.setattr(order_minhash, "BLOCK", 4)
+    got = {r.doc_id: r.class_id for r in Q.op7_order_minhash(spark, SF).collect()}
+    assert got == classes(texts(spark))
+
+
+def test_op9_compares_large_buckets_in_blocks(spark, monkeypatch):
+    from quern.llm import embed_dedup
+
+    want = sorted(tuple(r) for r in Q.op9_embedding_dedup(spark, SF).collect())
+    monkeypatch.setattr(embed_dedup, "BLOCK", 2)
+    assert sorted(tuple(r) for r in Q.op9_embedding_dedup(spark, SF).collect()) == want
