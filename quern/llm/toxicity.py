@@ -1,17 +1,18 @@
 """Toxicity by nearest labelled examples.
 
-Documents are TF-IDF vectors over the terms that tell the labels of a bounded sample apart; document frequencies are
-counted over all documents. Labelled examples lie in a block-max inverted index: postings in blocks of examples, with
-the largest weight of each term and block. A query adds up these bounds, visits blocks from the highest bound and
-stops when no block can still enter its k nearest, so the neighbours are exact. They vote by similarity; the votes are
-calibrated on the examples themselves, each scored without itself. Neighbours are the evidence.
+Documents are vectors over all terms of a bounded sample of labelled texts: TF-IDF, where terms that mark toxic texts
+weigh more and no term weighs nothing; document frequencies are counted over all documents. Labelled examples lie in an
+index that gives the exact cosine with each of them: terms of many examples are columns of a matrix, which batches of
+texts are multiplied with, all others have postings. (Block-max bounds of such long vectors skip next to no block.) The
+nearest vote by similarity; the votes are calibrated on the examples themselves, each scored without itself. Neighbours
+are the evidence.
 """
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,14 +20,14 @@ from xxhash import xxh32_intdigest
 
 from .shared import stored
 
-#: Bounds of the fit: labelled examples of each class (those of the smallest hashes), and terms.
-EXAMPLES, TERMS = 4096, 256
-#: A term counts only from this G statistic on (22 toxic texts of as many and no other), so that plain words don't blur distances.
-LEAST_G = 30.0
+#: Bound of the fit: labelled examples of each class (those of the smallest hashes).
+EXAMPLES = 4096
 #: Minimum hashes that tell near copies of an example from other texts.
 KINDS = 4
-#: Neighbours that vote, examples in a block, and the length of the stems that stand beside whole words.
-NEIGHBOURS, BLOCK, STEM = 15, 64, 5
+#: Neighbours that vote, and the length of the stems that stand beside whole words.
+NEIGHBOURS, STEM = 15, 5
+#: A term of at least one in WIDE examples is a column of the matrix; texts that are multiplied with it at once.
+WIDE, BATCH = 8, 256
 #: Score from which a document counts as toxic.
 REJECT = 0.3
 
@@ -63,63 +64,56 @@ def kinds(words: list[str]) -> list[int]:
     return [min(xxh32_intdigest(g, seed) for g in grams) for seed in range(KINDS)]
 
 
-def choose_terms(examples: DataFrame, n: int = TERMS) -> list[str]:
-    """The n terms of (text, toxic) with the largest G statistic, among those that mark toxic texts.
+def numbered(text: str, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers, ascending, and counts of the known terms of a whole text."""
+    words = Counter(WORD(text.lower()))
+    stems = [(w[:STEM] + "*", n) for w, n in words.items() if len(w) > STEM]
+    get = number.get
+    t = np.array([get(w, -1) for w in words] + [get(w, -1) for w, _ in stems], np.int64)
+    n = np.array([*words.values(), *[n for _, n in stems]], np.int64)
+    order = np.argsort(t, kind="stable")[np.count_nonzero(t < 0) :]
+    t, n = t[order], n[order]
+    first = np.flatnonzero(np.diff(t, prepend=-1))
+    return t[first], np.add.reduceat(n, first) if len(first) else n
 
-    Toxic texts count by their kinds, so that what a group of near copies shares doesn't pass for a mark.
-    """
-
-    def seen(frames):
-        for pdf in frames:
-            rows = []
-            for text, y in zip(pdf["text"], pdf["toxic"]):
-                kind = kinds(WORD(text.lower())) if y else [None] * KINDS
-                rows += [(t, y, *kind) for t in set(terms_of(text))]
-            yield pd.DataFrame(rows, columns=["term", "toxic", *names]).astype({k: "Int64" for k in names})
-
-    names = [f"k{i}" for i in range(KINDS)]
-    each = {r["toxic"]: r["n"] for r in examples.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    a1, a0 = float(each.get(1, 0)), float(each.get(0, 0))
-    rows = examples.mapInPandas(seen, "term string, toxic int, " + ", ".join(f"{k} long" for k in names))
-    counts = rows.groupBy("term").agg(
-        F.least(*(F.size(F.collect_set(k)) for k in names)).cast("double").alias("b1"), F.sum(1 - F.col("toxic")).cast("double").alias("b0")
-    )
-    part = lambda x, p: F.when(x > 0, x * F.log(x / p)).otherwise(0.0)
-    share = (F.col("b1") + F.col("b0")) / (a1 + a0) if a1 + a0 else F.lit(1.0)
-    g = sum(part(x, p) for x, p in (
-        (F.col("b1"), share * a1), (F.col("b0"), share * a0),
-        (F.lit(a1) - F.col("b1"), (1 - share) * a1), (F.lit(a0) - F.col("b0"), (1 - share) * a0),
-    ))
-    marks = (F.col("b1") >= 3) & (F.col("b1") > share * a1) & (2 * g >= LEAST_G)
-    best = counts.filter(marks).orderBy(F.desc(g), "term").limit(n)
-    return sorted(r["term"] for r in best.select("term").collect())
 
+def mark_weights(texts: list[str], toxic: np.ndarray, counted: list, n: int) -> np.ndarray:
+    """1 for each of n terms, and for those more frequent in toxic texts 1 + the square root of their G statistic.
 
-def term_counts(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """doc_id, terms, counts of every whole text: its chosen terms by number, in ascending order."""
-    held = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    Toxic texts count by their kinds, so that what a group of near copies shares doesn't pass for a mark.
+    """
+    at = np.flatnonzero(toxic == 1)
+    none = np.zeros(0, np.int64)
+    term = np.concatenate([none, *(counted[i][0] for i in at)])
+    each = np.array([kinds(WORD(texts[i].lower())) for i in at], np.int64).reshape(-1, KINDS)
+    kind = np.repeat(each, [len(counted[i][0]) for i in at], axis=0)
+    b1 = np.min([np.bincount(np.unique(term << 32 | kind[:, k]) >> 32, minlength=n) for k in range(KINDS)], axis=0).astype(float)
+    b0 = np.bincount(np.concatenate([none, *(counted[i][0] for i in np.flatnonzero(toxic == 0))]), minlength=n).astype(float)
+    a1, a0 = float(len(at)), float((toxic == 0).sum())
+    share = (b1 + b0) / max(a1 + a0, 1)
+    part = lambda x, p: np.where(x > 0, x * np.log(np.maximum(x, 1e-300) / np.maximum(p, 1e-300)), 0.0)
+    g = part(b1, share * a1) + part(b0, share * a0) + part(a1 - b1, (1 - share) * a1) + part(a0 - b0, (1 - share) * a0)
+    return 1 + np.where(b1 > share * a1, np.sqrt(np.maximum(2 * g, 0)), 0)
+
+
+def document_counts(docs: DataFrame, number) -> np.ndarray:
+    """Rows of docs that hold each term of the broadcast numbering."""
 
     def run(batches):
-        number = held.value
-        known = number.keys()
+        known = number.value
+        n = np.zeros(len(known), np.int64)
         for batch in batches:
-            ids, counts = [], []
             for text in batch.column("text"):
-                all_terms = terms_of(text.as_py())
-                found = {t: 0 for t in known & set(all_terms)}
-                if found:
-                    for t in all_terms:
-                        if t in found:
-                            found[t] += 1
-                pairs = sorted((number[t], c) for t, c in found.items())
-                ids.append([i for i, _ in pairs])
-                counts.append([c for _, c in pairs])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))], ["doc_id", "terms", "counts"]
-            )
+                words = set(WORD(text.as_py().lower()))
+                words.update([w[:STEM] + "*" for w in words if len(w) > STEM])
+                n[[known[t] for t in words & known.keys()]] += 1
+        some = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["t", "n"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInArrow(run, f"doc_id {kind}, terms array<int>, counts array<int>")
+    total = docs.select("text").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(len(number.value), np.int64)
+    out[total.column("t").to_numpy()] = total.column("n").to_numpy()
+    return out
 
 
 def unit_vector(terms, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -128,58 +122,74 @@ def unit_vector(terms, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return t, w / np.sqrt((w * w).sum()) if len(t) else w
 
 
+def ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all half-open ranges end to end, and the sizes of the ranges."""
+    n = hi - lo
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+
+
 @dataclass
-class BlockMaxIndex:
-    ids: np.ndarray  # of the examples, in index order
+class ExampleIndex:
+    ids: np.ndarray  # of the examples, ascending
     labels: np.ndarray
     weights: np.ndarray  # documents an example stands for
     idf: np.ndarray
-    ptr: np.ndarray  # (terms, blocks + 1): where the postings of a term in a block begin
-    at: np.ndarray  # postings: place in the block, and weight
+    column: np.ndarray  # by term: its column of the matrix, or -1
+    matrix: np.ndarray  # (columns, examples)
+    ptr: np.ndarray  # by term: where its postings begin
+    place: np.ndarray  # postings: place of the example, and weight
     value: np.ndarray
-    most: np.ndarray  # (terms, blocks): the largest weight
 
     @staticmethod
-    def build(ids, labels, weights, vectors: list, idf: np.ndarray) -> "BlockMaxIndex":
-        # Examples that share their heaviest term lie together, which keeps the bounds of a block tight.
-        order = sorted(range(len(ids)), key=lambda i: (int(vectors[i][0][vectors[i][1].argmax()]) if len(vectors[i][0]) else -1, ids[i]))
-        blocks = -(-len(order) // BLOCK)
-        term = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, np.int64)])
-        value = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)])
+    def build(ids, labels, weights, vectors: list, idf: np.ndarray) -> "ExampleIndex":
+        order = sorted(range(len(ids)), key=lambda i: ids[i])
+        term = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
+        value = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
         place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
-        sort = np.lexsort((place, term))
-        term, value, place = term[sort], value[sort], place[sort]
-        cell = term * blocks + place // BLOCK if blocks else term
-        ptr = np.searchsorted(cell, np.arange(len(idf) * blocks + 1))
-        most = np.zeros(len(idf) * blocks)
-        np.maximum.at(most, cell, value)
+        wide = np.flatnonzero(np.bincount(term, minlength=len(idf)) * WIDE >= max(len(order), 1))
+        column = np.full(len(idf), -1)
+        column[wide] = np.arange(len(wide))
+        matrix = np.zeros((len(wide), len(order)))
+        dense = column[term] >= 0
+        matrix[column[term[dense]], place[dense]] = value[dense]
+        term, value, place = term[~dense], value[~dense], place[~dense]
+        sort = np.argsort(term, kind="stable")
         pick = lambda x, kind: np.asarray([x[i] for i in order], kind)
-        return BlockMaxIndex(pick(ids, np.int64), pick(labels, np.int64), pick(weights, np.float64), idf, ptr, place % BLOCK, value, most.reshape(len(idf), blocks))
-
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest examples with a cosine above 0; ties go to the smaller id."""
-        bound = w @ self.most[t] if len(t) else np.zeros(0)
-        blocks = bound.size
-        found, sims, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] * (1 + 1e-12) < least:
-                break
-            score = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-            for i, x in zip(t * blocks + b, w):
-                lo, hi = self.ptr[i], self.ptr[i + 1]
-                if lo < hi:
-                    score[self.at[lo:hi]] += x * self.value[lo:hi]
-            here = np.flatnonzero(score > 0)
-            place = here + b * BLOCK
-            keep = place != without
-            found, sims = np.concatenate([found, place[keep]]), np.concatenate([sims, score[here[keep]]])
-            if len(found) > k:
-                best = np.lexsort((self.ids[found], -sims))[:k]
-                found, sims = found[best], sims[best]
-            if len(found) == k:
-                least = sims.min()
-        best = np.lexsort((self.ids[found], -sims))[:k]
-        return found[best], sims[best]
+        return ExampleIndex(
+            pick(ids, np.int64), pick(labels, np.int64), pick(weights, np.float64), idf, column, matrix,
+            np.searchsorted(term[sort], np.arange(len(idf) + 1)), place[sort].astype(np.int32), value[sort],
+        )
+
+    def nearest_of(self, vectors: list, k: int, without=None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Places and cosines of the k nearest examples, of each vector, with a cosine above 0; ties go to the smaller id."""
+        out = []
+        for start in range(0, len(vectors), BATCH):
+            part = vectors[start : start + BATCH]
+            left = np.zeros((len(part), len(self.matrix)))
+            for row, (t, w) in enumerate(part):
+                c = self.column[t]
+                left[row, c[c >= 0]] = w[c >= 0]
+            scores = left @ self.matrix
+            for row, (t, w) in enumerate(part):
+                score = scores[row]
+                lo = self.ptr[t]
+                n = self.ptr[t + 1] - lo
+                postings = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                if len(postings):
+                    score += np.bincount(self.place[postings], np.repeat(w, n) * self.value[postings], minlength=len(score))
+                if without is not None:
+                    score[without[start + row]] = 0
+                if len(score) > k:
+                    near = np.flatnonzero(score >= max(np.partition(score, -k)[-k] - 1e-11, 1e-12))
+                else:
+                    near = np.flatnonzero(score > 1e-12)
+                sims = np.round(score[near], 12)  # sums of equal vectors may differ in their last digits
+                best = np.lexsort((self.ids[near], -sims))[:k]
+                out.append((near[best], sims[best]))
+        return out
+
+    def nearest(self, t: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        return self.nearest_of([(t, w)], k)[0]
 
     def vote(self, found: np.ndarray, sims: np.ndarray, base: float) -> float:
         """Share of toxic votes; a vote falls with the distance 1 - cosine. base: where no example is near."""
@@ -200,67 +210,71 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([p[2] / p[0] for p in pools]), np.array([p[1] / p[0] for p in pools])
 
 
+BlockMaxIndex = ExampleIndex  # its name before the vectors held all terms
+
+
 @dataclass
 class Model:
-    index: BlockMaxIndex
+    index: ExampleIndex
     base: float
     knots: tuple[np.ndarray, np.ndarray]
 
     @staticmethod
-    def fit(index: BlockMaxIndex, vectors: list) -> "Model":
+    def fit(index: ExampleIndex, vectors: list) -> "Model":
         """vectors: of the examples in the order of the index."""
         none = np.array([len(t) == 0 for t, _ in vectors], bool)
         w, y = index.weights, index.labels
         base = float((w * y)[none].sum() + (w * y).sum() / max(w.sum(), 1)) / float(w[none].sum() + 1) if len(w) else 0.0
-        raw = np.array([index.vote(*index.nearest(t, v, NEIGHBOURS, i), base) for i, (t, v) in enumerate(vectors)])
+        raw = np.array([index.vote(*near, base) for near in index.nearest_of(vectors, NEIGHBOURS, range(len(vectors)))])
         if not len(raw):
             return Model(index, base, (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
         return Model(index, base, isotonic(raw, y.astype(float), w))
 
-    def score(self, t: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        found, sims = self.index.nearest(t, w, NEIGHBOURS)
-        return float(np.clip(np.interp(self.index.vote(found, sims, self.base), *self.knots), 0, 1)), found, sims
+    def scores(self, vectors: list) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        near = self.index.nearest_of(vectors, NEIGHBOURS)
+        return [(float(np.clip(np.interp(self.index.vote(*x, self.base), *self.knots), 0, 1)), *x) for x in near]
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, terms: int = TERMS) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (doc_id, toxic, similarity of the three nearest) for every row.
 
-    The fit sees labels only of rows that are not held out. Null and empty texts, and texts without any chosen term,
-    get the rate of labelled texts like them. Conflicting labels of a document count as toxic, null labels not at all;
-    without labels every score is 0. Repeated rows score alike; other columns are not read.
+    The fit sees labels only of rows that are not held out. Null and empty texts, and texts without any term of the
+    examples, get the rate of labelled texts like them. Conflicting labels of a document count as toxic, null labels not
+    at all; without labels every score is 0. Repeated rows score alike; other columns are not read.
     """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    sc = docs.sparkSession.sparkContext
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     chosen, stands_for = sample_labels(labels, examples)
-    texts = docs.join(F.broadcast(chosen), "doc_id").select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
-    names = choose_terms(texts, terms)
-    counted = stored(term_counts(docs, names))
-    n = counted.count()
-    df = np.zeros(len(names))
-    for r in counted.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
-        df[r["t"]] = r["n"]
-    idf = np.log((n + 1) / (df + 1)) + 1
-    rows = counted.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).collect()
-    vectors = [unit_vector(r["terms"], r["counts"], idf) for r in rows]
-    index = BlockMaxIndex.build([r["doc_id"] for r in rows], [r["toxic"] for r in rows], [stands_for[r["toxic"]] for r in rows], vectors, idf)
-    of = {r["doc_id"]: v for r, v in zip(rows, vectors)}
-    model = spark.sparkContext.broadcast(Model.fit(index, [of[i] for i in index.ids]))
+    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toArrow()
+    ids, texts, toxic = rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), rows.column("toxic").to_numpy().astype(np.int64)
+    number: dict[str, int] = {}
+    for text in texts:
+        for t in terms_of(text):
+            number.setdefault(t, len(number))
+    counted = [numbered(text, number) for text in texts]
+    numbers = sc.broadcast(number)
+    idf = (np.log((docs.count() + 1) / (document_counts(docs, numbers) + 1)) + 1) * mark_weights(texts, toxic, counted, len(number))
+    vectors = [unit_vector(t, c, idf) for t, c in counted]
+    index = ExampleIndex.build(ids, toxic, [stands_for[y] for y in toxic.tolist()], vectors, idf)
+    of = dict(zip(ids, vectors))
+    model = sc.broadcast(Model.fit(index, [of[i] for i in index.ids.tolist()]))
 
     def run(batches):
-        m = model.value
+        m, known_terms = model.value, numbers.value
         for batch in batches:
-            scores, evidence, known = [], [], {}
-            for t, c in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                key = (*t, *c)  # equal vectors of a batch are looked up once
-                if key not in known:
-                    score, found, sims = m.score(*unit_vector(t, c, m.index.idf))
-                    near = [{"doc_id": int(m.index.ids[i]), "toxic": int(m.index.labels[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)]
-                    known[key] = score, near
-                scores.append(known[key][0])
-                evidence.append(known[key][1])
+            texts = batch.column("text").to_pylist()
+            once = list(dict.fromkeys(texts))  # equal texts of a batch are looked up once
+            known = {}
+            for n in range(0, len(once), BATCH):
+                part = once[n : n + BATCH]
+                for text, (score, found, sims) in zip(part, m.scores([unit_vector(*numbered(x, known_terms), m.index.idf) for x in part])):
+                    known[text] = score, [
+                        {"doc_id": int(m.index.ids[i]), "toxic": int(m.index.labels[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)
+                    ]
+            scores, evidence = [known[x][0] for x in texts], [known[x][1] for x in texts]
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = counted.mapInArrow(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:bigint,toxic:int,similarity:double>>")
+    out = docs.mapInArrow(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:bigint,toxic:int,similarity:double>>")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"), "evidence")

@@ -178,3 +178,51 @@ def test_decoding_never_splits_a_character(spark):
     assert b"".join(parts) == data and all(p.decode() is not None for p in parts)
     text = docs(spark, (1, "é日😀 x", "a"))
     assert decode_documents(encode_documents(text, *vocabulary()), *vocabulary()).first().text == "é日😀 x"
+
+
+def copies_of_examples(spark):
+    """300 clean texts, a learnt toxic one whose words are in no other, and its copy whose label is held out."""
+    from quern.llm.toxicity import held_out
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices([f"w{j}" for j in range(400)], k=30)), "a") for i in range(300)]
+    of = spark.range(1000, 1100).select("id", held_out(F.col("id")).alias("h")).collect()
+    learnt, held = next(r.id for r in of if not r.h), next(r.id for r in of if r.h)
+    rows += [(i, " ".join(f"own{j} longerword{j}" for j in range(20)), "a") for i in (learnt, held)]
+    labels = spark.createDataFrame([(i, int(i >= 1000)) for i, _, _ in rows], "doc_id long, toxic int")
+    return rows, labels, learnt, held
+
+
+def test_toxicity_knows_copies_of_examples(spark):
+    rows, labels, learnt, held = copies_of_examples(spark)
+    got = {r.doc_id: r for r in toxicity(docs(spark, *rows), labels).collect()}
+    assert got[held].evidence and got[held].evidence[0].doc_id == learnt and got[held].evidence[0].similarity > 1 - 1e-9
+
+
+def test_toxicity_brute_force(spark):
+    import numpy as np
+
+    from quern.llm.toxicity import held_out, mark_weights, terms_of
+
+    rows, labels, _, _ = copies_of_examples(spark)
+    got = {r.doc_id: r for r in toxicity(docs(spark, *rows), labels).collect()}
+    hidden = {r.doc_id for r in labels.filter(held_out(F.col("doc_id"))).collect()}
+    fit = [(d, t) for d, t, _ in rows if d not in hidden]
+    number = {t: i for i, t in enumerate(sorted({x for _, t in fit for x in terms_of(t)}))}
+    tf = np.zeros((len(rows), len(number)))
+    for at, (_, t, _) in enumerate(rows):
+        for x in terms_of(t):
+            if x in number:
+                tf[at, number[x]] += 1
+    ids = np.array([d for d, _, _ in rows])
+    learnt = np.array([d not in hidden for d in ids])
+    counts = [(np.flatnonzero(x), x[x > 0]) for x in tf[learnt]]
+    marks = mark_weights([t for _, t in fit], np.array([int(d >= 1000) for d, _ in fit]), counts, len(number))
+    assert (marks >= 1).all()
+    v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * (np.log((len(rows) + 1) / ((tf > 0).sum(0) + 1)) + 1) * marks
+    v /= np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-300)
+    for at, d in enumerate(ids):
+        sims = v[learnt] @ v[at]
+        near = [i for i in np.lexsort((ids[learnt], -np.round(sims, 12))) if sims[i] > 1e-12][:3]
+        assert [e.doc_id for e in got[d].evidence] == ids[learnt][near].tolist()
+        assert np.allclose([e.similarity for e in got[d].evidence], sims[near])
