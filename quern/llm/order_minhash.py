@@ -10,6 +10,7 @@ connect need no alignment. Equal word sequences are one entry throughout; no fam
 
 import bisect
 import hashlib
+import math
 
 import numpy as np
 import pandas as pd
@@ -23,7 +24,7 @@ from .repeats import MULT, _poly
 from .shared import mix64, stored
 
 SHINGLE, SIMILARITY, TABLES = 5, 0.8, 12
-#: Entries of a family that are compared in one task with another block's; families beyond BIG are split by two keys.
+#: Entries of a family that are compared in one task with another block's; families beyond BIG are split by text sizes.
 BLOCK, BIG = 512, 4096
 #: Diagonals of the alignment's band on either side, as a share of the longer text.
 BAND = 0.25
@@ -155,33 +156,42 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 size += sum(map(len, words[-1]))
                 if size >= SLICE or n + 1 == len(texts):
                     digests = [hashlib.sha256(b" ".join(w)).digest() if w else None for w in words]
-                    keys = sketch(*labelled(words))
+                    labels, starts = labelled(words)
+                    keys = sketch(labels, starts)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").slice(done, len(words)), pa.array(digests, pa.binary()), pa.array(list(keys), pa.list_(pa.int64()))],
-                        ["doc_id", "digest", "keys"],
+                        [batch.column("doc_id").slice(done, len(words)), pa.array(digests, pa.binary()), pa.array(list(keys), pa.list_(pa.int64())), pa.array(np.diff(starts), pa.int64())],
+                        ["doc_id", "digest", "keys", "size"],
                     )
                     done, size, words = n + 1, 0, []
 
-    sketched = stored(rows.mapInArrow(run, "doc_id long, digest binary, keys array<long>"))
+    sketched = stored(rows.mapInArrow(run, "doc_id long, digest binary, keys array<long>, size long"))
     some = sketched.filter("doc_id is not null and digest is not null")
-    entries = stored(some.groupBy("digest").agg(F.min(F.struct("doc_id", "keys")).alias("e")).select("digest", F.col("e.doc_id").alias("id"), F.col("e.keys").alias("keys")))
-    spots = entries.select("id", "keys", F.posexplode("keys").alias("t", "key"))
-    family = _families(spots.select("id", "t", "key"), ["t", "key"])
-    big = stored(family.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > BIG))
-    if not big.isEmpty():
-        # Texts alike in 80 % share two keys as well, up to one pair in tens of thousands.
-        wide = family.join(big, "component").select(F.col("node").alias("id"))
-        pairs = spots.join(wide, "id", "left_semi").select("id", "t", "key", F.posexplode("keys").alias("t2", "key2")).filter("t < t2")
-        family = family.join(big, "component", "left_anti").unionByName(_families(pairs, ["t", "key", "t2", "key2"]))
-    family = stored(family)
-    sizes = family.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    placed = family.join(sizes, "component").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(
-            F.least(o, F.col("block")).alias("x"), F.greatest(o, F.col("block")).alias("y"),
-            F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).alias("side"),
+    entries = stored(some.groupBy("digest").agg(F.min(F.struct("doc_id", "keys", "size")).alias("e")).select("digest", F.col("e.doc_id").alias("id"), "e.keys", "e.size"))
+    spots = entries.select("id", F.posexplode("keys").alias("t", "key"))
+    family = stored(_families(spots, ["t", "key"]))
+    # Aligned shingles are no more than the smaller text's, so a text is alike only to texts of at most size / similarity:
+    # texts of the same or the next level. The base is a trace wider, for rounding.
+    level = F.floor(F.log("size") / math.log(1.0001 / similarity))
+    big = family.groupBy("component").agg((F.count(F.lit(1)) > BIG).alias("big"))
+    levelled = family.join(big, "component").join(entries.select(F.col("id").alias("node"), "size"), "node")
+    levelled = levelled.select("node", "component", F.when(F.col("big"), level).otherwise(0).cast("long").alias("level"))
+    sizes = stored(levelled.groupBy("component", "level").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
+    near = lambda by, name: sizes.select("component", (F.col("level") + by).alias("level"), F.col("blocks").alias(name))
+    placed = levelled.join(sizes, ["component", "level"]).join(near(1, "below"), ["component", "level"], "left").join(near(-1, "above"), ["component", "level"], "left")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    code = lambda by, block: F.shiftleft(F.col("level") + by, 32) + block
+    own = code(0, F.col("block"))
+    numbers = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    pairs = F.concat(
+        F.transform(
+            numbers("blocks"),
+            lambda o: F.struct(
+                F.least(code(0, o), own).alias("x"), F.greatest(code(0, o), own).alias("y"),
+                F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).alias("side"),
+            ),
         ),
+        F.transform(numbers("above"), lambda o: F.struct(own.alias("x"), code(1, o).alias("y"), F.lit(0).alias("side"))),
+        F.transform(numbers("below"), lambda o: F.struct(code(-1, o).alias("x"), own.alias("y"), F.lit(1).alias("side"))),
     )
     first = rows.join(placed.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
     dealt = first.select("component", F.col("doc_id").alias("id"), "text", F.inline(pairs))

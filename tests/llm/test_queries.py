@@ -135,6 +135,27 @@ def test_op7_splits_large_families(spark, monkeypatch):
     assert got == classes(texts(spark))
 
 
+def test_op7_large_families_keep_pairs_of_one_key(spark, monkeypatch):
+    """Texts alike enough that share a single table's key stay linked however large their family is."""
+    import random
+
+    from quern.llm import order_minhash as M
+
+    rng = random.Random(7)
+    made = []
+    while len(made) < 20:
+        a = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+        b = a[:50] + [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(8, 12))]
+        labels, starts = M.labelled([[w.encode() for w in x] for x in (a, b)])
+        one, other = labels[: starts[1]], labels[starts[1] :]
+        n = M.aligned(one, other)
+        if n >= 0.5 * (len(one) + len(other) - n) and (M.sketch(labels, starts)[0] == M.sketch(labels, starts)[1]).sum() == 1:
+            made += [" ".join(a), " ".join(b)]
+    monkeypatch.setattr(M, "BIG", 1)
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in M.near_classes(df, 0.5).collect()} == {i: i - i % 2 for i in range(len(made))}
+
+
 def test_op9_compares_large_buckets_in_blocks(spark, monkeypatch):
     from quern.llm import embed_dedup
 
