@@ -1,19 +1,19 @@
 """Toxicity by nearest labelled examples.
 
-Documents are vectors over all terms of a bounded sample of labelled texts: TF-IDF, where terms that mark toxic texts
-weigh more and no term weighs nothing; document frequencies are counted over all documents. Labelled examples lie in an
-index that gives the exact cosine with each of them: terms of many examples are columns of a matrix, which batches of
-texts are multiplied with, all others have postings. (Block-max bounds of such long vectors skip next to no block.) The
-nearest vote by similarity; the votes are calibrated on the examples themselves, each scored without itself. Neighbours
-are the evidence.
+Documents are vectors over all words of a bounded sample of labelled texts: TF-IDF, where words that mark toxic texts
+weigh more and no word weighs nothing; document frequencies are counted over all documents. Labelled examples lie in a
+block-max inverted index: similar examples share a block, and every word has, beside its postings, its largest weight in
+each block. A text's bounds for all blocks are cheap sums of these; the most promising block is scored first, and a block
+whose bound is below the k-th best cosine so far is skipped, so the nearest are exact. Words of many examples are rows of
+a matrix instead of postings, for bounds and blocks alike. The nearest vote by similarity; the votes are calibrated on
+the examples themselves, each scored without itself. Neighbours are the evidence.
 """
 
-import re
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
@@ -24,25 +24,43 @@ from .shared import stored
 EXAMPLES = 4096
 #: Minimum hashes that tell near copies of an example from other texts.
 KINDS = 4
-#: Neighbours that vote, and the length of the stems that stand beside whole words.
-NEIGHBOURS, STEM = 15, 5
-#: A term of at least one in WIDE examples is a column of the matrix; texts that are multiplied with it at once.
-WIDE, BATCH = 8, 256
+NEIGHBOURS = 15
+#: Examples of a block; a word of at least one in WIDE examples is a row of the matrix.
+BLOCK, WIDE = 64, 32
+#: Texts that are searched together, and bytes of text whose words are looked up together.
+BATCH, SLICE = 256, 1 << 23
 #: Score from which a document counts as toxic.
 REJECT = 0.3
 
-WORD = re.compile(r"\w+").findall
-
 
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learnt from."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def terms_of(text: str) -> list[str]:
-    """Lower-cased words, and the stem of every longer word with a mark."""
-    words = WORD(text.lower())
-    return words + [w[:STEM] + "*" for w in words if len(w) > STEM]
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Lower-cased runs of letters, digits and _ of all texts end to end, and how many each text has."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(texts), r"[^\pL\pN_]+")
+    return lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+
+def counted(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word number, count) of the known words of whole texts, in this order."""
+    words, sizes = words_of(texts)
+    at = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy().astype(np.int64)
+    key = (np.repeat(np.arange(len(sizes)), sizes) * len(vocabulary) + at)[at >= 0]
+    key.sort()
+    head = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[head] // max(len(vocabulary), 1), key[head] % max(len(vocabulary), 1), np.diff(np.append(head, len(key)))
+
+
+def text_slices(texts: pa.Array):
+    """Parts of an array of about SLICE bytes; a text is never cut."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy()) // SLICE
+    edges = [0, *(np.flatnonzero(np.diff(ends)) + 1).tolist(), len(texts)]
+    for a, b in zip(edges[:-1], edges[1:]):
+        if a < b:
+            yield texts.slice(a, b - a)
 
 
 def sample_labels(labels: DataFrame, n: int = EXAMPLES) -> tuple[DataFrame, dict[int, float]]:
@@ -58,142 +76,206 @@ def sample_labels(labels: DataFrame, n: int = EXAMPLES) -> tuple[DataFrame, dict
     return stored(few[0].unionByName(few[1])), {c: sizes.get(c, 0) / max(1, min(n, sizes.get(c, 0))) for c in (0, 1)}
 
 
-def kinds(words: list[str]) -> list[int]:
+def kinds(text: str) -> list[int]:
     """KINDS minimum hashes of three-word shingles; near copies share most of them."""
+    words = text.lower().split()
     grams = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
     return [min(xxh32_intdigest(g, seed) for g in grams) for seed in range(KINDS)]
 
 
-def numbered(text: str, number: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers, ascending, and counts of the known terms of a whole text."""
-    words = Counter(WORD(text.lower()))
-    stems = [(w[:STEM] + "*", n) for w, n in words.items() if len(w) > STEM]
-    get = number.get
-    t = np.array([get(w, -1) for w in words] + [get(w, -1) for w, _ in stems], np.int64)
-    n = np.array([*words.values(), *[n for _, n in stems]], np.int64)
-    order = np.argsort(t, kind="stable")[np.count_nonzero(t < 0) :]
-    t, n = t[order], n[order]
-    first = np.flatnonzero(np.diff(t, prepend=-1))
-    return t[first], np.add.reduceat(n, first) if len(first) else n
-
+def mark_weights(texts: list[str], toxic: np.ndarray, text: np.ndarray, word: np.ndarray, n: int) -> np.ndarray:
+    """1 for each of n words, and for those more frequent in toxic texts 1 + the square root of their G statistic.
 
-def mark_weights(texts: list[str], toxic: np.ndarray, counted: list, n: int) -> np.ndarray:
-    """1 for each of n terms, and for those more frequent in toxic texts 1 + the square root of their G statistic.
-
-    Toxic texts count by their kinds, so that what a group of near copies shares doesn't pass for a mark.
+    (text, word): which words the texts hold. Toxic texts count by their kinds, so that what a group of near copies
+    shares doesn't pass for a mark.
     """
-    at = np.flatnonzero(toxic == 1)
-    none = np.zeros(0, np.int64)
-    term = np.concatenate([none, *(counted[i][0] for i in at)])
-    each = np.array([kinds(WORD(texts[i].lower())) for i in at], np.int64).reshape(-1, KINDS)
-    kind = np.repeat(each, [len(counted[i][0]) for i in at], axis=0)
-    b1 = np.min([np.bincount(np.unique(term << 32 | kind[:, k]) >> 32, minlength=n) for k in range(KINDS)], axis=0).astype(float)
-    b0 = np.bincount(np.concatenate([none, *(counted[i][0] for i in np.flatnonzero(toxic == 0))]), minlength=n).astype(float)
-    a1, a0 = float(len(at)), float((toxic == 0).sum())
+    each = np.zeros((len(texts), KINDS), np.int64)
+    for i in np.flatnonzero(toxic == 1):
+        each[i] = kinds(texts[i])
+    of_toxic = toxic[text] == 1
+    pairs = [np.unique(word[of_toxic] << 32 | each[text[of_toxic], k]) >> 32 for k in range(KINDS)]
+    b1 = np.min([np.bincount(p, minlength=n) for p in pairs], axis=0).astype(float)
+    b0 = np.bincount(word[~of_toxic], minlength=n).astype(float)
+    a1, a0 = float((toxic == 1).sum()), float((toxic == 0).sum())
     share = (b1 + b0) / max(a1 + a0, 1)
     part = lambda x, p: np.where(x > 0, x * np.log(np.maximum(x, 1e-300) / np.maximum(p, 1e-300)), 0.0)
     g = part(b1, share * a1) + part(b0, share * a0) + part(a1 - b1, (1 - share) * a1) + part(a0 - b0, (1 - share) * a0)
     return 1 + np.where(b1 > share * a1, np.sqrt(np.maximum(2 * g, 0)), 0)
 
 
-def document_counts(docs: DataFrame, number) -> np.ndarray:
-    """Rows of docs that hold each term of the broadcast numbering."""
+def document_counts(docs: DataFrame, vocabulary) -> tuple[int, np.ndarray]:
+    """Rows of docs, and those that hold each word of the broadcast vocabulary."""
 
     def run(batches):
-        known = number.value
+        known, rows = vocabulary.value, 0
         n = np.zeros(len(known), np.int64)
         for batch in batches:
-            for text in batch.column("text"):
-                words = set(WORD(text.as_py().lower()))
-                words.update([w[:STEM] + "*" for w in words if len(w) > STEM])
-                n[[known[t] for t in words & known.keys()]] += 1
+            rows += len(batch)
+            for part in text_slices(batch.column(0)):
+                n += np.bincount(counted(part, known)[1], minlength=len(known))
         some = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["t", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1)), pa.array(np.append(n[some], rows))], ["t", "n"])
 
     total = docs.select("text").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(len(number.value), np.int64)
-    out[total.column("t").to_numpy()] = total.column("n").to_numpy()
-    return out
+    t, n = total.column("t").to_numpy(), total.column("n").to_numpy()
+    out = np.zeros(len(vocabulary.value), np.int64)
+    out[t[t >= 0]] = n[t >= 0]
+    return int(n[t < 0].sum()), out
 
 
-def unit_vector(terms, counts, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    t = np.asarray(terms, np.int64)
-    w = (1 + np.log(np.asarray(counts, np.float64))) * idf[t]
-    return t, w / np.sqrt((w * w).sum()) if len(t) else w
+@dataclass
+class Vectors:
+    """Unit vectors end to end: those of text i are ptr[i] to ptr[i + 1]."""
 
+    ptr: np.ndarray
+    word: np.ndarray
+    weight: np.ndarray
 
-def ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all half-open ranges end to end, and the sizes of the ranges."""
-    n = hi - lo
-    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum()), n
+    @staticmethod
+    def of(n: int, text: np.ndarray, word: np.ndarray, count: np.ndarray, idf: np.ndarray) -> "Vectors":
+        w = (1 + np.log(count)) * idf[word]
+        norm = np.sqrt(np.bincount(text, w * w, n))
+        return Vectors(np.searchsorted(text, np.arange(n + 1)), word, w / norm[text])
+
+    def __len__(self) -> int:
+        return len(self.ptr) - 1
+
+    def take(self, rows: np.ndarray) -> "Vectors":
+        sizes = self.ptr[rows + 1] - self.ptr[rows]
+        at = ranges(self.ptr[rows], sizes)
+        return Vectors(np.concatenate([[0], np.cumsum(sizes)]), self.word[at], self.weight[at])
+
+
+def ranges(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers lo to lo + n of every pair, end to end."""
+    return np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
+def alike_order(v: Vectors, leaf: int) -> np.ndarray:
+    """Places such that similar vectors stand together: halved again and again along their main direction."""
+    out, todo = [np.zeros(0, np.int64)], [np.arange(len(v))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= leaf:
+            out.append(rows)
+            continue
+        own = v.take(rows)
+        words, at = np.unique(own.word, return_inverse=True)
+        of = np.repeat(np.arange(len(rows)), np.diff(own.ptr))
+        y = np.random.default_rng(1).standard_normal(len(rows))
+        for _ in range(4):
+            y -= y.mean()
+            y = np.bincount(of, own.weight * np.bincount(at, own.weight * y[of], len(words))[at], len(rows))
+        order = rows[np.argsort(y, kind="stable")]
+        half = -(-(len(rows) // 2) // leaf) * leaf
+        todo += [order[half:], order[:half]]
+    return np.concatenate(out)
 
 
 @dataclass
-class ExampleIndex:
-    ids: np.ndarray  # of the examples, ascending
+class BlockMaxIndex:
+    ids: np.ndarray  # of the examples, by place; places of a block follow one another
     labels: np.ndarray
-    weights: np.ndarray  # documents an example stands for
-    idf: np.ndarray
-    column: np.ndarray  # by term: its column of the matrix, or -1
-    matrix: np.ndarray  # (columns, examples)
-    ptr: np.ndarray  # by term: where its postings begin
+    stands_for: np.ndarray  # documents an example stands for
+    column: np.ndarray  # by word: its row of the matrix, or -1
+    matrix: np.ndarray  # (wide words, places)
+    most: np.ndarray  # (wide words, blocks): the largest weight
+    ptr: np.ndarray  # by word: where its blocks begin
+    block: np.ndarray  # entries of (word, block): the block, the largest weight, first posting and their number
+    top: np.ndarray
+    first: np.ndarray
+    size: np.ndarray
     place: np.ndarray  # postings: place of the example, and weight
     value: np.ndarray
 
     @staticmethod
-    def build(ids, labels, weights, vectors: list, idf: np.ndarray) -> "ExampleIndex":
-        order = sorted(range(len(ids)), key=lambda i: ids[i])
-        term = np.concatenate([np.zeros(0, np.int64), *(vectors[i][0] for i in order)])
-        value = np.concatenate([np.zeros(0), *(vectors[i][1] for i in order)])
-        place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
-        wide = np.flatnonzero(np.bincount(term, minlength=len(idf)) * WIDE >= max(len(order), 1))
-        column = np.full(len(idf), -1)
+    def build(ids, labels, stands_for, vectors: Vectors, words: int) -> tuple["BlockMaxIndex", np.ndarray]:
+        """The index, and the order in which it holds the examples."""
+        n = len(vectors)
+        order = alike_order(vectors, BLOCK)
+        at = np.empty(n, np.int64)
+        at[order] = np.arange(n)
+        place, word, value = np.repeat(at, np.diff(vectors.ptr)), vectors.word, vectors.weight
+        blocks = -(-n // BLOCK)
+        wide = np.flatnonzero(np.bincount(word, minlength=words) * WIDE >= max(n, 1))
+        column = np.full(words, -1)
         column[wide] = np.arange(len(wide))
-        matrix = np.zeros((len(wide), len(order)))
-        dense = column[term] >= 0
-        matrix[column[term[dense]], place[dense]] = value[dense]
-        term, value, place = term[~dense], value[~dense], place[~dense]
-        sort = np.argsort(term, kind="stable")
-        pick = lambda x, kind: np.asarray([x[i] for i in order], kind)
-        return ExampleIndex(
-            pick(ids, np.int64), pick(labels, np.int64), pick(weights, np.float64), idf, column, matrix,
-            np.searchsorted(term[sort], np.arange(len(idf) + 1)), place[sort].astype(np.int32), value[sort],
-        )
-
-    def nearest_of(self, vectors: list, k: int, without=None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Places and cosines of the k nearest examples, of each vector, with a cosine above 0; ties go to the smaller id."""
+        matrix = np.zeros((len(wide), blocks * BLOCK))
+        dense = column[word] >= 0
+        matrix[column[word[dense]], place[dense]] = value[dense]
+        place, word, value = place[~dense], word[~dense], value[~dense]
+        sort = np.lexsort((place, word))
+        place, word, value = place[sort], word[sort], value[sort]
+        first = np.flatnonzero(np.diff(word * max(blocks, 1) + place // BLOCK, prepend=-1))
+        top = np.maximum.reduceat(value, first) if len(first) else value
+        return BlockMaxIndex(
+            np.asarray(ids, np.int64)[order], np.asarray(labels, np.int64)[order], np.asarray(stands_for, np.float64)[order],
+            column, matrix, matrix.reshape(len(wide), blocks, BLOCK).max(2), np.searchsorted(word[first], np.arange(words + 1)),
+            place[first] // BLOCK, top, first, np.diff(np.append(first, len(place))), place, value,
+        ), order
+
+    def nearest(self, vectors: Vectors, k: int, without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Places and cosines of the k nearest examples of each vector, with a cosine above 0; ties go to the smaller id.
+
+        without: for each vector a place that doesn't count.
+        """
         out = []
         for start in range(0, len(vectors), BATCH):
-            part = vectors[start : start + BATCH]
-            left = np.zeros((len(part), len(self.matrix)))
-            for row, (t, w) in enumerate(part):
-                c = self.column[t]
-                left[row, c[c >= 0]] = w[c >= 0]
-            scores = left @ self.matrix
-            for row, (t, w) in enumerate(part):
-                score = scores[row]
-                lo = self.ptr[t]
-                n = self.ptr[t + 1] - lo
-                postings = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                if len(postings):
-                    score += np.bincount(self.place[postings], np.repeat(w, n) * self.value[postings], minlength=len(score))
-                if without is not None:
-                    score[without[start + row]] = 0
-                if len(score) > k:
-                    near = np.flatnonzero(score >= max(np.partition(score, -k)[-k] - 1e-11, 1e-12))
-                else:
-                    near = np.flatnonzero(score > 1e-12)
-                sims = np.round(score[near], 12)  # sums of equal vectors may differ in their last digits
-                best = np.lexsort((self.ids[near], -sims))[:k]
-                out.append((near[best], sims[best]))
+            rows = np.arange(start, min(start + BATCH, len(vectors)))
+            out += self._nearest(vectors.take(rows), k, None if without is None else without[rows])
         return out
 
-    def nearest(self, t: np.ndarray, w: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        return self.nearest_of([(t, w)], k)[0]
+    def _nearest(self, v: Vectors, k: int, without) -> list[tuple[np.ndarray, np.ndarray]]:
+        n, blocks = len(v), self.most.shape[1]
+        if not blocks:
+            return [(np.zeros(0, np.int64), np.zeros(0))] * n
+        left = np.zeros((n, len(self.matrix)))
+        column, of = self.column[v.word], np.repeat(np.arange(n), np.diff(v.ptr))
+        left[of[column >= 0], column[column >= 0]] = v.weight[column >= 0]
+        bounds = left @ self.most
+        held = []
+        for row in range(n):
+            word, w = v.word[v.ptr[row] : v.ptr[row + 1]], v.weight[v.ptr[row] : v.ptr[row + 1]]
+            size = self.ptr[word + 1] - self.ptr[word]
+            entry, w = ranges(self.ptr[word], size), np.repeat(w, size)
+            held.append((entry, w, self.block[entry]))
+            bounds[row] += np.bincount(held[-1][2], w * self.top[entry], blocks)
+        scores = np.zeros((n, blocks * BLOCK))
+
+        def score(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)):
+                rows, own = np.flatnonzero(wanted[:, b]), slice(b * BLOCK, (b + 1) * BLOCK)
+                scores[rows, own] = left[rows] @ self.matrix[:, own]
+            for row in np.flatnonzero(wanted.any(1)):
+                entry, w, block = held[row]
+                live = wanted[row][block]
+                entry, w = entry[live], w[live]
+                size = self.size[entry]
+                posting = ranges(self.first[entry], size)
+                scores[row] += np.bincount(self.place[posting], np.repeat(w, size) * self.value[posting], scores.shape[1])
+            if without is not None:
+                scores[np.arange(n), without] = 0
+
+        promising = np.zeros((n, blocks), bool)
+        best = bounds.argmax(1)
+        promising[np.arange(n), best] = True
+        score(promising)
+        of_best = np.take_along_axis(scores.reshape(n, blocks, BLOCK), best[:, None, None], 1)[:, 0]
+        kth = np.partition(of_best, -k, axis=1)[:, -k] if k <= BLOCK else np.zeros(n)
+        score((bounds >= np.maximum(kth - 1e-9, 1e-12)[:, None]) & ~promising)
+        out = []
+        for row in range(n):
+            near = np.flatnonzero(scores[row] >= max(kth[row] - 1e-9, 1e-12))
+            if len(near) > k:
+                near = near[scores[row, near] >= np.partition(scores[row, near], -k)[-k] - 1e-11]
+            sims = np.round(scores[row, near], 12)  # sums of equal vectors may differ in their last digits
+            best = np.lexsort((self.ids[near], -sims))[:k]
+            out.append((near[best], sims[best]))
+        return out
 
     def vote(self, found: np.ndarray, sims: np.ndarray, base: float) -> float:
         """Share of toxic votes; a vote falls with the distance 1 - cosine. base: where no example is near."""
-        v = self.weights[found] / (1.02 - sims)
+        v = self.stands_for[found] / (1.02 - sims)
         return float((v * self.labels[found]).sum() / v.sum()) if len(found) else base
 
 
@@ -210,70 +292,64 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
     return np.array([p[2] / p[0] for p in pools]), np.array([p[1] / p[0] for p in pools])
 
 
-BlockMaxIndex = ExampleIndex  # its name before the vectors held all terms
-
-
 @dataclass
 class Model:
-    index: ExampleIndex
+    index: BlockMaxIndex
+    idf: np.ndarray
     base: float
     knots: tuple[np.ndarray, np.ndarray]
 
     @staticmethod
-    def fit(index: ExampleIndex, vectors: list) -> "Model":
-        """vectors: of the examples in the order of the index."""
-        none = np.array([len(t) == 0 for t, _ in vectors], bool)
-        w, y = index.weights, index.labels
+    def fit(ids, texts: list[str], toxic: np.ndarray, stands_for: list[float], vocabulary: pa.Array, rows: int, df: np.ndarray) -> "Model":
+        """rows, df: documents in all, and those that hold each word."""
+        text, word, count = counted(pa.array(texts, pa.string()), vocabulary)
+        idf = (np.log((rows + 1) / (df + 1)) + 1) * mark_weights(texts, toxic, text, word, len(vocabulary))
+        vectors = Vectors.of(len(texts), text, word, count, idf)
+        index, order = BlockMaxIndex.build(ids, toxic, stands_for, vectors, len(vocabulary))
+        none = np.diff(vectors.ptr)[order] == 0
+        w, y = index.stands_for, index.labels
         base = float((w * y)[none].sum() + (w * y).sum() / max(w.sum(), 1)) / float(w[none].sum() + 1) if len(w) else 0.0
-        raw = np.array([index.vote(*near, base) for near in index.nearest_of(vectors, NEIGHBOURS, range(len(vectors)))])
-        if not len(raw):
-            return Model(index, base, (np.array([0.0, 1.0]), np.array([0.0, 1.0])))
-        return Model(index, base, isotonic(raw, y.astype(float), w))
+        raw = np.array([index.vote(*near, base) for near in index.nearest(vectors.take(order), NEIGHBOURS, np.arange(len(order)))])
+        knots = isotonic(raw, y.astype(float), w) if len(raw) else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+        return Model(index, idf, base, knots)
 
-    def scores(self, vectors: list) -> list[tuple[float, np.ndarray, np.ndarray]]:
-        near = self.index.nearest_of(vectors, NEIGHBOURS)
+    def scores(self, texts: pa.Array, vocabulary: pa.Array) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, places and cosines of the nearest examples, of every text."""
+        near = self.index.nearest(Vectors.of(len(texts), *counted(texts, vocabulary), self.idf), NEIGHBOURS)
         return [(float(np.clip(np.interp(self.index.vote(*x, self.base), *self.knots), 0, 1)), *x) for x in near]
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (doc_id, toxic, similarity of the three nearest) for every row.
 
-    The fit sees labels only of rows that are not held out. Null and empty texts, and texts without any term of the
-    examples, get the rate of labelled texts like them. Conflicting labels of a document count as toxic, null labels not
-    at all; without labels every score is 0. Repeated rows score alike; other columns are not read.
+    doc_id is an integer. The fit sees labels only of rows that are not held out, and of rows that share a doc_id the
+    smallest text. Null and empty texts, and texts without any word of the examples, get the rate of labelled texts like
+    them; texts are scored whole however long. Conflicting labels of a document count as toxic, null labels not at all;
+    without labels every score is 0. Examples of equal similarity count by the smaller doc_id. Repeated rows score alike;
+    other columns are not read. No rows give no rows.
     """
     sc = docs.sparkSession.sparkContext
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     chosen, stands_for = sample_labels(labels, examples)
     rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toArrow()
-    ids, texts, toxic = rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), rows.column("toxic").to_numpy().astype(np.int64)
-    number: dict[str, int] = {}
-    for text in texts:
-        for t in terms_of(text):
-            number.setdefault(t, len(number))
-    counted = [numbered(text, number) for text in texts]
-    numbers = sc.broadcast(number)
-    idf = (np.log((docs.count() + 1) / (document_counts(docs, numbers) + 1)) + 1) * mark_weights(texts, toxic, counted, len(number))
-    vectors = [unit_vector(t, c, idf) for t, c in counted]
-    index = ExampleIndex.build(ids, toxic, [stands_for[y] for y in toxic.tolist()], vectors, idf)
-    of = dict(zip(ids, vectors))
-    model = sc.broadcast(Model.fit(index, [of[i] for i in index.ids.tolist()]))
+    texts = rows.column("text").combine_chunks() if len(rows) else pa.array([], pa.string())
+    words = pc.unique(words_of(texts)[0])
+    vocabulary = sc.broadcast(words.filter(pc.not_equal(words, "")))
+    counts = document_counts(docs, vocabulary)
+    toxic = rows.column("toxic").to_numpy().astype(np.int64)
+    fitted = Model.fit(rows.column("doc_id").to_pylist(), texts.to_pylist(), toxic, [stands_for[y] for y in toxic.tolist()], vocabulary.value, *counts)
+    model = sc.broadcast(fitted)
 
     def run(batches):
-        m, known_terms = model.value, numbers.value
+        m, known_words = model.value, vocabulary.value
+        ids, labels_ = m.index.ids, m.index.labels
+        kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            once = list(dict.fromkeys(texts))  # equal texts of a batch are looked up once
-            known = {}
-            for n in range(0, len(once), BATCH):
-                part = once[n : n + BATCH]
-                for text, (score, found, sims) in zip(part, m.scores([unit_vector(*numbered(x, known_terms), m.index.idf) for x in part])):
-                    known[text] = score, [
-                        {"doc_id": int(m.index.ids[i]), "toxic": int(m.index.labels[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)
-                    ]
-            scores, evidence = [known[x][0] for x in texts], [known[x][1] for x in texts]
-            kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"])
+            coded = batch.column("text").dictionary_encode()  # equal texts of a batch are looked up once
+            each = [x for part in text_slices(coded.dictionary) for x in m.scores(part, known_words)]
+            shown = [[{"doc_id": int(ids[i]), "toxic": int(labels_[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)] for _, found, sims in each]
+            score, evidence = pa.array([x[0] for x in each], pa.float64()), pa.array(shown, kind)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score.take(coded.indices), evidence.take(coded.indices)], ["doc_id", "score", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.mapInArrow(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:bigint,toxic:int,similarity:double>>")

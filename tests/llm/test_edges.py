@@ -14,7 +14,7 @@ from quern.llm.order_minhash import near_classes
 from quern.llm.queries import vocabulary
 from quern.llm.substring_dedup import substring_dedup
 from quern.llm.suffix_dedup import suffix_dedup
-from quern.llm.toxicity import BlockMaxIndex, toxicity, unit_vector
+from quern.llm.toxicity import toxicity
 from quern.llm.url_filter import filter_urls
 from quern.llm.warc import derivatives, plain_text, responses, write_warc
 
@@ -90,26 +90,32 @@ def test_toxicity_finds_the_marked(spark):
     assert got[0].evidence and all(e.toxic == 1 for e in got[0].evidence)
 
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("wide", [8, 1000])
+def test_block_max_search_is_exact(monkeypatch, wide):
     import numpy as np
 
+    from quern.llm import toxicity as T
+
+    monkeypatch.setattr(T, "BLOCK", 16)
+    monkeypatch.setattr(T, "WIDE", wide)
     rng = np.random.default_rng(5)
-    idf = rng.random(40) + 0.5
-    vectors = []
-    for _ in range(300):
-        t = np.sort(rng.choice(40, rng.integers(0, 6), replace=False))
-        vectors.append(unit_vector(t, rng.integers(1, 4, len(t)), idf))
-    index = BlockMaxIndex.build(list(range(300)), [0] * 300, [1.0] * 300, vectors, idf)
+    tf = np.where(rng.random((300, 40)) < np.linspace(0.02, 0.4, 40), rng.integers(1, 4, (300, 40)), 0)
+    tf[200:250, :20] = 0  # groups that share few words, so that blocks are skipped
+    tf[:150, 20:] = 0
+    tf[7] = tf[3]
+    text, word = np.nonzero(tf)
+    vectors = T.Vectors.of(300, text, word, tf[text, word], rng.random(40) + 0.5)
+    index, order = T.BlockMaxIndex.build(np.arange(300) * 3, [0] * 300, [1.0] * 300, vectors, 40)
     dense = np.zeros((300, 40))
-    for i, (t, w) in enumerate(vectors):
-        dense[i, t] = w
-    for t, w in vectors[:60]:
-        q = np.zeros(40)
-        q[t] = w
-        sims = dense @ q
+    dense[text, word] = vectors.weight
+    assert sorted(order) == list(range(300))
+    for q, (found, got) in enumerate(index.nearest(vectors, 15)):
+        sims = dense @ dense[q]
         want = [i for i in np.lexsort((np.arange(300), -np.round(sims, 12))) if sims[i] > 0][:15]
-        found, got = index.nearest(t, w, 15)
-        assert np.allclose(got, sims[want]) and np.allclose(sims[index.ids[found]], got)
+        assert (index.ids[found] == np.array(want, int) * 3).all() and np.allclose(got, sims[want])
+    place = np.argsort(order)
+    for q, (found, _) in enumerate(index.nearest(vectors, 15, place)):
+        assert place[q] not in found
 
 
 def test_urls(spark):
@@ -199,30 +205,84 @@ def test_toxicity_knows_copies_of_examples(spark):
     assert got[held].evidence and got[held].evidence[0].doc_id == learnt and got[held].evidence[0].similarity > 1 - 1e-9
 
 
-def test_toxicity_brute_force(spark):
+def brute_scores(rows, labels, hidden):
+    """doc_id to (score, evidence ids, their cosines): dense vectors, all examples, the vote and its calibration."""
+    import re
+
     import numpy as np
 
-    from quern.llm.toxicity import held_out, mark_weights, terms_of
+    from quern.llm.toxicity import NEIGHBOURS, isotonic, mark_weights
+
+    words = lambda t: re.findall(r"\w+", t.lower())
+    fit = sorted((d, t) for d, t, _ in rows if d in labels and d not in hidden)
+    number = {w: i for i, w in enumerate(sorted({w for _, t in fit for w in words(t)}))}
+
+    def counts(texts):
+        tf = np.zeros((len(texts), len(number)))
+        for at, t in enumerate(texts):
+            for w in words(t):
+                if w in number:
+                    tf[at, number[w]] += 1
+        return tf
+
+    tf, learnt = counts([t for _, t, _ in rows]), counts([t for _, t in fit])
+    toxic = np.array([labels[d] for d, _ in fit])
+    marks = mark_weights([t for _, t in fit], toxic, *np.nonzero(learnt), len(number))
+    assert (marks >= 1).all()
+    idf = (np.log((len(rows) + 1) / ((tf > 0).sum(0) + 1)) + 1) * marks
+
+    def unit(tf):
+        v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * idf
+        return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-300)
+
+    v, examples, ids = unit(tf), unit(learnt), np.array([d for d, _ in fit])
+    base = toxic.mean()
+
+    def vote(x, without=None):
+        sims = np.round(examples @ x, 12)
+        near = [i for i in np.lexsort((ids, -sims)) if sims[i] > 1e-12 and i != without][:NEIGHBOURS]
+        w = 1 / (1.02 - sims[near])
+        return near, sims[near], float((w * toxic[near]).sum() / w.sum()) if near else base
+
+    raw = np.array([vote(x, i)[2] for i, x in enumerate(examples)])
+    knots = isotonic(raw, toxic.astype(float), np.ones(len(raw)))
+    out = {}
+    for (d, _, _), x in zip(rows, v):
+        near, sims, share = vote(x)
+        out[d] = float(np.clip(np.interp(share, *knots), 0, 1)), ids[near[:3]].tolist(), sims[:3]
+    return out
+
+
+def check_brute(spark, rows, labels):
+    import numpy as np
+
+    from quern.llm.toxicity import held_out
 
-    rows, labels, _, _ = copies_of_examples(spark)
     got = {r.doc_id: r for r in toxicity(docs(spark, *rows), labels).collect()}
     hidden = {r.doc_id for r in labels.filter(held_out(F.col("doc_id"))).collect()}
-    fit = [(d, t) for d, t, _ in rows if d not in hidden]
-    number = {t: i for i, t in enumerate(sorted({x for _, t in fit for x in terms_of(t)}))}
-    tf = np.zeros((len(rows), len(number)))
-    for at, (_, t, _) in enumerate(rows):
-        for x in terms_of(t):
-            if x in number:
-                tf[at, number[x]] += 1
-    ids = np.array([d for d, _, _ in rows])
-    learnt = np.array([d not in hidden for d in ids])
-    counts = [(np.flatnonzero(x), x[x > 0]) for x in tf[learnt]]
-    marks = mark_weights([t for _, t in fit], np.array([int(d >= 1000) for d, _ in fit]), counts, len(number))
-    assert (marks >= 1).all()
-    v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * (np.log((len(rows) + 1) / ((tf > 0).sum(0) + 1)) + 1) * marks
-    v /= np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-300)
-    for at, d in enumerate(ids):
-        sims = v[learnt] @ v[at]
-        near = [i for i in np.lexsort((ids[learnt], -np.round(sims, 12))) if sims[i] > 1e-12][:3]
-        assert [e.doc_id for e in got[d].evidence] == ids[learnt][near].tolist()
-        assert np.allclose([e.similarity for e in got[d].evidence], sims[near])
+    want = brute_scores(rows, {r.doc_id: r.toxic for r in labels.collect()}, hidden)
+    assert set(got) == set(want)
+    for d, (score, ids, sims) in want.items():
+        assert abs(got[d].score - score) < 1e-9 and got[d].predicted == int(got[d].score >= 0.3) and got[d].held_out == (d in hidden or got[d].held_out)
+        assert [e.doc_id for e in got[d].evidence] == ids and np.allclose([e.similarity for e in got[d].evidence], sims)
+    return got
+
+
+def test_toxicity_brute_force(spark):
+    rows, labels, _, _ = copies_of_examples(spark)
+    check_brute(spark, rows, labels)
+
+
+def test_toxicity_brute_force_on_the_table(spark):
+    """The whole query, with several hundred labels, against dense cosine, vote and calibration; and its ranking."""
+    import numpy as np
+
+    sf = "/root/testdata/sf0.01"
+    rows = [(r.doc_id, r.text or "", "a") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    got = check_brute(spark, rows, labels)
+    toxic = {r.doc_id: r.toxic for r in labels.collect()}
+    hidden = [d for d in toxic if got[d].held_out]
+    s, y = np.array([got[d].score for d in hidden]), np.array([toxic[d] for d in hidden])
+    auc = np.mean([(a > b) + (a == b) / 2 for a in s[y == 1] for b in s[y == 0]])
+    assert auc > 0.8 and sum(not got[d].evidence for d, t, _ in rows if t) < 0.05 * len(rows)
