@@ -10,6 +10,7 @@ the examples themselves, each scored without itself. Neighbours are the evidence
 """
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh32_intdigest
 
-from .shared import stored
+from .shared import partitions, stored
 
 #: Bound of the fit: labelled examples of each class (those of the smallest hashes).
 EXAMPLES = 4096
@@ -178,8 +179,7 @@ class BlockMaxIndex:
     labels: np.ndarray
     stands_for: np.ndarray  # documents an example stands for
     column: np.ndarray  # by word: its row of the matrix, or -1
-    matrix: np.ndarray  # (wide words, places)
-    most: np.ndarray  # (wide words, blocks): the largest weight
+    wide: tuple[np.ndarray, np.ndarray, np.ndarray]  # cells of the matrix: row, place, weight
     ptr: np.ndarray  # by word: where its blocks begin
     block: np.ndarray  # entries of (word, block): the block, the largest weight, first posting and their number
     top: np.ndarray
@@ -200,9 +200,8 @@ class BlockMaxIndex:
         wide = np.flatnonzero(np.bincount(word, minlength=words) * WIDE >= max(n, 1))
         column = np.full(words, -1)
         column[wide] = np.arange(len(wide))
-        matrix = np.zeros((len(wide), blocks * BLOCK))
         dense = column[word] >= 0
-        matrix[column[word[dense]], place[dense]] = value[dense]
+        cells = column[word[dense]], place[dense], value[dense]
         place, word, value = place[~dense], word[~dense], value[~dense]
         sort = np.lexsort((place, word))
         place, word, value = place[sort], word[sort], value[sort]
@@ -210,10 +209,27 @@ class BlockMaxIndex:
         top = np.maximum.reduceat(value, first) if len(first) else value
         return BlockMaxIndex(
             np.asarray(ids, np.int64)[order], np.asarray(labels, np.int64)[order], np.asarray(stands_for, np.float64)[order],
-            column, matrix, matrix.reshape(len(wide), blocks, BLOCK).max(2), np.searchsorted(word[first], np.arange(words + 1)),
+            column, cells, np.searchsorted(word[first], np.arange(words + 1)),
             place[first] // BLOCK, top, first, np.diff(np.append(first, len(place))), place, value,
         ), order
 
+    @property
+    def blocks(self) -> int:
+        return -(-len(self.ids) // BLOCK)
+
+    @cached_property
+    def matrix(self) -> np.ndarray:
+        """(wide words, places); a worker makes its own from the cells."""
+        out = np.zeros((int(self.column.max(initial=-1)) + 1, self.blocks * BLOCK))
+        row, place, weight = self.wide
+        out[row, place] = weight
+        return out
+
+    @cached_property
+    def most(self) -> np.ndarray:
+        """(wide words, blocks): the largest weight."""
+        return self.matrix.reshape(len(self.matrix), self.blocks, BLOCK).max(2)
+
     def nearest(self, vectors: Vectors, k: int, without: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """Places and cosines of the k nearest examples of each vector, with a cosine above 0; ties go to the smaller id.
 
@@ -226,7 +242,7 @@ class BlockMaxIndex:
         return out
 
     def _nearest(self, v: Vectors, k: int, without) -> list[tuple[np.ndarray, np.ndarray]]:
-        n, blocks = len(v), self.most.shape[1]
+        n, blocks = len(v), self.blocks
         if not blocks:
             return [(np.zeros(0, np.int64), np.zeros(0))] * n
         left = np.zeros((n, len(self.matrix)))
@@ -297,26 +313,45 @@ class Model:
     index: BlockMaxIndex
     idf: np.ndarray
     base: float
-    knots: tuple[np.ndarray, np.ndarray]
 
     @staticmethod
-    def fit(ids, texts: list[str], toxic: np.ndarray, stands_for: list[float], vocabulary: pa.Array, rows: int, df: np.ndarray) -> "Model":
+    def fit(ids, texts: pa.Array, toxic: np.ndarray, stands_for: list[float], vocabulary: pa.Array, rows: int, df: np.ndarray) -> "Model":
         """rows, df: documents in all, and those that hold each word."""
-        text, word, count = counted(pa.array(texts, pa.string()), vocabulary)
-        idf = (np.log((rows + 1) / (df + 1)) + 1) * mark_weights(texts, toxic, text, word, len(vocabulary))
+        text, word, count = counted(texts, vocabulary)
+        idf = (np.log((rows + 1) / (df + 1)) + 1) * mark_weights(texts.to_pylist(), toxic, text, word, len(vocabulary))
         vectors = Vectors.of(len(texts), text, word, count, idf)
         index, order = BlockMaxIndex.build(ids, toxic, stands_for, vectors, len(vocabulary))
         none = np.diff(vectors.ptr)[order] == 0
         w, y = index.stands_for, index.labels
         base = float((w * y)[none].sum() + (w * y).sum() / max(w.sum(), 1)) / float(w[none].sum() + 1) if len(w) else 0.0
-        raw = np.array([index.vote(*near, base) for near in index.nearest(vectors.take(order), NEIGHBOURS, np.arange(len(order)))])
-        knots = isotonic(raw, y.astype(float), w) if len(raw) else (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
-        return Model(index, idf, base, knots)
+        return Model(index, idf, base)
+
+    def votes(self, texts: pa.Array, vocabulary: pa.Array, without: np.ndarray | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Share of toxic votes, places and cosines of the nearest examples, of every text."""
+        near = self.index.nearest(Vectors.of(len(texts), *counted(texts, vocabulary), self.idf), NEIGHBOURS, without)
+        return [(self.index.vote(*x, self.base), *x) for x in near]
+
+
+def calibration(examples: DataFrame, model, vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Knots that turn votes into rates: of the examples, each voted on without itself, on the executors."""
+
+    def run(batches):
+        m = model.value
+        order = np.argsort(m.index.ids)
+        for batch in batches:
+            at = order[np.searchsorted(m.index.ids[order], batch.column("doc_id").to_numpy())]
+            done = 0
+            for part in text_slices(batch.column("text")):
+                own = at[done : done + len(part)]
+                votes = [x[0] for x in m.votes(part, vocabulary.value, own)]
+                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(votes, pa.float64())], ["place", "vote"])
+                done += len(part)
 
-    def scores(self, texts: pa.Array, vocabulary: pa.Array) -> list[tuple[float, np.ndarray, np.ndarray]]:
-        """Score, places and cosines of the nearest examples, of every text."""
-        near = self.index.nearest(Vectors.of(len(texts), *counted(texts, vocabulary), self.idf), NEIGHBOURS)
-        return [(float(np.clip(np.interp(self.index.vote(*x, self.base), *self.knots), 0, 1)), *x) for x in near]
+    got = examples.select("doc_id", "text").repartition(partitions(examples.sparkSession)).mapInArrow(run, "place long, vote double").toArrow()
+    if not len(got):
+        return np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    at, index = got.column("place").to_numpy(), model.value.index
+    return isotonic(got.column("vote").to_numpy(), index.labels[at].astype(float), index.stands_for[at])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
@@ -330,15 +365,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Da
     """
     sc = docs.sparkSession.sparkContext
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    chosen, stands_for = sample_labels(labels, examples)
-    rows = docs.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).toArrow()
+    chosen, share = sample_labels(labels, examples)
+    fit = stored(docs.join(F.broadcast(chosen), "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
+    rows = fit.toArrow()
     texts = rows.column("text").combine_chunks() if len(rows) else pa.array([], pa.string())
     words = pc.unique(words_of(texts)[0])
     vocabulary = sc.broadcast(words.filter(pc.not_equal(words, "")))
-    counts = document_counts(docs, vocabulary)
     toxic = rows.column("toxic").to_numpy().astype(np.int64)
-    fitted = Model.fit(rows.column("doc_id").to_pylist(), texts.to_pylist(), toxic, [stands_for[y] for y in toxic.tolist()], vocabulary.value, *counts)
-    model = sc.broadcast(fitted)
+    stands_for = [share[y] for y in toxic.tolist()]
+    model = sc.broadcast(Model.fit(rows.column("doc_id").to_numpy(), texts, toxic, stands_for, vocabulary.value, *document_counts(docs, vocabulary)))
+    knots = calibration(fit, model, vocabulary)
 
     def run(batches):
         m, known_words = model.value, vocabulary.value
@@ -346,9 +382,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Da
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
         for batch in batches:
             coded = batch.column("text").dictionary_encode()  # equal texts of a batch are looked up once
-            each = [x for part in text_slices(coded.dictionary) for x in m.scores(part, known_words)]
+            each = [x for part in text_slices(coded.dictionary) for x in m.votes(part, known_words)]
             shown = [[{"doc_id": int(ids[i]), "toxic": int(labels_[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)] for _, found, sims in each]
-            score, evidence = pa.array([x[0] for x in each], pa.float64()), pa.array(shown, kind)
+            score, evidence = pa.array(np.interp([x[0] for x in each], *knots).clip(0, 1), pa.float64()), pa.array(shown, kind)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score.take(coded.indices), evidence.take(coded.indices)], ["doc_id", "score", "evidence"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
