@@ -52,7 +52,8 @@ def counted(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarr
     key = (np.repeat(np.arange(len(sizes)), sizes) * len(vocabulary) + at)[at >= 0]
     key.sort()
     head = np.flatnonzero(np.diff(key, prepend=-1))
-    return key[head] // max(len(vocabulary), 1), key[head] % max(len(vocabulary), 1), np.diff(np.append(head, len(key)))
+    text, word = np.divmod(key[head], max(len(vocabulary), 1))
+    return text, word.astype(np.int32), np.diff(np.append(head, len(key)))
 
 
 def text_slices(texts: pa.Array):
@@ -84,7 +85,7 @@ def kinds(text: str) -> list[int]:
     return [min(xxh32_intdigest(g, seed) for g in grams) for seed in range(KINDS)]
 
 
-def mark_weights(texts: list[str], toxic: np.ndarray, text: np.ndarray, word: np.ndarray, n: int) -> np.ndarray:
+def mark_weights(texts: pa.Array, toxic: np.ndarray, text: np.ndarray, word: np.ndarray, n: int) -> np.ndarray:
     """1 for each of n words, and for those more frequent in toxic texts 1 + the square root of their G statistic.
 
     (text, word): which words the texts hold. Toxic texts count by their kinds, so that what a group of near copies
@@ -92,9 +93,9 @@ def mark_weights(texts: list[str], toxic: np.ndarray, text: np.ndarray, word: np
     """
     each = np.zeros((len(texts), KINDS), np.int64)
     for i in np.flatnonzero(toxic == 1):
-        each[i] = kinds(texts[i])
+        each[i] = kinds(texts[i].as_py())
     of_toxic = toxic[text] == 1
-    pairs = [np.unique(word[of_toxic] << 32 | each[text[of_toxic], k]) >> 32 for k in range(KINDS)]
+    pairs = [np.unique(word[of_toxic].astype(np.int64) << 32 | each[text[of_toxic], k]) >> 32 for k in range(KINDS)]
     b1 = np.min([np.bincount(p, minlength=n) for p in pairs], axis=0).astype(float)
     b0 = np.bincount(word[~of_toxic], minlength=n).astype(float)
     a1, a0 = float((toxic == 1).sum()), float((toxic == 0).sum())
@@ -161,12 +162,11 @@ def alike_order(v: Vectors, leaf: int) -> np.ndarray:
             out.append(rows)
             continue
         own = v.take(rows)
-        words, at = np.unique(own.word, return_inverse=True)
         of = np.repeat(np.arange(len(rows)), np.diff(own.ptr))
         y = np.random.default_rng(1).standard_normal(len(rows))
         for _ in range(4):
             y -= y.mean()
-            y = np.bincount(of, own.weight * np.bincount(at, own.weight * y[of], len(words))[at], len(rows))
+            y = np.bincount(of, own.weight * np.bincount(own.word, own.weight * y[of])[own.word], len(rows))
         order = rows[np.argsort(y, kind="stable")]
         half = -(-(len(rows) // 2) // leaf) * leaf
         todo += [order[half:], order[:half]]
@@ -205,12 +205,12 @@ class BlockMaxIndex:
         place, word, value = place[~dense], word[~dense], value[~dense]
         sort = np.lexsort((place, word))
         place, word, value = place[sort], word[sort], value[sort]
-        first = np.flatnonzero(np.diff(word * max(blocks, 1) + place // BLOCK, prepend=-1))
+        first = np.flatnonzero((np.diff(word, prepend=-1) != 0) | (np.diff(place // BLOCK, prepend=-1) != 0))
         top = np.maximum.reduceat(value, first) if len(first) else value
         return BlockMaxIndex(
             np.asarray(ids, np.int64)[order], np.asarray(labels, np.int64)[order], np.asarray(stands_for, np.float64)[order],
             column, cells, np.searchsorted(word[first], np.arange(words + 1)),
-            place[first] // BLOCK, top, first, np.diff(np.append(first, len(place))), place, value,
+            (place[first] // BLOCK).astype(np.int32), top, first, np.diff(np.append(first, len(place))).astype(np.int32), place.astype(np.int32), value,
         ), order
 
     @property
@@ -318,7 +318,7 @@ class Model:
     def fit(ids, texts: pa.Array, toxic: np.ndarray, stands_for: list[float], vocabulary: pa.Array, rows: int, df: np.ndarray) -> "Model":
         """rows, df: documents in all, and those that hold each word."""
         text, word, count = counted(texts, vocabulary)
-        idf = (np.log((rows + 1) / (df + 1)) + 1) * mark_weights(texts.to_pylist(), toxic, text, word, len(vocabulary))
+        idf = (np.log((rows + 1) / (df + 1)) + 1) * mark_weights(texts, toxic, text, word, len(vocabulary))
         vectors = Vectors.of(len(texts), text, word, count, idf)
         index, order = BlockMaxIndex.build(ids, toxic, stands_for, vectors, len(vocabulary))
         none = np.diff(vectors.ptr)[order] == 0
@@ -354,6 +354,17 @@ def calibration(examples: DataFrame, model, vocabulary) -> tuple[np.ndarray, np.
     return isotonic(got.column("vote").to_numpy(), index.labels[at].astype(float), index.stands_for[at])
 
 
+def fitted(fit: DataFrame, docs: DataFrame, share: dict[int, float]) -> tuple:
+    """Broadcast vocabulary and model of the examples (doc_id, text, toxic); share: documents one of each class stands for."""
+    sc, rows = docs.sparkSession.sparkContext, fit.toArrow()
+    texts = rows.column("text").combine_chunks() if len(rows) else pa.array([], pa.string())
+    words = pc.unique(words_of(texts)[0])
+    vocabulary = sc.broadcast(words.filter(pc.not_equal(words, "")))
+    toxic = rows.column("toxic").to_numpy().astype(np.int64)
+    counts = document_counts(docs, vocabulary)
+    return vocabulary, sc.broadcast(Model.fit(rows.column("doc_id").to_numpy(), texts, toxic, [share[y] for y in toxic.tolist()], vocabulary.value, *counts))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (doc_id, toxic, similarity of the three nearest) for every row.
 
@@ -363,17 +374,10 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Da
     without labels every score is 0. Examples of equal similarity count by the smaller doc_id. Repeated rows score alike;
     other columns are not read. No rows give no rows.
     """
-    sc = docs.sparkSession.sparkContext
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     chosen, share = sample_labels(labels, examples)
     fit = stored(docs.join(F.broadcast(chosen), "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
-    rows = fit.toArrow()
-    texts = rows.column("text").combine_chunks() if len(rows) else pa.array([], pa.string())
-    words = pc.unique(words_of(texts)[0])
-    vocabulary = sc.broadcast(words.filter(pc.not_equal(words, "")))
-    toxic = rows.column("toxic").to_numpy().astype(np.int64)
-    stands_for = [share[y] for y in toxic.tolist()]
-    model = sc.broadcast(Model.fit(rows.column("doc_id").to_numpy(), texts, toxic, stands_for, vocabulary.value, *document_counts(docs, vocabulary)))
+    vocabulary, model = fitted(fit, docs, share)
     knots = calibration(fit, model, vocabulary)
 
     def run(batches):

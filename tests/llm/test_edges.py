@@ -210,6 +210,7 @@ def brute_scores(rows, labels, hidden):
     import re
 
     import numpy as np
+    import pyarrow as pa
 
     from quern.llm.toxicity import NEIGHBOURS, isotonic, mark_weights
 
@@ -227,7 +228,7 @@ def brute_scores(rows, labels, hidden):
 
     tf, learnt = counts([t for _, t, _ in rows]), counts([t for _, t in fit])
     toxic = np.array([labels[d] for d, _ in fit])
-    marks = mark_weights([t for _, t in fit], toxic, *np.nonzero(learnt), len(number))
+    marks = mark_weights(pa.array([t for _, t in fit]), toxic, *np.nonzero(learnt), len(number))
     assert (marks >= 1).all()
     idf = (np.log((len(rows) + 1) / ((tf > 0).sum(0) + 1)) + 1) * marks
 
