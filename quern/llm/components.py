@@ -39,7 +39,8 @@ def _round(links: DataFrame, large: bool) -> DataFrame:
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     if large:
         both = both.unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    # Stored, so that both sides of the join come straight from a shuffle and a centre of very many links can be split.
+    least = stored(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
     moved = both.join(least, "u")
     if large:
         out = moved.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
