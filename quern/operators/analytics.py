@@ -8,11 +8,18 @@ def history(metrics: DataFrame, run_id: int, metric: str) -> DataFrame:
     return metrics.filter((F.col("run_id") == run_id) & (F.col("metric") == metric)).orderBy("step")
 
 
-def run_summary(metrics: DataFrame, names: list[str]) -> DataFrame:
-    """Seconds and last value of every metric, one row a run."""
+def run_summary(metrics: DataFrame, names: list[str], runs: DataFrame | None = None) -> DataFrame:
+    """Seconds and last value of every metric, one row a run; with runs (run_id, finished_at, success) its status too.
+
+    A run is RUNNING until it is finished, then FINISHED or FAILED; UNKNOWN where runs lacks it.
+    """
     last = metrics.groupBy("run_id").pivot("metric", names).agg(F.max_by("value", "step"))
     span = metrics.groupBy("run_id").agg(((F.unix_micros(F.max(F.to_timestamp("ts"))) - F.unix_micros(F.min(F.to_timestamp("ts")))) / 1e6).alias("seconds"))
-    return span.join(last, "run_id")
+    out = span.join(last, "run_id")
+    if runs is None:
+        return out
+    status = F.when(F.col("finished_at").isNull(), "RUNNING").when(F.col("success"), "FINISHED").otherwise("FAILED")
+    return out.join(runs.select("run_id", status.alias("status")), "run_id", "left").fillna("UNKNOWN", ["status"])
 
 
 def every_nth(metrics: DataFrame, n: int = 10, from_first: bool = False) -> DataFrame:
@@ -40,8 +47,18 @@ def tail(log: DataFrame, n: int) -> DataFrame:
 
 
 def feedback_summary(feedback: DataFrame) -> DataFrame:
-    """Ratings and latency of each model and version."""
-    return feedback.groupBy("model_name", "version").agg(
+    """Ratings, latency percentiles and tokens of each model and version.
+
+    Percentiles are exact: distinct latencies are counted, and the smallest one that covers the share is taken.
+    """
+    key = ["model_name", "version"]
+    sums = feedback.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("rating"), 6).alias("mean_rating"), F.max("latency").alias("max_latency"),
-        F.percentile_approx("latency", 0.5, 10000).alias("median_latency"),
+        F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"),
     )
+    each = feedback.filter("latency is not null").groupBy(*key, "latency").agg(F.count(F.lit(1)).alias("_k"))
+    w = Window.partitionBy(*key)
+    each = each.withColumns({"_upto": F.sum("_k").over(w.orderBy("latency")), "_all": F.sum("_k").over(w)})
+    at = lambda p: F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all") * p), F.col("latency")))
+    marks = each.groupBy(*key).agg(at(0.5).alias("median_latency"), at(0.95).alias("p95_latency"))
+    return sums.join(marks, key, "left")

@@ -39,23 +39,21 @@ def extract(text: Column, question: Column) -> Column:
 
 
 def clean_output(c: Column, strict: bool = True, one_sentence: bool = True, prefixes=tuple(PREFIXES), quotes: bool = True) -> Column:
-    """Without role prefixes, one opener and quotes; single spaces; one sentence with a mark at its end."""
+    """Without role prefixes, one opener and quotes; single spaces; one sentence with a mark at its end.
+
+    Every step reads the one before once, so the expression stays small however many steps there are.
+    """
     a = strip(F.coalesce(c, F.lit("")))
     for p in prefixes:
         a = strip(F.regexp_replace(a, rf"(?i)^{p}\s*", ""))
     if strict:
-        cut = a
-        for p in reversed(OPENERS):
-            rest = F.regexp_replace(a.substr(F.lit(len(p) + 1), F.length(a)), r"^[ :,\-]+|[ :,\-]+$", "")
-            cut = F.when(F.lower(a).startswith(p.lower()), strip(rest)).otherwise(cut)
-        a = cut
+        a = strip(F.regexp_replace(a, rf"(?is)^(?:{'|'.join(OPENERS)})[ :,\-]*(.*?)[ :,\-]*\z", "$1"))
     if quotes:
         a = F.regexp_replace(a, "^[`'\"]+|[`'\"]+$", "")
     a = F.regexp_replace(a, r"\s+", " ")
     if one_sentence:
-        first = F.regexp_extract(a, r"^(.+?[.!?])(\s|$)", 1)
-        a = F.when(first != "", strip(first)).otherwise(a)
-    return strip(F.when((a != "") & ~a.rlike("[.!?]$"), F.concat(a, F.lit("."))).otherwise(a))
+        a = strip(F.regexp_replace(a, r"^(.+?[.!?])(?:\s.*)?\z", "$1"))
+    return strip(F.regexp_replace(a, r"(?<=[^.!?])\z", "."))
 
 
 def strip_chat_marks(c: Column) -> Column:
@@ -98,9 +96,13 @@ def ground_or_refuse(df: DataFrame, ok: Column) -> DataFrame:
     return df.withColumn("answer", F.when(F.coalesce(ok, F.lit(False)), F.col("answer")).otherwise(INSUFFICIENT))
 
 
-def score(answer: Column, context: Column, none_shared: float = -10.0, by_length: bool = True) -> Column:
-    """Shared distinct words, with a penalty for none and a bonus or penalty for length; -Infinity for no answer."""
-    n, shared = F.size(word_set(strip(answer))), shared_words(strip(answer), context)
+def score(answer: Column, context: Column, none_shared: float = -10.0, by_length: bool = True, known: Column | None = None) -> Column:
+    """Shared distinct words, with a penalty for none and a bonus or penalty for length; -Infinity for no answer.
+
+    known: the context's word set, where it is at hand; the context isn't read then.
+    """
+    own = word_set(strip(answer))
+    n, shared = F.size(own), F.size(F.array_intersect(own, word_set(context) if known is None else known))
     s = shared.cast("double") + F.when(shared == 0, none_shared).otherwise(0.0)
     if by_length:
         s = s + F.when(n.between(5, 40), 1.0).when((n < 3) | (n > 80), -2.0).otherwise(0.0)
@@ -111,10 +113,24 @@ def scored(df: DataFrame, **how) -> DataFrame:
     return df.withColumn("score", score(F.col("answer"), F.col("context"), **how))
 
 
+def scored_in(answers: DataFrame, contexts: DataFrame, key: str = "doc_id", **how) -> DataFrame:
+    """answers with score, against the contexts (key, context); a context's word set is made once, not for each answer."""
+    used = contexts.join(answers.select(key).distinct(), key, "left_semi")
+    known = used.select(key, word_set(F.col("context")).alias("_known"))
+    return answers.join(known, key).withColumn("score", score(F.col("answer"), F.lit(None), known=F.col("_known"), **how)).drop("_known")
+
+
+#: Models that a plan of samples takes at most.
+MODELS = 1000
+
+
 def sample_plan(questions: DataFrame, models: DataFrame, fixed: int = 3, drawn: int = 5) -> DataFrame:
-    """A row for every question, model and sample; models is a short list."""
-    ids = F.explode(F.sequence(F.lit(1), F.lit(fixed + drawn))).alias("sample_id")
-    return questions.crossJoin(F.broadcast(models)).select("*", ids).withColumn("do_sample", F.col("sample_id") > fixed)
+    """A row for every question, model and sample; models (name) is a list of at most MODELS."""
+    names = [r["name"] for r in models.select("name").limit(MODELS + 1).collect()]
+    if len(names) > MODELS:
+        raise ValueError(f"more than {MODELS} models")
+    each = questions.select("*", F.explode(F.array(*map(F.lit, names)).cast("array<string>")).alias("name"))
+    return each.select("*", F.explode(F.sequence(F.lit(1), F.lit(fixed + drawn))).alias("sample_id")).withColumn("do_sample", F.col("sample_id") > fixed)
 
 
 def best_of_n(df: DataFrame) -> DataFrame:
@@ -124,14 +140,16 @@ def best_of_n(df: DataFrame) -> DataFrame:
 
 
 def rank_models(df: DataFrame) -> DataFrame:
-    """is_best and is_worst for every (question_id, model_name, ord, answer, score).
+    """is_best, is_worst and the map of scores by model for every (question_id, model_name, ord, answer, score).
 
-    In a stable descending sort the first is best and the last worst; a sole answer is not worst.
+    In a stable descending sort the first is best and the last worst; a sole answer is not worst. A row for each model
+    and question is expected, as best_of_n gives them.
     """
     w = Window.partitionBy("question_id")
+    scores = F.map_from_entries(F.array_sort(F.collect_list(F.struct("model_name", "score")).over(w)))
     first = F.row_number().over(w.orderBy(F.desc("score"), "ord", "model_name"))
     last = F.row_number().over(w.orderBy("score", F.desc("ord"), F.desc("model_name")))
-    out = df.withColumns({"_f": first, "_l": last, "_n": F.count(F.lit(1)).over(w)})
+    out = df.withColumns({"_f": first, "_l": last, "_n": F.count(F.lit(1)).over(w), "answer_scores": scores})
     return out.withColumns({"is_best": F.col("_f") == 1, "is_worst": (F.col("_l") == 1) & (F.col("_n") > 1)}).drop("_f", "_l", "_n")
 
 
@@ -169,7 +187,7 @@ def overwrite_rankings(stored: DataFrame, new: DataFrame) -> DataFrame:
 
 def unknown_models(df: DataFrame, models: DataFrame) -> DataFrame:
     """Answers of models that nobody registered; must be empty before a write."""
-    return df.join(F.broadcast(models.select(F.col("name").alias("model_name"))), "model_name", "left_anti")
+    return df.join(models.select(F.col("name").alias("model_name")), "model_name", "left_anti")
 
 
 def select_models(models: DataFrame, asked: list[str]) -> tuple[DataFrame, DataFrame]:

@@ -36,7 +36,7 @@ def by_ids(docs: DataFrame, ids: list[int]) -> DataFrame:
 
 def by_dimension(docs: DataFrame, dim: DataFrame, fk: str, code: str) -> DataFrame:
     """Rows whose dimension (id, code) has this code."""
-    return docs.join(F.broadcast(dim.filter(F.col("code") == code).select(F.col("id").alias(fk))), fk, "left_semi")
+    return docs.join(dim.filter(F.col("code") == code).select(F.col("id").alias(fk)), fk, "left_semi")
 
 
 def max_severity(docs: DataFrame, levels: DataFrame, code: str) -> DataFrame:
@@ -153,7 +153,7 @@ def attach_metadata(docs: DataFrame, domain: str, audience: int, severity: int,
     """New documents with constant metadata, a row for each of the tags (id, code)."""
     out = docs.withColumns({"domain_code": F.lit(domain), "audience_id": F.lit(audience), "severity": F.lit(severity)})
     ids = F.explode(F.array(*map(F.lit, tag_ids))).alias("tag_id")
-    return out.select("*", ids).join(F.broadcast(tags.select(F.col("id").alias("tag_id"), F.col("code").alias("tag"))), "tag_id").drop("tag_id")
+    return out.select("*", ids).join(tags.select(F.col("id").alias("tag_id"), F.col("code").alias("tag")), "tag_id").drop("tag_id")
 
 
 def next_ids(df: DataFrame, natural: list[str], out: str = "id") -> DataFrame:

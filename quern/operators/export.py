@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.functions.text import ordered_text, strip
+from quern.functions.text import strip
 
 SYSTEM = "You are a helpful assistant. Answer using only the provided context."
 
@@ -43,8 +43,8 @@ def preference(df: DataFrame) -> DataFrame:
     return df.select(F.col("question").alias("prompt"), F.col("best_answer").alias("chosen"), F.col("worst_answer").alias("rejected"))
 
 
-#: Column order of the reports; fixed values.
-PREFERRED = ["doc_id", "chunk_id", "page", "section", "question_id", "question_index", "question", "model_name", "answer", "score", "is_best"]
+#: Column order of the reports, under this library's names; fixed values.
+PREFERRED = ["doc_id", "document", "file_path", "page", "section", "subsection", "chunk_id", "question_id", "question_index", "question", "model_name", "answer_id", "answer", "is_best", "context"]
 
 
 def report_tables(qna: DataFrame) -> dict[str, DataFrame]:
@@ -52,18 +52,50 @@ def report_tables(qna: DataFrame) -> dict[str, DataFrame]:
     order = [c for c in PREFERRED if c in qna.columns]
     full = qna.select(*order, *[c for c in qna.columns if c not in order])
     pick = lambda *names: full.select(*[c for c in names if c in full.columns]).distinct()
-    return {"qna": full, "questions": pick("doc_id", "question_id", "question_index", "question"), "answers": pick("question_id", "model_name", "answer", "score", "is_best")}
+    questions = pick("doc_id", "document", "chunk_id", "question_id", "question_index", "question")
+    return {"qna": full, "questions": questions, "answers": pick("question_id", "model_name", "answer_id", "answer", "score", "is_best")}
+
+
+#: Width of wrapped text, and rules of the text report; fixed values.
+WIDTH, RULE = 100, 140
 
 
 @F.pandas_udf(T.StringType())
 def wrap_lines(s: pd.Series) -> pd.Series:
-    return s.map(lambda t: "\n".join(textwrap.fill(line, 100) for line in (t or "").split("\n")))
+    """Lines of WIDTH characters at most; empty for null and blank texts."""
+    return s.map(lambda t: "\n".join(textwrap.wrap(t, WIDTH)) if t else "")
 
 
 def text_report(qna: DataFrame) -> DataFrame:
-    """One text for each document: contexts, questions in order, answers by model, the best one marked."""
-    line = F.coalesce(F.concat(F.lit("    "), "model_name", F.when(F.col("is_best"), " (best)").otherwise(""), F.lit(": "), "answer"), F.lit("    (no answer)"))
-    per_question = qna.withColumn("_a", line).groupBy("doc_id", "context", "question_index", "question").agg(ordered_text(["model_name"], "_a", "\n").alias("_a"))
-    block = F.concat(F.lit("  Q"), F.col("question_index").cast("string"), F.lit(": "), "question", F.lit("\n"), "_a")
-    per_doc = per_question.withColumn("_q", block).groupBy("doc_id", "context").agg(ordered_text(["question_index"], "_q", "\n").alias("_q"))
-    return per_doc.select("doc_id", F.concat(wrap_lines("context"), F.lit("\n"), "_q").alias("report"))
+    """doc_id, report: one text for each document: its chunks by page and id, questions by index, answers by model.
+
+    qna: doc_id, context, question_id, question_index, question, model_name, answer, is_best; document, file_path, page,
+    section, subsection and chunk_id where there are any. Rows without a question stand for a chunk without questions,
+    rows whose first answer is empty for a question without answers. Contexts and answers are wrapped.
+    """
+    given = lambda n, kind="string": F.col(n).cast(kind) if n in qna.columns else F.lit(None).cast(kind)
+    said = lambda c: F.coalesce(c.cast("string"), F.lit("None"))
+    rows = qna.select(
+        "doc_id", given("document").alias("document"), given("file_path").alias("file_path"), given("page", "long").alias("page"), given("section").alias("section"),
+        given("subsection").alias("subsection"), given("chunk_id").alias("chunk_id"), "context", "question_id", "question_index", "question", "model_name", "answer", "is_best",
+    )
+    tag = F.when(F.col("model_name").isNull(), "[NO_MODEL]").otherwise(F.concat(F.lit("["), "model_name", F.lit("]"), F.when(F.col("is_best"), " (best)").otherwise("")))
+    wrapped = wrap_lines("answer")
+    indented = F.when(wrapped == "", "").otherwise(F.concat(F.lit("\n          "), F.replace(wrapped, F.lit("\n"), F.lit("\n          "))))
+    answer = F.struct(F.coalesce("model_name", F.lit("")).alias("m"), F.coalesce("answer", F.lit("")).alias("a"), F.concat(F.lit("      - "), tag, indented).alias("line"))
+    first = lambda *names: [F.first(n, ignorenulls=True).alias(n) for n in names]
+    of_chunk = ["document", "file_path", "section", "subsection", "context"]
+    asked = rows.groupBy("doc_id", "page", "chunk_id", "question_id").agg(*first(*of_chunk, "question_index", "question"), F.array_sort(F.collect_list(answer)).alias("answers"))
+    lines = F.when(F.col("answers")[0]["a"] == "", "      (No answers found for this question)").otherwise(F.array_join(F.transform("answers", lambda r: r["line"]), "\n"))
+    block = F.concat(F.lit("\n  ► QUESTION "), said(F.col("question_index")), F.lit(": "), F.coalesce("question", F.lit("")), F.lit("\n"), lines)
+    question = F.when(F.col("question_id").isNotNull(), F.struct("question_index", "question_id", block.alias("block")))
+    chunks = asked.withColumn("q", question).groupBy("doc_id", "page", "chunk_id").agg(*first(*of_chunk), F.array_sort(F.collect_list("q")).alias("questions"))
+    rule = F.lit("-" * RULE)
+    head = F.concat(F.lit("[CHUNK] chunk_id="), said(F.col("chunk_id")), F.lit("   (page="), said(F.col("page")), F.lit(", section="), said(F.col("section")), F.lit(", subsection="), said(F.col("subsection")), F.lit(")"))
+    body = F.when(F.size("questions") == 0, F.lit("  (No questions for this chunk)")).otherwise(F.array_join(F.transform("questions", lambda r: r["block"]), "\n"))
+    text = F.concat_ws("\n", F.concat(F.lit("\n"), rule), head, rule, wrap_lines("context"), rule, body)
+    part = F.struct(F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("chunk_id", F.lit("")).alias("chunk_id"), F.col("text"))
+    whole = chunks.withColumn("text", text).groupBy("doc_id").agg(*first("document", "file_path"), F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda r: r["text"]), "\n").alias("text"))
+    rule = F.lit("=" * RULE)
+    report = F.concat_ws("\n", rule, F.concat(F.lit("DOCUMENT: "), said(F.col("document"))), F.concat(F.lit("PATH:     "), said(F.col("file_path"))), rule, "text")
+    return whole.select("doc_id", report.alias("report"))

@@ -1,5 +1,6 @@
 """From text to questions: rule-based questions, parsing and gates for generated ones, batch generation."""
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,13 +13,15 @@ BAD_STARTS = ["this ", "that ", "these ", "those ", "it "]
 FACT_MARKS = [" is ", " are ", " must ", " shall ", " allows ", " enable", " occurs ", " results ", " removes ", " requires ", " supports "]
 TEMPLATES = ["What is {focus}?", "What does {focus} refer to?", "Where is {focus} located?", "Which {focus} is mentioned?", "When does {focus} occur?"]
 QUALITY_STARTS = "what|where|which|when|who"
+PLACE = r"\{\s*\w+\s*\}"
 VALID_STARTS = "what|who|when|where|why|how|which"
 
 
 def sentences(df: DataFrame, longer_than: int = 20) -> DataFrame:
     """doc_id, ord, sentence of (doc_id, text): split at white space after . ! or ?"""
-    rows = df.select("doc_id", F.posexplode(F.split(strip(F.col("text")), r"(?<=[.!?])\s+", -1)).alias("ord", "sentence"))
-    return rows.withColumn("sentence", strip(F.col("sentence"))).filter(F.length("sentence") > longer_than)
+    # Stripped before the explode, so that every later use of a sentence reads a column.
+    parts = F.transform(F.split(strip(F.col("text")), r"(?<=[.!?])\s+", -1), strip)
+    return df.select("doc_id", F.posexplode(parts).alias("ord", "sentence")).filter(F.length("sentence") > longer_than)
 
 
 def is_fact(c: Column) -> Column:
@@ -155,19 +158,24 @@ def number_questions(df: DataFrame, group: str) -> DataFrame:
     return df.withColumn("question_index", F.row_number().over(Window.partitionBy(group).orderBy("ord")))
 
 
-def render_prompt(df: DataFrame, template: str, longest: int = 2400, cut_from: str = "tail", out: str = "prompt") -> DataFrame:
-    """Fills {column} places; a missing column fails when the plan is made; too long a prompt loses its head or tail."""
-    import re
+def render_prompt(df: DataFrame, template: str, longest: int = 2400, cut_from: str = "tail", out: str = "prompt", context: str = "context", context_longest: int = 1200, strict: bool = True) -> DataFrame:
+    """Fills {column} places; a missing column fails when the plan is made; too long a prompt loses its head or tail.
 
+    The context column is cut to context_longest first. With strict, a prompt that still holds a {place} fails.
+    """
     names = re.findall(r"\{(\w+)\}", template)
     if missing := sorted(set(names) - set(df.columns)):
         raise ValueError(f"the template needs columns {missing}")
     if cut_from not in ("head", "tail"):
         raise ValueError(f"cut_from is head or tail, not {cut_from}")
     parts = re.split(r"(\{\w+\})", template)
-    text = F.concat(*(F.coalesce(F.col(p[1:-1]).cast("string"), F.lit("")) if p[:1] == "{" else F.lit(p) for p in parts if p))
+    value = lambda n: F.left(F.col(n), F.lit(context_longest)) if n == context else F.col(n).cast("string")
+    text = F.concat(*(F.coalesce(value(p[1:-1]), F.lit("")) if p[:1] == "{" else F.lit(p) for p in parts if p))
     cut = F.left(text, F.lit(longest)) if cut_from == "tail" else F.right(text, F.lit(longest))
-    return df.withColumn(out, cut)
+    if not strict:
+        return df.withColumn(out, cut)
+    bad = F.raise_error(F.concat(F.lit("a place was not rendered: "), F.regexp_extract(cut, PLACE, 0))).cast("string")
+    return df.withColumn(out, F.when(cut.rlike(PLACE), bad).otherwise(cut))
 
 
 def generate(df: DataFrame, make: Callable, schema: str) -> DataFrame:

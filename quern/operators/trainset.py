@@ -31,7 +31,27 @@ def _numbered(labels: DataFrame, order: str) -> DataFrame:
 def first_seen_labels(df: DataFrame, label: str = "label", order: str = "ord") -> DataFrame:
     """label_id in the order in which labels are first seen."""
     ids = _numbered(df.groupBy(label).agg(F.min(order).alias("_o")), "_o").drop("_o")
-    return df.join(F.broadcast(ids), label)
+    return df.join(ids, label)
+
+
+def intent_rows(df: DataFrame, order: str = "ord") -> DataFrame:
+    """text (or query, or instruction) and label_id of (order, …, label, label_id); a given label_id stands.
+
+    Other labels are numbered in the order in which they are first seen. A row without text, or without label and
+    label_id, fails.
+    """
+    c = lambda n: F.col(n).cast("string") if n in df.columns else F.lit(None).cast("string")
+    text = F.coalesce(*(F.nullif(c(n), F.lit("")) for n in ("text", "query", "instruction")))
+    given = c("label_id").cast("int")
+    rows = df.select(order, text.alias("text"), c("label").alias("label"), given.alias("_given"))
+    ids = _numbered(rows.filter("_given is null and label is not null").groupBy("label").agg(F.min(order).alias("_o")), "_o").drop("_o")
+    fail = lambda what: F.raise_error(F.lit(f"an intent row has no {what}"))
+    joined = rows.join(ids, "label", "left")
+    label_id = F.coalesce("_given", "label_id")
+    return joined.select(
+        order, F.when(F.col("text").isNull(), fail("text").cast("string")).otherwise(F.col("text")).alias("text"),
+        F.when(label_id.isNull(), fail("label").cast("int")).otherwise(label_id).alias("label_id"),
+    )
 
 
 def sorted_labels(df: DataFrame, label: str = "label") -> DataFrame:
@@ -50,13 +70,16 @@ def collate(df: DataFrame, batch_size: int, max_length: int, order: str = "ord")
     return rows.withColumn("label_mask", F.concat(F.array_repeat(F.lit(1), F.size("tokens")), F.array_repeat(F.lit(-100), F.col("n_pad"))))
 
 
-def shard(df: DataFrame, key: str, world: int, seed: int = 0, buckets: int = 256) -> DataFrame:
+def shard(df: DataFrame, key: str, world: int, seed: int = 0, digits: int = 3) -> DataFrame:
     """rank and place of every row in a hashed order, dealt in turn; first rows again until shards are equal.
 
-    A global row number without one task: hashed buckets, row numbers inside, and the sums of the buckets before.
+    A global row number without one task: buckets of the first hex digits of the hash, row numbers inside, and the sums
+    of the buckets before. digits: 4,096 buckets by default, 65,536 with 4, and no more than that.
     """
+    if not 1 <= digits <= 4:
+        raise ValueError("digits is 1 to 4")
     h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    rows = df.withColumn("_h", h).withColumn("_b", F.conv(F.left("_h", F.lit(2)), 16, 10).cast("int") % buckets)
+    rows = df.withColumn("_h", h).withColumn("_b", F.left("_h", F.lit(digits)))
     sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.withColumns({"_before": F.sum("_n").over(Window.orderBy("_b")) - F.col("_n"), "_total": F.sum("_n").over(Window.partitionBy())})
     place = F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)) - 1 + F.col("_before")

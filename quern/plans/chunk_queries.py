@@ -59,15 +59,15 @@ QUERIES = {
     "x6_tables_to_text": lambda s, d: X.tables_to_text(_cells(s, d)),
     "x7_tables_to_chunk": lambda s, d: X.tables_to_chunk(_cells(s, d)),
     "x8_group_ocr_lines": lambda s, d: X.group_ocr_lines(view(s, d, "v_ocr_lines")),
-    "x9_ocr_fallback": lambda s, d: X.ocr_fallback(view(s, d, "v_ocr_lines"), view(s, d, "v_ocr_lines").filter("page % 3 = 0")),
+    "x9_ocr_fallback": lambda s, d: X.ocr_fallback(view(s, d, "v_ocr_lines"), table(s, d, "nation").select(F.col("n_nationkey").cast("long").alias("page"))),
     "x10_route_pages": lambda s, d: X.route_pages(view(s, d, "v_blocks"), view(s, d, "v_blocks").groupBy("doc_id", "page").agg((F.max("ord") % 5).alias("n_images"))),
-    "x11_route_documents": lambda s, d: X.route_documents(_files(s, d), view(s, d, "v_blocks").filter("doc_id % 7 <> 0")),
+    "x11_route_documents": lambda s, d: X.route_documents(_files(s, d), view(s, d, "v_blocks")),
     "x12_style_types": lambda s, d: X.style_types(table(s, d, "documents").select("doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "Heading ").when(F.col("doc_id") % 3 == 1, "Sub Title").otherwise("Normal"), F.when(F.col("doc_id") % 2 == 0, F.col("doc_id").cast("string")).otherwise("")).alias("style"))),
-    "x13_assemble_documents": lambda s, d: X.assemble_documents(view(s, d, "v_blocks"), view(s, d, "v_blocks").filter("ord % 4 = 0").select("doc_id", "page", F.col("ord").alias("image_index"))).select("doc_id", "total_pages", "n_chunks", "n_images", F.coalesce(F.col("chunks")[0]["text"], F.lit("")).alias("first_text")),
+    "x13_assemble_documents": lambda s, d: X.assemble_documents(view(s, d, "v_blocks"), view(s, d, "v_blocks").filter("chunk_type = 'heading'").select("doc_id", "page", F.col("ord").alias("image_index"))).select("doc_id", "total_pages", "n_chunks", "n_images", F.coalesce(F.col("chunks")[0]["text"], F.lit("")).alias("first_text")),
     "x14_batch_summary": lambda s, d: X.batch_summary(table(s, d, "documents").select(F.when(F.col("doc_id") % 5 == 0, "skipped").when(F.col("doc_id") % 7 == 0, "failed").otherwise("success").alias("status"), (F.col("doc_id") % 9).alias("chunks"), (F.col("doc_id") % 4).alias("pages"))),
     "x15_join_pages": lambda s, d: X.join_pages(_pages(s, d).withColumnRenamed("text", "markdown")),
     "x16_clean_markdown": lambda s, d: view(s, d, "v_blocks").select("doc_id", "ord", X.clean_markdown(F.concat(F.when(F.col("ord") % 2 == 0, "<think>so</think>\n```markdown\n").otherwise(" "), "text", F.when(F.col("ord") % 2 == 0, "\n``` ").otherwise(" "))).alias("markdown")),
-    "x17_failed_pages": lambda s, d: X.failed_pages(view(s, d, "v_blocks").filter("chunk_type = 'heading'").select("doc_id", F.concat(F.lit("a\n<!-- PAGE "), F.col("ord").cast("string"), F.lit(" FAILED: "), "text", F.lit(" -->\nb")).alias("markdown"))),
+    "x17_failed_pages": lambda s, d: X.failed_pages(view(s, d, "v_blocks").select("doc_id", F.concat(F.lit("a\n<!-- PAGE "), F.col("ord").cast("string"), F.lit(" FAILED: "), "text", F.lit(" -->\nb")).alias("markdown"))),
     "c1_normalize_schema": lambda s, d: C.normalize_schema(view(s, d, "v_blocks")),
     "c2_strip_lines": lambda s, d: C.strip_lines(table(s, d, "documents").select("doc_id", F.concat(F.lit("\n  "), F.replace("text", F.lit("\n"), F.lit(" \n\t")), F.lit(" ")).alias("text"))),
     "c3_merge_headings": _merged,
@@ -101,21 +101,21 @@ SQL = {
     "x8_group_ocr_lines": """with k as (select *, coalesce(case when y - lag(y) over (partition by page order by y, ord) >= 20 then 1 else 0 end, 0) as new from v_ocr_lines where confidence >= 0.5),
         b as (select *, sum(new) over (partition by page order by y, ord) as block from k)
         select page, cast(block as bigint) as block, string_agg(text, ' ' order by y, ord) as text, count(*) as n_lines from b group by page, block""",
-    "x9_ocr_fallback": "select page, string_agg(text, chr(10) order by ord) as text from v_ocr_lines where page not in (select page from v_ocr_lines where page % 3 = 0) and confidence > 0.5 and S(text) <> '' group by page",
+    "x9_ocr_fallback": "select page, string_agg(text, chr(10) order by ord) as text from v_ocr_lines where page not in (select n_nationkey from nation) and confidence > 0.5 and S(text) <> '' group by page",
     "x10_route_pages": "select doc_id, page, cast(sum(length(text)) as bigint) as chars, sum(length(text)) < 100 or max(ord) % 5 > 3 as use_ocr from v_blocks group by doc_id, page",
     "x11_route_documents": r"""with f as (select id as doc_id, file_name || '/' || id || '.' || ['txt', 'pdf', 'TIFF', 'exe', 'md'][id % 5 + 1] as file_path from v_documents),
-        t as (select doc_id, bool_or(length(S(text)) > 0) as has_text from v_blocks where doc_id % 7 <> 0 group by doc_id)
+        t as (select doc_id, bool_or(length(S(text)) > 0) as has_text from v_blocks group by doc_id)
         select f.doc_id, file_path, case when file_path like '%.TIFF' then 'ocr' when file_path like '%.exe' then 'unsupported' when coalesce(has_text, false) then 'native' else 'ocr' end as route from f left join t on f.doc_id = t.doc_id""",
     "x12_style_types": """with s as (select doc_id, case doc_id % 3 when 0 then 'Heading ' when 1 then 'Sub Title' else 'Normal' end || case when doc_id % 2 = 0 then cast(doc_id as varchar) else '' end as style from documents)
         select doc_id, style, case doc_id % 3 when 0 then 'heading' when 1 then 'title' else 'paragraph' end as chunk_type,
         case doc_id % 3 when 0 then case when doc_id % 2 = 0 then cast(doc_id as int) else 1 end when 1 then 0 end as heading_level from s""",
-    "x13_assemble_documents": "select doc_id, max(page) as total_pages, cast(count(*) as int) as n_chunks, cast(count(*) filter (where ord % 4 = 0) as int) as n_images, arg_min(text, ord) as first_text from v_blocks group by doc_id",
+    "x13_assemble_documents": "select doc_id, max(page) as total_pages, cast(count(*) as int) as n_chunks, cast(count(*) filter (where chunk_type = 'heading') as int) as n_images, arg_min(text, ord) as first_text from v_blocks group by doc_id",
     "x14_batch_summary": """with f as (select case when doc_id % 5 = 0 then 'skipped' when doc_id % 7 = 0 then 'failed' else 'success' end as status, doc_id % 9 as chunks, doc_id % 4 as pages from documents)
         select count(*) as scanned, count(*) filter (where status = 'success') as processed, count(*) filter (where status = 'skipped') as skipped, count(*) filter (where status = 'failed') as failed,
         cast(sum(chunks) filter (where status = 'success') as bigint) as total_chunks, cast(sum(pages) filter (where status = 'success') as bigint) as total_pages from f""",
     "x15_join_pages": "with p as (select doc_id, page, string_agg(text, chr(10) order by ord) as text from v_blocks group by doc_id, page) select doc_id, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) order by page) as markdown from p group by doc_id",
     "x16_clean_markdown": "select doc_id, ord, S(text) as markdown from v_blocks",
-    "x17_failed_pages": "select doc_id, ord as page, text as reason from v_blocks where chunk_type = 'heading'",
+    "x17_failed_pages": "select doc_id, ord as page, text as reason from v_blocks",
     "c1_normalize_schema": NOT_NULL,
     "c2_strip_lines": r"select doc_id, array_to_string(list_transform(string_split(S(text), chr(10)), lambda l: S(l)), chr(10)) as text from documents",
     "c3_merge_headings": MERGE + " select * from merged",

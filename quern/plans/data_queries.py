@@ -56,10 +56,10 @@ def _registry(s, d):
 
 
 def _supplier_models(s, d):
-    sup = table(s, d, "supplier")
-    stored = sup.filter("s_suppkey % 3 <> 0").select(F.col("s_name").alias("name"), F.col("s_nationkey").alias("model_type"), F.col("s_acctbal").alias("model_path"))
-    new = sup.filter("s_suppkey % 3 <> 1").select(F.col("s_name").alias("name"), F.when(F.col("s_suppkey") % 2 == 0, F.col("s_nationkey")).otherwise(-1).alias("model_type"), F.col("s_acctbal").alias("model_path"))
-    return D.upsert_models(stored, new, "name", ["model_type", "model_path"])
+    """Customers are the stored models, suppliers the new ones; every twentieth number, beyond the last customer too."""
+    stored = table(s, d, "customer").select(F.col("c_custkey").alias("name"), F.col("c_nationkey").alias("model_type"))
+    new = table(s, d, "supplier").select((F.col("s_suppkey") * 20).alias("name"), F.col("s_nationkey").alias("model_type"))
+    return D.upsert_models(stored, new, "name", ["model_type"])
 
 
 def _sft(s, d):
@@ -83,7 +83,7 @@ QUERIES = {
     "d6_max_severity": lambda s, d: D.max_severity(_docs(s, d), _levels(s), "MEDIUM").select("id", "severity"),
     "d7_with_all_tags": lambda s, d: D.with_all_tags(_docs(s, d), _tags(s, d), ["SOP", "MANUAL"]).select("id"),
     "d8_without_tags": lambda s, d: D.without_tags(_docs(s, d), _tags(s, d), ["SPEC", "MANUAL"]).select("id"),
-    "d9_eligibility": lambda s, d: D.eligibility(_docs(s, d), _tags(s, d), view(s, d, "v_blocks").filter("doc_id % 13 <> 0"), table(s, d, "labels").filter("quality = 1")).select("id", F.array_join("errors", ", ").alias("errors")),
+    "d9_eligibility": lambda s, d: D.eligibility(_docs(s, d), _tags(s, d), view(s, d, "v_blocks"), table(s, d, "labels").filter("quality = 1")).select("id", F.array_join("errors", ", ").alias("errors")),
     "d10_resolved_qna": lambda s, d: _qna(s, d).select("question_id", "doc_id", "question", "best_model"),
     "d11_assemble_records": lambda s, d: _flat_records(D.assemble_records(_docs(s, d), _tags(s, d), _qna(s, d))),
     "d12_build_dataset": lambda s, d: _flat_records(_records(s, d)),
@@ -92,8 +92,9 @@ QUERIES = {
     "d15_seed_if_absent": lambda s, d: D.seed_if_absent(table(s, d, "region").select(F.col("r_name").alias("code"), F.col("r_regionkey").alias("n")), table(s, d, "nation").select(F.when(F.col("n_nationkey") % 2 == 0, F.upper("n_name")).otherwise("ASIA").alias("code"), F.lit(7).alias("n")), "code"),
     "d16_upsert_models": _supplier_models,
     "d17_lineage": lambda s, d: D.lineage(7, chunk=view(s, d, "v_blocks").select((F.col("doc_id") * 1000 + F.col("ord")).alias("id")), question=view(s, d, "v_questions").select(F.col("question_id").alias("id"))),
+    "d17_finish_run": lambda s, d: D.finish_run(view(s, d, "v_runs").withColumn("error_message", F.lit(None).cast("string")), 7, False, "out of memory " * 400).select("run_id", "document_id", "success", F.col("finished_at").isNotNull().alias("finished"), "error_message"),
     "d18_attach_metadata": lambda s, d: D.attach_metadata(_docs(s, d).select("id", "file_path"), "OPS", 2, 3, table(s, d, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("code")), [0, 2]),
-    "k1_orphans": lambda s, d: K.orphans(table(s, d, "lineitem"), "l_orderkey", table(s, d, "orders").filter("o_orderkey % 9 <> 1"), "o_orderkey").select("l_orderkey", "l_partkey"),
+    "k1_orphans": lambda s, d: K.orphans(table(s, d, "orders"), "o_custkey", table(s, d, "events"), "user_id").select("o_orderkey", "o_custkey"),
     "k2_polymorphic_orphans": lambda s, d: K.polymorphic_orphans(view(s, d, "v_embeddings").select("id", "parent_type", "parent_id"), document=table(s, d, "documents").select(F.col("doc_id").alias("id")), chunk=view(s, d, "v_blocks").select(F.col("doc_id").alias("id")), question=view(s, d, "v_questions").select(F.col("doc_id").alias("id")), answer=table(s, d, "events").select(F.col("event_id").alias("id"))),
     "k3_row_counts": lambda s, d: K.row_counts(**{t: table(s, d, t) for t in ("documents", "pages", "labels", "lineitem")}),
     "k4_null_counts": lambda s, d: K.null_counts(_docs(s, d), ["id", "file_path", "audience_id", "not_there"]),
@@ -106,27 +107,30 @@ QUERIES = {
     "f5_preference": lambda s, d: X.preference(_qna(s, d)),
     "f6_exportable": lambda s, d: X.exportable(_qna(s, d)).select("question_id", "question", "best_answer"),
     "s7_report_tables": lambda s, d: X.report_tables(_flat(s, d))["answers"].select("question_id", "model_name", "answer", "score", "is_best"),
-    "s8_text_report": lambda s, d: X.text_report(_flat(s, d).withColumn("context", F.lit("-"))),
+    "s7_report_questions": lambda s, d: X.report_tables(_flat(s, d))["questions"],
+    "s7_report_qna": lambda s, d: X.report_tables(_flat(s, d))["qna"],
+    "s8_text_report": lambda s, d: X.text_report(_flat(s, d).join(_docs(s, d).select(F.col("id").alias("doc_id"), F.col("file_name").alias("document"), "file_path"), "doc_id").withColumns({"chunk_id": F.lit("p1_c1"), "page": F.lit(1)})),
     "r1_content_hashes": lambda s, d: R.content_hashes(table(s, d, "documents"), "source", "text"),
     "r2_next_versions": lambda s, d: R.next_versions(_registry(s, d)),
-    "r3_register": lambda s, d: R.register(_registry(s, d).filter("created_at % 2 = 0"), _registry(s, d).select("name", "path", "content_hash")).select("content_hash"),
-    "r4_profile": lambda s, d: R.profile(table(s, d, "documents"), "documents").select("name", "records"),
+    "r3_register": lambda s, d: R.register(table(s, d, "conversations").select(F.sha2("text", 256).alias("content_hash")), _registry(s, d).select("name", "path", "content_hash")).select("content_hash"),
+    "r4_profile": lambda s, d: R.profile(table(s, d, "documents"), "documents"),
     "r5_audit_state": lambda s, d: R.audit_state(table(s, d, "events").select(F.col("user_id").alias("content_hash"), F.col("event_type").alias("action"), F.struct("ts", "event_id").alias("created_at"))),
     "r6_resolve": lambda s, d: R.resolve(_registry(s, d).groupBy("name", "version").count().filter("count = 1").select("name", "version"), _registry(s, d)),
     "t1_sft_text": lambda s, d: T.sft_text(_sft(s, d)).select("conv_id", "turn", "train_text"),
     "t2_plain_text": lambda s, d: T.plain_text(_sft(s, d)).select("conv_id", "turn", "train_text"),
     "t3_first_seen_labels": lambda s, d: T.first_seen_labels(table(s, d, "documents").select(F.col("doc_id").alias("ord"), F.col("source").alias("label"))),
+    "t3_intent_rows": lambda s, d: T.intent_rows(table(s, d, "conversations").select((F.col("conv_id") * 100 + F.col("turn")).alias("ord"), F.when(F.col("turn") % 2 == 0, F.col("text")).alias("text"), F.col("text").alias("query"), F.col("role").alias("label"), F.when(F.col("turn") == 2, 7).alias("label_id"))),
     "t4_sorted_labels": lambda s, d: T.sorted_labels(table(s, d, "documents").select(F.col("lang").alias("label"))),
     "t5_collate": lambda s, d: T.collate(T.sft_text(_sft(s, d)).withColumn("ord", F.col("conv_id") * 4 + F.col("turn")), 16, 40).select("conv_id", "turn", "batch", F.size("tokens").alias("n_tokens"), "n_pad", F.size(F.filter("label_mask", lambda x: x == -100)).alias("n_masked")),
     "t6_shard": lambda s, d: T.shard(table(s, d, "documents").select("doc_id"), "doc_id", 7),
     "t7_step_plan": lambda s, d: T.step_plan(_sft(s, d), 4, 3, 2, 100),
     "m1_history": lambda s, d: M.history(view(s, d, "v_metrics"), 7, "click").select("run_id", "metric", "step", "value"),
-    "m2_run_summary": lambda s, d: M.run_summary(view(s, d, "v_metrics"), ["click", "error"]),
+    "m2_run_summary": lambda s, d: M.run_summary(view(s, d, "v_metrics"), ["click", "error"], view(s, d, "v_runs")),
     "m3_every_nth": lambda s, d: M.every_nth(view(s, d, "v_metrics"), 5).withColumn("variant", F.lit("divides")).unionByName(M.every_nth(view(s, d, "v_metrics"), 5, True).withColumn("variant", F.lit("from first"))).select("run_id", "metric", "step", "variant"),
     "m4_state_counts": lambda s, d: M.state_counts(_jobs(s, d), ["click", "error", "view"]),
     "m4_latency_histogram": lambda s, d: M.latency_histogram(_jobs(s, d), 0.0, 100.0, 10),
     "m5_tail": lambda s, d: M.tail(_jobs(s, d).select("job", "line_no", "state"), 3),
-    "m6_feedback_summary": lambda s, d: M.feedback_summary(view(s, d, "v_feedback")).drop("median_latency"),
+    "m6_feedback_summary": lambda s, d: M.feedback_summary(view(s, d, "v_feedback")),
 }
 RANK = CAND + """, p as (select question_id, model_name, max(score) as top, min(ord) as ord from s group by all),
 bw as (select question_id, (array_agg(model_name order by top desc, ord))[1] as best_model, (array_agg(model_name order by top, ord))[1] as worst_model from p group by question_id),
@@ -150,17 +154,18 @@ SQL = {
     "d6_max_severity": "select id, severity from v_documents where severity <= 2",
     "d7_with_all_tags": "select id from v_documents where id in (select document_id from v_doc_tags where tag in ('SOP', 'MANUAL') group by 1 having count(distinct tag) = 2)",
     "d8_without_tags": "select id from v_documents where id not in (select document_id from v_doc_tags where tag in ('SPEC', 'MANUAL'))",
-    "d9_eligibility": "select id, concat_ws(', ', case when id not in (select document_id from v_doc_tags) then 'no tags' end, case when domain_code is null then 'no domain' end, case when audience_id is null then 'no audience' end, case when severity is null then 'no criticality' end, case when id % 13 = 0 then 'no chunks' end, case when id not in (select doc_id from labels where quality = 1) then 'no ranked answers' end) as errors from v_documents",
+    "d9_eligibility": "select id, concat_ws(', ', case when id not in (select document_id from v_doc_tags) then 'no tags' end, case when domain_code is null then 'no domain' end, case when audience_id is null then 'no audience' end, case when severity is null then 'no criticality' end, case when id not in (select doc_id from v_blocks) then 'no chunks' end, case when id not in (select doc_id from labels where quality = 1) then 'no ranked answers' end) as errors from v_documents",
     "d10_resolved_qna": RANK + " select question_id, doc_id, question, best_model from qna",
     "d11_assemble_records": REC.replace("{where}", "") + " select instruction, output, doc_id, tags, model, sha256(input) as input_sha from rec",
     "d12_build_dataset": SOME + " select instruction, output, doc_id, tags, model, sha256(input) as input_sha from rec",
     "d13_flat_qna": FLAT + " select doc_id, question_id, question_index, model_name, answer, score, is_best from flat",
     "d14_list_runs": "select run_id, c_name as name, cast(epoch_us(finished_at::timestamp) - epoch_us(started_at::timestamp) as double) / 1e6 as seconds, case when success then 'OK' else 'FAIL' end as status from v_runs r left join customer c on c.c_custkey = r.document_id",
     "d15_seed_if_absent": "select r_name as code, r_regionkey as n from region union all select distinct upper(n_name), 7 from nation where n_nationkey % 2 = 0 and upper(n_name) not in (select r_name from region)",
-    "d16_upsert_models": "select s_name as name, case s_suppkey % 3 when 0 then 'insert' when 1 then 'keep' else case when s_suppkey % 2 = 0 or s_nationkey = -1 then 'skip' else 'update' end end as outcome, case when s_suppkey % 3 = 1 or s_suppkey % 2 = 0 then s_nationkey else -1 end as model_type, s_acctbal as model_path from supplier",
+    "d16_upsert_models": "select coalesce(c_custkey, s_suppkey * 20) as name, case when c_custkey is null then 'insert' when s_suppkey is null then 'keep' when c_nationkey = s_nationkey then 'skip' else 'update' end as outcome, coalesce(s_nationkey, c_nationkey) as model_type from customer full join supplier on c_custkey = s_suppkey * 20",
     "d17_lineage": "select cast(7 as bigint) as run_id, 'chunk' as parent_type, doc_id * 1000 + ord as parent_id from v_blocks union select 7, 'question', question_id from v_questions",
+    "d17_finish_run": "select run_id, document_id, case when run_id = 7 then false else success end as success, run_id = 7 or finished_at is not null as finished, case when run_id = 7 then substr(repeat('out of memory ', 400), 1, 4000) end as error_message from v_runs",
     "d18_attach_metadata": "select d.id, file_path, 'OPS' as domain_code, 2 as audience_id, 3 as severity, r_name as tag from v_documents d, region where r_regionkey in (0, 2)",
-    "k1_orphans": "select l_orderkey, l_partkey from lineitem where l_orderkey is null or l_orderkey not in (select o_orderkey from orders where o_orderkey % 9 <> 1)",
+    "k1_orphans": "select o_orderkey, o_custkey from orders where o_custkey is null or o_custkey not in (select user_id from events)",
     "k2_polymorphic_orphans": "select id, parent_type, parent_id from v_embeddings where (parent_type in ('document', 'chunk') and parent_id not in (select doc_id from documents)) or (parent_type = 'question' and parent_id not in (select doc_id from v_questions)) or (parent_type = 'answer' and parent_id not in (select event_id from events))",
     "k3_row_counts": " union all ".join(f"select '{t}' as table_name, count(*) as n from {t}" for t in ("documents", "pages", "labels", "lineitem")),
     "k4_null_counts": "select 'id' as column_name, count(*) filter (where id is null) as n_null from v_documents union all select 'file_path', count(*) filter (where file_path is null) from v_documents union all select 'audience_id', count(*) filter (where audience_id is null) from v_documents union all select 'not_there', -1",
@@ -173,26 +178,29 @@ SQL = {
     "f5_preference": RANK + " select question as prompt, best_answer as chosen, worst_answer as rejected from qna",
     "f6_exportable": RANK + " select question_id, question, best_answer from qna where question <> '' and best_answer <> ''",
     "s7_report_tables": FLAT + " select distinct question_id, model_name, answer, score, is_best from flat",
-    "s8_text_report": FLAT + ", a as (select doc_id, question_index, question, string_agg(coalesce('    ' || model_name || case when is_best then ' (best)' else '' end || ': ' || answer, '    (no answer)'), chr(10) order by model_name, coalesce('    ' || model_name || case when is_best then ' (best)' else '' end || ': ' || answer, '    (no answer)')) as a from flat group by all) select doc_id, '-' || chr(10) || string_agg('  Q' || question_index || ': ' || question || chr(10) || a, chr(10) order by question_index) as report from a group by doc_id",
-    "r1_content_hashes": "with h as (select source as name, sha256(coalesce(text, '')) as h from documents), p as (select name, substr(h, 1, 2) as b, sha256(string_agg(h, '' order by h)) as p, count(*) as n from h group by all) select name, cast(sum(n) as bigint) as n, sha256(string_agg(p, '' order by b)) as content_hash from p group by name",
+    "s7_report_questions": FLAT + " select distinct doc_id, question_id, question_index, question from flat",
+    "s7_report_qna": FLAT + " select flat.doc_id, question_id, question_index, question, model_name, answer, is_best, text as context, score from flat join documents d on d.doc_id = flat.doc_id",
+    "r1_content_hashes": """with h as (select source as name, sha256(coalesce(text, '')) as h, count(*) as n from documents group by all), p5 as (select name, substr(h, 1, 5) as h, sha256(string_agg(h || ':' || n, ',' order by h)) as p, sum(n) as n from h group by name, substr(h, 1, 5)),
+        p2 as (select name, substr(h, 1, 2) as h, sha256(string_agg(p, ',' order by h)) as p, sum(n) as n from p5 group by name, substr(h, 1, 2)) select name, cast(sum(n) as bigint) as n, sha256(string_agg(p, ',' order by h)) as content_hash from p2 group by name""",
     "r2_next_versions": REG + " select name, 'v' || lpad(cast(cast(substr(arg_max(version, created_at), 2) as int) + 1 as varchar), 3, '0') as version from g group by name",
-    "r3_register": REG + " select distinct content_hash from g where content_hash not in (select content_hash from g where created_at % 2 = 0)",
-    "r4_profile": "select 'documents' as name, count(*) as records from documents",
+    "r3_register": REG + " select distinct content_hash from g where content_hash not in (select sha256(text) from conversations)",
+    "r4_profile": "select 'documents' as name, count(*) as records, '{\"doc_id\": \"bigint\", \"text\": \"string\", \"lang\": \"string\", \"source\": \"string\", \"n_chars\": \"bigint\"}' as fields from documents",
     "r5_audit_state": "select user_id as content_hash, (array_agg(event_type order by ts desc, event_id desc))[1] as state, count(*) as n_actions from events group by user_id",
     "r6_resolve": REG + " select name, version, any_value(path) as path, any_value(content_hash) as content_hash from g group by name, version having count(*) = 1",
     "t1_sft_text": SFT + " select conv_id, turn, train_text from t",
     "t2_plain_text": SFT + " select conv_id, turn, coalesce(nullif(text, ''), S(coalesce(prompt, '') || chr(10) || coalesce(response, ''))) as train_text from f",
     "t3_first_seen_labels": "with l as (select source as label, cast(row_number() over (order by min(doc_id)) - 1 as int) as label_id from documents group by source) select d.doc_id as ord, l.label, l.label_id from documents d join l on l.label = d.source",
+    "t3_intent_rows": "with r as (select conv_id * 100 + turn as ord, text, role, case when turn = 2 then 7 end as given from conversations), l as (select role, row_number() over (order by min(ord)) - 1 as n from r where given is null group by role) select ord, text, cast(coalesce(given, n) as int) as label_id from r left join l using (role)",
     "t4_sorted_labels": "select label, cast(row_number() over (order by label) - 1 as int) as label_id from (select distinct lang as label from documents) l",
     "t5_collate": SFT + ", k as (select conv_id, turn, (conv_id * 4 + turn) // 16 as batch, cast(least(len(W(coalesce(train_text, ''))), 40) as int) as n_tokens from t) select conv_id, turn, batch, n_tokens, max(n_tokens) over (partition by batch) - n_tokens as n_pad, max(n_tokens) over (partition by batch) - n_tokens as n_masked from k",
     "t6_shard": "with p as (select doc_id, row_number() over (order by md5('0:' || doc_id), doc_id) - 1 as place, count(*) over () as total from documents), u as (select doc_id, place from p union all select doc_id, place + total from p where place < (7 - total % 7) % 7) select doc_id, place, cast(place % 7 as int) as rank from u",
     "t7_step_plan": SFT + ", a as (select count(*) as n_rows, count(*) filter (where response is null) as n_fallback, count(*) filter (where train_text is null) as n_invalid from t), b as (select *, cast(ceil(n_rows / 4.0) as bigint) as batches from a) select *, least(cast(ceil(batches / 3.0) * 2 as bigint), 100) as planned, least(batches * 2 // 3, 100) as stepped from b",
     "m1_history": "select run_id, metric, step, value from v_metrics where run_id = 7 and metric = 'click'",
-    "m2_run_summary": "select run_id, cast(epoch_us(max(ts)) - epoch_us(min(ts)) as double) / 1e6 as seconds, arg_max(value, step) filter (where metric = 'click') as click, arg_max(value, step) filter (where metric = 'error') as error from v_metrics group by run_id",
+    "m2_run_summary": "select run_id, cast(epoch_us(max(ts)) - epoch_us(min(ts)) as double) / 1e6 as seconds, arg_max(value, step) filter (where metric = 'click') as click, arg_max(value, step) filter (where metric = 'error') as error, coalesce((select any_value(case when finished_at is null then 'RUNNING' when success then 'FINISHED' else 'FAILED' end) from v_runs r where r.run_id = m.run_id), 'UNKNOWN') as status from v_metrics m group by run_id",
     "m3_every_nth": "select run_id, metric, step, 'divides' as variant from v_metrics where step % 5 = 0 union all select run_id, metric, step, 'from first' from v_metrics where (step - 1) % 5 = 0",
     "m4_state_counts": "select count(*) filter (where event_type = 'click') as click, count(*) filter (where event_type = 'error') as error, count(*) filter (where event_type = 'view') as view from events",
     "m4_latency_histogram": "select cast(case when value < 0 then 0 when value >= 100 then 11 else floor(value / 10) + 1 end as bigint) as bucket, count(*) as n from events group by 1",
     "m5_tail": "select user_id as job, event_id as line_no, event_type as state from events qualify row_number() over (partition by user_id order by event_id desc) <= 3",
-    "m6_feedback_summary": "select model_name, version, count(*) as n, round(avg(rating), 6) as mean_rating, max(latency) as max_latency from v_feedback group by model_name, version",
+    "m6_feedback_summary": "select model_name, version, count(*) as n, round(avg(rating), 6) as mean_rating, max(latency) as max_latency, cast(sum(input_tokens) as bigint) as input_tokens, cast(sum(output_tokens) as bigint) as output_tokens, quantile_disc(latency, 0.5) as median_latency, quantile_disc(latency, 0.95) as p95_latency from v_feedback group by model_name, version",
 }
 ORACLE_SQL = {k: duck(v) for k, v in SQL.items()}

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.functions.text import word_set
 from quern.operators import answers, chunks, extract, questions
 
 from .views import table
@@ -12,8 +13,8 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, chunk_id, ord, prompt, context, response, score: one plan, no model, all deterministic."""
     blocks = extract.paragraph_blocks(table(spark, sf_dir, "documents"), "\n")
     ready = chunks.chunk_ids(chunks.min_length(chunks.dedupe_in_document(chunks.strip_lines(blocks))))
-    qa = questions.rule_based_qa(ready.select(F.struct("doc_id", "chunk_id", F.col("text").alias("context")).alias("doc_id"), "text"))
+    qa = questions.rule_based_qa(ready.select(F.struct("doc_id", "chunk_id", F.col("text").alias("context"), word_set(F.col("text")).alias("known")).alias("doc_id"), "text"))
     return qa.select(
         F.col("doc_id.doc_id").alias("doc_id"), F.col("doc_id.chunk_id").alias("chunk_id"), "ord", F.col("question").alias("prompt"),
-        F.col("doc_id.context").alias("context"), "response", answers.score(F.col("response"), F.col("doc_id.context")).alias("score"),
+        F.col("doc_id.context").alias("context"), "response", answers.score(F.col("response"), F.col("doc_id.context"), known=F.col("doc_id.known")).alias("score"),
     )

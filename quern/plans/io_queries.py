@@ -40,16 +40,50 @@ def st2_feedback(spark, sf_dir):
 def st3_state_counts(spark, sf_dir):
     out, state = ST.paths(spark, "states")
     ST.materialize_counts(ST.state_counts(ST.table_stream(spark, sf_dir, "events").select(F.col("event_type").alias("state"))), state, out)
-    return spark.read.parquet(out)
+    return ST.latest_counts(spark, out)
+
+
+def s6_write_jsonl(spark, sf_dir):
+    """Written, then read as text, so that the lines themselves are the result."""
+    path = S.shared_path(spark, "jsonl")
+    S.write_jsonl(view(spark, sf_dir, "v_sft").select("conv_id", "turn", F.lit(None).cast("string").alias("note")), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+def s9_feedback_log(spark, sf_dir):
+    """Two appends to one log, read back; all rows are stamped."""
+    path = S.shared_path(spark, "feedback")
+    rows = view(spark, sf_dir, "v_feedback").select("model_name", "version", F.lit("p").alias("prompt"), F.lit(None).cast("string").alias("comment"), "rating", "latency", "input_tokens", "output_tokens")
+    S.append_feedback(rows, path)
+    S.append_feedback(rows.withColumn("comment", F.lit("again é")), path)
+    return S.read_log(spark, path, S.FEEDBACK).select(F.col("timestamp").isNotNull().alias("stamped"), "model_name", "version", "prompt", "response", "comment", "rating", "latency", "input_tokens", "output_tokens")
+
+
+def s10_metrics_log(spark, sf_dir):
+    path = S.shared_path(spark, "metrics")
+    rows = view(spark, sf_dir, "v_metrics").select(F.col("run_id").cast("double").alias("ts"), F.lit(1).alias("epoch"), "step", F.col("value").alias("loss"), F.lit(0.5).alias("lr"), "metric")
+    S.append_metrics(rows, path)
+    return S.read_log(spark, path, S.METRICS)
+
+
+def s11_store(spark, sf_dir):
+    """Saved as a table of the store, appended to, loaded."""
+    target = S.shared_path(spark, "store")
+    S.save_table(view(spark, sf_dir, "v_documents"), target)
+    S.save_table(view(spark, sf_dir, "v_documents").withColumn("id", -F.col("id")), target)
+    return S.load_table(spark, target)
 
 
 QUERIES = {
     "s1_allowed_files": lambda s, d: S.allowed_files(_paths(s, d)),
-    "s2_new_files": lambda s, d: S.new_files(view(s, d, "v_documents").select("file_path").unionByName(view(s, d, "v_documents").select("file_path")), view(s, d, "v_documents").filter("id % 3 = 0")),
+    "s2_new_files": lambda s, d: S.new_files(view(s, d, "v_documents").select("file_path").unionByName(view(s, d, "v_documents").select("file_path")), view(s, d, "v_documents").join(table(s, d, "labels").select(F.col("doc_id").alias("id")), "id")),
     "s3_normalize_path": lambda s, d: view(s, d, "v_documents").select("id", S.normalize_path(F.when(F.col("id") % 2 == 0, F.concat(F.lit("D:\\"), F.replace("file_path", F.lit("/"), F.lit("\\")))).otherwise(F.col("file_path"))).alias("path")),
     "s4_explode_structures": lambda s, d: S.explode_structures(_structures(s, d)).select(F.col("source_path").cast("long").alias("doc_id"), "ord", "page", "chunk_type", "text"),
     "s5_parse_jsonl": lambda s, d: S.parse_jsonl(view(s, d, "v_sft").select((F.col("conv_id") * 10 + F.col("turn")).alias("line_no"), F.when(F.col("conv_id") % 5 == 0, " ").otherwise(F.to_json(F.struct("prompt", "response"))).alias("value")), "prompt string, response string"),
-    "s9_feedback_log": lambda s, d: view(s, d, "v_feedback").select("event_id", F.to_json(F.struct("model_name", "version", "rating", F.lit(None).cast("string").alias("comment")), {"ignoreNullFields": "false"}).alias("line")),
+    "s6_write_jsonl": s6_write_jsonl,
+    "s9_feedback_log": s9_feedback_log,
+    "s10_metrics_log": s10_metrics_log,
+    "s11_store": s11_store,
     "s12_inventory": lambda s, d: S.inventory(_paths(s, d)),
     "st1_ingest": st1_ingest,
     "st2_feedback": st2_feedback,
@@ -58,11 +92,15 @@ QUERIES = {
 PATHS = "with f as (select case when doc_id % 11 = 0 then '/my.cache/' when doc_id % 13 = 0 then '/x/venv_' else '/docs/' end || doc_id || ['.txt', '.PDF', '.bin', '.exe', '.log'][doc_id % 5 + 1] as path, doc_id, n_chars * case when doc_id % 7 = 0 then 100000 else 1 end as length from documents)"
 SQL = {
     "s1_allowed_files": PATHS + " select path, length from f where doc_id % 5 in (0, 1)",
-    "s2_new_files": "select distinct file_path from v_documents where id % 3 <> 0",
+    "s2_new_files": "select distinct file_path from v_documents where file_path not in (select file_path from v_documents join labels on doc_id = id)",
     "s3_normalize_path": "select id, case when id % 2 = 0 then '/mnt/d/' || file_path else file_path end as path from v_documents",
     "s4_explode_structures": "select doc_id, ord, page, chunk_type, text from v_blocks",
     "s5_parse_jsonl": "select conv_id * 10 + turn as line_no, prompt, response from v_sft where conv_id % 5 <> 0",
-    "s9_feedback_log": """select event_id, '{"model_name":"' || model_name || '","version":' || version || ',"rating":' || rating || ',"comment":null}' as line from v_feedback""",
+    "s6_write_jsonl": """select '{"conv_id":' || conv_id || ',"turn":' || turn || ',"note":null}' as line from v_sft""",
+    "s9_feedback_log": "select true as stamped, model_name, version, 'p' as prompt, null as response, unnest([null, 'again é']) as comment, rating, latency, input_tokens, output_tokens from v_feedback",
+    "s10_metrics_log": "select cast(run_id as double) as ts, 1 as epoch, step, value as loss, 0.5::double as lr from v_metrics",
+    "s11_store": "select * from v_documents union all select -id, file_name, file_path, domain_code, audience_id, severity from v_documents",
+    "st1_ingest": "with b as (select doc_id, ord, S(text) as text from v_blocks where length(S(text)) > 5), d as (select * from b qualify row_number() over (partition by doc_id, text order by ord) = 1) select doc_id, ord, 'p1_c' || row_number() over (partition by doc_id order by ord) as chunk_id, cast(len(W(text)) as int) as context_tokens from d where length(text) >= 40",
     "s12_inventory": PATHS + " select case when doc_id % 11 <> 0 and doc_id % 13 = 0 then 'COMMON_IGNORE' when doc_id % 5 in (2, 4) then 'MODEL_OR_BINARY' when length > 50 * 1024 * 1024 then 'LARGE_FILE' else 'OK' end as flag, count(*) as n, cast(sum(length) as bigint) as bytes from f where doc_id % 11 <> 0 group by 1",
     "st2_feedback": "select model_name, count(*) as n, round(avg(rating), 6) as mean_rating from v_feedback group by model_name",
     "st3_state_counts": "select event_type as state, count(*) as n from events group by 1",

@@ -23,8 +23,12 @@ def _cand(s, d):
     return view(s, d, "v_candidates").withColumn("answer", F.when((F.col("question_id") + F.col("ord")) % 7 == 0, "").otherwise(F.col("answer")))
 
 
-def _scored(s, d):
-    return A.scored(_cand(s, d))
+def _contexts(s, d):
+    return table(s, d, "documents").select("doc_id", F.col("text").alias("context"))
+
+
+def _scored(s, d, **how):
+    return A.scored_in(_cand(s, d).drop("context"), _contexts(s, d), **how)
 
 
 def _best(s, d):
@@ -37,14 +41,17 @@ def _dressed(s, d):
     return view(s, d, "v_candidates").select("question_id", "ord", F.concat(F.lit(" "), front, F.col("answer")).alias("answer"), "context")
 
 
-def _vectors(s, d):
-    return view(s, d, "v_embeddings").select((F.col("id") / 50).cast("long").alias("grp"), "id", F.col("id").alias("ord"), F.col("embedding").alias("vector"))
+def _question_vectors(s, d):
+    """Encoded questions, grouped by their document."""
+    asked = view(s, d, "v_questions")
+    made = E.embed(asked.select(F.col("question_id").alias("id"), F.col("question").alias("text")))
+    return asked.join(made, asked["question_id"] == made["id"]).select("doc_id", F.col("question_id").alias("ord"), "vector")
 
 
-def _upper_model():
+def _what_is():
     def make():
         def model(pdf):
-            return pdf[["doc_id", "ord"]].assign(question=["What is " + t[:20] + "?" for t in pdf["text"]])
+            return pdf[["doc_id", "ord"]].assign(question=["What is " + t + "?" for t in pdf["text"]])
 
         return model
 
@@ -72,26 +79,26 @@ QUERIES = {
     "q8_apply_templates": lambda s, d: Q.apply_templates(_raw(s, d)).select("doc_id", "ord", "question"),
     "q9_quality_pass": lambda s, d: _raw(s, d).select("doc_id", "ord", Q.quality_pass(F.col("question"), F.col("context")).alias("ok")),
     "q10_valid_question": lambda s, d: _raw(s, d).select("doc_id", "ord", Q.valid_question(F.col("question")).alias("ok"), Q.valid_question(F.col("question"), 40).alias("ok_strict")),
-    "q11_greedy_dedupe": lambda s, d: Q.greedy_dedupe(_vectors(s, d), "grp", 0.5),
-    "q11b_exact_dedupe": lambda s, d: Q.exact_dedupe(view(s, d, "v_questions").withColumnRenamed("question_index", "ord").withColumn("grp", F.col("doc_id") % 10).withColumn("question", F.left("question", F.lit(3))).withColumn("ord", F.col("question_id")), "grp").select("grp", "ord"),
+    "q11_greedy_dedupe": lambda s, d: Q.greedy_dedupe(_question_vectors(s, d), "doc_id", 0.7),
+    "q11b_exact_dedupe": lambda s, d: Q.exact_dedupe(view(s, d, "v_questions").withColumn("ord", F.col("question_id")), "doc_id").select("doc_id", "ord", "question"),
     "q12_choose_attempt": _attempts,
     "q13_number_questions": lambda s, d: Q.number_questions(view(s, d, "v_questions").select("doc_id", F.col("question_id").alias("ord")), "doc_id"),
-    "q14_render_prompt": lambda s, d: Q.render_prompt(_raw(s, d).withColumn("context", F.left("context", F.lit(1200))), "CONTEXT:\n{context}\n\nQUESTION: {question}", 600).select("doc_id", "ord", F.sha2("prompt", 256).alias("prompt_sha"), F.length("prompt").alias("n")),
-    "q15_generate_questions": lambda s, d: Q.generate(view(s, d, "v_blocks").select("doc_id", "ord", "text"), _upper_model(), "doc_id long, ord int, question string"),
+    "q14_render_prompt": lambda s, d: Q.render_prompt(_raw(s, d), "CONTEXT:\n{context}\n\nQUESTION: {question}", 1230, "head", strict=False).select("doc_id", "ord", F.sha2("prompt", 256).alias("prompt_sha"), F.length("prompt").alias("n"), (~F.col("prompt").rlike(Q.PLACE)).alias("ok")),
+    "q15_generate_questions": lambda s, d: Q.generate(view(s, d, "v_blocks").select("doc_id", "ord", "text"), _what_is(), "doc_id long, ord int, question string"),
     "a1_work_items": lambda s, d: A.work_items(
         view(s, d, "v_questions").groupBy("doc_id").agg(F.array_sort(F.collect_list("question")).alias("questions")).withColumn("chunk_id", F.lit("p1_c1")),
         table(s, d, "documents").select("doc_id", F.lit("p1_c1").alias("chunk_id"), F.col("text").alias("context")), view(s, d, "v_questions").withColumn("chunk_id", F.lit("p1_c1")),
     ).select("doc_id", "question_index", "question_id", "asked"),
     "a2_normalize": lambda s, d: _cand(s, d).select("question_id", "ord", A.normalize(F.when(F.col("ord") % 5 == 1, F.concat(F.lit(" ["), "answer")).when(F.col("ord") % 5 == 3, F.concat("answer", F.lit("? "))).otherwise(F.col("answer"))).alias("answer")),
-    "a3_extract": lambda s, d: view(s, d, "v_candidates").select("question_id", "ord", A.extract(F.concat(F.lit("x Answer: "), F.col("answer"), F.when(F.col("ord") % 3 == 1, " Question: y").otherwise("")), F.left("context", F.lit(80))).alias("answer")),
+    "a3_extract": lambda s, d: view(s, d, "v_candidates").join(view(s, d, "v_questions").select("question_id", "question"), "question_id").select("question_id", "ord", A.extract(F.concat(F.lit("x Answer: "), F.col("answer"), F.when(F.col("ord") % 3 == 1, " Question: y").otherwise("")), F.col("question")).alias("answer")),
     "a4_keywords": lambda s, d: view(s, d, "v_candidates").select("question_id", "ord", F.array_join(F.array_sort(A.keywords(F.col("answer"))), " ").alias("keywords")),
     "a5_clean_output": lambda s, d: _dressed(s, d).select("question_id", "ord", A.clean_output(F.col("answer")).alias("answer")),
     "a6_strip_prompt": lambda s, d: view(s, d, "v_candidates").select("question_id", "ord", A.strip_prompt(F.concat(F.when(F.col("ord") % 2 == 0, "a ").otherwise(""), F.lit("PROMPT "), "answer"), F.lit("PROMPT")).alias("answer")),
     "a7_grounding": lambda s, d: view(s, d, "v_candidates").select("question_id", "ord", A.grounded(F.col("answer"), F.col("context")).alias("ok"), A.grounded(F.col("answer"), F.col("context"), 4).alias("ok_aggressive"), A.grounded_long(F.col("answer"), F.col("context")).alias("ok_long"), A.grounded_strict(F.col("answer"), F.col("context")).alias("ok_strict")),
-    "a8_score": lambda s, d: _scored(s, d).select("question_id", "ord", "score", A.score(F.col("answer"), F.col("context"), -5.0, False).alias("plain_score")),
+    "a8_score": lambda s, d: A.scored_in(_scored(s, d).withColumnRenamed("score", "s"), _contexts(s, d), none_shared=-5.0, by_length=False).select("question_id", "ord", F.col("s").alias("score"), F.col("score").alias("plain_score")),
     "a9_sample_plan": lambda s, d: A.sample_plan(view(s, d, "v_questions").select("question_id"), _models(s, d).filter("enabled").select("name")),
     "a10_best_of_n": lambda s, d: _best(s, d).select("question_id", "model_name", "ord", "score"),
-    "a11_rank_models": lambda s, d: A.rank_models(_best(s, d)).select("question_id", "model_name", "is_best", "is_worst"),
+    "a11_rank_models": lambda s, d: A.rank_models(_best(s, d)).select("question_id", "model_name", "is_best", "is_worst", *[F.col("answer_scores")[m].alias(f"score_{m}") for m in ("m0", "m1", "m2")]),
     "a12_nested_samples": lambda s, d: A.nested_samples(_scored(s, d)).select("question_id", F.explode("per_model_samples").alias("model_name", "_s")).select("question_id", "model_name", F.size("_s").alias("n"), F.array_join(F.transform("_s", lambda r: r["sample_id"].cast("string")), ",").alias("sample_order")),
     "a13_wide_answers": lambda s, d: A.wide_answers(_best(s, d), ["m0", "m1", "m2"]),
     "a14_rerank": lambda s, d: A.rerank(_scored(s, d)).select("question_id", "best_model", "best_answer", "worst_model", "worst_answer", F.size("answer_scores").alias("n_models")),
@@ -100,7 +107,7 @@ QUERIES = {
     "a17_generate_answers": lambda s, d: Q.generate(view(s, d, "v_blocks").select("doc_id", "ord", "text").repartition("doc_id"), Q.by_class_path("quern.operators.models.EchoModel"), "doc_id long, ord int, answer string"),
     "e1_embed": lambda s, d: E.embed(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text")).select("id", F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")),
     "e2_embedding_table": lambda s, d: E.embedding_table(view(s, d, "v_embeddings"), "hash64").select("parent_type", "parent_id", "model_name", "actual_dimensions", F.col("meta")["source"].alias("source")),
-    "e3_group_cosine": lambda s, d: E.group_cosine(_vectors(s, d), "grp", 0.2).withColumn("cosine", F.round("cosine", 6)),
+    "e3_group_cosine": lambda s, d: E.group_cosine(view(s, d, "v_embeddings").filter("label is not null").select("label", "id", F.col("embedding").alias("vector")), "label", 0.6).withColumn("cosine", F.round("cosine", 6)),
 }
 STARTS = "(lower(s) like 'this %' or lower(s) like 'that %' or lower(s) like 'these %' or lower(s) like 'those %' or lower(s) like 'it %')"
 MARKS = "(" + " or ".join(f"contains(lower(s), '{m}')" for m in Q.FACT_MARKS) + ")"
@@ -151,16 +158,17 @@ SQL = {
     "q8_apply_templates": TEMPLATED + " select doc_id, cast(ord as int) as ord, question from t",
     "q9_quality_pass": f"with q as ({DRAW}) select doc_id, cast(ord as int) as ord, {OK9} as ok from q",
     "q10_valid_question": f"with q as ({DRAW}) select doc_id, cast(ord as int) as ord, {OK10.format(n=240)} as ok, {OK10.format(n=40)} as ok_strict from q",
-    "q11b_exact_dedupe": "with q as (select doc_id % 10 as grp, question_id as ord, substr(question, 1, 3) as question from v_questions) select grp, ord from q where S(question) <> '' qualify row_number() over (partition by grp, lower(S(question)) order by ord) = 1",
+    "q11b_exact_dedupe": "select doc_id, question_id as ord, question from v_questions where S(question) <> '' qualify row_number() over (partition by doc_id, lower(S(question)) order by question_id) = 1",
     "q12_choose_attempt": TEMPLATED + f""", a as (select *, cast(ord % 3 + 1 as int) as attempt from t where not (doc_id % 5 = 0 and ord % 3 = 0)), v as (select *, {OK9} as ok9, {OK10.format(n=240)} as ok10 from a),
         g as (select * from v where ok9 and ok10 qualify row_number() over (partition by doc_id, attempt, lower(S(question)) order by ord) = 1), f as (select doc_id, min(attempt) as a from g group by doc_id),
         l as (select doc_id, max(attempt) as a from a where doc_id not in (select doc_id from f) group by doc_id)
         select g.doc_id, attempt, cast(ord as int) as ord, question from g join f on g.doc_id = f.doc_id and attempt = f.a union all select v.doc_id, attempt, cast(ord as int), question from v join l on v.doc_id = l.doc_id and attempt = l.a where ok10""",
     "q13_number_questions": "select doc_id, question_id as ord, question_index from v_questions",
-    "q14_render_prompt": f"with q as ({DRAW}), p as (select doc_id, ord, substr('CONTEXT:' || chr(10) || substr(context, 1, 1200) || chr(10) || chr(10) || 'QUESTION: ' || question, 1, 600) as p from q) select doc_id, cast(ord as int) as ord, sha256(p) as prompt_sha, cast(length(p) as int) as n from p",
+    "q14_render_prompt": f"with q as ({DRAW}), p as (select doc_id, ord, right('CONTEXT:' || chr(10) || substr(context, 1, 1200) || chr(10) || chr(10) || 'QUESTION: ' || question, 1230) as p from q) select doc_id, cast(ord as int) as ord, sha256(p) as prompt_sha, cast(length(p) as int) as n, not regexp_matches(p, '\\{{\\s*\\w+\\s*\\}}') as ok from p",
+    "q15_generate_questions": "select doc_id, ord, 'What is ' || text || '?' as question from v_blocks",
     "a1_work_items": "with g as (select doc_id, question as asked, cast(row_number() over (partition by doc_id order by question) as int) as question_index from v_questions) select g.doc_id, g.question_index, q.question_id, g.asked from g join documents d on d.doc_id = g.doc_id join v_questions q on q.doc_id = g.doc_id and q.question_index = g.question_index",
     "a2_normalize": CAND + ", d as (select question_id, ord, S(case ord % 5 when 1 then ' [' || answer when 3 then answer || '? ' else answer end) as a from c) select question_id, ord, case when a <> '' and a not like '%?' and not regexp_matches(a, '^[{\\[]') then a end as answer from d".replace("\\\\", "\\"),
-    "a3_extract": f"select question_id, ord, case when S(answer) <> '' and S(answer) not like '%?' and len(list_intersect({_keys.format(x='substr(context, 1, 80)')}, {_keys.format(x='answer')})) > 0 then S(answer) end as answer from v_candidates",
+    "a3_extract": f"select question_id, ord, case when S(answer) <> '' and S(answer) not like '%?' and len(list_intersect({_keys.format(x='question')}, {_keys.format(x='answer')})) > 0 then S(answer) end as answer from v_candidates join v_questions using (question_id)",
     "a4_keywords": f"select question_id, ord, array_to_string(list_sort({_keys.format(x='answer')}), ' ') as keywords from v_candidates",
     "a6_strip_prompt": "select question_id, ord, S(answer) as answer from v_candidates",
     "a5_clean_output": r"""with a as (select question_id, ord, S(answer) as x from v_candidates), q as (select question_id, ord, regexp_replace(regexp_replace(x, '^[`''"]+|[`''"]+$', '', 'g'), '\s+', ' ', 'g') as x from a),
@@ -171,7 +179,9 @@ SQL = {
     "a9_sample_plan": "select question_id, 'm' || n_nationkey as name, cast(i as int) as sample_id, i > 3 as do_sample from v_questions, nation, range(1, 9) r(i) where n_nationkey % 2 = 0",
     "a10_best_of_n": BEST + " select question_id, model_name, ord, score from b",
     "a11_rank_models": BEST + """ select question_id, model_name, row_number() over (partition by question_id order by score desc, ord, model_name) = 1 as is_best,
-        row_number() over (partition by question_id order by score, ord desc, model_name desc) = 1 and count(*) over (partition by question_id) > 1 as is_worst from b""",
+        row_number() over (partition by question_id order by score, ord desc, model_name desc) = 1 and count(*) over (partition by question_id) > 1 as is_worst,
+        max(score) filter (where model_name = 'm0') over (partition by question_id) as score_m0, max(score) filter (where model_name = 'm1') over (partition by question_id) as score_m1,
+        max(score) filter (where model_name = 'm2') over (partition by question_id) as score_m2 from b""",
     "a12_nested_samples": CAND + " select question_id, model_name, cast(count(*) as int) as n, string_agg(cast(ord as varchar), ',' order by score desc, ord) as sample_order from s group by question_id, model_name",
     "a13_wide_answers": BEST + " select question_id, " + ", ".join(f"max(answer) filter (where model_name = 'm{i}') as answer_m{i}" for i in range(3)) + " from b group by question_id",
     "a14_rerank": CAND + """, p as (select question_id, model_name, max(score) as top, min(ord) as ord from s group by all),
@@ -181,7 +191,9 @@ SQL = {
     "a15_unknown_models": "select question_id, ord, model_name from v_candidates where model_name = 'm2'",
     "a16_select_models": "select 'm' || n_nationkey as name, 'chosen' as what from nation where n_nationkey in (2, 4) union all select 'm5', 'missing' union all select 'nope', 'missing'",
     "e2_embedding_table": "select parent_type, parent_id, 'hash64' as model_name, cast(len(embedding) as int) as actual_dimensions, parent_type as source from v_embeddings",
-    "e3_group_cosine": """with v as (select id // 50 as grp, id, list_transform(embedding, lambda x: x::double) as e from v_embeddings),
-        p as (select a.grp, a.id as a, b.id as b, list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) as cosine from v a join v b on a.grp = b.grp and a.id < b.id) select grp, a, b, round(cosine, 6) as cosine from p where cosine >= 0.2""",
+    "e3_group_cosine": """with v as (select label, id, list_transform(embedding, lambda x: x::double) as e from v_embeddings where label is not null),
+        p as (select a.label, a.id as a, b.id as b, list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) as cosine from v a join v b on a.label = b.label and a.id < b.id) select label, a, b, round(cosine, 6) as cosine from p where cosine >= 0.6""",
+    "e1_embed": "select doc_id as id, case when len(W(coalesce(text, ''))) > 0 then 1.0::double else 0.0 end as norm from documents",
+    "a17_generate_answers": "select doc_id, ord, string_split(text, '.')[1] as answer from v_blocks",
 }
 ORACLE_SQL = {k: duck(v) for k, v in SQL.items()}

@@ -17,7 +17,7 @@ VIEWS = {
        union all select doc_id, 'MANUAL' from {documents} where doc_id % 3 = 0 union all select doc_id, 'SPEC' from {documents} where doc_id % 5 = 0""",
     "v_questions": """select conv_id * 100 + turn as question_id, conv_id as doc_id, cast(row_number() over (partition by conv_id order by turn) as int) as question_index,
        text as question from {conversations} where role = 'user'""",
-    "v_candidates": """select q.conv_id * 100 + q.turn as question_id, concat('m', cast(a.turn % 3 as varchar(5))) as model_name, a.turn as ord, a.text as answer, d.text as context
+    "v_candidates": """select q.conv_id * 100 + q.turn as question_id, q.conv_id as doc_id, concat('m', cast(a.turn % 3 as varchar(5))) as model_name, a.turn as ord, a.text as answer, d.text as context
        from {conversations} q join {conversations} a on q.conv_id = a.conv_id and q.role = 'user' and a.role = 'assistant' join {documents} d on d.doc_id = q.conv_id""",
     "v_sft": """select conv_id, turn, prompt, response from (select conv_id, turn, role, text as prompt, lead(role) over (partition by conv_id order by turn) as nrole,
        lead(text) over (partition by conv_id order by turn) as response from {conversations}) t where role = 'user' and nrole = 'assistant'""",
@@ -26,7 +26,7 @@ VIEWS = {
        case when o.o_orderstatus = 'O' then null else l.fin end as finished_at, o.o_orderstatus = 'F' as success
        from {orders} o left join (select l_orderkey, max(l_shipdate) as fin from {lineitem} group by l_orderkey) l on o.o_orderkey = l.l_orderkey""",
     "v_metrics": """select user_id as run_id, event_type as metric, cast(row_number() over (partition by user_id, event_type order by ts, event_id) as int) as step, value, ts from {events}""",
-    "v_feedback": """select event_id, event_type as model_name, cast(user_id % 3 as int) as version, cast(regexp_extract(props, '[0-9]+', 0) as int) % 5 + 1 as rating, value as latency from {events}""",
+    "v_feedback": """select event_id, event_type as model_name, cast(user_id % 3 as int) as version, cast(regexp_extract(props, '[0-9]+', 0) as int) % 5 + 1 as rating, value as latency, cast(length(props) as int) as input_tokens, cast(length(event_type) as int) as output_tokens from {events}""",
     "v_embeddings": """select vec_id as id, case vec_id % 4 when 0 then 'document' when 1 then 'chunk' when 2 then 'question' else 'answer' end as parent_type,
        vec_id * 3 as parent_id, embedding, label from {embeddings}""",
     "v_cells": """select r.r_name as sheet, cast(row_number() over (partition by r.r_name order by n.n_nationkey) + 1 as int) as row_no, n.n_name as a, '' as b, cast(n.n_nationkey as varchar(9)) as c

@@ -23,10 +23,13 @@ METRICS = "ts double, epoch int, step int, loss double, lr double"
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of spark.checkpoint.dir; a temporary one only where none is set."""
+    """A new path in the folder of spark.checkpoint.dir; a temporary one only on a local master where none is set."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quern-"))
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quern-"))
     return f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 

@@ -38,14 +38,23 @@ def state_counts(stream: DataFrame) -> DataFrame:
 
 
 def materialize_counts(counts: DataFrame, checkpoint: str, out: str) -> None:
-    """Counts in complete mode: every batch replaces the small table in out."""
+    """Counts in complete mode: every batch writes the small table whole into a folder of its own; see latest_counts.
+
+    What an earlier batch wrote stays until a later one is there, so a crash never leaves readers without counts.
+    """
 
     def write(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+        batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
 
     counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def latest_counts(spark: SparkSession, out: str) -> DataFrame:
+    """The counts of the newest batch in out."""
+    rows = spark.read.parquet(out)
+    return rows.join(rows.agg(F.max("batch").alias("batch")), "batch").drop("batch")
+
+
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A shared table as a stream of its files; the pattern also takes a table that is a single file."""
     path = f"{sf_dir}/{name}.parquet"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from quern.operators import answers as A
 from quern.operators import catalog as D
 from quern.operators import chunks as C
+from quern.operators import export as E
 from quern.operators import extract as X
 from quern.operators import questions as Q
 from quern.operators import registry as R
@@ -144,7 +145,8 @@ def test_failures_are_loud(spark):
 def test_json_round_trip_and_bad_lines(spark, tmp_path):
     df = spark.createDataFrame([(1, "é", None)], "a int, b string, c string")
     S.write_jsonl(df, str(tmp_path / "x"))
-    assert next((tmp_path / "x").glob("part-*")).read_text("utf-8").strip() == '{"a":1,"b":"é","c":null}'
+    written = "".join(p.read_text("utf-8") for p in sorted((tmp_path / "x").glob("part-*")))
+    assert written.strip() == '{"a":1,"b":"é","c":null}'
     lines = spark.createDataFrame([(1, '{"a": 1}'), (2, "  "), (3, "{bad")], "line_no long, value string")
     assert [r.line_no for r in S.parse_jsonl(lines, "a int", True).orderBy("line_no").collect()] == [1, 3]
     with pytest.raises(Exception, match="line 3"):
@@ -179,3 +181,104 @@ def test_ids_hold_over_partitions(spark):
     df = spark.range(500).select((F.col("id") % 7).alias("doc_id"), F.col("id").cast("int").alias("ord"), F.concat(F.lit("some text that is long enough to be kept "), F.col("id").cast("string")).alias("text"), F.lit(1).alias("page"))
     one, many = (sorted(rows(C.chunk_ids(x), "doc_id", "ord", "chunk_id")) for x in (df.repartition(1), df.repartition(64)))
     assert one == many
+
+
+def test_text_report_equals_the_loop(spark):
+    """Two chunks of one document, one without questions; long lines; ties of models; a question without answers."""
+    import textwrap
+
+    long = " ".join(f"word{i}" for i in range(60))
+    flat = [
+        (1, "d", 2, "p2_c1", None, long, 20, 1, "Why?", "m1", long, False),
+        (1, "d", 2, "p2_c1", None, long, 20, 1, "Why?", "m0", "short", True),
+        (1, "d", None, "p0_c1", "S", "first", None, None, None, None, None, None),
+        (1, "d", 2, "p2_c1", None, long, 21, 0, "Who?", None, None, None),
+        (2, "e", 1, "p1_c1", None, None, 30, 1, "What?", "m0", "a", False),
+    ]
+    names = ["doc_id", "document", "page", "chunk_id", "section", "context", "question_id", "question_index", "question", "model_name", "answer", "is_best"]
+    df = spark.createDataFrame(flat, "doc_id long, document string, page int, chunk_id string, section string, context string, question_id long, question_index int, question string, model_name string, answer string, is_best boolean")
+    got = {r.doc_id: r.report for r in E.text_report(df.repartition(3)).collect()}
+    for doc in (1, 2):
+        own = [dict(zip(names, r)) for r in flat if r[0] == doc]
+        lines = ["=" * 140, f"DOCUMENT: {own[0]['document']}", "PATH:     None", "=" * 140]
+        for chunk in sorted({r["chunk_id"] for r in own}, key=lambda c: (next(r["page"] or 0 for r in own if r["chunk_id"] == c), c)):
+            here = [r for r in own if r["chunk_id"] == chunk]
+            first = here[0]
+            lines += ["\n" + "-" * 140, f"[CHUNK] chunk_id={chunk}   (page={first['page']}, section={first['section']}, subsection=None)", "-" * 140, "\n".join(textwrap.wrap(first["context"] or "", 100)), "-" * 140]
+            asked = sorted({(r["question_index"], r["question_id"], r["question"]) for r in here if r["question_id"]})
+            if not asked:
+                lines.append("  (No questions for this chunk)")
+            for index, qid, question in asked:
+                lines.append(f"\n  ► QUESTION {index}: {question}")
+                answers = sorted((r["model_name"] or "", r["answer"] or "", r["is_best"]) for r in here if r["question_id"] == qid)
+                if not answers[0][1]:
+                    lines.append("      (No answers found for this question)")
+                    continue
+                for model, answer, best in answers:
+                    lines.append(f"      - [{model}]" + (" (best)" if best else ""))
+                    lines += ["          " + x for x in textwrap.wrap(answer, 100)]
+        assert got[doc] == "\n".join(lines)
+
+
+def test_question_dedupe_of_the_table_equals_the_loop(spark):
+    """The registered query, over all questions, against a loop over the same vectors."""
+    from quern.plans import qa_queries
+
+    sf = "/root/testdata/sf0.001"
+    vectors = sorted((r.doc_id, r.ord, list(r.vector)) for r in qa_queries._question_vectors(spark, sf).collect())
+    cos = lambda a, b: sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+    want, kept = [], {}
+    for doc, ord_, v in vectors:
+        if all(cos(v, k) <= 0.7 for k in kept.get(doc, [])):
+            kept.setdefault(doc, []).append(v)
+            want.append((doc, ord_))
+    assert sorted(rows(qa_queries.QUERIES["q11_greedy_dedupe"](spark, sf))) == want
+
+
+def test_group_cosine_in_blocks(spark, monkeypatch):
+    from quern.operators import embed as B
+
+    rng = random.Random(3)
+    data = [(g, g * 100 + i, [rng.gauss(0, 1) for _ in range(3)]) for g in range(3) for i in range(20)]
+    df = spark.createDataFrame(data, "grp int, id long, vector array<float>")
+    whole = sorted((r.grp, r.a, r.b, round(r.cosine, 9)) for r in B.group_cosine(df, "grp", 0.5).collect())
+    monkeypatch.setattr(B, "BLOCK", 4)
+    assert whole and sorted((r.grp, r.a, r.b, round(r.cosine, 9)) for r in B.group_cosine(df, "grp", 0.5).collect()) == whole
+
+
+def test_embedding_counts_words(spark):
+    import zlib
+
+    from quern.operators import embed as B
+
+    df = spark.createDataFrame([(1, "a b A"), (2, None), (3, "")], "id long, text string")
+    got = {r.id: list(r.vector) for r in B.embed(df).collect()}
+    want = [0.0] * 64
+    for w in ("a", "b", "a"):
+        want[zlib.crc32(w.encode()) % 64] += 1 / 5**0.5
+    assert all(abs(x - y) < 1e-12 for x, y in zip(got[1], want)) and got[2] == got[3] == [0.0] * 64
+
+
+def test_unrendered_places_fail(spark):
+    df = spark.createDataFrame([("see { name }", "q")], "context string, question string")
+    with pytest.raises(Exception, match="not rendered"):
+        Q.render_prompt(df, "{context}|{question}").collect()
+    assert rows(Q.render_prompt(df, "{context}|{question}", strict=False, context_longest=3), "prompt") == [("see|q",)]
+
+
+def test_intent_rows(spark):
+    df = spark.createDataFrame([(1, None, "x", "b", None), (2, "t", None, "a", None), (3, "", "u", "b", None), (4, "v", None, "z", 9)], "ord int, text string, query string, label string, label_id int")
+    assert sorted(rows(T.intent_rows(df))) == [(1, "x", 0), (2, "t", 1), (3, "u", 0), (4, "v", 9)]
+    for bad in [(5, None, None, "a", None), (5, "t", None, None, None)]:
+        with pytest.raises(Exception, match="an intent row has no"):
+            T.intent_rows(spark.createDataFrame([bad], df.schema)).collect()
+
+
+def test_clean_by_model(spark):
+    df = spark.createDataFrame([("openelm-1", "<|im_start|>assistant It runs.<|im_end|>"), ("qwen", "Response: 'It runs'"), ("flan", "Answer: `It runs`")], "model_name string, answer string")
+    assert [r.answer for r in A.clean_by_model(df).collect()] == ["It runs.", "'It runs'.", "It runs."]
+
+
+def test_report_columns_come_in_order(spark):
+    df = spark.createDataFrame([(0.5, True, "a", 1, "x", "c")], "score double, is_best boolean, answer string, doc_id int, own string, context string")
+    assert E.report_tables(df)["qna"].columns == ["doc_id", "answer", "is_best", "context", "score", "own"]
