@@ -8,6 +8,10 @@ copies are dealt by a hashed key over all partitions and ordered by it: a global
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
+#: Sources up to which the table of rates is broadcast: their distributions are 20 MB at most.
+SOURCES = 10_000
 #: A larger mean is drawn as a sum of this many at most, so that exp(-mean) stays a normal number.
 PART = 64.0
 
@@ -34,7 +38,11 @@ def repetition_rates(docs: DataFrame, weights: DataFrame | None = None, epochs:
 
 
 def with_copies(docs: DataFrame, rates: DataFrame, seed: int = 0) -> DataFrame:
-    """docs with n_copies. The table of rates has a row per source; Spark broadcasts it only while it is small."""
+    """docs with n_copies. The table of rates has a row per source and is counted: up to SOURCES rows it is broadcast.
+
+    Beyond that it is joined by a shuffle of both sides; it is stored first, so that Spark can split a hot source.
+    """
+    rates = stored(rates)
     part = F.greatest(F.lit(1.0), F.ceil(F.col("rate") / PART))
     last = (F.col("mean") + 15 * F.sqrt("mean") + 30).cast("int")
     step = F.aggregate(
@@ -50,15 +58,10 @@ def with_copies(docs: DataFrame, rates: DataFrame, seed: int = 0) -> DataFrame:
         .withColumn("mean", F.col("rate") / F.col("_parts"))
         .select("_source", "_parts", step.alias("_cdf"))
     )
-    draw = F.aggregate(
-        F.sequence(F.lit(0), F.col("_parts") - 1),
-        F.lit(0),
-        lambda n, j: n
-        + F.size(
-            F.filter("_cdf", lambda x: x <= _uniform(F.lit(str(seed)), j.cast("string"), F.col("doc_id").cast("string")))
-        ),
-    )
-    joined = docs.join(cdf, docs["source"].eqNullSafe(cdf["_source"]))
+    draws = F.transform(F.sequence(F.lit(0), F.col("_parts") - 1), lambda j: _uniform(F.lit(str(seed)), j.cast("string"), F.col("doc_id").cast("string")))
+    draw = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("_cdf", lambda x: x <= u)))
+    cdf = F.broadcast(cdf) if rates.count() <= SOURCES else cdf
+    joined = docs.join(cdf, docs["source"].eqNullSafe(F.col("_source")))
     return joined.withColumn("n_copies", draw).drop("_source", "_parts", "_cdf")
 
 
@@ -66,8 +69,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0,
     """Rows of docs, each repeated by its Poisson count, with n_copies, copy (from 1) and mix_key, in shuffled order.
 
     Rows that draw 0 do not appear; that is the operator. A null source is a source of its own; a null doc_id draws
-    from the hash of its source's seed alone; repeated rows draw alike. Columns of docs named n_copies, copy or
-    mix_key are replaced. No rows give no rows.
+    from the hash of the seed alone; repeated rows draw alike. Texts are carried along whole, null, empty or long. Copies
+    whose keys tie come in any order. Columns of docs named n_copies, copy or mix_key are replaced. No rows give no rows.
     """
     docs = docs.drop("n_copies", "copy", "mix_key")
     drawn = with_copies(docs, repetition_rates(docs, weights, epochs), seed)

@@ -117,12 +117,14 @@ OP8_SQL = """
 with s as (select source, count(*) as n from documents group by source),
 t as (select sum(n) as total, count(*) as sources from s),
 r as (select source, 1.0::double / sources * total / n as rate from s, t),
-k as (select source, rate, unnest(range(0, cast(ceil(rate + 15 * sqrt(rate) + 30) as bigint))) as k from r),
-c as (select source, k, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) over (partition by source order by k) as cdf from k),
-l as (select source, list(cdf order by k) as cdf from c group by source),
-u as (select d.doc_id, d.source, d.text, l.cdf, cast('0x' || substr(sha256('0:0:' || d.doc_id), 1, 13) as bigint) / 4503599627370496.0::double as u
+p as (select source, greatest(1, cast(ceil(rate / 64) as bigint)) as parts, rate / greatest(1, ceil(rate / 64)) as mean from r),
+k as (select source, parts, mean, unnest(range(0, cast(floor(mean + 15 * sqrt(mean) + 30) as bigint) + 1)) as k from p),
+c as (select source, parts, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) over (partition by source order by k) as cdf from k),
+l as (select source, parts, list(cdf order by k) as cdf from c group by source, parts),
+u as (select d.doc_id, d.source, d.text, l.cdf,
+        list_transform(range(0, l.parts), lambda j: cast('0x' || substr(sha256('0:' || j || ':' || d.doc_id), 1, 13) as bigint) / 4503599627370496.0::double) as us
       from documents d join l on d.source is not distinct from l.source),
-n as (select doc_id, source, text, cast(len(list_filter(cdf, lambda x: x <= u)) as integer) as n_copies from u),
+n as (select doc_id, source, text, cast(list_sum(list_transform(us, lambda u: len(list_filter(cdf, lambda x: x <= u)))) as integer) as n_copies from u),
 x as (select doc_id, source, text, n_copies, unnest(generate_series(1, n_copies)) as copy from n)
 select doc_id, source, n_copies, cast(copy as integer) as copy, substr(sha256('0:order:' || doc_id || ':' || copy), 1, 16) as mix_key,
        sha256(coalesce(text, '')) as text_sha256 from x

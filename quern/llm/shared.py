@@ -10,14 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage: the rows go to the shared folder of spark.checkpoint.dir, which outlives executors.
 
-    The session's folder is used as it is; only where none is set (tests) a temporary one is made.
+    With spark.cleaner.referenceTracking.cleanCheckpoints Spark removes them once nothing refers to them.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quern-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's folder, as it is set; only on a local master without one (tests) a temporary one is made."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        shared = sc.getConf().get("spark.checkpoint.dir")
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
+        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quern-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -34,9 +43,6 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def write_stage(df: DataFrame) -> DataFrame:
     """The rows as a Parquet table of its own in the shared folder, read again."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="quern-"))
-    path = f"{sc._jsc.sc().getCheckpointDir().get()}/stage-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)

@@ -155,6 +155,32 @@ def test_mixing_rates(spark):
     assert {r.source for r in mix(rows, weights).select("source").distinct().collect()} == {"big"}
 
 
+def test_mixing_by_shuffle_and_rates_above_a_part(spark, tmp_path, monkeypatch):
+    """A source so rare that its mean is drawn in parts, against the query's SQL; with and without a broadcast."""
+    import oracle
+
+    from quern.llm import mixing, queries
+
+    rows = docs(spark, *[(i, "t", "big") for i in range(600)], (601, "é", "rare"), (602, None, None)).select("doc_id", "text", "source")
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    made = {}
+    for most in (10_000, 0):
+        monkeypatch.setattr(mixing, "SOURCES", most)
+        made[most] = sorted(map(str, queries.op8_mixing(spark, str(tmp_path)).collect()))
+    assert made[0] == made[10_000] and sum("'rare'" in r for r in made[0]) > 100
+    con = oracle.duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = con.execute(queries.OP8_SQL).fetchall()
+    names = [c[0] for c in con.description]
+    assert sorted(str(tuple(r)) for r in got) == sorted(str(tuple(r[n] for n in names)) for r in queries.op8_mixing(spark, str(tmp_path)).collect())
+
+
+def test_mixing_replaces_columns(spark):
+    rows = docs(spark, *[(i, "t", "a") for i in range(50)]).withColumns({"n_copies": F.lit("x"), "copy": F.lit("x"), "mix_key": F.lit("x")})
+    got = mix(rows).collect()
+    assert got and all(len(r.mix_key) == 16 and 1 <= r.copy <= r.n_copies for r in got)
+
+
 def test_vectors(spark):
     v = [1.0, 0.0, 0.5]
     rows = [(1, v, 1), (2, v, 1), (2, v, 1), (3, v, 2), (4, v, None), (5, None, 1), (6, [0.0, 0.0, 0.0], 1), (7, [1.0, None, 0.0], 1), (8, [float("nan"), 1.0, 0.0], 1), (9, [1.0, 0.01, 0.5], 1), (10, [1.0, 0.0], 1), (11, [-1.0, 0.0, -0.5], 1)]
