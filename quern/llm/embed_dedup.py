@@ -2,10 +2,10 @@
 
 A vector is turned by three rounds of random signs and fast Hadamard transforms; its hash is the nearest vertex of the
 cross-polytope, +-e_i. A table combines several such hashes. A vector lies in its own bucket of every table and probes
-the next likely ones. Equal vectors are one entry with a count. A pair is verified, in double precision, only in the
-first bucket in which it meets, so no pair is counted twice and none leaves a task as a row: a bucket yields the number
-of links of each entry and a spanning star of its components. Buckets beyond BLOCK entries are compared block by block
-in many tasks.
+the next likely ones. Equal vectors are one entry with a count. Buckets are counted first, and vectors travel only to
+those that two entries share. A pair is verified, in double precision, only in the first bucket in which it meets, so no
+pair is counted twice and none leaves a task as a row: a bucket yields the number of links of each entry and a spanning
+star of its components. Buckets beyond BLOCK entries are compared block by block in many tasks.
 """
 
 import numpy as np
@@ -72,13 +72,13 @@ def buckets(v: np.ndarray, seed: int = 0) -> np.ndarray:
 
 
 def _first_meeting(a: np.ndarray, b: np.ndarray, bucket) -> np.ndarray:
-    """Whether bucket is the first in which the entries of a and b (their buckets, row by row) meet."""
+    """Whether bucket is the first in which the entries of a and b (their buckets, row by row, -1: shared with none) meet."""
     won = np.zeros(len(a), bool)
     open_ = np.ones(len(a), bool)
     for t in range(TABLES):
         meet = np.full(len(a), np.iinfo(np.int64).max)
         for x, y in ((a, b), (b, a)):
-            hit = (x[:, t, :1] == y[:, t, :]).any(1)
+            hit = (x[:, t, :1] == y[:, t, :]).any(1) & (x[:, t, 0] >= 0)
             meet = np.where(hit, np.minimum(meet, x[:, t, 0]), meet)
         here = open_ & (meet != np.iinfo(np.int64).max)
         won |= here & (meet == bucket)
@@ -90,16 +90,16 @@ def _entries(pdf: pd.DataFrame) -> tuple:
     """Ids, unit vectors, whether in their own bucket, all buckets, and counts of the rows."""
     v = np.stack(pdf["v"]).astype(np.float64)
     keys = np.stack(pdf["buckets"]).reshape(len(pdf), TABLES, 1 + PROBES)
-    return pdf["id"].to_numpy(), v / np.sqrt((v * v).sum(1, keepdims=True)), pdf["base"].to_numpy(), keys, pdf["count"].to_numpy()
+    return pdf["key"].to_numpy(), v / np.sqrt((v * v).sum(1, keepdims=True)), pdf["base"].to_numpy(), keys, pdf["count"].to_numpy()
 
 
 def _result(ids: np.ndarray, links: np.ndarray, low: np.ndarray) -> pd.DataFrame:
     at = np.flatnonzero((links > 0) | (low != np.arange(len(low))))
-    return pd.DataFrame({"id": ids[at], "other": ids[low[at]], "n": links[at].astype(np.int64)})
+    return pd.DataFrame({"key": ids[at], "other": ids[low[at]], "n": links[at].astype(np.int64)})
 
 
 def compare_cell(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Whole buckets of BLOCK entries at most: (id, other, n): an entry's links here, and an entry of its component."""
+    """Whole buckets of BLOCK entries at most: (key, other, n): an entry's links here, and an entry of its component."""
     pdf = pdf.sort_values("bucket", kind="stable")
     bucket = pdf["bucket"].to_numpy()
     ids, v, base, keys, count = _entries(pdf)
@@ -142,34 +142,39 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     Only rows with equal labels that are not null are linked, at a cosine of at least `cosine` in double precision.
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, nor do vectors of
-    unequal widths, nor rows without vec_id. Equal vectors of a label are linked. Rows that repeat a vec_id share its
-    links and component. Other columns are not read. No rows give no rows.
+    unequal widths, nor rows without vec_id. Equal vectors of a label are linked. Every row is a vector of its own, also
+    where rows repeat a vec_id: n_links counts other rows, and component_id is the smallest vec_id of the rows that links
+    lead to. Other columns are not read. No rows give no rows.
     """
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"), "label")
+    rows = vectors.select("vec_id", F.col("embedding").alias("v"), "label")
     fine = ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("v", lambda x: x != 0)
     ok = F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.coalesce(fine, F.lit(False))
-    entries = stored(
-        rows.filter(ok).groupBy("label", "v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("count"))
-    )
+    # Equal vectors are told by 128 bits of hash, so that the way back from entries to rows moves no vectors.
+    digest = ["label", F.xxhash64("v").alias("d1"), F.xxhash64(F.lit("second"), "v").alias("d2")]
+    grouped = rows.filter(ok).select("vec_id", "v", *digest).groupBy("label", "d1", "d2").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("count"), F.first("v").alias("v"))
+    entries = stored(grouped.withColumn("key", F.monotonically_increasing_id()))
 
     def hash_all(frames):
         for pdf in frames:
-            for _, part in pdf.groupby(pdf["v"].map(len)):
-                v = np.stack(part["v"])
+            for width, part in pdf.groupby(pdf["v"].map(len)):
+                v = np.stack(part["v"]).astype(np.float64)
                 keys = buckets(v / np.sqrt((v * v).sum(1, keepdims=True)))
-                yield pd.DataFrame({"label": part["label"].to_numpy(), "id": part["id"].to_numpy(), "count": part["count"].to_numpy(), "v": list(v), "buckets": list(keys.reshape(len(v), -1))})
+                yield pd.DataFrame({"label": part["label"].to_numpy(), "key": part["key"].to_numpy(), "width": width, "buckets": list(keys.reshape(len(v), -1))})
 
     label = entries.schema["label"].dataType.simpleString()
-    hashed = stored(entries.select("label", "id", "count", "v").mapInPandas(hash_all, f"label {label}, id long, count long, v array<double>, buckets array<long>"))
-    spots = hashed.select("label", F.size("v").alias("width"), "id", "count", "v", "buckets", F.posexplode("buckets").alias("at", "bucket")).withColumn(
-        "base", F.col("at") % (1 + PROBES) == 0
-    )
+    hashed = stored(entries.select("label", "key", "v").mapInPandas(hash_all, f"label {label}, key long, width int, buckets array<long>"))
+    spots = hashed.select("label", "width", "key", F.posexplode("buckets").alias("at", "bucket")).withColumn("base", F.col("at") % (1 + PROBES) == 0)
     sizes = spots.groupBy("label", "width", "bucket").agg(F.count(F.lit(1)).alias("m"), F.max("base").alias("any_base"))
-    sizes = sizes.filter("m > 1 and any_base").select("label", "width", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    placed = spots.join(sizes, ["label", "width", "bucket"]).withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    # Stored, so that Spark can split the entries of a hot bucket.
+    sizes = stored(sizes.filter("m > 1 and any_base").select("label", "width", "bucket", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
+    shared = spots.join(sizes, ["label", "width", "bucket"]).groupBy("key", "width").agg(F.collect_list(F.struct("at", "bucket", "base", "blocks")).alias("spots"))
+    of = F.map_from_entries(F.transform("spots", lambda s: F.struct(s["at"], s["bucket"])))
+    masked = F.transform(F.sequence(F.lit(0), F.lit(TABLES * (1 + PROBES) - 1)), lambda i: F.coalesce(F.try_element_at(of, i), F.lit(-1).cast("long")))
+    carried = entries.join(shared, "key").select("label", "width", "key", "count", "v", masked.alias("buckets"), F.inline("spots")).drop("at")
+    placed = carried.withColumn("block", F.pmod(F.xxhash64("key"), "blocks").cast("int"))
     cells = max(1, hashed.count() * TABLES * (1 + PROBES) // CELL)
     small = placed.filter("blocks = 1").withColumn("cell", F.pmod(F.xxhash64("label", "width", "bucket"), F.lit(cells)))
-    near = small.groupBy("label", "width", "cell").applyInPandas(lambda pdf: compare_cell(pdf, cosine), "id long, other long, n long")
+    near = small.groupBy("label", "width", "cell").applyInPandas(lambda pdf: compare_cell(pdf, cosine), "key long, other long, n long")
     # Every pair of blocks (x <= y) of a large bucket is a task of its own; side 2: both are the same block.
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -178,15 +183,19 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).alias("side"),
         ),
     )
-    large = placed.filter("blocks > 1").select("label", "width", "bucket", "id", "count", "v", "buckets", "base", F.inline(pairs))
-    far = large.groupBy("label", "width", "bucket", "x", "y").applyInPandas(lambda pdf: compare_blocks(pdf, cosine), "id long, other long, n long")
+    large = placed.filter("blocks > 1").select("label", "width", "bucket", "key", "count", "v", "buckets", "base", F.inline(pairs))
+    far = large.groupBy("label", "width", "bucket", "x", "y").applyInPandas(lambda pdf: compare_blocks(pdf, cosine), "key long, other long, n long")
     found = stored(near.unionByName(far))
-    links = found.groupBy("id").agg(F.sum("n").alias("n"))
-    parts = components(found.select(F.col("id").alias("a"), F.col("other").alias("b")))
+    links = found.groupBy("key").agg(F.sum("n").alias("n"))
+    parts = stored(components(found.select(F.col("key").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "key"))
+    known = entries.select("label", "d1", "d2", "key", "id", "count")
+    least = stored(known.join(parts, "key").groupBy("component").agg(F.min("id").alias("least")))
     # From entries back to rows: equal vectors are linked with each other, whatever rounding makes of their cosine.
-    of_entry = entries.join(links, "id", "left").join(parts.withColumnRenamed("node", "id"), "id", "left").select(
-        "label", "v", (F.coalesce("n", F.lit(0)) + F.col("count") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")
+    of_entry = stored(
+        known.join(links, "key", "left").join(parts.join(least, "component").select("key", "least"), "key", "left").select(
+            "label", "d1", "d2", (F.coalesce("n", F.lit(0)) + F.col("count") - 1).alias("n_links"), F.coalesce("least", "id").alias("component_id")
+        )
     )
-    joined = rows.filter(ok).join(of_entry, ["label", "v"]).select("vec_id", "n_links", "component_id")
+    joined = rows.filter(ok).select("vec_id", *digest).join(of_entry, ["label", "d1", "d2"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter(~F.coalesce(ok, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").cast("long").alias("component_id"))
     return joined.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

@@ -135,17 +135,16 @@ def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP9_SQL = """
-with recursive v as (select vec_id, label, list_transform(embedding, lambda x: x::double) as e from embeddings
-  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
-n as (select vec_id, label, e, sqrt(list_dot_product(e, e)) as norm from v),
-l as (select a.vec_id as a, b.vec_id as b from n a join n b on a.label = b.label and a.vec_id <> b.vec_id
-  where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
-r as (select a as node, a as low from l union select l.b, r.low from r join l on l.a = r.node),
-c as (select node, min(low) as component from r group by node),
+with recursive e as materialized (select row_number() over () as r, vec_id, label, list_transform(embedding, lambda x: x::double) as v,
+    label is not null and vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0 as ok from embeddings),
+n as (select r, vec_id, label, v, sqrt(list_dot_product(v, v)) as norm from e where ok),
+l as materialized (select a.r as a, b.r as b from n a join n b on a.label = b.label and a.r <> b.r where list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+c as (select r as node, vec_id as low from n union select l.b, c.low from c join l on l.a = c.node),
+m as (select node, min(low) as component from c group by node),
 k as (select a, count(*) as n from l group by a)
-select e.vec_id, coalesce(k.n, 0) as n_links, coalesce(c.component, e.vec_id) as component_id, e.vec_id = coalesce(c.component, e.vec_id) as kept
-from embeddings e left join k on k.a = e.vec_id left join c on c.node = e.vec_id
+select e.vec_id, coalesce(k.n, 0) as n_links, coalesce(m.component, e.vec_id) as component_id, e.vec_id = coalesce(m.component, e.vec_id) as kept
+from e left join k on k.a = e.r left join m on m.node = e.r
 """
 
 

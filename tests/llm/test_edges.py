@@ -188,6 +188,32 @@ def test_vectors(spark):
     assert got == {1: (3, 1), 2: (3, 1), 3: (0, 3), 4: (0, 4), 5: (0, 5), 6: (0, 6), 7: (0, 7), 8: (0, 8), 9: (3, 1), 10: (0, 10), 11: (0, 11)}
 
 
+def test_vectors_that_repeat_an_id(spark):
+    """Rows are vectors: other vectors and other labels under one vec_id, and columns whose names the operator uses."""
+    a, b = [1.0, 0.0, 0.2], [0.0, 1.0, 0.1]
+    rows = [(1, a, 1, 5), (1, b, 1, 5), (2, a, 1, 5), (3, b, 1, 5), (1, a, 2, 5), (4, a, 2, 5), (0, b, 2, 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, key int").withColumns({"n": F.lit(1), "v": F.lit(1), "count": F.lit(1)})
+    got = sorted(tuple(r) for r in near_vectors(df).collect())
+    assert got == [(0, 0, 0, True), (1, 1, 1, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (4, 1, 1, False)]
+
+
+def test_vectors_at_the_threshold(spark):
+    """Recall of pairs just above the threshold, 64 wide, found by hashing alone."""
+    import numpy as np
+
+    from quern.llm.embed_dedup import buckets
+
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((4000, 64))
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    y = rng.standard_normal(x.shape)
+    y -= (x * y).sum(1, keepdims=True) * x
+    y /= np.sqrt((y * y).sum(1, keepdims=True))
+    p, q = buckets(x), buckets(0.93 * x + np.sqrt(1 - 0.93**2) * y)
+    meet = ((p[:, :, :1] == q) | (q[:, :, :1] == p)).any((1, 2))
+    assert meet.mean() > 0.99
+
+
 def test_bpe_equals_tiktoken_on_odd_texts():
     import test_queries
 
