@@ -20,8 +20,8 @@ from .shared import stored
 TABLES, HASHES, PROBES = 8, 2, 1
 #: Entries of one bucket that one task compares with another block's.
 BLOCK = 1024
-#: Rows of small buckets that one group holds.
-CELL = 4096
+#: Rows of small buckets that one group holds, and entries of a bucket from which a matrix product compares them.
+CELL, FEW = 4096, 16
 COSINE = 0.93
 
 
@@ -103,15 +103,25 @@ def compare_cell(pdf: pd.DataFrame, cosine: float) -> pd.DataFrame:
     pdf = pdf.sort_values("bucket", kind="stable")
     bucket = pdf["bucket"].to_numpy()
     ids, v, base, keys, count = _entries(pdf)
-    left, right, d = [], [], 1
-    while d < len(pdf) and len(i := np.flatnonzero(bucket[d:] == bucket[:-d])):
-        i = i[base[i] | base[i + d]]  # two probes don't meet
+    head = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1))
+    size = np.diff(np.append(head, len(bucket)))
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for h, n in zip(head[size > FEW].tolist(), size[size > FEW].tolist()):
+        i, j = np.nonzero(np.triu(v[h : h + n] @ v[h : h + n].T >= cosine, 1))
+        left.append(i + h)
+        right.append(j + h)
+    few = np.repeat(size <= FEW, size)
+    for d in range(1, FEW):
+        i = np.flatnonzero((bucket[d:] == bucket[:-d]) & few[d:])
         i = i[np.einsum("ij,ij->i", v[i], v[i + d]) >= cosine]
-        i = i[_first_meeting(keys[i], keys[i + d], bucket[i])]
         left.append(i)
         right.append(i + d)
-        d += 1
-    i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
+    i, j = np.concatenate(left), np.concatenate(right)
+    meet = base[i] | base[j]  # two probes don't meet
+    i, j = i[meet], j[meet]
+    kept = [_first_meeting(keys[i[s : s + 65536]], keys[j[s : s + 65536]], bucket[i[s : s + 65536]]) for s in range(0, len(i), 65536)]
+    kept = np.concatenate(kept) if kept else np.zeros(0, bool)
+    i, j = i[kept], j[kept]
     # An entry may stand here in several buckets; its first row stands for all.
     _, first, row = np.unique(ids, return_index=True, return_inverse=True)
     i, j = first[row[i]], first[row[j]]
