@@ -9,7 +9,9 @@ scans, none of which ships a text that could not repeat:
 3. segments of repeated anchors go to their shards, each content once for each flush with the places it stands at.
 A bit filter of at most FILTER_BITS carries the repeated hashes to the executors. It has no false negatives; where it
 fills up, scan 3 ships more and the shards sort it out. In a shard an engine finds, for every window, the smallest
-document that holds it. Hot anchors are dealt over salts by document; their contents go to every salt.
+document that holds it. Hot anchors are dealt over salts by document, each over as many as its own segments call for;
+their contents go to every one of these. Filters carry the hot anchors too, one for each power of SPLIT above HOT, so that
+no list of them is gathered anywhere; an anchor that a filter takes for hotter than it is has a few salts more.
 """
 
 from collections.abc import Callable
@@ -28,10 +30,12 @@ WINDOW = 50
 #: Units of an anchor's gram.
 GRAM = {"word": 6, "byte": 16}
 FILTER_BITS, PIECE = 1 << 27, 1 << 19
-#: Tasks that pack the bits; each sends FILTER_BITS at most, one after another.
-PACKERS = 8
+#: Keys for each task that packs bits, and such tasks at most; each sends FILTER_BITS at most, one after another.
+PACKED, PACKERS = 1 << 20, 32
 #: Segments from which an anchor is hot, and bytes of segments that a shard is planned for.
 HOT, SHARD_BYTES = 4096, 1_500_000
+#: A hot anchor of HOT * SPLIT**i segments to SPLIT times as many has SPLIT**(i + 1) salts.
+SPLIT = 8
 #: Bytes of text that are looked at together (their arrays stay in the cache), and keys or bytes held before a flush.
 SLICE, KEYS_HELD, BYTES_HELD = 1 << 17, 1 << 21, 1 << 24
 
@@ -87,6 +91,8 @@ class Slice:
         self.begin = np.concatenate([[0], np.cumsum(sizes)])
         k = GRAM[unit]
         n = len(values)
+        if n >= 1 << int(PLACE):
+            raise ValueError(f"a text of {n} units: {1 << int(PLACE)} is the limit")
         self.runs = np.zeros((0, 4), np.int64)
         self.keys = self.values = np.zeros(0, np.uint64)
         if n < WINDOW:
@@ -186,7 +192,7 @@ class BitFilter:
                 yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["piece", "bits"])
 
         words = np.zeros(bits // 64, np.uint64)
-        for r in keys.select("key").coalesce(PACKERS).mapInArrow(pack, "piece int, bits binary").toLocalIterator():
+        for r in keys.select("key").coalesce(min(PACKERS, 1 + n // PACKED)).mapInArrow(pack, "piece int, bits binary").toLocalIterator():
             words[r["piece"] * piece // 64 : (r["piece"] + 1) * piece // 64] |= np.frombuffer(r["bits"], np.uint64)
         return BitFilter(words)
 
@@ -242,22 +248,31 @@ def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT,
     """
     spark = docs.sparkSession
     found = repeated(docs, unit, lambda s: s.keys)
+    if hot_from < 1:
+        raise ValueError("hot_from is 1 at least")
     n, total, most = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    hot_from = max(hot_from, total // 1_000_000)  # so that a million anchors are hot at most
     wanted = spark.sparkContext.broadcast(BitFilter.of(found, n))
-    hot = found.filter(F.col("n") > hot_from).select("key").toPandas()["key"].to_numpy().astype(np.uint64)
-    hot_keys = spark.sparkContext.broadcast(np.sort(hot))
-    salts = max(1, -(-most // hot_from)) if len(hot) else 1
+    tiers, least = [], hot_from
+    while most > least:
+        above = found.filter(F.col("n") > least)
+        tiers.append(BitFilter.of(above, above.count()))
+        least *= SPLIT
+    hotter = spark.sparkContext.broadcast(tiers)
     trim = None
 
-    def is_hot(keys48):
-        at = np.searchsorted(hot_keys.value, keys48)
-        return (at < len(hot_keys.value)) & (hot_keys.value[np.minimum(at, len(hot_keys.value) - 1)] == keys48) if len(hot_keys.value) else np.zeros(len(keys48), bool)
+    def heat(keys48):
+        """The tier of every anchor, 0: not hot."""
+        out = np.zeros(len(keys48), np.int64)
+        at = np.arange(len(keys48))
+        for tier, keys in enumerate(hotter.value, 1):
+            at = at[keys.has(keys48[at])]
+            out[at] = tier
+        return out
 
-    if len(hot):
+    if tiers:
 
         def hot_windows(s: Slice):
-            runs = s.runs[is_hot(s.keys >> np.uint64(16))]
+            runs = s.runs[heat(s.keys >> np.uint64(16)) > 0]
             at = np.concatenate([np.arange(a, b + 1) for _, a, b, _ in runs.tolist()] or [np.zeros(0, np.int64)])
             return s.windows()[at] if len(at) else np.zeros(0, np.uint64)
 
@@ -273,20 +288,21 @@ def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT,
             pick = np.flatnonzero(wanted.value.has(keys48)) if len(keys48) else np.zeros(0, np.int64)
             if not len(pick):
                 continue
-            hots = is_hot(keys48[pick])
+            tier = heat(keys48[pick])
+            hots = tier > 0
             runs, keys = s.runs[pick[~hots]], keys48[pick[~hots]]
             texts = s.contents(runs[:, 1], runs[:, 2] + WINDOW)
             plain.append((keys % np.uint64(shards), texts, ids[runs[:, 0]], runs[:, 1] - s.begin[runs[:, 0]]))
             size += sum(map(len, texts)) + 16 * len(texts)
             if hots.any():
                 windows = s.windows()
-                for (doc, first, last, _), key in zip(s.runs[pick[hots]].tolist(), keys48[pick[hots]].tolist()):
+                for (doc, first, last, _), key, salts in zip(s.runs[pick[hots]].tolist(), keys48[pick[hots]].tolist(), (SPLIT ** tier[hots]).tolist()):
                     kept = np.flatnonzero(trim.value.has(windows[first : last + 1] >> np.uint64(16))) + first
                     breaks = np.flatnonzero(np.diff(kept) > 1)
                     for a, b in zip(kept[np.append(0, breaks + 1)].tolist(), kept[np.append(breaks, -1)].tolist()) if len(kept) else ():
                         doc_id, text = int(ids[doc]), s.contents([a], [b + WINDOW])[0]
-                        least, places = hot_held.setdefault((key % shards, text), [doc_id, []])
-                        hot_held[key % shards, text][0] = min(least, doc_id)
+                        least, places = hot_held.setdefault((key % shards, salts, text), [doc_id, []])
+                        hot_held[key % shards, salts, text][0] = min(least, doc_id)
                         places.append((doc_id, a - int(s.begin[doc])))
                         size += len(text) * salts * (len(places) == 1) + 16
             if size >= BYTES_HELD:
@@ -305,7 +321,7 @@ def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT,
                 at = order[a:b]
                 rows.append((int(shard[at[0]]), -1, *_blobs([texts[i] for i in at], docs_[at], places[at])))
         by: dict[tuple, list] = {}
-        for (shard, text), (least, found_at) in hot_held.items():
+        for (shard, salts, text), (least, found_at) in hot_held.items():
             for salt in range(salts):  # the owner, without a place, goes to every salt
                 by.setdefault((shard, salt), []).append((text, least, -1))
             for doc, place in found_at:

@@ -122,7 +122,7 @@ def substring_dedup(docs: DataFrame, **limits) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 for every row: words in windows that start in a smaller document go.
 
     Words are runs of characters other than space and U+0009 to U+000D; a null or empty text has none. Texts shorter
-    than a window keep all. Rows that repeat a document share its cuts; rows without doc_id neither remove nor lose
-    words. Other columns are not read. No rows give no rows.
+    than a window keep all; one of 2**28 words or more fails. Rows that repeat a document share its cuts; rows without
+    doc_id neither remove nor lose words. Other columns are not read. No rows give no rows.
     """
     return cut_documents(docs, "word", owners, _finish, "doc_id long, n_words long, n_removed long, kept_sha256 string", **limits)

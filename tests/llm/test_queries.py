@@ -55,6 +55,27 @@ def test_op5_brute_force(spark, hot):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == cut(texts(spark), "byte")
 
 
+@pytest.mark.parametrize("unit", ["word", "byte"])
+def test_one_anchor_far_above_the_others(spark, unit):
+    """A passage in all of 300 documents, others in a few, over many salts; every salt deals with its own documents."""
+    import random
+
+    from quern.llm.substring_dedup import substring_dedup
+    from quern.llm.suffix_dedup import suffix_dedup
+
+    rng = random.Random(9)
+    make = lambda n: " ".join(f"v{rng.randrange(10**5)}" for _ in range(n))
+    common, few = make(70), [make(60) for _ in range(5)]
+    rows = [(i, " ".join([make(20), common, make(rng.randrange(30)), few[i % 5] if i % 20 < 5 else ""])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    want = cut(rows, unit)
+    if unit == "word":
+        got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup(df, hot_from=2).collect()}
+        assert got == {d: (a, b, h) for d, (a, b, _, h) in want.items()}
+    else:
+        assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup(df, hot_from=2).collect()} == want
+
+
 def classes(rows):
     """doc_id to class: multiset Jaccard of five-word shingles, all pairs."""
     sets = {}
