@@ -6,6 +6,12 @@ so to edit similarity. Texts that share a key of any table form candidate famili
 a banded alignment of its shingle sequences matches enough: aligned / (all - aligned) >= 0.8. The multiset Jaccard
 index, exact for all pairs of a block by matrix products, bounds the alignment from above, and pairs that links already
 connect need no alignment. Equal word sequences are one entry throughout; no family emits its pairs.
+
+A family of more than a block is compared in two rounds, so that a large group of near copies costs in proportion to its
+size. Aligned shingles are no more than the smaller text's, so texts are only alike within a level of sizes or the next.
+Round one compares every block with itself and with the first block of its level, and first blocks of adjoining levels.
+What is then connected needs no more comparison inside; round two compares the texts outside the family's largest part
+with all texts of their own and adjoining levels. No pair that could link two parts is left out.
 """
 
 import bisect
@@ -15,7 +21,7 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -24,8 +30,8 @@ from .repeats import MULT, _poly
 from .shared import mix64, stored
 
 SHINGLE, SIMILARITY, TABLES = 5, 0.8, 12
-#: Entries of a family that are compared in one task with another block's; families beyond BIG are split by text sizes.
-BLOCK, BIG = 512, 4096
+#: Entries of a family that are compared in one task, with each other or with another block's.
+BLOCK = 512
 #: Diagonals of the alignment's band on either side, as a share of the longer text.
 BAND = 0.25
 SLICE = 1 << 19
@@ -96,7 +102,7 @@ def aligned(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def compare(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """One pair of blocks of a family: a spanning set of its links (a, b)."""
+    """A block with itself (side 2) or two blocks (sides 0 and 1) of a family: a spanning set of their links (a, b)."""
     labels, starts = labelled([x.encode().split() for x in pdf["text"].str.lower()])
     seqs = [labels[s:e] for s, e in zip(starts[:-1], starts[1:])]
     sizes = np.diff(starts).astype(np.float64)
@@ -105,16 +111,19 @@ def compare(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
     column = np.full(number.max() + 1 if len(number) else 0, -1)
     column[shared] = np.arange(len(shared))
     column, row = column[number], np.repeat(np.arange(len(seqs)), np.diff(starts))
-    common = np.zeros((len(seqs), len(seqs)), np.float32)
+    side = pdf["side"].to_numpy()
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    common = np.zeros((len(left), len(right)), np.float32)
     for c in range(0, len(shared), 8192):
         pick = (column >= c) & (column < c + 8192)
         m = np.zeros((len(seqs), 8192), np.float32)
         m[row[pick], column[pick] - c] = 1
-        common += m @ m.T
-    jaccard = common / np.maximum(sizes[:, None] + sizes[None, :] - common, 1)
-    side = pdf["side"].to_numpy()
-    across = (side[:, None] == 2) | (side[:, None] != side[None, :])
-    i, j = np.nonzero(np.triu(across & (jaccard >= similarity - 1e-6), 1))
+        common += m[left] @ m[right].T
+    jaccard = common / np.maximum(sizes[left, None] + sizes[None, right] - common, 1)
+    like = jaccard >= similarity - 1e-6
+    i, j = np.nonzero(np.triu(like, 1) if (side == 2).all() else like)
+    bound = jaccard[i, j]
+    i, j = left[i], right[j]
     ids, group, out = pdf["id"].to_numpy(), list(range(len(seqs))), []
 
     def top(x):
@@ -122,9 +131,9 @@ def compare(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
             group[x] = x = group[group[x]]
         return x
 
-    for k in np.argsort(-jaccard[i, j], kind="stable"):
+    for k in np.argsort(-bound, kind="stable"):
         x, y = top(i[k]), top(j[k])
-        if x != y:
+        if x != y and ids[i[k]] != ids[j[k]]:
             n = aligned(seqs[i[k]], seqs[j[k]])
             if n >= similarity * (sizes[i[k]] + sizes[j[k]] - n):
                 group[max(x, y)] = min(x, y)
@@ -138,6 +147,84 @@ def _families(keyed: DataFrame, keys: list[str]) -> DataFrame:
     return components(keyed.join(stars, keys).filter("id != first").select(F.col("id").alias("a"), F.col("first").alias("b")))
 
 
+def _levels(members: DataFrame, *counts: Column) -> DataFrame:
+    """A row for every level of a family: its blocks, whether the family is larger than a block, and the levels beside it.
+
+    With counts of (all, outside), the blocks of these at the level itself and at those below and above.
+    """
+    names = ["n", "out"][: len(counts)]
+    per = members.groupBy("component", "level").agg(*(c.alias(n) for c, n in zip(counts, names)))
+    family = Window.partitionBy("component")
+    at = lambda by, n: F.coalesce(F.max(F.ceil(F.col(n) / BLOCK)).over(family.orderBy("level").rangeBetween(by, by)), F.lit(0)).cast("int")
+    return per.select("component", "level", (F.sum("n").over(family) > BLOCK).alias("large"), *(at(by, n).alias(f"{n}{by}") for n in names for by in (-1, 0, 1)))
+
+
+def _code(level: Column, block: Column) -> Column:
+    return F.shiftleft(level, 32) + block
+
+
+def _numbers(n: Column, start: int = 0) -> Column:
+    return F.when(n > start, F.sequence(F.lit(start), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _task(x: Column, y: Column, side) -> Column:
+    return F.struct(x.alias("x"), y.alias("y"), (side if isinstance(side, Column) else F.lit(side)).alias("side"))
+
+
+def _only(condition: Column, task: Column) -> Column:
+    return F.filter(F.array(F.when(condition, task)), lambda t: t.isNotNull())
+
+
+def _first_round() -> Column:
+    """The tasks of an entry: its block, its level's first block with the others, first blocks of adjoining levels.
+
+    A family of one block at most is a single task.
+    """
+    blocks = F.when(F.col("large"), F.col("n0")).otherwise(1)
+    level = F.when(F.col("large"), F.col("level")).otherwise(0)
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    own, first, is_first = _code(level, block), _code(level, F.lit(0)), block == 0
+    beside = lambda by: F.col("large") & is_first & (F.col(f"n{by}") > 0)
+    return F.concat(
+        F.array(_task(own, own, 2)),
+        _only(~is_first, _task(first, own, 1)),
+        F.transform(_numbers(F.when(is_first, blocks).otherwise(0), 1), lambda o: _task(own, _code(level, o), 0)),
+        _only(beside(1), _task(own, _code(level + 1, F.lit(0)), 0)),
+        _only(beside(-1), _task(_code(level - 1, F.lit(0)), own, 1)),
+    )
+
+
+def _outside(members: DataFrame, parts: DataFrame) -> DataFrame:
+    """members of large families, with outside: not in the part of most entries; and the blocks of their levels."""
+    at = members.select("component", "node", "level").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
+    counts = at.groupBy("component", "part").agg(F.count(F.lit(1)).alias("n"))
+    main = stored(counts.groupBy("component").agg(F.max_by("part", F.struct("n", -F.col("part"))).alias("main")))
+    tagged = stored(at.join(main, "component").select("component", "node", "level", (F.col("part") != F.col("main")).alias("outside")))
+    sizes = stored(_levels(tagged, F.count(F.lit(1)), F.count_if("outside")))
+    return tagged.join(sizes.drop("large"), ["component", "level"])
+
+
+def _second_round() -> Column:
+    """The tasks of an entry: with every block of outside entries near its level, and as one of these with all blocks near."""
+    level = F.col("level")
+    block = F.pmod(F.xxhash64("node"), F.col("n0")).cast("int")
+    own = F.pmod(F.xxhash64(F.lit("outside"), "node"), F.greatest(F.col("out0"), F.lit(1))).cast("int")
+
+    def beside(by: int) -> Column:
+        others = F.transform(_numbers(F.col(f"out{by}")), lambda o: _task(_code(level + by, o), _code(level, block), 1))
+        blocks = F.when(F.col("outside"), F.col(f"n{by}")).otherwise(0)
+        return F.concat(others, F.transform(_numbers(blocks), lambda o: _task(_code(level, own), _code(level + by, o), 0)))
+
+    return F.concat(*map(beside, (-1, 0, 1)))
+
+
+def _compared(texts: DataFrame, placed: DataFrame, tasks: Column, similarity: float) -> DataFrame:
+    """Links (a, b), stored, of the entries placed over all their tasks."""
+    dealt = texts.join(placed.select("component", F.col("node").alias("doc_id"), tasks.alias("tasks")).filter(F.size("tasks") > 0), "doc_id")
+    each = dealt.select("component", F.col("doc_id").alias("id"), "text", F.inline("tasks"))
+    return stored(each.groupBy("component", "x", "y").applyInPandas(lambda pdf: compare(pdf, similarity), "a long, b long"))
+
+
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id, kept for every row: class_id is the smallest doc_id that links lead to, kept says it is this one.
 
@@ -168,35 +255,18 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     some = sketched.filter("doc_id is not null and digest is not null")
     entries = stored(some.groupBy("digest").agg(F.min(F.struct("doc_id", "keys", "size")).alias("e")).select("digest", F.col("e.doc_id").alias("id"), "e.keys", "e.size"))
     spots = entries.select("id", F.posexplode("keys").alias("t", "key"))
-    family = stored(_families(spots, ["t", "key"]))
-    # Aligned shingles are no more than the smaller text's, so a text is alike only to texts of at most size / similarity:
-    # texts of the same or the next level. The base is a trace wider, for rounding.
-    level = F.floor(F.log("size") / math.log(1.0001 / similarity))
-    big = family.groupBy("component").agg((F.count(F.lit(1)) > BIG).alias("big"))
-    levelled = family.join(big, "component").join(entries.select(F.col("id").alias("node"), "size"), "node")
-    levelled = levelled.select("node", "component", F.when(F.col("big"), level).otherwise(0).cast("long").alias("level"))
-    sizes = stored(levelled.groupBy("component", "level").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")))
-    near = lambda by, name: sizes.select("component", (F.col("level") + by).alias("level"), F.col("blocks").alias(name))
-    placed = levelled.join(sizes, ["component", "level"]).join(near(1, "below"), ["component", "level"], "left").join(near(-1, "above"), ["component", "level"], "left")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    code = lambda by, block: F.shiftleft(F.col("level") + by, 32) + block
-    own = code(0, F.col("block"))
-    numbers = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
-    pairs = F.concat(
-        F.transform(
-            numbers("blocks"),
-            lambda o: F.struct(
-                F.least(code(0, o), own).alias("x"), F.greatest(code(0, o), own).alias("y"),
-                F.when(o == F.col("block"), 2).when(F.col("block") < o, 0).otherwise(1).alias("side"),
-            ),
-        ),
-        F.transform(numbers("above"), lambda o: F.struct(own.alias("x"), code(1, o).alias("y"), F.lit(0).alias("side"))),
-        F.transform(numbers("below"), lambda o: F.struct(code(-1, o).alias("x"), own.alias("y"), F.lit(1).alias("side"))),
-    )
-    first = rows.join(placed.withColumnRenamed("node", "doc_id"), "doc_id").dropDuplicates(["doc_id"])
-    dealt = first.select("component", F.col("doc_id").alias("id"), "text", F.inline(pairs))
-    links = dealt.groupBy("component", "x", "y").applyInPandas(lambda pdf: compare(pdf, similarity), "a long, b long")
-    classes = components(links)
+    family = _families(spots, ["t", "key"])
+    # The base of the levels is a trace wider than the bound, for rounding.
+    level = F.floor(F.log("size") / math.log(1.0001 / similarity)).cast("long")
+    members = stored(family.join(entries.select(F.col("id").alias("node"), "size"), "node").select("component", "node", level.alias("level")))
+    texts = rows.filter("doc_id is not null").join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    sizes = stored(_levels(members, F.count(F.lit(1))))
+    links = _compared(texts, members.join(sizes, ["component", "level"]), _first_round(), similarity)
+    parts = stored(components(links))
+    if not sizes.filter("large").isEmpty():
+        links = links.unionByName(_compared(texts, _outside(members.join(sizes.filter("large"), ["component", "level"]), parts), _second_round(), similarity))
+        parts = components(links)
+    classes = parts
     of_entry = entries.join(classes.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
     joined = sketched.join(of_entry, "digest", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
     return joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))

@@ -150,8 +150,7 @@ def test_pipeline_brute_force(spark):
 def test_op7_splits_large_families(spark, monkeypatch):
     from quern.llm import order_minhash
 
-    monkeypatch.setattr(order_minhash, "BIG", 3)
-    monkeypatch.setattr(order_minhash, "BLOCK", 4)
+    monkeypatch.setattr(order_minhash, "BLOCK", 2)
     got = {r.doc_id: r.class_id for r in Q.op7_order_minhash(spark, SF).collect()}
     assert got == classes(texts(spark))
 
@@ -172,11 +171,31 @@ def test_op7_large_families_keep_pairs_of_one_key(spark, monkeypatch):
         n = M.aligned(one, other)
         if n >= 0.5 * (len(one) + len(other) - n) and (M.sketch(labels, starts)[0] == M.sketch(labels, starts)[1]).sum() == 1:
             made += [" ".join(a), " ".join(b)]
-    monkeypatch.setattr(M, "BIG", 1)
+    monkeypatch.setattr(M, "BLOCK", 1)
     df = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in M.near_classes(df, 0.5).collect()} == {i: i - i % 2 for i in range(len(made))}
 
 
+def test_op7_large_group_of_edited_copies(spark, monkeypatch):
+    """Copies of two texts with edits of their own, some cut short, over many small blocks and levels, against all pairs."""
+    import random
+
+    from quern.llm import order_minhash as M
+
+    rng = random.Random(11)
+    bases = [[f"w{rng.randrange(10**6)}" for _ in range(120)] for _ in range(2)]
+    made = []
+    for i in range(160):
+        words = list(bases[i % 2])
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+        made.append(" ".join(words[: rng.choice([120, 120, 112, 100, 92, 84])]))
+    made.append(" ".join(bases[0][:60] + bases[1][60:]))
+    monkeypatch.setattr(M, "BLOCK", 5)
+    rows = list(enumerate(made))
+    assert {r.doc_id: r.class_id for r in M.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()} == classes(rows)
+
+
 def test_op9_compares_large_buckets_in_blocks(spark, monkeypatch):
     from quern.llm import embed_dedup
 
