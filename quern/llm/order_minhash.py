@@ -259,7 +259,7 @@ def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # The base of the levels is a trace wider than the bound, for rounding.
     level = F.floor(F.log("size") / math.log(1.0001 / similarity)).cast("long")
     members = stored(family.join(entries.select(F.col("id").alias("node"), "size"), "node").select("component", "node", level.alias("level")))
-    texts = rows.filter("doc_id is not null").join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    texts = stored(rows.filter("doc_id is not null").join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     sizes = stored(_levels(members, F.count(F.lit(1))))
     links = _compared(texts, members.join(sizes, ["component", "level"]), _first_round(), similarity)
     parts = stored(components(links))

@@ -25,27 +25,30 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: (verdict, host and path) of the url rules; the longest that fits decides.
 URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
-#: A host is listed when one of these words stands between dots or hyphens in it.
-LISTED_HOST = r"(^|[.-])(adult|ads|bets|casino|pills|porn|spam)([.-]|$)"
+
+
+def insecure_hosts(pages: DataFrame) -> DataFrame:
+    """Hosts that serve more than half of their pages without encryption."""
+    plain = F.coalesce(F.lower("url").startswith("http://"), F.lit(False))
+    return pages.groupBy(host_of(F.col("url")).alias("host")).agg((F.count_if(plain) * 2 > F.count(F.lit(1))).alias("most")).filter("most").select("host")
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    listed = pages.select(host_of(F.col("url")).alias("host")).filter(F.col("host").rlike(LISTED_HOST)).distinct()
-    return filter_urls(pages, URL_RULES, listed)
+    return filter_urls(pages, URL_RULES, insecure_hosts(pages))
 
 
-OP2_SQL = rf"""
+OP2_SQL = r"""
 select page_id, host, path, rule,
        case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block'
-            when regexp_matches(host, '{LISTED_HOST}') then 'block' else 'allow' end as verdict
-from (select page_id, host, path,
+            when count(*) filter (where plain) over (partition by host) * 2 > count(*) over (partition by host) then 'block' else 'allow' end as verdict
+from (select page_id, host, path, plain,
         case when (host = 'example.org' or host like '%.example.org') and path like '/en/1%' then 'example.org/en/1'
              when (host = 'example.org' or host like '%.example.org') and path like '/es/%' then 'example.org/es/'
              when (host = 'com' or host like '%.com') and path like '/fr/%' then 'com/fr/'
              when (host = 'com' or host like '%.com') and path like '/de/%' then 'com/de/'
              when (host = 'org' or host like '%.org') and path like '/%' then 'org/' end as rule
-      from (select page_id,
+      from (select page_id, coalesce(lower(url) like 'http://%', false) as plain,
               translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
               regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) as path
             from pages) a) b

@@ -17,6 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from xxhash import xxh32_intdigest
 
 from .shared import partitions, stored
@@ -365,16 +366,19 @@ def fitted(fit: DataFrame, docs: DataFrame, share: dict[int, float]) -> tuple:
     return vocabulary, sc.broadcast(Model.fit(rows.column("doc_id").to_numpy(), texts, toxic, [share[y] for y in toxic.tolist()], vocabulary.value, *counts))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (doc_id, toxic, similarity of the three nearest) for every row.
 
+    carry: further columns of docs that come along as they are.
+
     doc_id is an integer. The fit sees labels only of rows that are not held out, and of rows that share a doc_id the
     smallest text. Null and empty texts, and texts without any word of the examples, get the rate of labelled texts like
     them; texts are scored whole however long. Conflicting labels of a document count as toxic, null labels not at all;
     without labels every score is 0. Examples of equal similarity count by the smaller doc_id. Repeated rows score alike;
     other columns are not read. No rows give no rows.
     """
-    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    along = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), *carry)
+    docs = along.select("doc_id", F.col("_text").alias("text"))
     chosen, share = sample_labels(labels, examples)
     fit = stored(docs.join(F.broadcast(chosen), "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
     vocabulary, model = fitted(fit, docs, share)
@@ -385,12 +389,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Da
         ids, labels_ = m.index.ids, m.index.labels
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
         for batch in batches:
-            coded = batch.column("text").dictionary_encode()  # equal texts of a batch are looked up once
+            coded = batch.column("_text").dictionary_encode()  # equal texts of a batch are looked up once
             each = [x for part in text_slices(coded.dictionary) for x in m.votes(part, known_words)]
             shown = [[{"doc_id": int(ids[i]), "toxic": int(labels_[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)] for _, found, sims in each]
             score, evidence = pa.array(np.interp([x[0] for x in each], *knots).clip(0, 1), pa.float64()), pa.array(shown, kind)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), score.take(coded.indices), evidence.take(coded.indices)], ["doc_id", "score", "evidence"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    out = docs.mapInArrow(run, f"doc_id {kind}, score double, evidence array<struct<doc_id:bigint,toxic:int,similarity:double>>")
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"), "evidence")
+            columns = [*(batch.column(n) for n in names), score.take(coded.indices), evidence.take(coded.indices)]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "score", "evidence"])
+
+    names = ["doc_id", *carry]
+    more = StructType.fromDDL("score double, evidence array<struct<doc_id:bigint,toxic:int,similarity:double>>")
+    schema = StructType(along.select(*names).schema.fields + more.fields)
+    out = along.mapInArrow(run, schema)
+    predicted = (F.col("score") >= REJECT).cast("int").alias("predicted")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted, "evidence", *carry)

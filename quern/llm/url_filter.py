@@ -3,7 +3,8 @@
 The cascade is built over the complete key universe of the corpus. Level 1 encodes the listed keys, level 2 those
 unlisted keys that level 1 lets through, level 3 the listed keys that level 2 lets through, and so on until a level
 has no false positives. For every key of the universe the first level that lacks it tells its class exactly, so rows
-are judged where they lie: no join, no shuffle of rows. Bits are sharded by key; a scan holds a bounded share of them.
+are judged where they lie: no join, no shuffle of rows. Bits are sharded by key. A group of shards is built, held and used
+at a time, so that neither the driver nor an executor ever holds more than about HELD_BITS.
 """
 
 from dataclasses import dataclass
@@ -17,8 +18,10 @@ from .shared import mix64, stored
 
 #: Bits a key gets at each level and probes into them; about 1 in 50 of the other class passes a level.
 BITS_PER_KEY, PROBES = 8, 5
-#: Bits of a shard's first level at most, and bits broadcast at once: 16 MB and 64 MB.
+#: Bits planned for a shard, and for the shards held at once: 16 MB and 64 MB.
 SHARD_BITS, HELD_BITS = 1 << 27, 1 << 29
+#: Bits that travel to the driver as one row, tasks that pack them, and keys for each such task.
+PIECE, PACKERS, PACKED = 1 << 19, 16, 1 << 20
 
 
 def host_of(url: Column) -> Column:
@@ -75,51 +78,58 @@ class Cascade:
                     out[at] = len(self.levels) % 2 == 1
         return out
 
-    def bits(self, shard: int) -> int:
-        return sum(64 * len(x[shard]) for x in self.levels if shard in x)
-
 
 def passes(words: np.ndarray, a: np.ndarray, b: np.ndarray, level: int) -> np.ndarray:
     at = _spots(a, b, level, np.uint64(64 * len(words)))
     return ((words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).all(0)
 
 
-def build_cascade(universe: DataFrame) -> Cascade:
-    """universe: distinct (a, b, listed) by hash pair of every key. Bits are made on the executors."""
-    keys = stored(universe)
-    spark, listed = keys.sparkSession, keys.filter("listed").count()
-    shards = max(1, -(-listed * BITS_PER_KEY // SHARD_BITS))
-    keys = keys.withColumn("shard", F.expr(f"pmod(shiftrightunsigned(a, 1), {shards})"))
-    levels: list[dict[int, np.ndarray]] = []
-    side = True
+def _level(keys: DataFrame, level: int) -> dict[int, np.ndarray]:
+    """The bits of keys (a, b, shard) by shard; executors pack them, and the driver takes one task's pieces at a time."""
+    sizes = {r["shard"]: r["n"] for r in keys.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
+    words = {s: -(-n * BITS_PER_KEY // 64) for s, n in sizes.items()}
+
+    def pack(frames):
+        held: dict[tuple[int, int], np.ndarray] = {}
+        for pdf in frames:
+            shard = pdf["shard"].to_numpy()
+            m = np.array([words[s] for s in shard], np.uint64) * np.uint64(64)
+            at = _spots(pdf["a"].to_numpy().view(np.uint64), pdf["b"].to_numpy().view(np.uint64), level, m)
+            of, at = np.tile(shard, PROBES), at.ravel()
+            piece = (at // np.uint64(PIECE)).astype(np.int64)
+            for s, c in set(zip(of.tolist(), piece.tolist())):
+                own = at[(of == s) & (piece == c)] & np.uint64(PIECE - 1)
+                bit = np.uint64(1) << (own & np.uint64(63))
+                np.bitwise_or.at(held.setdefault((s, c), np.zeros(PIECE // 64, np.uint64)), (own >> np.uint64(6)).astype(np.int64), bit)
+        if held:
+            yield pd.DataFrame([(s, c, x.tobytes()) for (s, c), x in held.items()], columns=["shard", "piece", "bits"])
+
+    out = {s: np.zeros(n, np.uint64) for s, n in words.items()}
+    tasks = min(PACKERS, 1 + sum(sizes.values()) // PACKED)
+    for r in keys.coalesce(tasks).mapInPandas(pack, "shard long, piece long, bits binary").toLocalIterator():
+        to = out[r["shard"]][r["piece"] * PIECE // 64 :][: PIECE // 64]
+        to |= np.frombuffer(r["bits"], np.uint64)[: len(to)]
+    return out
+
+
+def build_cascade(keys: DataFrame, shards: int) -> Cascade:
+    """keys: distinct (a, b, listed, shard), by hash pair, of some shards. A level is a few small jobs over what is left."""
+    spark, levels, side = keys.sparkSession, [], True
     while True:
         mine = keys.filter(F.col("listed") == side)
-        sizes = {r["shard"]: r["n"] for r in mine.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if not sizes:
+        level = _level(mine, len(levels))
+        if not level:
             return Cascade(shards, levels)
-        words = {s: -(-n * BITS_PER_KEY // 64) for s, n in sizes.items()}
-
-        def set_bits(frames, words=words, level=len(levels)):
-            for pdf in frames:
-                m = np.array([words[s] for s in pdf["shard"]], np.uint64) * np.uint64(64)
-                at = _spots(pdf["a"].to_numpy().view(np.uint64), pdf["b"].to_numpy().view(np.uint64), level, m)
-                yield pd.DataFrame({"shard": np.tile(pdf["shard"], PROBES), "word": (at >> np.uint64(6)).astype(np.int64).ravel(), "bit": (np.uint64(1) << (at & np.uint64(63))).view(np.int64).ravel()})
-
-        made = mine.mapInPandas(set_bits, "shard long, word long, bit long").groupBy("shard", "word").agg(F.expr("bit_or(bit)").alias("bits"))
-        level = {s: np.zeros(n, np.uint64) for s, n in words.items()}
-        for s in level:  # a shard at a time: SHARD_BITS at most reach the driver at once
-            got = made.filter(F.col("shard") == s).toPandas()
-            level[s][got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
         held = spark.sparkContext.broadcast(level)
 
-        def through(frames, held=held, level=len(levels)):
+        def through(frames, held=held, n=len(levels)):
             for pdf in frames:
                 a, b = (pdf[c].to_numpy().view(np.uint64) for c in "ab")
                 ok = np.zeros(len(pdf), bool)
                 for s in pdf["shard"].unique():
                     at = np.flatnonzero(pdf["shard"] == s)
                     if s in held.value:
-                        ok[at] = passes(held.value[s], a[at], b[at], level)
+                        ok[at] = passes(held.value[s], a[at], b[at], n)
                 yield pdf[ok]
 
         levels.append(level)
@@ -140,22 +150,23 @@ def _holds_udf(held):
     return holds
 
 
-def listed_mark(rows: DataFrame, key: str, cascade: Cascade, out: str) -> DataFrame:
-    """rows with a boolean column out. Shards are taken in groups of HELD_BITS; rows are stored between groups."""
-    groups: list[list[int]] = [[]]
-    room = HELD_BITS
-    for s in range(cascade.shards):
-        if groups[-1] and cascade.bits(s) > room:
-            groups.append([])
-            room = HELD_BITS
-        groups[-1].append(s)
-        room -= cascade.bits(s)
+def listed_mark(rows: DataFrame, key: str, universe: DataFrame, out: str) -> DataFrame:
+    """rows with a boolean column out: whether the key is listed. universe: distinct (a, b, listed) of every key.
+
+    Groups of shards are built and used one after another; rows are stored between groups.
+    """
+    keys = stored(universe)
+    n, listed = keys.agg(F.count(F.lit(1)), F.count_if("listed")).first()
+    shards = max(1, -(-(listed + n // 32) * BITS_PER_KEY // SHARD_BITS))  # a level lets about 1 in 50 of the others through
+    keys = keys.withColumn("shard", F.expr(f"pmod(shiftrightunsigned(a, 1), {shards})"))
+    some = max(1, HELD_BITS // SHARD_BITS)
     rows = rows.withColumn("_a", F.xxhash64(key)).withColumn("_b", F.xxhash64(F.lit("second"), key)).withColumn(out, F.lit(False))
-    for n, group in enumerate(groups):
-        part = Cascade(cascade.shards, [{s: x[s] for s in group if s in x} for x in cascade.levels])
+    for start in range(0, shards, some):
+        group = range(start, min(start + some, shards))
+        part = build_cascade(keys.filter(F.col("shard").between(group[0], group[-1])), shards)
         held = rows.sparkSession.sparkContext.broadcast((part, set(group)))
         rows = rows.withColumn(out, F.col(out) | _holds_udf(held)("_a", "_b"))
-        if n + 1 < len(groups):
+        if group[-1] + 1 < shards:
             rows = stored(rows)
     return rows.drop("_a", "_b")
 
@@ -165,7 +176,9 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], listed: DataFram
 
     listed: one column, host: what the cascade blocks. A fitting rule decides; else a listed host is blocked and any
     other allowed. A url that is null or has no :// has an empty host and path, no rule, and is allowed unless the
-    empty host is listed. Repeated rows are judged alike; other columns are not read. No rows give no rows.
+    empty host is listed. Of fitting rules the longest text decides, and of equally long ones the later in code point
+    order. Urls of any length are judged whole; repeated rows are judged alike; other columns are not read. No rows give
+    no rows.
     """
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     hosts = rows.select("host", F.lit(False).alias("listed")).unionByName(
@@ -174,7 +187,7 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str]], listed: DataFram
     universe = hosts.groupBy("host").agg(F.max("listed").alias("listed")).select(
         F.xxhash64("host").alias("a"), F.xxhash64(F.lit("second"), "host").alias("b"), "listed"
     )
-    marked = listed_mark(rows, "host", build_cascade(universe), "listed")
+    marked = listed_mark(rows, "host", universe, "listed")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("listed"), "block").otherwise("allow")
     return marked.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))

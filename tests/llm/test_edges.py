@@ -125,13 +125,34 @@ def test_urls(spark):
     assert got == {1: ("", "", None, "allow"), 2: ("", "", None, "allow"), 3: ("a.spam-x.net", "", None, "block"), 4: ("b.org", "", None, "allow"), 5: ("b.org", "/p", "org/", "allow")}
 
 
-def test_cascade_is_exact(spark):
+@pytest.mark.parametrize("bits", [1 << 27, 2048])
+def test_cascade_is_exact(spark, monkeypatch, bits):
+    from quern.llm import url_filter
+
+    monkeypatch.setattr(url_filter, "SHARD_BITS", bits)
+    monkeypatch.setattr(url_filter, "HELD_BITS", bits * 2)
+    monkeypatch.setattr(url_filter, "PIECE", 512)
     pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("h://host"), "id", F.lit("/")).alias("url"))
     listed = spark.range(0, 3000, 7).select(F.concat(F.lit("host"), "id").alias("host"))
     got = {r.page_id for r in filter_urls(pages, [], listed).filter("verdict = 'block'").collect()}
     assert got == set(range(0, 3000, 7))
 
 
+def test_urls_long_tied_and_clashing(spark):
+    long = "x://" + "a" * 300_000 + ".org/" + "p" * 300_000
+    pages = spark.createDataFrame([(1, long, 1, "k"), (2, "x://b.org/ab", 1, "k")], "page_id long, url string, rule int, host string").withColumn("listed", F.lit(1))
+    listed = spark.createDataFrame([("a" * 300_000 + ".org",)], "host string")
+    got = {r.page_id: (len(r.host), len(r.path), r.rule, r.verdict) for r in filter_urls(pages, [("block", "org/ab"), ("allow", "org/aa"), ("allow", "org/ab")], listed).collect()}
+    assert got == {1: (300_004, 300_001, None, "block"), 2: (5, 3, "org/ab", "allow")}
+
+
+def test_warc_long_repeated_and_clashing(spark):
+    pages = spark.createDataFrame([(1, "http://a/", "<p>" + "w " * 200_000), (1, "http://a/", "<p>" + "w " * 200_000)], "page_id long, url string, html string")
+    rows = derivatives(responses(pages.withColumns({"block": F.lit(1), "warc_type": F.lit("x"), "text": F.lit("x")}))).collect()
+    assert len(rows) == 4 and len({r.record_id for r in rows}) == 2 and all(r.warc_type != "x" for r in rows)
+    assert max(len(r.block) for r in rows) == 399_999
+
+
 def test_warc(spark, tmp_path):
     html = "<head><title> A\n b</title></head><p>one<br>two &amp;lt; <script>x</script><b>three</b>"
     pages = spark.createDataFrame([(1, "http://a/", html), (None, None, None)], "page_id long, url string, html string")
