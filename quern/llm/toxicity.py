@@ -28,9 +28,9 @@ EXAMPLES = 4096
 KINDS = 4
 NEIGHBOURS = 15
 #: Examples of a block; a word of at least one in WIDE examples is a row of the matrix.
-BLOCK, WIDE = 64, 32
+BLOCK, WIDE = 64, 16
 #: Texts that are searched together, and bytes of text whose words are looked up together.
-BATCH, SLICE = 256, 1 << 23
+BATCH, SLICE = 128, 1 << 22
 #: Score from which a document counts as toxic.
 REJECT = 0.3
 
@@ -389,11 +389,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, carry
         ids, labels_ = m.index.ids, m.index.labels
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
         for batch in batches:
-            coded = batch.column("_text").dictionary_encode()  # equal texts of a batch are looked up once
-            each = [x for part in text_slices(coded.dictionary) for x in m.votes(part, known_words)]
-            shown = [[{"doc_id": int(ids[i]), "toxic": int(labels_[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)] for _, found, sims in each]
-            score, evidence = pa.array(np.interp([x[0] for x in each], *knots).clip(0, 1), pa.float64()), pa.array(shown, kind)
-            columns = [*(batch.column(n) for n in names), score.take(coded.indices), evidence.take(coded.indices)]
+            scores, evidences = [], []
+            for part in text_slices(batch.column("_text")):
+                coded = part.dictionary_encode()  # equal texts are looked up once
+                each = m.votes(coded.dictionary, known_words)
+                shown = [[{"doc_id": int(ids[i]), "toxic": int(labels_[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)] for _, found, sims in each]
+                scores.append(pa.array(np.interp([x[0] for x in each], *knots).clip(0, 1), pa.float64()).take(coded.indices))
+                evidences.append(pa.array(shown, kind).take(coded.indices))
+            score, evidence = pa.chunked_array(scores, pa.float64()).combine_chunks(), pa.chunked_array(evidences, kind).combine_chunks()
+            columns = [*(batch.column(n) for n in names), score, evidence]
             yield pa.RecordBatch.from_arrays(columns, [*names, "score", "evidence"])
 
     names = ["doc_id", *carry]
