@@ -22,6 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import kept
+
 #: States and pieces a Python worker keeps; beyond it, the table is begun anew.
 MAX_STATES, MAX_PIECES, MAX_PAIRS = 100_000, 250_000, 700_000
 NEVER, NONE = 1 << 60, -1
@@ -249,15 +251,10 @@ class Codec:
         yield machine.end()
 
 
-_codecs: dict[tuple[str, str], Codec] = {}
-
-
 def codec(ranks_text: bytes, pattern: str) -> Codec:
     """The worker's codec for a rank file's content (lines of base64 token and rank)."""
-    key = (hashlib.sha256(ranks_text).hexdigest(), pattern)
-    if key not in _codecs:
-        _codecs[key] = Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_text.splitlines())}, pattern)
-    return _codecs[key]
+    make = lambda: Codec({base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_text.splitlines())}, pattern)
+    return kept((hashlib.sha256(ranks_text).hexdigest(), pattern), make)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Helpers that several corpus operators use."""
 
+import gc
 import tempfile
 import uuid
 
@@ -27,6 +28,20 @@ def shared_folder(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get()
 
 
+_kept: dict = {}
+
+
+def kept(key, make):
+    """What make gives, kept by the Python worker until another key is asked for: one operator's tables at a time."""
+    if key not in _kept:
+        if _kept:
+            _kept.clear()
+            gc.unfreeze()
+            gc.collect()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

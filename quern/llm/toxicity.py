@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from xxhash import xxh32_intdigest
 
-from .shared import partitions, stored
+from .shared import kept, partitions, stored
 
 #: Bound of the fit: labelled examples of each class (those of the smallest hashes).
 EXAMPLES = 4096
@@ -110,6 +110,7 @@ def document_counts(docs: DataFrame, vocabulary) -> tuple[int, np.ndarray]:
     """Rows of docs, and those that hold each word of the broadcast vocabulary."""
 
     def run(batches):
+        kept("toxicity", dict)
         known, rows = vocabulary.value, 0
         n = np.zeros(len(known), np.int64)
         for batch in batches:
@@ -202,7 +203,7 @@ class BlockMaxIndex:
         column = np.full(words, -1)
         column[wide] = np.arange(len(wide))
         dense = column[word] >= 0
-        cells = column[word[dense]], place[dense], value[dense]
+        cells = column[word[dense]].astype(np.int32), place[dense].astype(np.int32), value[dense]
         place, word, value = place[~dense], word[~dense], value[~dense]
         sort = np.lexsort((place, word))
         place, word, value = place[sort], word[sort], value[sort]
@@ -211,7 +212,7 @@ class BlockMaxIndex:
         return BlockMaxIndex(
             np.asarray(ids, np.int64)[order], np.asarray(labels, np.int64)[order], np.asarray(stands_for, np.float64)[order],
             column, cells, np.searchsorted(word[first], np.arange(words + 1)),
-            (place[first] // BLOCK).astype(np.int32), top, first, np.diff(np.append(first, len(place))).astype(np.int32), place.astype(np.int32), value,
+            (place[first] // BLOCK).astype(np.int32), top, first.astype(np.int32), np.diff(np.append(first, len(place))).astype(np.int32), place.astype(np.int32), value,
         ), order
 
     @property
@@ -337,6 +338,7 @@ def calibration(examples: DataFrame, model, vocabulary) -> tuple[np.ndarray, np.
     """Knots that turn votes into rates: of the examples, each voted on without itself, on the executors."""
 
     def run(batches):
+        kept("toxicity", dict)
         m = model.value
         order = np.argsort(m.index.ids)
         for batch in batches:
@@ -385,20 +387,21 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, carry
     knots = calibration(fit, model, vocabulary)
 
     def run(batches):
+        kept("toxicity", dict)
         m, known_words = model.value, vocabulary.value
         ids, labels_ = m.index.ids, m.index.labels
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
         for batch in batches:
-            scores, evidences = [], []
+            done = 0
             for part in text_slices(batch.column("_text")):
                 coded = part.dictionary_encode()  # equal texts are looked up once
                 each = m.votes(coded.dictionary, known_words)
                 shown = [[{"doc_id": int(ids[i]), "toxic": int(labels_[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)] for _, found, sims in each]
-                scores.append(pa.array(np.interp([x[0] for x in each], *knots).clip(0, 1), pa.float64()).take(coded.indices))
-                evidences.append(pa.array(shown, kind).take(coded.indices))
-            score, evidence = pa.chunked_array(scores, pa.float64()).combine_chunks(), pa.chunked_array(evidences, kind).combine_chunks()
-            columns = [*(batch.column(n) for n in names), score, evidence]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "score", "evidence"])
+                score = pa.array(np.interp([x[0] for x in each], *knots).clip(0, 1), pa.float64()).take(coded.indices)
+                own = batch.slice(done, len(part))
+                columns = [*(own.column(n) for n in names), score, pa.array(shown, kind).take(coded.indices)]
+                yield pa.RecordBatch.from_arrays(columns, [*names, "score", "evidence"])
+                done += len(part)
 
     names = ["doc_id", *carry]
     more = StructType.fromDDL("score double, evidence array<struct<doc_id:bigint,toxic:int,similarity:double>>")
