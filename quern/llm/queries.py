@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_documents
+from .conversation_trie import conversation_trie
 from .embed_dedup import near_vectors
 from .exact_dedup import exact_dedup
+from .importance import resample
 from .mixing import mix
 from .order_minhash import near_classes
 from .substring_dedup import substring_dedup
@@ -162,6 +164,56 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), *vocabulary()).drop("ids")
 
 
+def _crc32(codes: str) -> str:
+    """SQL for the unsigned crc32 of a list of bytes."""
+    step = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {codes}), lambda c, b: {step}), 4294967295)"
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP12_SQL = rf"""
+with words as (select 1 as corpus, doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) as w from documents
+  union all select 0, null, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) from benchmark),
+hashed as materialized (select w, {_crc32("list_transform(range(1, len(hx), 2), lambda i: cast('0x' || substr(hx, i, 2) as bigint))")} % 10000 as bucket from (select w, hex(encode(w)) as hx from (select distinct w from words) d) e),
+placed as materialized (select corpus, doc_id, bucket from words join hashed using (w)),
+sums as (select count(*) filter (where corpus = 1)::double as ss, count(*) filter (where corpus = 0)::double as tt from placed),
+gain as materialized (select bucket, floor(1000 * ln((count(*) filter (where corpus = 0) + 1.0::double) * (ss + 10000) / ((count(*) filter (where corpus = 1) + 1.0::double) * (tt + 10000))))::bigint as g
+  from placed, sums group by bucket, ss, tt),
+per as (select doc_id, count(*) as n, sum(g) as total from placed join gain using (bucket) where corpus = 1 group by doc_id),
+weighed as (select d.doc_id, coalesce(n, 0) as n_features, coalesce(floor(total::double / n)::bigint, 0) as weight,
+    coalesce(floor(total::double / n)::bigint, 0) + floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) as bigint) + 0.5::double) / 4294967296.0::double)))::bigint as score
+  from documents d left join per on per.doc_id = d.doc_id),
+placed_at as (select *, case when n_features >= 20 then row_number() over (partition by n_features >= 20 order by score desc, doc_id) end as place, count(*) filter (where n_features >= 20) over () as able from weighed)
+select doc_id, n_features, weight, score, case when place <= 10 * able // 100 then place end as rank from placed_at
+"""
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+OP13_SQL = rf"""
+with t as materialized (select conv_id as c, role, text, piece, row_number() over (partition by conv_id order by turn nulls first, piece) as k
+  from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, sha256(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as piece from conversations where conv_id is not null) q),
+c as (select c, n, {_crc32("list_transform(range(1, len(s) + 1), lambda i: ascii(substr(s, i, 1))::bigint)")} % 9 as h from (select c, count(*) as n, cast(c as varchar) as s from t group by c) q),
+b as (select c.c, c.h, least(c.h, coalesce(base.n, 0)) as taken, c.c - c.c % 5 as base from c left join c as base on base.c = c.c - c.c % 5),
+r as (select b.c, t.k as d, piece, strlen(text) as size from b join t on t.c = b.base and t.k <= b.h
+  union all select b.c, b.taken + t.k - b.h, piece, strlen(text) from b join t on t.c = b.c and t.k > b.h),
+p as materialized (select c, d, size, string_agg(piece, '') over (partition by c order by d) as prefix from r union all select c, 0, 0, '' from c),
+n as materialized (select prefix, d, min(c) as conv_id, count(*) as n_convs, any_value(size) as size from p group by prefix, d),
+kids as (select substr(prefix, 1, 64 * (d - 1)) as prefix, count(*) as n from n where d > 0 group by 1),
+e as (select prefix, sha256(string_agg(c::varchar, ',' order by c)) as ends from (select c, max_by(prefix, d) as prefix from p group by c) q group by prefix),
+sub as (select substr(prefix, 1, 64 * a) as prefix, sum((n_convs - 1) * size)::bigint as saved, count(*) filter (where leaf) as leaves
+  from (select n.prefix, n_convs, size, kids.n is null as leaf, unnest(range(0, d + 1)) as a from n left join kids on kids.prefix = n.prefix) q group by 1)
+select n.conv_id, n.d as depth, up.conv_id as parent_conv_id, n.n_convs, coalesce(kids.n, 0) as n_children, sub.leaves as n_leaves, sub.saved as saved_tokens, coalesce(e.ends, sha256('')) as ends_sha256
+from n join sub on sub.prefix = n.prefix left join kids on kids.prefix = n.prefix left join e on e.prefix = n.prefix
+left join n up on n.d > 0 and up.prefix = substr(n.prefix, 1, 64 * (n.d - 1))
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_url_filters": op2_url_filters,
@@ -173,6 +225,8 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_bpe": op10_bpe,
+    "op12_importance": op12_importance,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 ORACLE_SQL = {
     "op2_url_filters": OP2_SQL,
@@ -180,4 +234,6 @@ ORACLE_SQL = {
     "op6_exact_dedup": OP6_SQL,
     "op8_mixing": OP8_SQL,
     "op9_embedding_dedup": OP9_SQL,
+    "op12_importance": OP12_SQL,
+    "op13_conversation_trie": OP13_SQL,
 }
