@@ -214,7 +214,7 @@ def conversation_trie(conversations: DataFrame) -> DataFrame:
     conversations: conv_id (an integer), turn, role, text; other columns are not read, whatever their names. Turns are
     ordered by turn, null first, and where these are equal by the hash of role and text; repeated rows are turns of their
     own. Null role and text are empty; rows without conv_id belong to no conversation. Texts are whole. No rows give no
-    nodes, otherwise the root has depth 0. A conversation's hashes, 20 bytes a turn, are one row.
+    nodes, otherwise the root has depth 0. A remainder has the sign of conv_id, as in SQL. A conversation's hashes, 20 bytes a turn, are one row.
     """
     rows = stored(distinct_sequences(rebuilt(conversations)))
     edges = shared_edges(rows)

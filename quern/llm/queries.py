@@ -10,6 +10,7 @@ from .exact_dedup import exact_dedup
 from .importance import resample
 from .mixing import mix
 from .order_minhash import near_classes
+from .quality_net import quality
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
 from .toxicity import toxicity
@@ -164,6 +165,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), *vocabulary()).drop("ids")
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _crc32(codes: str) -> str:
     """SQL for the unsigned crc32 of a list of bytes."""
     step = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
@@ -225,6 +230,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_bpe": op10_bpe,
+    "op11_quality": op11_quality,
     "op12_importance": op12_importance,
     "op13_conversation_trie": op13_conversation_trie,
 }
