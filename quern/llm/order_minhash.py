@@ -2,16 +2,16 @@
 
 Shingles of five words are labelled with their occurrence number, so repeats count. For each table a hash orders the
 labelled shingles; the two smallest, kept in text order, are the table's key, which makes keys sensitive to order and
-so to edit similarity. Texts that share a key of any table form candidate families. Inside a family a pair counts when
-a banded alignment of its shingle sequences matches enough: aligned / (all - aligned) >= 0.8. The multiset Jaccard
-index, exact for all pairs of a block by matrix products, bounds the alignment from above, and pairs that links already
-connect need no alignment. Equal word sequences are one entry throughout; no family emits its pairs.
-
-A family of more than a block is compared in two rounds, so that a large group of near copies costs in proportion to its
-size. Aligned shingles are no more than the smaller text's, so texts are only alike within a level of sizes or the next.
-Round one compares every block with itself and with the first block of its level, and first blocks of adjoining levels.
-What is then connected needs no more comparison inside; round two compares the texts outside the family's largest part
-with all texts of their own and adjoining levels. No pair that could link two parts is left out.
+so to edit similarity. Texts that share a key of any table are candidates. A pair counts when a banded alignment of its
+shingle sequences matches enough: aligned / (all - aligned) >= 0.8. Equal word sequences are one entry throughout.
+
+Candidates are compared in two rounds, so that a large group of near copies costs in proportion to its size. Round one
+compares every entry with one other, the smallest first entry of its buckets. A bucket whose entries are then connected
+is done, and of buckets with the same entries one is enough. Round two compares the others bucket by bucket: in those of
+more than a block, the entries outside the part of most entries with all entries of their own and adjoining sizes, since
+aligned shingles are no more than the smaller text's. The multiset Jaccard index, exact for all pairs of a block by matrix
+products, bounds the alignment from above, and pairs that links already connect need none. No pair that shares a key and
+could link two parts is left out, and no bucket of more than two emits its pairs.
 """
 
 import bisect
@@ -30,7 +30,7 @@ from .repeats import MULT, _poly
 from .shared import mix64, stored
 
 SHINGLE, SIMILARITY, TABLES = 5, 0.8, 12
-#: Entries of a family that are compared in one task, with each other or with another block's.
+#: Entries of a bucket that are compared in one task, with each other or with another block's.
 BLOCK = 512
 #: Diagonals of the alignment's band on either side, as a share of the longer text.
 BAND = 0.25
@@ -101,22 +101,28 @@ def aligned(a: np.ndarray, b: np.ndarray) -> int:
     return len(tails)
 
 
-def compare(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
-    """A block with itself (side 2) or two blocks (sides 0 and 1) of a family: a spanning set of their links (a, b)."""
-    labels, starts = labelled([x.encode().split() for x in pdf["text"].str.lower()])
-    seqs = [labels[s:e] for s, e in zip(starts[:-1], starts[1:])]
-    sizes = np.diff(starts).astype(np.float64)
+def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether enough of two sequences is aligned; sequences of too different length need no look."""
+    if min(len(a), len(b)) < similarity * max(len(a), len(b)):
+        return False
+    n = aligned(a, b)
+    return n >= similarity * (len(a) + len(b) - n)
+
+
+def compare(ids: np.ndarray, group: np.ndarray, side: np.ndarray, seqs: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A block with itself (side 2) or two blocks (sides 0 and 1) of a bucket: links that connect different groups, no more than needed."""
+    labels = np.concatenate(seqs)
+    sizes = np.array([len(x) for x in seqs], np.float64)
     _, number = np.unique(labels, return_inverse=True)
     shared = np.flatnonzero(np.bincount(number) > 1)
     column = np.full(number.max() + 1 if len(number) else 0, -1)
     column[shared] = np.arange(len(shared))
-    column, row = column[number], np.repeat(np.arange(len(seqs)), np.diff(starts))
-    side = pdf["side"].to_numpy()
+    column, row = column[number], np.repeat(np.arange(len(seqs)), sizes.astype(np.int64))
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
     common = np.zeros((len(left), len(right)), np.float32)
     for c in range(0, len(shared), 8192):
         pick = (column >= c) & (column < c + 8192)
-        m = np.zeros((len(seqs), 8192), np.float32)
+        m = np.zeros((len(seqs), min(8192, len(shared) - c)), np.float32)
         m[row[pick], column[pick] - c] = 1
         common += m[left] @ m[right].T
     jaccard = common / np.maximum(sizes[left, None] + sizes[None, right] - common, 1)
@@ -124,39 +130,33 @@ def compare(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
     i, j = np.nonzero(np.triu(like, 1) if (side == 2).all() else like)
     bound = jaccard[i, j]
     i, j = left[i], right[j]
-    ids, group, out = pdf["id"].to_numpy(), list(range(len(seqs))), []
+    up = np.unique(group, return_index=True, return_inverse=True)
+    up = up[1][up[2]].tolist()  # of every entry the first of its group
+    out = []
 
     def top(x):
-        while group[x] != x:
-            group[x] = x = group[group[x]]
+        while up[x] != x:
+            up[x] = x = up[up[x]]
         return x
 
     for k in np.argsort(-bound, kind="stable"):
         x, y = top(i[k]), top(j[k])
-        if x != y and ids[i[k]] != ids[j[k]]:
-            n = aligned(seqs[i[k]], seqs[j[k]])
-            if n >= similarity * (sizes[i[k]] + sizes[j[k]] - n):
-                group[max(x, y)] = min(x, y)
-                out.append((ids[i[k]], ids[j[k]]))
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-
-def _families(keyed: DataFrame, keys: list[str]) -> DataFrame:
-    """node, component over entries (id, *keys) that share all keys with another."""
-    stars = keyed.groupBy(*keys).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return components(keyed.join(stars, keys).filter("id != first").select(F.col("id").alias("a"), F.col("first").alias("b")))
+        if x != y and alike(seqs[i[k]], seqs[j[k]], similarity):
+            up[max(x, y)] = min(x, y)
+            out.append((int(ids[i[k]]), int(ids[j[k]])))
+    return out
 
 
 def _levels(members: DataFrame, *counts: Column) -> DataFrame:
-    """A row for every level of a family: its blocks, whether the family is larger than a block, and the levels beside it.
+    """A row for every level of a bucket: its blocks, whether the bucket is larger than a block, and the levels beside it.
 
     With counts of (all, outside), the blocks of these at the level itself and at those below and above.
     """
     names = ["n", "out"][: len(counts)]
-    per = members.groupBy("component", "level").agg(*(c.alias(n) for c, n in zip(counts, names)))
-    family = Window.partitionBy("component")
-    at = lambda by, n: F.coalesce(F.max(F.ceil(F.col(n) / BLOCK)).over(family.orderBy("level").rangeBetween(by, by)), F.lit(0)).cast("int")
-    return per.select("component", "level", (F.sum("n").over(family) > BLOCK).alias("large"), *(at(by, n).alias(f"{n}{by}") for n in names for by in (-1, 0, 1)))
+    per = members.groupBy("bucket", "level").agg(*(c.alias(n) for c, n in zip(counts, names)))
+    bucket = Window.partitionBy("bucket")
+    at = lambda by, n: F.coalesce(F.max(F.ceil(F.col(n) / BLOCK)).over(bucket.orderBy("level").rangeBetween(by, by)), F.lit(0)).cast("int")
+    return per.select("bucket", "level", (F.sum("n").over(bucket) > BLOCK).alias("large"), *(at(by, n).alias(f"{n}{by}") for n in names for by in (-1, 0, 1)))
 
 
 def _code(level: Column, block: Column) -> Column:
@@ -175,98 +175,136 @@ def _only(condition: Column, task: Column) -> Column:
     return F.filter(F.array(F.when(condition, task)), lambda t: t.isNotNull())
 
 
-def _first_round() -> Column:
-    """The tasks of an entry: its block, its level's first block with the others, first blocks of adjoining levels.
+def _tasks() -> Column:
+    """The tasks of an entry: with every block of outside entries near its level, and as one of these with all blocks near.
 
-    A family of one block at most is a single task.
+    A bucket of one block at most is a single task.
     """
-    blocks = F.when(F.col("large"), F.col("n0")).otherwise(1)
-    level = F.when(F.col("large"), F.col("level")).otherwise(0)
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    own, first, is_first = _code(level, block), _code(level, F.lit(0)), block == 0
-    beside = lambda by: F.col("large") & is_first & (F.col(f"n{by}") > 0)
-    return F.concat(
-        F.array(_task(own, own, 2)),
-        _only(~is_first, _task(first, own, 1)),
-        F.transform(_numbers(F.when(is_first, blocks).otherwise(0), 1), lambda o: _task(own, _code(level, o), 0)),
-        _only(beside(1), _task(own, _code(level + 1, F.lit(0)), 0)),
-        _only(beside(-1), _task(_code(level - 1, F.lit(0)), own, 1)),
-    )
-
-
-def _outside(members: DataFrame, parts: DataFrame) -> DataFrame:
-    """members of large families, with outside: not in the part of most entries; and the blocks of their levels."""
-    at = members.select("component", "node", "level").join(parts.select("node", F.col("component").alias("part")), "node", "left").withColumn("part", F.coalesce("part", "node"))
-    counts = at.groupBy("component", "part").agg(F.count(F.lit(1)).alias("n"))
-    main = stored(counts.groupBy("component").agg(F.max_by("part", F.struct("n", -F.col("part"))).alias("main")))
-    tagged = stored(at.join(main, "component").select("component", "node", "level", (F.col("part") != F.col("main")).alias("outside")))
-    sizes = stored(_levels(tagged, F.count(F.lit(1)), F.count_if("outside")))
-    return tagged.join(sizes.drop("large"), ["component", "level"])
-
-
-def _second_round() -> Column:
-    """The tasks of an entry: with every block of outside entries near its level, and as one of these with all blocks near."""
     level = F.col("level")
-    block = F.pmod(F.xxhash64("node"), F.col("n0")).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("outside"), "node"), F.greatest(F.col("out0"), F.lit(1))).cast("int")
+    block = F.pmod(F.xxhash64("id"), F.col("n0")).cast("int")
+    own = F.pmod(F.xxhash64(F.lit("outside"), "id"), F.greatest(F.col("out0"), F.lit(1))).cast("int")
 
     def beside(by: int) -> Column:
         others = F.transform(_numbers(F.col(f"out{by}")), lambda o: _task(_code(level + by, o), _code(level, block), 1))
         blocks = F.when(F.col("outside"), F.col(f"n{by}")).otherwise(0)
         return F.concat(others, F.transform(_numbers(blocks), lambda o: _task(_code(level, own), _code(level + by, o), 0)))
 
-    return F.concat(*map(beside, (-1, 0, 1)))
+    return F.when(F.col("large"), F.concat(*map(beside, (-1, 0, 1)))).otherwise(F.array(_task(F.lit(0).cast("long"), F.lit(0).cast("long"), 2)))
+
+
+def _leaders(shared: DataFrame) -> DataFrame:
+    """(a, b): every entry with the smallest first entry of its buckets."""
+    return shared.filter("id != first").groupBy(F.col("id").alias("a")).agg(F.min("first").alias("b"))
+
+
+def _verified(pairs: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) that are alike, stored."""
 
+    def run(batches):
+        for batch in batches:
+            ends = [batch.column(c) for c in ("la", "lb")]
+            good = [alike(np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64), similarity) for x, y in zip(*ends)]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    of = lambda end: labels.select(F.col("id").alias(end), F.col("labels").alias(f"l{end}"))
+    return stored(pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "la", "lb").mapInArrow(run, "a long, b long"))
+
+
+def _mixed(shared: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is left to compare once parts are connected: pairs (a, b), and members (bucket, id, group, level, outside) of larger buckets.
+
+    A bucket whose entries are connected is done, and of buckets with the same entries one is enough. outside: not in the
+    bucket's part of most entries.
+    """
+    at = stored(shared.join(parts.select(F.col("node").alias("id"), F.col("component").alias("group")), "id", "left").withColumn("group", F.coalesce("group", "id")))
+    seen = [F.sum(F.xxhash64(F.lit(i), "id").cast("decimal(38,0)")).alias(f"s{i}") for i in (0, 1)]
+    open_ = at.groupBy("t", "key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max("id").alias("last"), F.min("id").alias("first"), F.count(F.lit(1)).alias("n"), *seen).filter("low != high")
+    one = stored(open_.groupBy("s0", "s1", "n", "first", "last").agg(F.min(F.struct("t", "key")).alias("k")).select("n", "first", "last", "k.t", "k.key"))
+    pairs = one.filter("n = 2").select(F.col("last").alias("a"), F.col("first").alias("b")).distinct()
+    large = stored(one.filter("n > 2").select("t", "key", F.monotonically_increasing_id().alias("bucket")))
+    members = stored(at.drop("first", "n").join(large, ["t", "key"]).select("bucket", "id", "group", "level"))
+    counts = members.groupBy("bucket", "group").agg(F.count(F.lit(1)).alias("n"))
+    main = stored(counts.groupBy("bucket").agg(F.max_by("group", F.struct("n", -F.col("group"))).alias("main")))
+    return pairs, stored(members.join(main, "bucket").select("bucket", "id", "group", "level", (F.col("group") != F.col("main")).alias("outside")))
 
-def _compared(texts: DataFrame, placed: DataFrame, tasks: Column, similarity: float) -> DataFrame:
-    """Links (a, b), stored, of the entries placed over all their tasks."""
-    dealt = texts.join(placed.select("component", F.col("node").alias("doc_id"), tasks.alias("tasks")).filter(F.size("tasks") > 0), "doc_id")
-    each = dealt.select("component", F.col("doc_id").alias("id"), "text", F.inline("tasks"))
-    return stored(each.groupBy("component", "x", "y").applyInPandas(lambda pdf: compare(pdf, similarity), "a long, b long"))
+
+def _within(members: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b), stored, of buckets whose entries are compared block by block."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        seqs = [np.frombuffer(x, np.uint64) for x in pdf["labels"]]
+        out = compare(pdf["id"].to_numpy(), pdf["group"].to_numpy(), pdf["side"].to_numpy(), seqs, similarity)
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+    sizes = stored(_levels(members, F.count(F.lit(1)), F.count_if("outside")))
+    placed = members.join(sizes, ["bucket", "level"]).select("bucket", "id", "group", _tasks().alias("tasks")).filter(F.size("tasks") > 0)
+    each = placed.join(labels, "id").select("bucket", "id", "group", "labels", F.inline("tasks"))
+    return stored(each.groupBy("bucket", "x", "y").applyInPandas(run, "a long, b long"))
 
 
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, class_id, kept for every row: class_id is the smallest doc_id that links lead to, kept says it is this one.
+    """doc_id, class_id, kept, text_sha256 for every row: class_id is the smallest doc_id of the texts that links connect.
 
-    Words are split at white space and compared in lower case; texts of fewer than five words only match equal ones.
-    Null and empty texts stay alone, rows without doc_id too. Rows that repeat a doc_id share its class. Other columns
-    are not read. No rows give no rows.
+    kept says that the row's doc_id is it and its text is the class's own; where texts of one class share this doc_id, the
+    one with the smallest hash. Rows of equal words are alike; rows that share a doc_id but not their words are documents of
+    their own, linked only if their texts are. Words are split at white space and compared in lower case; texts of fewer
+    than five words only match equal ones. Null and empty texts stay alone, rows without doc_id too, and both are kept.
+    Other columns are not read. No rows give no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"))
+
+    def slices(batch):
+        """The rows from one number to another, and their words."""
+        done, size, words = 0, 0, []
+        texts = batch.column("text")
+        for n in range(len(texts)):
+            words.append(texts[n].as_py().lower().encode().split())
+            size += sum(map(len, words[-1]))
+            if size >= SLICE or n + 1 == len(texts):
+                yield batch.slice(done, len(words)), words
+                done, size, words = n + 1, 0, []
+
+    def sketches(batches):
+        for batch in batches:
+            for own, words in slices(batch):
+                digests = [hashlib.sha256(b" ".join(w)).digest() if w else None for w in words]
+                labels, starts = labelled(words)
+                keys = pa.array(list(sketch(labels, starts)), pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([own.column("doc_id"), own.column("sha"), pa.array(digests, pa.binary()), keys, pa.array(np.diff(starts), pa.int64())], ["doc_id", "sha", "digest", "keys", "size"])
 
-    def run(batches):
+    def sequences(batches):
         for batch in batches:
-            done, size, words = 0, 0, []
-            texts = batch.column("text")
-            for n in range(len(texts)):
-                words.append(texts[n].as_py().lower().encode().split())
-                size += sum(map(len, words[-1]))
-                if size >= SLICE or n + 1 == len(texts):
-                    digests = [hashlib.sha256(b" ".join(w)).digest() if w else None for w in words]
-                    labels, starts = labelled(words)
-                    keys = sketch(labels, starts)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").slice(done, len(words)), pa.array(digests, pa.binary()), pa.array(list(keys), pa.list_(pa.int64())), pa.array(np.diff(starts), pa.int64())],
-                        ["doc_id", "digest", "keys", "size"],
-                    )
-                    done, size, words = n + 1, 0, []
-
-    sketched = stored(rows.mapInArrow(run, "doc_id long, digest binary, keys array<long>, size long"))
+            for own, words in slices(batch):
+                labels, starts = labelled(words)
+                yield pa.RecordBatch.from_arrays([own.column("id"), pa.array([labels[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])], pa.binary())], ["id", "labels"])
+
+    sketched = stored(rows.mapInArrow(sketches, "doc_id long, sha binary, digest binary, keys array<long>, size long"))
     some = sketched.filter("doc_id is not null and digest is not null")
-    entries = stored(some.groupBy("digest").agg(F.min(F.struct("doc_id", "keys", "size")).alias("e")).select("digest", F.col("e.doc_id").alias("id"), "e.keys", "e.size"))
-    spots = entries.select("id", F.posexplode("keys").alias("t", "key"))
-    family = _families(spots, ["t", "key"])
+    entries = some.groupBy("digest").agg(F.min(F.struct("doc_id", "sha", "keys", "size")).alias("e")).select("digest", "e.*")
+    # Numbers of their own: two entries may have the same smallest doc_id.
+    entries = stored(entries.withColumn("id", F.monotonically_increasing_id()))
     # The base of the levels is a trace wider than the bound, for rounding.
     level = F.floor(F.log("size") / math.log(1.0001 / similarity)).cast("long")
-    members = stored(family.join(entries.select(F.col("id").alias("node"), "size"), "node").select("component", "node", level.alias("level")))
-    texts = stored(rows.filter("doc_id is not null").join(members.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    sizes = stored(_levels(members, F.count(F.lit(1))))
-    links = _compared(texts, members.join(sizes, ["component", "level"]), _first_round(), similarity)
-    parts = stored(components(links))
-    if not sizes.filter("large").isEmpty():
-        links = links.unionByName(_compared(texts, _outside(members.join(sizes.filter("large"), ["component", "level"]), parts), _second_round(), similarity))
-        parts = components(links)
-    classes = parts
-    of_entry = entries.join(classes.withColumnRenamed("node", "id"), "id", "left").select("digest", F.coalesce("component", "id").alias("class_id"))
-    joined = sketched.join(of_entry, "digest", "left").select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"))
-    return joined.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    spots = entries.select("id", level.alias("level"), F.posexplode("keys").alias("t", "key"))
+    # Stored, so that both sides of the join come straight from a shuffle and the entries of a hot key can be split.
+    buckets = stored(spots.groupBy("t", "key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    shared = stored(spots.join(buckets, ["t", "key"]))
+    wanted = entries.join(shared.select("id").distinct(), "id").select("id", "doc_id", "sha")
+    texts = rows.filter("doc_id is not null").join(wanted, ["doc_id", "sha"]).dropDuplicates(["doc_id", "sha"]).select("id", "text")
+    labels = stored(texts.mapInArrow(sequences, "id long, labels binary"))
+    links = _verified(_leaders(shared), labels, similarity)
+    pairs, members = _mixed(shared, stored(components(links)))
+    links = links.unionByName(_verified(pairs, labels, similarity)).unionByName(_within(members, labels, similarity))
+    parts = components(links).withColumnRenamed("node", "id")
+    of_entry = stored(entries.join(parts, "id", "left").select("digest", "doc_id", F.coalesce("component", "id").alias("component")))
+    least = stored(of_entry.groupBy("component").agg(F.min(F.struct("doc_id", "digest")).alias("m")))
+    classes = of_entry.join(least, "component").select("digest", F.col("m.doc_id").alias("class_id"), (F.col("digest") == F.col("m.digest")).alias("own"))
+    joined = sketched.join(classes, "digest", "left")
+    alone = F.col("doc_id").isNull() | F.col("own").isNull()
+    return joined.select(
+        "doc_id",
+        F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(alone, True).otherwise(F.col("own") & (F.col("doc_id") == F.col("class_id"))).alias("kept"),
+        F.lower(F.hex("sha")).alias("text_sha256"),
+    )

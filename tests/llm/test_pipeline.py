@@ -49,6 +49,16 @@ def test_near_copies_go(spark, odd):
     assert got == [("1", ""), ("2", ""), ("3", "w0 w1"), ("5", "other"), ("5", "p0 p1"), ("5", "p0 p1"), ("None", "no id"), ("None", "p0 p1")]
 
 
+def test_rows_that_share_an_id_are_judged_by_their_text(spark):
+    """In exact and near dedup alike: of two texts of one id the copy goes, the other one stays."""
+    other = " ".join(f"o{i}" for i in range(60))
+    rows = frame(spark, (1, PASSAGE, "a"), (2, PASSAGE + " x", "a"), (2, other, "a"), (3, other.upper(), "b"), (4, other + " y", "b"))
+    exact = P.drop_copies(spark, rows, SF)
+    assert sorted((r.doc_id, r.text[:2]) for r in exact.collect()) == [(1, "p0"), (2, "p0"), (3, "O0"), (4, "o0")]
+    assert sorted((r.doc_id, r.text[:2]) for r in P.drop_near_copies(spark, exact, SF).collect()) == [(1, "p0"), (3, "O0")]
+    assert sorted((r.doc_id, r.text[:2]) for r in P.drop_near_copies(spark, rows, SF).collect()) == [(1, "p0"), (2, "o0")]
+
+
 def test_repeated_rows_draw_alike(spark):
     rows = [(i // 2, f"t{i % 2}", "a" if i % 6 else None) for i in range(120)]
     counts = P.mix_sources(spark, frame(spark, *rows), SF).groupBy("doc_id", "source", "text").count().collect()

@@ -202,3 +202,40 @@ def test_op9_compares_large_buckets_in_blocks(spark, monkeypatch):
     want = sorted(tuple(r) for r in Q.op9_embedding_dedup(spark, SF).collect())
     monkeypatch.setattr(embed_dedup, "BLOCK", 2)
     assert sorted(tuple(r) for r in Q.op9_embedding_dedup(spark, SF).collect()) == want
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_op7_rows_that_repeat_an_id(spark, parts):
+    """Two texts of one id, each with a near copy of another id: rows are judged by their own text, however they are dealt."""
+    import random
+
+    from quern.llm.order_minhash import near_classes
+
+    rng = random.Random(3)
+    rows, want = [], set()
+    for i in range(30):
+        a, b = ([f"w{rng.randrange(10**6)}" for _ in range(80)] for _ in range(2))
+        texts = [" ".join(x) for x in (a, b, [*a[:-1], "x"], [*b[:-1], "y"])]
+        rows += list(zip([10 * i + 1, 10 * i + 1, 10 * i + 2, 10 * i + 3], texts))
+        want |= {(10 * i + n, t, 10 * i + 1, n == 1) for n, t in zip((1, 1, 2, 3), texts)}
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    by = {hashlib.sha256(t.encode()).hexdigest(): t for _, t in rows}
+    assert {(r.doc_id, by[r.text_sha256], r.class_id, r.kept) for r in near_classes(df).collect()} == want
+
+
+def test_op7_common_passage_in_small_blocks(spark, monkeypatch):
+    """Texts that share a passage but are not alike, two groups of near copies among them, against all pairs."""
+    import random
+
+    from quern.llm import order_minhash as M
+
+    rng = random.Random(5)
+    common = " ".join(f"p{i}" for i in range(40))
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    rows = [(i, " ".join([*words(rng.randrange(20, 60)), common, *words(20)])) for i in range(150)]
+    for group in range(2):
+        base = [*words(70), *common.split()]
+        rows += [(1000 * (group + 1) + i, " ".join([*base[: rng.randrange(60, 70)], *words(2), *base[70:]])) for i in range(25)]
+    monkeypatch.setattr(M, "BLOCK", 8)
+    got = {r.doc_id: r.class_id for r in M.near_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == classes(rows) and len(set(got.values())) < 160
