@@ -47,10 +47,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every class of near copies the document with the smallest doc_id.
 
-    Rows that share an id share its class and stay or go together; rows without an id stay. Empty texts are alike to none.
+    Rows that share an id but not a text are different documents, as in the stage before; rows without an id stay. Empty
+    texts are alike to none.
     """
-    kept = near_classes(docs).filter("kept").select(F.col("doc_id").alias("_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi").select(*COLUMNS)
+    kept = near_classes(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_kept")).distinct()
+    rows = docs.select(*COLUMNS).withColumn("_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    return rows.join(kept, rows["doc_id"].eqNullSafe(kept["_id"]) & (rows["_sha"] == kept["_kept"]), "left_semi").select(*COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
