@@ -1,7 +1,10 @@
 """Toxicity by nearest labelled examples.
 
 Documents are vectors over all words of a bounded sample of labelled texts: TF-IDF, where words that mark toxic texts
-weigh more and no word weighs nothing; document frequencies are counted over all documents. Labelled examples lie in a
+weigh more and no word weighs nothing; document frequencies are counted over all documents. Words that no example has are
+in no index, but they count in a text's length like the rarest word, so a text that shares a few words out of many with
+an example is not near it. The marks are part of the weights, so a similarity is the cosine of these vectors, no plain
+TF-IDF cosine. Labelled examples lie in a
 block-max inverted index: similar examples share a block, and every word has, beside its postings, its largest weight in
 each block. A text's bounds for all blocks are cheap sums of these; the most promising block is scored first, and a block
 whose bound is below the k-th best cosine so far is skipped, so the nearest are exact. Words of many examples are rows of
@@ -27,6 +30,8 @@ EXAMPLES = 4096
 #: Minimum hashes that tell near copies of an example from other texts.
 KINDS = 4
 NEIGHBOURS = 15
+#: Weight of the vote for the rate of all examples; a neighbour of cosine 0.5 has about as much.
+BASE_VOTE = 0.5
 #: Examples of a block; a word of at least one in WIDE examples is a row of the matrix.
 BLOCK, WIDE = 64, 16
 #: Texts that are searched together, and bytes of text whose words are looked up together.
@@ -46,15 +51,27 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
 
 
-def counted(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, word number, count) of the known words of whole texts, in this order."""
-    words, sizes = words_of(texts)
-    at = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy().astype(np.int64)
-    key = (np.repeat(np.arange(len(sizes)), sizes) * len(vocabulary) + at)[at >= 0]
+def _tally(text: np.ndarray, word: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word number, count) of pairs, in this order."""
+    key = text * words + word
     key.sort()
     head = np.flatnonzero(np.diff(key, prepend=-1))
-    text, word = np.divmod(key[head], max(len(vocabulary), 1))
-    return text, word.astype(np.int32), np.diff(np.append(head, len(key)))
+    return *np.divmod(key[head], max(words, 1)), np.diff(np.append(head, len(key)))
+
+
+def counted(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, word number, count) of the known words of whole texts, in this order; of each text the squared length of the others.
+
+    This is the sum of (1 + log count) squared, for words of unit weight.
+    """
+    words, sizes = words_of(texts)
+    at = pc.fill_null(pc.index_in(words, value_set=vocabulary), -1).to_numpy().astype(np.int64)
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    text, word, count = _tally(of[at >= 0], at[at >= 0], len(vocabulary))
+    strange = (at < 0) & (pc.binary_length(words).to_numpy() > 0)
+    coded = words.filter(pa.array(strange)).dictionary_encode()
+    where, _, times = _tally(of[strange], coded.indices.to_numpy().astype(np.int64), len(coded.dictionary))
+    return text, word.astype(np.int32), count, np.bincount(where, (1 + np.log(times)) ** 2, len(sizes))
 
 
 def text_slices(texts: pa.Array):
@@ -136,9 +153,10 @@ class Vectors:
     weight: np.ndarray
 
     @staticmethod
-    def of(n: int, text: np.ndarray, word: np.ndarray, count: np.ndarray, idf: np.ndarray) -> "Vectors":
+    def of(n: int, text: np.ndarray, word: np.ndarray, count: np.ndarray, idf: np.ndarray, others: np.ndarray | float = 0.0) -> "Vectors":
+        """others: what words without a number add to the squared length of each text."""
         w = (1 + np.log(count)) * idf[word]
-        norm = np.sqrt(np.bincount(text, w * w, n))
+        norm = np.sqrt(np.bincount(text, w * w, n) + others)
         return Vectors(np.searchsorted(text, np.arange(n + 1)), word, w / norm[text])
 
     def __len__(self) -> int:
@@ -292,9 +310,12 @@ class BlockMaxIndex:
         return out
 
     def vote(self, found: np.ndarray, sims: np.ndarray, base: float) -> float:
-        """Share of toxic votes; a vote falls with the distance 1 - cosine. base: where no example is near."""
-        v = self.stands_for[found] / (1.02 - sims)
-        return float((v * self.labels[found]).sum() / v.sum()) if len(found) else base
+        """Share of toxic votes; a vote falls with the distance 1 - cosine. base has a vote of its own, the only one where no example is near."""
+        if not len(found):
+            return base
+        v = self.stands_for[found] * sims**2 / (1.02 - sims)
+        own = BASE_VOTE * self.stands_for.mean()
+        return float(((v * self.labels[found]).sum() + own * base) / (v.sum() + own))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -315,22 +336,24 @@ class Model:
     index: BlockMaxIndex
     idf: np.ndarray
     base: float
+    rarest: float  # idf of a word that no document has
 
     @staticmethod
     def fit(ids, texts: pa.Array, toxic: np.ndarray, stands_for: list[float], vocabulary: pa.Array, rows: int, df: np.ndarray) -> "Model":
         """rows, df: documents in all, and those that hold each word."""
-        text, word, count = counted(texts, vocabulary)
+        text, word, count, _ = counted(texts, vocabulary)
         idf = (np.log((rows + 1) / (df + 1)) + 1) * mark_weights(texts, toxic, text, word, len(vocabulary))
         vectors = Vectors.of(len(texts), text, word, count, idf)
         index, order = BlockMaxIndex.build(ids, toxic, stands_for, vectors, len(vocabulary))
         none = np.diff(vectors.ptr)[order] == 0
         w, y = index.stands_for, index.labels
         base = float((w * y)[none].sum() + (w * y).sum() / max(w.sum(), 1)) / float(w[none].sum() + 1) if len(w) else 0.0
-        return Model(index, idf, base)
+        return Model(index, idf, base, float(np.log(rows + 1) + 1))
 
     def votes(self, texts: pa.Array, vocabulary: pa.Array, without: np.ndarray | None = None) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """Share of toxic votes, places and cosines of the nearest examples, of every text."""
-        near = self.index.nearest(Vectors.of(len(texts), *counted(texts, vocabulary), self.idf), NEIGHBOURS, without)
+        *known, others = counted(texts, vocabulary)
+        near = self.index.nearest(Vectors.of(len(texts), *known, self.idf, others * self.rarest**2), NEIGHBOURS, without)
         return [(self.index.vote(*x, self.base), *x) for x in near]
 
 

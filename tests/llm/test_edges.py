@@ -278,51 +278,79 @@ def test_toxicity_knows_copies_of_examples(spark):
     assert got[held].evidence and got[held].evidence[0].doc_id == learnt and got[held].evidence[0].similarity > 1 - 1e-9
 
 
+def own_marks(texts, toxic, words):
+    """Weight of every word by plain counting: G over the kinds of toxic texts and all other texts."""
+    import math
+
+    from quern.llm.toxicity import KINDS, kinds
+
+    held = [set(words(t)) for t in texts]
+    a1, a0, out = sum(toxic), len(toxic) - sum(toxic), {}
+    each = [kinds(t) if y else None for t, y in zip(texts, toxic)]
+    for w in set().union(*held):
+        b1 = min(len({each[i][k] for i in range(len(texts)) if toxic[i] and w in held[i]}) for k in range(KINDS))
+        b0 = sum(w in h for h, y in zip(held, toxic) if not y)
+        share = (b1 + b0) / (a1 + a0)
+        cells = [(b1, share * a1), (b0, share * a0), (a1 - b1, (1 - share) * a1), (a0 - b0, (1 - share) * a0)]
+        g = 2 * sum(x * math.log(x / p) for x, p in cells if x > 0)
+        out[w] = 1 + (math.sqrt(max(g, 0)) if b1 > share * a1 else 0)
+    return out
+
+
+def own_isotonic(x, y):
+    """Values of the non-decreasing fit at every x, by its minimax form, as knots that pool equal values."""
+    import numpy as np
+
+    values = np.unique(x)
+    n, total = np.array([(x == v).sum() for v in values]), np.array([y[x == v].sum() for v in values])
+    cn, ct = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(total)])
+    means = (ct[None, 1:] - ct[:-1, None]) / np.where(cn[None, 1:] > cn[:-1, None], cn[None, 1:] - cn[:-1, None], 1)
+    fit = [max(min(means[i, j] for j in range(k, len(values))) for i in range(k + 1)) for k in range(len(values))]
+    pools = np.concatenate([[0], np.cumsum(np.diff(fit) > 1e-12)])
+    return [np.array([np.average(c[pools == p], weights=n[pools == p]) for p in range(pools[-1] + 1)]) for c in (values, np.array(fit))]
+
+
 def brute_scores(rows, labels, hidden):
-    """doc_id to (score, evidence ids, their cosines): dense vectors, all examples, the vote and its calibration."""
+    """doc_id to (score, evidence ids, their cosines): dense vectors over all words, all examples, the vote and its calibration."""
     import re
 
     import numpy as np
-    import pyarrow as pa
-
-    from quern.llm.toxicity import NEIGHBOURS, isotonic, mark_weights
 
     words = lambda t: re.findall(r"\w+", t.lower())
     fit = sorted((d, t) for d, t, _ in rows if d in labels and d not in hidden)
-    number = {w: i for i, w in enumerate(sorted({w for _, t in fit for w in words(t)}))}
+    known = {w for _, t in fit for w in words(t)}
+    number = {w: i for i, w in enumerate(sorted({w for _, t, _ in rows for w in words(t)}))}
 
     def counts(texts):
-        tf = np.zeros((len(texts), len(number)))
+        tf = np.zeros((len(texts), len(number)), np.float32)
         for at, t in enumerate(texts):
             for w in words(t):
-                if w in number:
-                    tf[at, number[w]] += 1
+                tf[at, number[w]] += 1
         return tf
 
     tf, learnt = counts([t for _, t, _ in rows]), counts([t for _, t in fit])
     toxic = np.array([labels[d] for d, _ in fit])
-    marks = mark_weights(pa.array([t for _, t in fit]), toxic, *np.nonzero(learnt), len(number))
-    assert (marks >= 1).all()
-    idf = (np.log((len(rows) + 1) / ((tf > 0).sum(0) + 1)) + 1) * marks
+    marks = own_marks([t for _, t in fit], toxic.tolist(), words)
+    df = (tf > 0).sum(0)
+    idf = np.array([(np.log((len(rows) + 1) / (df[i] + 1)) + 1) * marks[w] if w in known else np.log(len(rows) + 1) + 1 for w, i in number.items()])
 
     def unit(tf):
-        v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0) * idf
+        v = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1.0, dtype=np.float64)), 0) * idf
         return v / np.maximum(np.sqrt((v * v).sum(1, keepdims=True)), 1e-300)
 
-    v, examples, ids = unit(tf), unit(learnt), np.array([d for d, _ in fit])
-    base = toxic.mean()
+    examples, ids, base = unit(learnt), np.array([d for d, _ in fit]), toxic.mean()
 
     def vote(x, without=None):
         sims = np.round(examples @ x, 12)
-        near = [i for i in np.lexsort((ids, -sims)) if sims[i] > 1e-12 and i != without][:NEIGHBOURS]
-        w = 1 / (1.02 - sims[near])
-        return near, sims[near], float((w * toxic[near]).sum() / w.sum()) if near else base
+        near = [i for i in np.lexsort((ids, -sims)) if sims[i] > 1e-12 and i != without][:15]
+        w = sims[near] ** 2 / (1.02 - sims[near])
+        return near, sims[near], float(((w * toxic[near]).sum() + 0.5 * base) / (w.sum() + 0.5)) if near else base
 
     raw = np.array([vote(x, i)[2] for i, x in enumerate(examples)])
-    knots = isotonic(raw, toxic.astype(float), np.ones(len(raw)))
+    knots = own_isotonic(raw, toxic.astype(float))
     out = {}
-    for (d, _, _), x in zip(rows, v):
-        near, sims, share = vote(x)
+    for at, (d, _, _) in enumerate(rows):
+        near, sims, share = vote(unit(tf[at : at + 1])[0])
         out[d] = float(np.clip(np.interp(share, *knots), 0, 1)), ids[near[:3]].tolist(), sims[:3]
     return out
 
@@ -342,6 +370,15 @@ def check_brute(spark, rows, labels):
     return got
 
 
+def test_strange_words_count_in_the_length(spark):
+    """Two marked words among a thousand that no example has: far from the examples, and scored below them."""
+    rows = [(i, f"plain words about thing {i} and matter {i % 7}", "a") for i in range(200)] + [(200 + i, f"alpha beta gamma{i}", "a") for i in range(40)]
+    rows += [(998, "alpha beta", "a"), (999, "alpha beta " + " ".join(f"u{i}" for i in range(1000)), "a")]
+    labels = spark.createDataFrame([(i, int(i >= 200)) for i in range(240)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity(docs(spark, *rows), labels).collect()}
+    assert got[998].evidence[0].similarity > 0.9 and got[999].evidence[0].similarity < 0.3 and got[999].score < got[998].score - 0.2
+
+
 def test_toxicity_brute_force(spark):
     rows, labels, _, _ = copies_of_examples(spark)
     check_brute(spark, rows, labels)
