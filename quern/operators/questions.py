@@ -115,13 +115,14 @@ def valid_question(question: Column, longest: int = 240) -> Column:
 
 def _cosine(a, b):
     dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    return F.try_divide(dot(a, b), F.sqrt(dot(a, a) * dot(b, b)))
 
 
 def greedy_dedupe(df: DataFrame, group: str, threshold: float = 0.70) -> DataFrame:
     """(group, ord, vector): in order, a row stays when no kept row is nearer than the threshold.
 
-    The kept rows of a group are an array, so groups are the questions of a chunk, not a corpus.
+    The kept rows of a group are an array, so groups are the questions of a chunk; for a corpus see neardup.keep_first.
+    A zero vector is near to none.
     """
     kind = df.select(F.struct("ord", "vector").alias("r")).schema["r"].dataType.simpleString()
     rows = F.array_sort(F.collect_list(F.struct("ord", "vector")))

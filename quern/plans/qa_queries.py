@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import answers as A
 from quern.operators import embed as E
+from quern.operators import neardup as N
 from quern.operators import questions as Q
 
 from .flagship import flagship
@@ -80,6 +81,7 @@ QUERIES = {
     "q9_quality_pass": lambda s, d: _raw(s, d).select("doc_id", "ord", Q.quality_pass(F.col("question"), F.col("context")).alias("ok")),
     "q10_valid_question": lambda s, d: _raw(s, d).select("doc_id", "ord", Q.valid_question(F.col("question")).alias("ok"), Q.valid_question(F.col("question"), 40).alias("ok_strict")),
     "q11_greedy_dedupe": lambda s, d: Q.greedy_dedupe(_question_vectors(s, d), "doc_id", 0.7),
+    "q11_corpus_dedupe": lambda s, d: N.keep_first(_question_vectors(s, d).select("ord", "vector"), 0.7),
     "q11b_exact_dedupe": lambda s, d: Q.exact_dedupe(view(s, d, "v_questions").withColumn("ord", F.col("question_id")), "doc_id").select("doc_id", "ord", "question"),
     "q12_choose_attempt": _attempts,
     "q13_number_questions": lambda s, d: Q.number_questions(view(s, d, "v_questions").select("doc_id", F.col("question_id").alias("ord")), "doc_id"),

@@ -22,15 +22,26 @@ FEEDBACK = "timestamp timestamp, model_name string, version int, prompt string,
 METRICS = "ts double, epoch int, step int, loss double, lr double"
 
 
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder of spark.checkpoint.dir; a temporary one only on a local master where none is set."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a temporary one only on a local master where none is set."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         shared = sc.getConf().get("spark.checkpoint.dir")
         if not shared and not sc.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir is not set: a cluster needs a folder that all its machines share")
         sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="quern-"))
-    return f"{sc._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder, so that a later step doesn't go back behind them."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
