@@ -50,6 +50,17 @@ def s6_write_jsonl(spark, sf_dir):
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
+def s5_jsonl_files(spark, sf_dir):
+    """Training rows as a file for each of four shards, every tenth line blank and every thirteenth cut off; read with their numbers."""
+    path = S.shared_path(spark, "lines")
+    whole = F.to_json(F.struct("prompt", "response"))
+    line = F.when(F.col("turn") % 10 == 4, " ").when(F.col("conv_id") % 13 == 0, F.left(whole, F.lit(30))).otherwise(whole)
+    rows = view(spark, sf_dir, "v_sft").withColumn("shard", F.col("conv_id") % 4)
+    rows.repartition("shard").sortWithinPartitions("shard", "conv_id", "turn").select("shard", line.alias("value")).write.partitionBy("shard").text(path)
+    read = S.read_jsonl(spark, f"{path}/*/*", "prompt string, response string", quarantine=True)
+    return read.select(F.regexp_extract("path", r"shard=(\d+)", 1).cast("int").alias("shard"), "line_no", "prompt", "response", "bad_line")
+
+
 def s9_feedback_log(spark, sf_dir):
     """Two appends to one log, read back; all rows are stamped."""
     path = S.shared_path(spark, "feedback")
@@ -80,6 +91,7 @@ QUERIES = {
     "s3_normalize_path": lambda s, d: view(s, d, "v_documents").select("id", S.normalize_path(F.when(F.col("id") % 2 == 0, F.concat(F.lit("D:\\"), F.replace("file_path", F.lit("/"), F.lit("\\")))).otherwise(F.col("file_path"))).alias("path")),
     "s4_explode_structures": lambda s, d: S.explode_structures(_structures(s, d)).select(F.col("source_path").cast("long").alias("doc_id"), "ord", "page", "chunk_type", "text"),
     "s5_parse_jsonl": lambda s, d: S.parse_jsonl(view(s, d, "v_sft").select((F.col("conv_id") * 10 + F.col("turn")).alias("line_no"), F.when(F.col("conv_id") % 5 == 0, " ").otherwise(F.to_json(F.struct("prompt", "response"))).alias("value")), "prompt string, response string"),
+    "s5_jsonl_files": s5_jsonl_files,
     "s6_write_jsonl": s6_write_jsonl,
     "s9_feedback_log": s9_feedback_log,
     "s10_metrics_log": s10_metrics_log,
@@ -96,6 +108,9 @@ SQL = {
     "s3_normalize_path": "select id, case when id % 2 = 0 then '/mnt/d/' || file_path else file_path end as path from v_documents",
     "s4_explode_structures": "select doc_id, ord, page, chunk_type, text from v_blocks",
     "s5_parse_jsonl": "select conv_id * 10 + turn as line_no, prompt, response from v_sft where conv_id % 5 <> 0",
+    "s5_jsonl_files": """with r as (select cast(conv_id % 4 as int) as shard, row_number() over (partition by conv_id % 4 order by conv_id, turn) as line_no, conv_id, turn, prompt, response,
+        left('{"prompt":' || cast(to_json(prompt) as varchar) || ',"response":' || cast(to_json(response) as varchar) || '}', 30) as cut from v_sft)
+        select shard, line_no, case when conv_id % 13 <> 0 then prompt end as prompt, case when conv_id % 13 <> 0 then response end as response, case when conv_id % 13 = 0 then cut end as bad_line from r where turn % 10 <> 4""",
     "s6_write_jsonl": """select '{"conv_id":' || conv_id || ',"turn":' || turn || ',"note":null}' as line from v_sft""",
     "s9_feedback_log": "select true as stamped, model_name, version, 'p' as prompt, null as response, unnest([null, 'again é']) as comment, rating, latency, input_tokens, output_tokens from v_feedback",
     "s10_metrics_log": "select cast(run_id as double) as ts, 1 as epoch, step, value as loss, 0.5::double as lr from v_metrics",

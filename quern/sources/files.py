@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,20 +88,41 @@ def read_structures(spark: SparkSession, path: str) -> DataFrame:
     return explode_structures(spark.read.schema(STRUCTURE).json(path, multiLine=True))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """path, line_no, value of the text files at path: lines are counted from 1 in each file, however many splits it has.
+
+    Rows of a split stand together in their partition, so a row's place in its split needs no window. The splits' sizes
+    are counted first, and their running sum (a row a split) says where each begins.
+    """
+    block = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start")]
+    lines = spark.read.text(path).select("value", *block, F.monotonically_increasing_id().alias("_at"))
+    sizes = lines.groupBy("path", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("path").orderBy("_start")) - F.col("_n")
+    begins = sizes.select("path", "_start", (before - F.col("_first")).alias("_shift"))
+    return lines.join(begins, ["path", "_start"]).select("path", (F.col("_at") + F.col("_shift") + 1).alias("line_no"), "value")
+
+
 def parse_jsonl(lines: DataFrame, schema: str, quarantine: bool = False) -> DataFrame:
-    """(line_no, value) to line_no and fields. Blank lines are passed over; bad ones fail with their number.
+    """(line_no, value), path as well where there is one, to these and fields. Blank lines are passed over; bad ones fail with their number.
 
     With quarantine, bad lines come back as rows with the text in bad_line.
     """
+    where = [c for c in ("path", "line_no") if c in lines.columns]
     rows = lines.filter(F.trim("value") != "")
     parsed = F.from_json("value", schema + ", _bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    out = rows.select("line_no", parsed.alias("r")).select("line_no", "r.*")
+    out = rows.select(*where, parsed.alias("r")).select(*where, "r.*")
     if quarantine:
         return out.withColumnRenamed("_bad", "bad_line")
-    fail = F.raise_error(F.concat(F.lit("bad JSON in line "), F.col("line_no").cast("string"))).cast("long")
+    file = F.concat(F.lit(" of "), "path") if "path" in where else F.lit("")
+    fail = F.raise_error(F.concat(F.lit("bad JSON in line "), F.col("line_no").cast("string"), file)).cast("long")
     return out.withColumn("line_no", F.when(F.col("_bad").isNotNull(), fail).otherwise(F.col("line_no"))).drop("_bad")
 
 
+def read_jsonl(spark: SparkSession, path: str, schema: str, quarantine: bool = False) -> DataFrame:
+    """The records of the JSONL files at path with path and line_no; see parse_jsonl."""
+    return parse_jsonl(numbered_lines(spark, path), schema, quarantine)
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """UTF-8, nulls kept."""
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
