@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import is_upper, strip, words
 
+from . import scan
+
 
 def _by(doc: str = "doc_id", *more: str):
     return Window.partitionBy(doc, *more).orderBy("ord")
@@ -26,30 +28,50 @@ def strip_lines(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn(text, F.array_join(F.transform(F.split(plain, "\n", -1), strip), "\n"))
 
 
-def merge_headings(df: DataFrame) -> DataFrame:
+def merge_headings(df: DataFrame, segment: int | None = scan.SEGMENT) -> DataFrame:
     """A heading joins the chunk after it, which it consumes even where that is a heading; the last chunk stays.
 
-    In a run of headings those at odd places merge: a window sum, no loop. merged_heading tells which rows did.
+    In a run of headings those at odd places merge: a window sum, no loop. merged_heading tells which rows did. Windows run
+    over segments of a document, and a segment hands on how many headings end it, its first text and page; without
+    segment they run over whole documents.
     """
-    w = _by()
+    names = [c for c in df.columns if c not in ("text", "page", "chunk_type")]
+    rows = scan.with_segment(df, segment) if segment else df.withColumn("_seg", F.lit(0).cast("long"))
+    w = scan.inside()
     is_heading = F.col("chunk_type") == "heading"
-    df = df.withColumn("_run", F.sum(F.when(is_heading, 0).otherwise(1)).over(w))
-    k = F.sum(F.when(is_heading, 1).otherwise(0)).over(_by("doc_id", "_run"))
-    df = df.withColumn("_m", is_heading & (k % 2 == 1) & F.lead(F.lit(True)).over(w).isNotNull())
-    df = df.withColumns({"_next": F.lead("text").over(w), "_page": F.lead("page").over(w), "_gone": F.coalesce(F.lag("_m").over(w), F.lit(False))})
+    rows = rows.withColumn("_run", F.sum(F.when(is_heading, 0).otherwise(1)).over(w))
+    rows = rows.withColumn("_k", F.sum(F.when(is_heading, 1).otherwise(0)).over(scan.inside("doc_id", "ord", "_run")))
+    if segment:
+        ends = rows.groupBy("doc_id", "_seg").agg(
+            F.max_by(F.when(is_heading, F.col("_k")).otherwise(0), "ord").alias("_tail"), (F.max("_run") == 0).alias("_all"),
+            F.min_by(F.struct("text", "page"), "ord").alias("_head"),
+        )
+        # A segment of headings only lengthens the run before it.
+        ends = ends.withColumn("_since", F.sum((~F.col("_all")).cast("int")).over(scan.over()))
+        ends = ends.withColumn("_tail", F.sum("_tail").over(scan.over("doc_id", "_since")))
+        carry = ends.select("doc_id", "_seg", F.lag("_tail").over(scan.over()).alias("_before"), F.lead("_head").over(scan.over()).alias("_after"))
+        rows = scan.hand_on(rows, carry.filter("_before is not null or _after is not null"))
+    else:
+        rows = rows.withColumns({"_before": F.lit(None).cast("long"), "_after": F.lit(None).cast(rows.select(F.struct("text", "page")).schema[0].dataType)})
+    before = F.coalesce("_before", F.lit(0))
+    k = F.col("_k") + F.when(F.col("_run") == 0, before).otherwise(0)
+    rows = rows.withColumn("_next", F.coalesce(F.lead(F.struct("text", "page")).over(w), F.col("_after")))
+    rows = rows.withColumn("_m", is_heading & (k % 2 == 1) & F.col("_next").isNotNull())
+    rows = rows.withColumn("_gone", F.coalesce(F.lag("_m").over(w), before % 2 == 1))
     merged = F.col("_m")
-    return df.filter(~F.col("_gone")).select(
-        *[c for c in df.columns if c not in ("text", "page", "chunk_type") and not c.startswith("_")],
-        F.when(merged, F.concat("text", F.lit("\n"), "_next")).otherwise(F.col("text")).alias("text"),
-        F.when(merged, F.col("_page")).otherwise(F.col("page")).alias("page"),
+    return rows.filter(~F.col("_gone")).select(
+        *names,
+        F.when(merged, F.concat("text", F.lit("\n"), "_next.text")).otherwise(F.col("text")).alias("text"),
+        F.when(merged, F.col("_next.page")).otherwise(F.col("page")).alias("page"),
         F.when(merged, F.lit("text")).otherwise(F.col("chunk_type")).alias("chunk_type"),
         merged.alias("merged_heading"),
     )
 
 
 def dedupe_in_document(df: DataFrame) -> DataFrame:
-    """The first chunk of every text in a document."""
-    return df.withColumn("_n", F.row_number().over(_by("doc_id", "text"))).filter("_n = 1").drop("_n")
+    """The first chunk of every text in a document; texts are told by their SHA-256."""
+    rows = df.withColumn("_sha", F.unhex(F.sha2("text", 256)))
+    return rows.withColumn("_n", F.row_number().over(_by("doc_id", "_sha"))).filter("_n = 1").drop("_n", "_sha")
 
 
 def min_length(df: DataFrame, n: int = 40) -> DataFrame:
@@ -72,12 +94,31 @@ def with_levels(df: DataFrame) -> DataFrame:
     return df.withColumn("level", heading_level(F.col("text")))
 
 
-def fill_sections(df: DataFrame) -> DataFrame:
-    """section and subsection carried forward in a document; a new section clears the subsection."""
-    df = df.withColumn("_s", F.sum((F.col("level") == "section").cast("int")).over(_by()))
-    last = lambda level, w: F.last(F.when(F.col("level") == level, F.col("text")), ignorenulls=True).over(w)
-    out = df.withColumns({"section": last("section", _by()), "subsection": last("subsection", _by("doc_id", "_s"))})
-    return out.drop("_s")
+def fill_sections(df: DataFrame, segment: int | None = scan.SEGMENT) -> DataFrame:
+    """section and subsection carried forward in a document; a new section clears the subsection.
+
+    Windows run over segments of a document, and a segment hands on its last section and the subsection after it; without
+    segment they run over whole documents.
+    """
+    rows = scan.with_segment(df, segment) if segment else df.withColumn("_seg", F.lit(0).cast("long"))
+    of = lambda level, c: F.when(F.col("level") == level, F.col(c))
+    w = scan.inside()
+    rows = rows.withColumn("_s", F.sum((F.col("level") == "section").cast("int")).over(w))
+    last = lambda level, w: F.last(of(level, "text"), ignorenulls=True).over(w)
+    rows = rows.withColumns({"section": last("section", w), "subsection": last("subsection", scan.inside("doc_id", "ord", "_s"))})
+    if segment:
+        ends = rows.groupBy("doc_id", "_seg").agg(F.max("_s").alias("_n"), F.max_by(F.struct("section", "subsection"), "ord").alias("_end"))
+        ends = ends.withColumn("_since", F.sum((F.col("_n") > 0).cast("int")).over(scan.over()))
+        held = lambda c, w: F.last(F.col(f"_end.{c}"), ignorenulls=True).over(w)
+        ends = ends.withColumn("_state", F.struct(held("section", scan.over()).alias("section"), held("subsection", scan.over("doc_id", "_since")).alias("subsection")))
+        carry = ends.select("doc_id", "_seg", F.lag("_state").over(scan.over()).alias("_before"))
+        rows = scan.hand_on(rows, carry.filter("_before.section is not null or _before.subsection is not null"))
+        # Rows before a segment's first section still belong to the last one.
+        rows = rows.withColumns({
+            "section": F.coalesce("section", "_before.section"),
+            "subsection": F.when(F.col("_s") > 0, F.col("subsection")).otherwise(F.coalesce("subsection", "_before.subsection")),
+        }).drop("_before")
+    return rows.drop("_s", "_seg")
 
 
 def collapse_and_count(df: DataFrame) -> DataFrame:
@@ -119,7 +160,7 @@ def first_chunks(df: DataFrame, n: int) -> DataFrame:
     return df.withColumn("_n", F.row_number().over(_by())).filter(F.col("_n") <= n).drop("_n")
 
 
-def clean(df: DataFrame, least: int = 40) -> DataFrame:
-    """The whole chain, from raw chunks to chunks with ids, sections and contexts."""
-    df = dedupe_in_document(merge_headings(strip_lines(normalize_schema(df))))
-    return collapse_and_count(fill_sections(with_levels(chunk_ids(min_length(df, least)))))
+def clean(df: DataFrame, least: int = 40, segment: int | None = None) -> DataFrame:
+    """The whole chain, from raw chunks to chunks with ids, sections and contexts; segment: for documents of very many chunks."""
+    df = dedupe_in_document(merge_headings(strip_lines(normalize_schema(df)), segment))
+    return collapse_and_count(fill_sections(with_levels(chunk_ids(min_length(df, least))), segment))

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from quern.functions.text import ordered_text, strip, words
 
+from . import scan
+
 
 def paragraph_blocks(df: DataFrame, sep: str = "\n\n", longer_than: int = 5) -> DataFrame:
     """(doc_id, text) to blocks between separators, stripped, page 1."""
@@ -19,20 +21,20 @@ def page_blocks(df: DataFrame, sep: str = "\n\n", more_than: int = 3) -> DataFra
     return rows.withColumn("text", strip(F.col("text"))).filter(F.size(words(F.col("text"))) > more_than)
 
 
-def markdown_sections(lines: DataFrame) -> DataFrame:
+def markdown_sections(lines: DataFrame, segment: int = scan.SEGMENT) -> DataFrame:
     """(doc_id, ord, line) to sections: a line that starts with # ends the one before it.
 
     text is title, line break, body; the first title is Document Start; a heading without a line below it gives
-    nothing; page is the running number of the sections.
+    nothing; page is the running number of the sections. Lines and sections are counted in segments of a document, so only
+    the lines of one section meet in a task.
     """
-    w = Window.partitionBy("doc_id").orderBy("ord")
     head = F.col("line").startswith("#")
-    rows = lines.withColumns({"_head": head, "_part": F.sum(head.cast("int")).over(w)})
+    rows = scan.running_sum(lines.select("doc_id", "ord", "line").withColumn("_head", head), F.col("_head").cast("int"), "_part", "doc_id", "ord", segment)
     body = F.transform(F.filter(F.array_sort(F.collect_list(F.struct("ord", "line", "_head"))), lambda r: ~r["_head"]), lambda r: r["line"])
     parts = rows.groupBy("doc_id", "_part").agg(body.alias("_body"), F.max(F.when(F.col("_head"), F.col("line"))).alias("_title")).filter(F.size("_body") > 0)
     title = F.coalesce(strip(F.regexp_replace("_title", "^#+", "")), F.lit("Document Start"))
-    page = F.row_number().over(Window.partitionBy("doc_id").orderBy("_part"))
-    return parts.select("doc_id", page.alias("page"), strip(F.concat(title, F.lit("\n"), F.array_join("_body", "\n"))).alias("text"))
+    texts = parts.select("doc_id", "_part", strip(F.concat(title, F.lit("\n"), F.array_join("_body", "\n"))).alias("text"))
+    return scan.running_sum(texts, F.lit(1), "page", "doc_id", "_part", segment).select("doc_id", F.col("page").cast("int").alias("page"), "text")
 
 
 def valid_chunks(df: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ QUERIES = {
     "c5_min_length": lambda s, d: C.min_length(view(s, d, "v_blocks")),
     "c6_chunk_ids": lambda s, d: C.chunk_ids(C.min_length(C.dedupe_in_document(_merged(s, d)))).select("doc_id", "ord", "chunk_id"),
     "c7_heading_levels": lambda s, d: C.clean(view(s, d, "v_blocks")).select("doc_id", "ord", "level"),
-    "c8_fill_sections": lambda s, d: C.clean(view(s, d, "v_blocks")).select("doc_id", "ord", "section", "subsection"),
+    "c8_fill_sections": lambda s, d: C.clean(view(s, d, "v_blocks"), segment=C.scan.SEGMENT).select("doc_id", "ord", "section", "subsection"),
     "c9_collapse_and_count": lambda s, d: C.clean(view(s, d, "v_blocks")).select("doc_id", "ord", "chunk_id", "context", "context_tokens", "has_heading"),
     "c10_render_prompts": lambda s, d: C.render_prompts(C.clean(view(s, d, "v_blocks"))).select("doc_id", "ord", F.sha2("question_prompt", 256).alias("question_sha"), F.sha2("answer_prompt", 256).alias("answer_sha")),
     "c11_first_chunks": lambda s, d: C.first_chunks(view(s, d, "v_blocks"), 5),
