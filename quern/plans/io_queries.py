@@ -23,14 +23,24 @@ def _structures(s, d):
 
 
 def st1_ingest(spark, sf_dir):
-    """Every document comes twice; a path is taken once."""
+    """Every document comes twice in one stream and again in a second one; a path is taken once."""
     docs = ST.table_stream(spark, sf_dir, "documents").select(F.explode(F.array(F.lit(0), F.lit(1))).alias("again"), F.col("doc_id").cast("string").alias("path"), "text")
     out, state = ST.paths(spark, "ingest")
     ST.ingest(docs.drop("again"), out, state)
+    ST.ingest(docs.drop("again"), out, state + "-2", first_batch=1_000_000)
     return spark.read.parquet(out).select(F.col("doc_id").cast("long").alias("doc_id"), "ord", "chunk_id", "context_tokens")
 
 
 def st2_feedback(spark, sf_dir):
+    """Means that are kept up to date while the feedback comes in."""
+    rows = ST.table_stream(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("model_name"), (F.regexp_extract("props", "[0-9]+", 0).cast("int") % 5 + 1).alias("rating"))
+    out, state = ST.paths(spark, "feedback")
+    ST.keep_updates(ST.running_means(rows), state, out)
+    return ST.latest(spark, out, "model_name")
+
+
+def st2_feedback_log(spark, sf_dir):
+    """Feedback appended to a table as it comes in, then averaged."""
     rows = ST.table_stream(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("model_name"), (F.regexp_extract("props", "[0-9]+", 0).cast("int") % 5 + 1).alias("rating"))
     out, state = ST.paths(spark, "feedback")
     ST.append_feedback(rows, out, state)
@@ -38,9 +48,18 @@ def st2_feedback(spark, sf_dir):
 
 
 def st3_state_counts(spark, sf_dir):
+    """Events by type, counted in update mode."""
     out, state = ST.paths(spark, "states")
-    ST.materialize_counts(ST.state_counts(ST.table_stream(spark, sf_dir, "events").select(F.col("event_type").alias("state"))), state, out)
-    return ST.latest_counts(spark, out)
+    ST.keep_updates(ST.state_counts(ST.table_stream(spark, sf_dir, "events").select(F.col("event_type").alias("state"))), state, out)
+    return ST.latest(spark, out, "state")
+
+
+def st3_job_states(spark, sf_dir):
+    """Jobs (a user's day) by their current state; a purchase ends one, and twelve silent hours time it out."""
+    events = ST.table_stream(spark, sf_dir, "events").select((F.col("user_id") * 100 + F.dayofmonth("ts")).alias("job"), F.col("event_type").alias("state"), "ts")
+    out, state = ST.paths(spark, "jobs")
+    ST.keep_updates(ST.job_states(events, "12 hours", "2 days", ("purchase",)), state, out)
+    return ST.state_counts(ST.latest(spark, out, "job"))
 
 
 def s6_write_jsonl(spark, sf_dir):
@@ -99,7 +118,9 @@ QUERIES = {
     "s12_inventory": lambda s, d: S.inventory(_paths(s, d)),
     "st1_ingest": st1_ingest,
     "st2_feedback": st2_feedback,
+    "st2_feedback_log": st2_feedback_log,
     "st3_state_counts": st3_state_counts,
+    "st3_job_states": st3_job_states,
 }
 PATHS = "with f as (select case when doc_id % 11 = 0 then '/my.cache/' when doc_id % 13 = 0 then '/x/venv_' else '/docs/' end || doc_id || ['.txt', '.PDF', '.bin', '.exe', '.log'][doc_id % 5 + 1] as path, doc_id, n_chars * case when doc_id % 7 = 0 then 100000 else 1 end as length from documents)"
 SQL = {
@@ -118,6 +139,9 @@ SQL = {
     "st1_ingest": "with b as (select doc_id, ord, S(text) as text from v_blocks where length(S(text)) > 5), d as (select * from b qualify row_number() over (partition by doc_id, text order by ord) = 1) select doc_id, ord, 'p1_c' || row_number() over (partition by doc_id order by ord) as chunk_id, cast(len(W(text)) as int) as context_tokens from d where length(text) >= 40",
     "s12_inventory": PATHS + " select case when doc_id % 11 <> 0 and doc_id % 13 = 0 then 'COMMON_IGNORE' when doc_id % 5 in (2, 4) then 'MODEL_OR_BINARY' when length > 50 * 1024 * 1024 then 'LARGE_FILE' else 'OK' end as flag, count(*) as n, cast(sum(length) as bigint) as bytes from f where doc_id % 11 <> 0 group by 1",
     "st2_feedback": "select model_name, count(*) as n, round(avg(rating), 6) as mean_rating from v_feedback group by model_name",
+    "st2_feedback_log": "select model_name, count(*) as n, round(avg(rating), 6) as mean_rating from v_feedback group by model_name",
+    "st3_job_states": """with j as (select user_id * 100 + day(ts) as job, coalesce(min_by(event_type, (ts, event_type)) filter (where event_type = 'purchase'), max_by(event_type, (ts, event_type))) as state, max(ts) as last from events group by 1)
+        select case when state <> 'purchase' and last < (select max(ts) from events) - interval 60 hours then 'timed out' else state end as state, count(*) as n from j group by 1""",
     "st3_state_counts": "select event_type as state, count(*) as n from events group by 1",
 }
 ORACLE_SQL = {k: duck(v) for k, v in SQL.items()}

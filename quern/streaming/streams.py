@@ -1,25 +1,70 @@
 """Structured Streaming forms of the polling loops: folder ingest, feedback, job states."""
 
+from contextlib import contextmanager
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from quern.operators import chunks, extract
 from quern.sources.files import shared_path
 
+#: States that a job doesn't leave, and the one that a silent job gets.
+TERMINAL = ("finished", "failed", "cancelled")
+SILENT = "timed out"
+#: Folders of the catalogue of paths; a batch reads those of its own paths only.
+CATALOG_PARTS = 64
+
+
+@contextmanager
+def rocksdb(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB, on disk beside a bounded cache, not in the heap."""
+    name, kind = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, kind)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+
+
+def text_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, text) of the files of a folder and those that arrive later, each read whole."""
+    return spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True).load(folder).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
 
-def ingest(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """(path, text) rows to cleaned chunks in out; a path is taken once, whatever the batch. Runs until nothing is new.
+def known_paths(spark: SparkSession, catalog: str, before: int) -> DataFrame:
+    """path, part of the catalogue's entries of earlier batches; a folder that isn't there has none."""
+    try:
+        return spark.read.schema("path string, batch long, part int").parquet(catalog).filter(F.col("batch") < before)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], "path string, batch long, part int")
 
-    The paths seen are the stream's state and survive restarts in the checkpoint; a batch that is tried again
-    overwrites its own folder.
+
+def ingest(stream: DataFrame, out: str, checkpoint: str, catalog: str | None = None, first_batch: int = 0) -> None:
+    """(path, text) rows to cleaned chunks in out; a path that the catalogue knows is passed over. Runs until nothing is new.
+
+    The stream keeps no state: what is known lies in the catalogue, a table of paths dealt to CATALOG_PARTS folders by
+    hash, of which a batch reads its own paths' folders. A batch writes its chunks, then its paths; tried again, it
+    overwrites both and counts as known what earlier batches wrote. first_batch: above all batches of earlier streams into
+    the same catalogue, for a stream with a new checkpoint.
     """
+    catalog = catalog or f"{out}-paths"
 
     def write(batch: DataFrame, n: int) -> None:
-        blocks = extract.paragraph_blocks(batch.select(F.col("path").alias("doc_id"), "text"), "\n")
+        spark, n = batch.sparkSession, n + first_batch
+        rows = batch.filter("path is not null").groupBy("path").agg(F.max("text").alias("text")).withColumn("part", F.pmod(F.xxhash64("path"), F.lit(CATALOG_PARTS)).cast("int"))
+        parts = [r["part"] for r in rows.select("part").distinct().collect()]
+        known = known_paths(spark, catalog, n).filter(F.col("part").isin(parts)).select("path")
+        new = rows.join(known, "path", "left_anti")
+        blocks = extract.paragraph_blocks(new.select(F.col("path").alias("doc_id"), "text"), "\n")
         chunks.clean(blocks).write.mode("overwrite").parquet(f"{out}/batch={n}")
+        new.select("path", "part").write.mode("overwrite").partitionBy("part").parquet(f"{catalog}/batch={n}")
 
-    once = stream.dropDuplicates(["path"])
-    once.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def append_feedback(stream: DataFrame, out: str, checkpoint: str) -> None:
@@ -37,22 +82,67 @@ def state_counts(stream: DataFrame) -> DataFrame:
     return stream.groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
-def materialize_counts(counts: DataFrame, checkpoint: str, out: str) -> None:
-    """Counts in complete mode: every batch writes the small table whole into a folder of its own; see latest_counts.
+def keep_updates(updates: DataFrame, checkpoint: str, out: str) -> None:
+    """An aggregation or keyed state in update mode: every batch writes its changed rows to a folder of its own; see latest.
 
-    What an earlier batch wrote stays until a later one is there, so a crash never leaves readers without counts.
+    A batch that is tried again overwrites its folder, so a replay changes nothing.
     """
 
     def write(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={n}")
 
-    counts.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    with rocksdb(updates.sparkSession):
+        query = updates.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
 
 
-def latest_counts(spark: SparkSession, out: str) -> DataFrame:
-    """The counts of the newest batch in out."""
+def latest(spark: SparkSession, out: str, *key: str) -> DataFrame:
+    """The newest row of every key in what keep_updates wrote."""
     rows = spark.read.parquet(out)
-    return rows.join(rows.agg(F.max("batch").alias("batch")), "batch").drop("batch")
+    columns = [c for c in rows.columns if c not in (*key, "batch")]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*columns), "batch").alias("_r")).select(*key, "_r.*")
+
+
+def job_states(events: DataFrame, silence: str = "1 day", delay: str = "1 hour", terminal: tuple[str, ...] = TERMINAL) -> DataFrame:
+    """(job, state, ts) events to (job, state, ts) changes of each job's current state, for update mode.
+
+    A job is in its first terminal state, or else in the state of its latest event; equal times go by name. So the order
+    of arrival, late and repeated events make no difference, unless they come more than delay behind the newest. A job
+    without a terminal state and without an event for silence behind the newest one less delay is timed out, until it is
+    heard of again. Rows without job, state or ts are passed over.
+    """
+    spark = events.sparkSession
+    quiet = int(spark.sql(f"select unix_micros(timestamp '1970-01-01 00:00:00Z' + interval {silence})").first()[0])
+    done = set(terminal)
+
+    def later(a: tuple[str, int], b: tuple[str, int]) -> tuple[str, int]:
+        """Of two events the one that tells the state."""
+        if (a[0] in done) != (b[0] in done):
+            return a if a[0] in done else b
+        first, last = sorted((a, b), key=lambda e: (e[1], e[0]))
+        return first if a[0] in done else last
+
+    def run(key: tuple, frames, state: GroupState):
+        old = state.get if state.exists else None
+        if state.hasTimedOut:
+            state.update((*old[:2], True))
+            yield pd.DataFrame({"job": [key[0]], "state": [SILENT], "at": [old[1]]})
+            return
+        new = old[:2] if old else None
+        for pdf in frames:
+            for event in zip(pdf["state"], pdf["at"].tolist()):
+                new = later(new, event) if new else event
+        if not old or (*new, False) != tuple(old):
+            state.update((*new, False))
+            yield pd.DataFrame({"job": [key[0]], "state": [new[0]], "at": [new[1]]})
+        if new[0] not in done:
+            state.setTimeoutTimestamp(max((new[1] + quiet) // 1000, state.getCurrentWatermarkMs() + 1))
+
+    kind = events.schema["job"].dataType.simpleString()
+    rows = events.filter("job is not null and state is not null and ts is not null").select("job", "state", F.col("ts").cast("timestamp").alias("ts"))
+    rows = rows.withWatermark("ts", delay).withColumn("at", F.unix_micros("ts"))
+    states = rows.groupBy("job").applyInPandasWithState(run, f"job {kind}, state string, at long", "state string, at long, silent boolean", "update", GroupStateTimeout.EventTimeTimeout)
+    return states.select("job", "state", F.timestamp_micros("at").alias("ts"))
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
