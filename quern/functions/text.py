@@ -3,14 +3,17 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: White space of any script, as Python's strip and split know it; in regular expressions \\s is ASCII only.
+SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
 
 def strip(c: Column) -> Column:
     """Without white space at both ends; Spark's trim only removes spaces."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.regexp_replace(c, rf"\A{SPACE}+|{SPACE}+\z", "")
 
 
 def words(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+"), lambda x: x != "")
+    return F.filter(F.split(c, rf"{SPACE}+"), lambda x: x != "")
 
 
 def word_set(c: Column) -> Column:

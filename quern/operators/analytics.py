@@ -1,6 +1,8 @@
 """Run metrics, job states, logs and feedback."""
 
-from pyspark.sql import DataFrame, Window
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -46,19 +48,55 @@ def tail(log: DataFrame, n: int) -> DataFrame:
     return log.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= n).drop("_n")
 
 
+#: Parts into which a group's values are cut before any of them is ordered.
+PARTS = 100
+
+
+def exact_percentiles(df: DataFrame, key: list[str], value: str, shares: dict[str, float]) -> DataFrame:
+    """For every group the smallest value that covers each share of its rows, null values aside; no task orders a whole group.
+
+    Approximate percentiles cut a group into PARTS; the parts are counted, and only the one in which a share is reached is
+    ordered.
+    """
+    rows = df.filter(F.col(value).isNotNull()).select(*key, value)
+    cuts = rows.groupBy(*key).agg(F.percentile_approx(value, [i / PARTS for i in range(1, PARTS)], 1000).alias("_cuts"), F.count(F.lit(1)).alias("_all"))
+    each = rows.groupBy(*key, value).agg(F.count(F.lit(1)).alias("_k")).join(cuts, key)
+    each = each.withColumn("_part", F.size(F.filter("_cuts", lambda x: x < F.col(value)))).drop("_cuts")
+    sizes = each.groupBy(*key, "_all", "_part").agg(F.sum("_k").alias("_own"))
+    upto = F.sum("_own").over(Window.partitionBy(*key).orderBy("_part"))
+    places = [F.ceil(F.col("_all") * p) for p in shares.values()]
+    sizes = sizes.withColumns({"_end": upto, "_begin": upto - F.col("_own")})
+    holds = functools.reduce(Column.__or__, [(F.col("_begin") < x) & (x <= F.col("_end")) for x in places])
+    near = each.join(sizes.filter(holds).select(*key, "_part", "_begin"), [*key, "_part"])
+    near = near.withColumn("_upto", F.col("_begin") + F.sum("_k").over(Window.partitionBy(*key, "_part").orderBy(value)))
+    reached = lambda x: F.min(F.when((F.col("_begin") < x) & (F.col("_upto") >= x), F.col(value)))
+    return near.groupBy(*key).agg(*(reached(x).alias(n) for n, x in zip(shares, places)))
+
+
+#: Size of a sketch: its quantiles are within RANK_ERROR of all rows of the true place (99 % of sketches).
+SKETCH, RANK_ERROR = 400, 0.0085
+
+
+def daily_sketches(df: DataFrame, key: list[str], value: str, ts: str) -> DataFrame:
+    """key, day, sketch (KLL) of the values of a day; a new day is a new row, and older ones needn't be read again."""
+    return df.groupBy(*key, F.to_date(ts).alias("day")).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(SKETCH)).alias("sketch"))
+
+
+def merged_percentiles(sketches: DataFrame, key: list[str], shares: dict[str, float]) -> DataFrame:
+    """Values near each share over all days, and how many rows they stand for; within RANK_ERROR."""
+    whole = sketches.groupBy(*key).agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH)).alias("_s"))
+    return whole.select(*key, F.kll_sketch_get_n_double("_s").alias("n"), *(F.kll_sketch_get_quantile_double("_s", F.lit(p)).alias(n) for n, p in shares.items()))
+
+
 def feedback_summary(feedback: DataFrame) -> DataFrame:
     """Ratings, latency percentiles and tokens of each model and version.
 
-    Percentiles are exact: distinct latencies are counted, and the smallest one that covers the share is taken.
+    Percentiles are exact; for running ones over days see daily_sketches.
     """
     key = ["model_name", "version"]
     sums = feedback.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("rating"), 6).alias("mean_rating"), F.max("latency").alias("max_latency"),
         F.sum("input_tokens").alias("input_tokens"), F.sum("output_tokens").alias("output_tokens"),
     )
-    each = feedback.filter("latency is not null").groupBy(*key, "latency").agg(F.count(F.lit(1)).alias("_k"))
-    w = Window.partitionBy(*key)
-    each = each.withColumns({"_upto": F.sum("_k").over(w.orderBy("latency")), "_all": F.sum("_k").over(w)})
-    at = lambda p: F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all") * p), F.col("latency")))
-    marks = each.groupBy(*key).agg(at(0.5).alias("median_latency"), at(0.95).alias("p95_latency"))
+    marks = exact_percentiles(feedback, key, "latency", {"median_latency": 0.5, "p95_latency": 0.95})
     return sums.join(marks, key, "left")

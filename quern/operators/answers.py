@@ -64,11 +64,43 @@ def strip_chat_marks(c: Column) -> Column:
     return strip(a)
 
 
+#: What small chat models put in front; fixed values.
+CHAT_PREFIXES = [r"assistant[:\-]\s*", r"answer[:\-]\s*", r"response[:\-]\s*", r"a:\s*", r"q:\s*", r"here is.*?:\s*"]
+#: Runs of this mark that the oldest cleaner removes, and where it ends a text, in this order; fixed values.
+GARBLE, ENDS = "<", [".", "?", "!"]
+
+
+def strip_chat_prefixes(c: Column) -> Column:
+    """Without each of the prefixes once, in their order, ahead of clean_output."""
+    a = strip(c)
+    for p in CHAT_PREFIXES:
+        a = strip(F.regexp_replace(a, f"(?i)^{p}", ""))
+    return a
+
+
+def clean_simple(c: Column) -> Column:
+    """The oldest cleaner: what follows the last assistant mark, without angle brackets, single spaces, up to the first full stop.
+
+    Where there is no full stop, up to the first question mark, else the first exclamation mark.
+    """
+    a = F.substring_index(F.coalesce(c, F.lit("")), "<|im_start|>assistant", -1)
+    a = F.array_join(words(F.replace(a, F.lit(GARBLE), F.lit(""))), " ")
+    out = F.lit(None).cast("string")
+    for mark in reversed(ENDS):
+        out = F.when(F.contains(a, F.lit(mark)), F.concat(F.substring_index(a, mark, 1), F.lit(mark))).otherwise(F.coalesce(out, a))
+    return strip(out)
+
+
 def clean_by_model(df: DataFrame, model: str = "model_name", text: str = "answer") -> DataFrame:
     """The cleaner of each model family by its name; others take the common one."""
-    c = F.col(text)
+    c, name = F.col(text), F.lower(F.coalesce(F.col(model), F.lit("")))
     more = (*PREFIXES, "Response:", "Explanation:")
-    out = F.when(F.col(model).contains("openelm"), clean_output(strip_chat_marks(c))).when(F.col(model).contains("qwen"), clean_output(c, prefixes=more, quotes=False))
+    out = (
+        F.when(name.contains("openelm-simple"), clean_simple(c))
+        .when(name.contains("openelm"), clean_output(strip_chat_marks(c)))
+        .when(name.contains("qwen"), clean_output(c, prefixes=more, quotes=False))
+        .when(name.contains("tinyllama"), clean_output(strip_chat_prefixes(c)))
+    )
     return df.withColumn(text, out.otherwise(clean_output(c)))
 
 

@@ -1,5 +1,7 @@
 """Queries over the catalogue of documents, chunks, questions, answers, models and runs."""
 
+import zlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,50 @@ def search_documents(docs: DataFrame, name: str = "", domain: str | None = None,
     return out.orderBy(F.desc("id"))
 
 
+#: Folders of a name index, and the grams of a search part that are looked up (the rarest).
+GRAM_PARTS, GRAMS = 256, 3
+
+
+def name_grams(docs: DataFrame, name: str = "file_path", key: str = "id") -> DataFrame:
+    """gram, key: the distinct trigrams of every name, in lower case."""
+    low = F.lower(F.coalesce(F.col(name), F.lit("")))
+    grams = F.when(F.length(low) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(low) - 2), lambda i: F.substring(low, i, F.lit(3)))))
+    return docs.select(F.explode(grams).alias("gram"), key)
+
+
+def _gram_part(gram: Column) -> Column:
+    return (F.crc32(gram.cast("binary")) % GRAM_PARTS).cast("int")
+
+
+def save_name_index(docs: DataFrame, path: str, name: str = "file_path", key: str = "id") -> None:
+    """The posting lists of all trigrams and their lengths, in folders by the hash of the gram."""
+    postings = name_grams(docs, name, key).withColumn("part", _gram_part(F.col("gram")))
+    # A gram that very many names hold fills more than one task.
+    spread = F.pmod(F.xxhash64(key), F.lit(8))
+    postings.repartition("part", spread).sortWithinPartitions("gram", key).write.partitionBy("part").parquet(f"{path}/postings")
+    sizes = postings.groupBy("part", "gram").agg(F.count(F.lit(1)).alias("n"))
+    sizes.repartition("part").write.partitionBy("part").parquet(f"{path}/sizes")
+
+
+def search_names(docs: DataFrame, index: str, part: str, name: str = "file_path", key: str = "id") -> DataFrame:
+    """Rows whose name contains the part, in any case, by the index that save_name_index wrote of these docs.
+
+    The rarest trigrams of the part give candidates, whose names are then looked at; parts of fewer than three characters scan.
+    """
+    low = part.lower()
+    if len(low) < 3:
+        return docs.filter(_contains(F.col(name), part)) if part else docs
+    grams = sorted({low[i : i + 3] for i in range(len(low) - 2)})
+    parts = sorted({zlib.crc32(g.encode()) % GRAM_PARTS for g in grams})
+    of = lambda table, grams: docs.sparkSession.read.parquet(f"{index}/{table}").filter(F.col("part").isin(parts) & F.col("gram").isin(grams))
+    sizes = {r["gram"]: r["n"] for r in of("sizes", grams).collect()}
+    if len(sizes) < len(grams):
+        return docs.limit(0)
+    rare = sorted(grams, key=lambda g: (sizes[g], g))[:GRAMS]
+    hits = of("postings", rare).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == len(rare)).select(key)
+    return docs.join(hits, key, "left_semi").filter(_contains(F.col(name), part))
+
+
 def page_of(docs: DataFrame, page: int, per_page: int) -> DataFrame:
     """One page, newest first, with the total and the number of pages on every row."""
     total = docs.agg(F.count(F.lit(1)).alias("total"))
@@ -62,14 +108,14 @@ def eligibility(docs: DataFrame, tags: DataFrame, chunks: DataFrame, ranked: Dat
     """id, errors: what a document lacks for a training set. chunks and ranked: (doc_id, …)."""
     n = lambda df, key, out: df.groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias(out))
     j = docs.join(n(tags, "document_id", "_t"), "id", "left").join(n(chunks, "doc_id", "_c"), "id", "left").join(n(ranked, "doc_id", "_r"), "id", "left")
-    lacks = [("tags", F.col("_t").isNull()), ("domain", F.col("domain_code").isNull()), ("audience", F.col("audience_id").isNull()),
-             ("criticality", F.col("severity").isNull()), ("chunks", F.col("_c").isNull()), ("ranked answers", F.col("_r").isNull())]
-    return j.select("id", F.array_compact(F.array(*(F.when(c, f"no {name}") for name, c in lacks))).alias("errors"))
+    lacks = [("missing tags", F.col("_t").isNull()), ("missing domain", F.col("domain_code").isNull()), ("missing audience", F.col("audience_id").isNull()),
+             ("missing criticality", F.col("severity").isNull()), ("no chunks", F.col("_c").isNull()), ("no ranked answers", F.col("_r").isNull())]
+    return j.select("id", F.array_compact(F.array(*(F.when(c, error) for error, c in lacks))).alias("errors"))
 
 
 def require_eligible(report: DataFrame) -> DataFrame:
     """The report; a document with errors fails the query."""
-    bad = F.raise_error(F.concat(F.lit("document "), F.col("id").cast("string"), F.lit(" lacks: "), F.array_join("errors", ", ")))
+    bad = F.raise_error(F.concat(F.lit("Document id="), F.col("id").cast("string"), F.lit(" invalid: "), F.array_join("errors", ", ")))
     return report.withColumn("errors", F.when(F.size("errors") > 0, bad.cast("array<string>")).otherwise(F.col("errors")))
 
 

@@ -3,8 +3,11 @@
 import re
 from collections.abc import Callable
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.text import shared_words, strip
 
@@ -190,6 +193,60 @@ def generate(df: DataFrame, make: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(run, schema)
 
 
+def quarantined(make: Callable, columns: list[str]) -> Callable:
+    """A factory for generate() whose model doesn't fail: rows that it can't take come back with what was wrong in error.
+
+    A batch that fails is tried again row by row, so that one bad row doesn't cost the others.
+    """
+
+    def factory():
+        model = make()
+
+        def run(pdf):
+            try:
+                return model(pdf).assign(error=None)
+            except Exception:
+                if len(pdf) > 1:
+                    return pd.concat([run(pdf.iloc[i : i + 1]) for i in range(len(pdf))])
+                import traceback
+
+                what = traceback.format_exc().strip().rpartition("\n")[2]
+                out = pd.DataFrame({c: pdf[c].tolist() if c in pdf else [None] for c in columns})
+                return out.assign(error=what)
+
+        return run
+
+    return factory
+
+
+def generate_resumable(df: DataFrame, make: Callable, schema: str, key: list[str], out: str, model: str | None = None, slices: int = 16, parts: int = 8) -> DataFrame:
+    """generate() over the rows whose keys out lacks, in slices that are written one after another; all of out, when done.
+
+    After a crash the same call goes on where it stopped: what a slice has written isn't made again, and a slice that
+    didn't end leaves nothing. Rows that fail are kept with error set, and are not tried again. model: a column of model
+    names; a slice's rows are then dealt by it, over parts tasks a model, so a worker loads one model for its rows.
+    key: columns of df and of schema.
+    """
+    spark = df.sparkSession
+    columns = [f.name for f in T.StructType.fromDDL(schema).fields]
+    made = quarantined(make, columns)
+    slot = F.pmod(F.xxhash64(F.lit("slice"), *key), F.lit(slices))
+    for i in range(slices):
+        todo = df.filter(slot == i)
+        done = f"{out}/slice={i}"
+        try:
+            todo = todo.join(spark.read.parquet(done).select(*key).distinct(), key, "left_anti")
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" not in str(e):
+                raise
+        if todo.isEmpty():
+            continue
+        if model:
+            todo = todo.repartition(model, F.pmod(F.xxhash64(*key), F.lit(parts)))
+        generate(todo, made, schema + ", error string").write.mode("append").parquet(done)
+    return spark.read.schema(schema + ", error string").parquet(out).select(*columns, "error")
+
+
 def by_class_path(path: str) -> Callable:
     """A factory for generate(): imports package.module.Class in the worker, once for each process."""
 

@@ -2,28 +2,29 @@
 
 import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def row_hashes(df: DataFrame) -> DataFrame:
-    """SHA-256 of every row as JSON with nulls kept."""
-    return df.select(F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256).alias("row_hash"))
+def row_hash(df: DataFrame) -> Column:
+    """SHA-256 of a row: of the hashes of its values as text, in the order of the columns; null is not the empty text."""
+    return F.sha2(F.concat_ws(",", *(F.coalesce(F.sha2(F.col(c).cast("string"), 256), F.lit("-")) for c in df.columns)), 256)
 
 
-def content_hashes(df: DataFrame, name: str, text: str) -> DataFrame:
-    """(name, n, content_hash): per dataset a hash of its row hashes, whatever their order.
+def content_hashes(df: DataFrame, name: str) -> DataFrame:
+    """(name, n, content_hash): per dataset a hash of all its columns' names, types and rows, whatever the rows' order.
 
     A tree: equal row hashes are counted, buckets of the first five hex digits hash their sorted hashes with counts,
     buckets of the first two digits those buckets' hashes, and the dataset the 256 that are left. No array holds more
     than a millionth of the distinct rows, 4,096 buckets or 256 of them.
     """
-    rows = df.select(F.col(name).alias("name"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("h"))
+    rows = df.select(F.col(name).alias("name"), row_hash(df).alias("h"))
     level = rows.groupBy("name", "h").agg(F.count(F.lit(1)).alias("n")).withColumn("p", F.concat_ws(":", "h", F.col("n").cast("string")))
     for digits in (5, 2, 0):
         inside = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("h", "p"))), lambda r: r["p"]), ",")
         level = level.groupBy("name", F.left("h", F.lit(digits)).alias("h")).agg(F.sha2(inside, 256).alias("p"), F.sum("n").alias("n"))
-    return level.select("name", "n", F.col("p").alias("content_hash"))
+    fields = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
+    return level.select("name", "n", F.sha2(F.concat(F.lit(fields + "\n"), "p"), 256).alias("content_hash"))
 
 
 def next_versions(registry: DataFrame) -> DataFrame:
@@ -39,13 +40,17 @@ def version_of_path(path):
 
 
 def register(registry: DataFrame, new: DataFrame) -> DataFrame:
-    """Rows to append: of new (name, path, content_hash, …), one for each hash that isn't there yet.
+    """Rows to append: of new (name, path, content_hash, …), one for each hash that isn't there yet, with its version.
 
-    A path without a version part fails; a hash that is known is returned by `known`, not written again.
+    Of rows with the same hash the one with the smallest path is written, whole; `known` returns what is there already.
+    A path without a version part fails.
     """
     version = version_of_path(F.col("path"))
     checked = new.withColumn("version", F.when(version == "", F.raise_error(F.concat(F.lit("no version in "), "path")).cast("string")).otherwise(version))
-    return checked.join(registry.select("content_hash"), "content_hash", "left_anti").dropDuplicates(["content_hash"])
+    fresh = checked.join(registry.select("content_hash"), "content_hash", "left_anti")
+    columns = [c for c in checked.columns if c != "content_hash"]
+    order = F.struct("path", *(c for c in columns if c != "path"))
+    return fresh.groupBy("content_hash").agg(F.min_by(F.struct(*columns), order).alias("_r")).select("content_hash", "_r.*")
 
 
 def known(registry: DataFrame, new: DataFrame) -> DataFrame:

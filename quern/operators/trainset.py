@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import strip, words
+from quern.sources.files import stored
 
 
 def sft_text(df: DataFrame) -> DataFrame:
@@ -24,8 +25,14 @@ def plain_text(df: DataFrame) -> DataFrame:
 
 
 def _numbered(labels: DataFrame, order: str) -> DataFrame:
-    """Labels are few (one row each after the aggregate), so one task numbers them."""
-    return labels.withColumn("label_id", F.row_number().over(Window.orderBy(order)) - 1)
+    """label_id from 0 in this order, however many labels there are: range partitions are counted, and rows numbered inside."""
+    rows = stored(labels.repartitionByRange(order).sortWithinPartitions(order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    numbered = rows.withColumn("_part", part).join(F.broadcast(before), "_part")
+    label_id = F.col("_before") + F.col("_at") - F.shiftleft(F.col("_part"), 33)
+    return numbered.withColumn("label_id", label_id.cast("int")).drop("_part", "_at", "_before")
 
 
 def first_seen_labels(df: DataFrame, label: str = "label", order: str = "ord") -> DataFrame:

@@ -9,6 +9,8 @@ from quern.operators import export as X
 from quern.operators import quality as K
 from quern.operators import registry as R
 from quern.operators import trainset as T
+from quern.sources.files import load_keyed, save_keyed, shared_path, upsert
+from quern.sources.report_files import read_reports, save_reports
 
 from .qa_queries import CAND, _scored
 from .views import duck, table, view
@@ -47,7 +49,7 @@ def _flat_records(df):
 
 
 def _flat(s, d):
-    return D.flat_qna(_chunks(s, d), view(s, d, "v_questions"), _scored(s, d).filter("score > 0"), _ranking(s, d))
+    return D.flat_qna(_chunks(s, d), view(s, d, "v_questions"), _scored(s, d), _ranking(s, d))
 
 
 def _registry(s, d):
@@ -70,20 +72,59 @@ def _jobs(s, d):
     return table(s, d, "events").select("event_id", F.col("event_type").alias("state"), F.col("value").alias("latency"), F.col("user_id").alias("job"), F.col("event_id").alias("line_no"))
 
 
+def _indexed(s, d, part):
+    """Documents whose path holds the part, by an index of trigrams."""
+    index = shared_path(s, "names")
+    D.save_name_index(_docs(s, d), index)
+    return D.search_names(_docs(s, d), index, part)
+
+
+def _upserted_models(s, d):
+    """Customers as stored models; suppliers are written into the table."""
+    path = shared_path(s, "models")
+    save_keyed(table(s, d, "customer").select(F.col("c_custkey").alias("name"), F.col("c_nationkey").alias("model_type")), path, "name", 16)
+    new = table(s, d, "supplier").select((F.col("s_suppkey") * 20).alias("name"), F.col("s_nationkey").alias("model_type"))
+    upsert(path, new, "name", lambda before, rows: D.upsert_models(before, rows, "name", ["model_type"]).drop("outcome"), 16)
+    return load_keyed(s, path)
+
+
+def _sketched(s, d):
+    """Percentiles from sketches of days, and whether their places among all latencies are as near as promised."""
+    rows = table(s, d, "events").select(F.col("event_type").alias("model_name"), (F.col("user_id") % 3).alias("version"), F.col("value").alias("latency"), "ts")
+    key, shares = ["model_name", "version"], {"p50": 0.5, "p95": 0.95}
+    found = M.merged_percentiles(M.daily_sketches(rows, key, "latency", "ts"), key, shares)
+    j = rows.filter("latency is not null").join(found, key)
+    near = lambda c, p: (F.abs(F.count_if(F.col("latency") <= F.col(c)) / F.count(F.lit(1)) - p) <= M.RANK_ERROR + 1 / F.count(F.lit(1))).alias(f"{c}_near")
+    return j.groupBy(*key).agg(F.first("n").alias("n"), *(near(c, p) for c, p in shares.items()))
+
+
+def _report_files(s, d):
+    """The text reports as files, read back."""
+    out = shared_path(s, "reports")
+    save_reports(_reports(s, d), out)
+    return read_reports(s, out).select("name", F.sha2("text", 256).alias("text_sha"))
+
+
+def _reports(s, d):
+    return X.text_report(_flat(s, d).join(_docs(s, d).select(F.col("id").alias("doc_id"), F.col("file_name").alias("document"), "file_path"), "doc_id").withColumns({"chunk_id": F.lit("p1_c1"), "page": F.lit(1)}))
+
+
 def _flat_chat(df):
     return df.select(F.transform("messages", lambda m: m["role"])[1].alias("role"), F.sha2(F.array_join(F.transform("messages", lambda m: m["content"]), "|"), 256).alias("sha"))
 
 
 QUERIES = {
     "d1_search_documents": lambda s, d: D.search_documents(_docs(s, d), "SRC1", domain="en", severity=2),
+    "d1_search_indexed": lambda s, d: _indexed(s, d, "SRC1").filter("domain_code = 'en' and severity = 2"),
     "d2_page_of": lambda s, d: D.page_of(_docs(s, d), 3, 25).select("id", "file_path", "total", "total_pages"),
     "d3_first_by_name": lambda s, d: D.first_by_name(_docs(s, d), "src3/"),
+    "d3_first_indexed": lambda s, d: D.first_by_name(_indexed(s, d, "src3/"), "src3/"),
     "d4_by_ids": lambda s, d: D.by_ids(_docs(s, d), [1, 5, 8, 13, 999999]).select("id", "file_path"),
     "d5_by_dimension": lambda s, d: D.by_dimension(_docs(s, d), table(s, d, "region").select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("code")), "audience_id", "AMERICA").select("id", "audience_id"),
     "d6_max_severity": lambda s, d: D.max_severity(_docs(s, d), _levels(s), "MEDIUM").select("id", "severity"),
     "d7_with_all_tags": lambda s, d: D.with_all_tags(_docs(s, d), _tags(s, d), ["SOP", "MANUAL"]).select("id"),
     "d8_without_tags": lambda s, d: D.without_tags(_docs(s, d), _tags(s, d), ["SPEC", "MANUAL"]).select("id"),
-    "d9_eligibility": lambda s, d: D.eligibility(_docs(s, d), _tags(s, d), view(s, d, "v_blocks"), table(s, d, "labels").filter("quality = 1")).select("id", F.array_join("errors", ", ").alias("errors")),
+    "d9_eligibility": lambda s, d: D.eligibility(_docs(s, d), _tags(s, d), view(s, d, "v_blocks"), view(s, d, "v_candidates").select("doc_id")).select("id", F.array_join("errors", ", ").alias("errors")),
     "d10_resolved_qna": lambda s, d: _qna(s, d).select("question_id", "doc_id", "question", "best_model"),
     "d11_assemble_records": lambda s, d: _flat_records(D.assemble_records(_docs(s, d), _tags(s, d), _qna(s, d))),
     "d12_build_dataset": lambda s, d: _flat_records(_records(s, d)),
@@ -91,6 +132,7 @@ QUERIES = {
     "d14_list_runs": lambda s, d: D.list_runs(view(s, d, "v_runs"), table(s, d, "customer").select(F.col("c_custkey").alias("document_id"), F.col("c_name").alias("name"))),
     "d15_seed_if_absent": lambda s, d: D.seed_if_absent(table(s, d, "region").select(F.col("r_name").alias("code"), F.col("r_regionkey").alias("n")), table(s, d, "nation").select(F.when(F.col("n_nationkey") % 2 == 0, F.upper("n_name")).otherwise("ASIA").alias("code"), F.lit(7).alias("n")), "code"),
     "d16_upsert_models": _supplier_models,
+    "d16_upsert_stored": _upserted_models,
     "d17_lineage": lambda s, d: D.lineage(7, chunk=view(s, d, "v_blocks").select((F.col("doc_id") * 1000 + F.col("ord")).alias("id")), question=view(s, d, "v_questions").select(F.col("question_id").alias("id"))),
     "d17_finish_run": lambda s, d: D.finish_run(view(s, d, "v_runs").withColumn("error_message", F.lit(None).cast("string")), 7, False, "out of memory " * 400).select("run_id", "document_id", "success", F.col("finished_at").isNotNull().alias("finished"), "error_message"),
     "d18_attach_metadata": lambda s, d: D.attach_metadata(_docs(s, d).select("id", "file_path"), "OPS", 2, 3, table(s, d, "region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("code")), [0, 2]),
@@ -109,10 +151,11 @@ QUERIES = {
     "s7_report_tables": lambda s, d: X.report_tables(_flat(s, d))["answers"].select("question_id", "model_name", "answer", "score", "is_best"),
     "s7_report_questions": lambda s, d: X.report_tables(_flat(s, d))["questions"],
     "s7_report_qna": lambda s, d: X.report_tables(_flat(s, d))["qna"],
-    "s8_text_report": lambda s, d: X.text_report(_flat(s, d).join(_docs(s, d).select(F.col("id").alias("doc_id"), F.col("file_name").alias("document"), "file_path"), "doc_id").withColumns({"chunk_id": F.lit("p1_c1"), "page": F.lit(1)})),
-    "r1_content_hashes": lambda s, d: R.content_hashes(table(s, d, "documents"), "source", "text"),
+    "s8_text_report": _reports,
+    "s8_report_files": _report_files,
+    "r1_content_hashes": lambda s, d: R.content_hashes(table(s, d, "documents"), "source"),
     "r2_next_versions": lambda s, d: R.next_versions(_registry(s, d)),
-    "r3_register": lambda s, d: R.register(table(s, d, "conversations").select(F.sha2("text", 256).alias("content_hash")), _registry(s, d).select("name", "path", "content_hash")).select("content_hash"),
+    "r3_register": lambda s, d: R.register(table(s, d, "conversations").select(F.sha2("text", 256).alias("content_hash")), _registry(s, d).select("name", "path", "content_hash")),
     "r4_profile": lambda s, d: R.profile(table(s, d, "documents"), "documents"),
     "r5_audit_state": lambda s, d: R.audit_state(table(s, d, "events").select(F.col("user_id").alias("content_hash"), F.col("event_type").alias("action"), F.struct("ts", "event_id").alias("created_at"))),
     "r6_resolve": lambda s, d: R.resolve(_registry(s, d).groupBy("name", "version").count().filter("count = 1").select("name", "version"), _registry(s, d)),
@@ -131,6 +174,7 @@ QUERIES = {
     "m4_latency_histogram": lambda s, d: M.latency_histogram(_jobs(s, d), 0.0, 100.0, 10),
     "m5_tail": lambda s, d: M.tail(_jobs(s, d).select("job", "line_no", "state"), 3),
     "m6_feedback_summary": lambda s, d: M.feedback_summary(view(s, d, "v_feedback")),
+    "m6_latency_sketch": _sketched,
 }
 RANK = CAND + """, p as (select question_id, model_name, max(score) as top, min(ord) as ord from s group by all),
 bw as (select question_id, (array_agg(model_name order by top desc, ord))[1] as best_model, (array_agg(model_name order by top, ord))[1] as worst_model from p group by question_id),
@@ -141,12 +185,16 @@ qna as (select q.*, d.text as context, r.best_model, r.best_answer, r.worst_mode
 tagged as (select document_id, string_agg(tag, ',' order by tag) as tags from v_doc_tags group by document_id)"""
 REC = RANK + ", rec as (select question as instruction, context as input, best_answer as output, q.doc_id, coalesce(t.tags, '') as tags, best_model as model, question_id from qna q join v_documents d on d.id = q.doc_id left join tagged t on t.document_id = q.doc_id{where})"
 SOME = REC.replace("{where}", " where d.severity <= 3 and d.id not in (select document_id from v_doc_tags where tag = 'SPEC')")
-FLAT = RANK + ", flat as (select d.doc_id, q.question_id, q.question_index, q.question, s.model_name, s.answer, s.score, coalesce(s.model_name = r.best_model, false) as is_best from documents d join v_questions q on q.doc_id = d.doc_id left join (select * from s where score > 0) s on s.question_id = q.question_id left join ranking r on r.question_id = q.question_id)"
+FLAT = RANK + ", flat as (select d.doc_id, q.question_id, q.question_index, q.question, s.model_name, s.answer, s.score, coalesce(s.model_name = r.best_model, false) as is_best from documents d join v_questions q on q.doc_id = d.doc_id left join s on s.question_id = q.question_id left join ranking r on r.question_id = q.question_id)"
 REG = "with g as (select source as name, 'v' || lpad(cast(doc_id // 20 + 1 as varchar), 3, '0') as version, doc_id as created_at, 'data/' || source || '/v' || doc_id || '/x.jsonl' as path, sha256(text) as content_hash from documents)"
 SFT = "with f as (select conv_id, turn, prompt, case when conv_id % 9 = 0 then null else response end as response, case when conv_id % 18 = 0 then 'only text' end as text from v_sft), t as (select *, coalesce('Instruction: ' || nullif(prompt, '') || chr(10) || 'Response: ' || nullif(response, ''), nullif(text, '')) as train_text from f)"
 SYS = X.SYSTEM.replace("'", "''")
 SQL = {
     "d1_search_documents": "select * from v_documents where contains(lower(file_path), 'src1') and domain_code = 'en' and severity = 2",
+    "d1_search_indexed": "select * from v_documents where contains(lower(file_path), 'src1') and domain_code = 'en' and severity = 2",
+    "d3_first_indexed": "select * from v_documents where contains(lower(file_path), 'src3/') order by file_path, id limit 1",
+    "d16_upsert_stored": "select coalesce(c_custkey, s_suppkey * 20) as name, coalesce(s_nationkey, c_nationkey) as model_type from customer full join supplier on c_custkey = s_suppkey * 20",
+    "m6_latency_sketch": "select event_type as model_name, user_id % 3 as version, count(*) as n, true as p50_near, true as p95_near from events where value is not null group by 1, 2",
     "d2_page_of": "select id, file_path, (select count(*) from v_documents) as total, cast(ceil((select count(*) from v_documents) / 25.0) as bigint) as total_pages from v_documents order by id desc limit 25 offset 50",
     "d3_first_by_name": "select * from v_documents where contains(lower(file_path), 'src3/') order by file_path, id limit 1",
     "d4_by_ids": "select id, file_path from v_documents where id in (1, 5, 8, 13, 999999)",
@@ -154,7 +202,7 @@ SQL = {
     "d6_max_severity": "select id, severity from v_documents where severity <= 2",
     "d7_with_all_tags": "select id from v_documents where id in (select document_id from v_doc_tags where tag in ('SOP', 'MANUAL') group by 1 having count(distinct tag) = 2)",
     "d8_without_tags": "select id from v_documents where id not in (select document_id from v_doc_tags where tag in ('SPEC', 'MANUAL'))",
-    "d9_eligibility": "select id, concat_ws(', ', case when id not in (select document_id from v_doc_tags) then 'no tags' end, case when domain_code is null then 'no domain' end, case when audience_id is null then 'no audience' end, case when severity is null then 'no criticality' end, case when id not in (select doc_id from v_blocks) then 'no chunks' end, case when id not in (select doc_id from labels where quality = 1) then 'no ranked answers' end) as errors from v_documents",
+    "d9_eligibility": "select id, concat_ws(', ', case when id not in (select document_id from v_doc_tags) then 'missing tags' end, case when domain_code is null then 'missing domain' end, case when audience_id is null then 'missing audience' end, case when severity is null then 'missing criticality' end, case when id not in (select doc_id from v_blocks) then 'no chunks' end, case when id not in (select doc_id from v_candidates) then 'no ranked answers' end) as errors from v_documents",
     "d10_resolved_qna": RANK + " select question_id, doc_id, question, best_model from qna",
     "d11_assemble_records": REC.replace("{where}", "") + " select instruction, output, doc_id, tags, model, sha256(input) as input_sha from rec",
     "d12_build_dataset": SOME + " select instruction, output, doc_id, tags, model, sha256(input) as input_sha from rec",
@@ -180,10 +228,11 @@ SQL = {
     "s7_report_tables": FLAT + " select distinct question_id, model_name, answer, score, is_best from flat",
     "s7_report_questions": FLAT + " select distinct doc_id, question_id, question_index, question from flat",
     "s7_report_qna": FLAT + " select flat.doc_id, question_id, question_index, question, model_name, answer, is_best, text as context, score from flat join documents d on d.doc_id = flat.doc_id",
-    "r1_content_hashes": """with h as (select source as name, sha256(coalesce(text, '')) as h, count(*) as n from documents group by all), p5 as (select name, substr(h, 1, 5) as h, sha256(string_agg(h || ':' || n, ',' order by h)) as p, sum(n) as n from h group by name, substr(h, 1, 5)),
-        p2 as (select name, substr(h, 1, 2) as h, sha256(string_agg(p, ',' order by h)) as p, sum(n) as n from p5 group by name, substr(h, 1, 2)) select name, cast(sum(n) as bigint) as n, sha256(string_agg(p, ',' order by h)) as content_hash from p2 group by name""",
+    "r1_content_hashes": """with h as (select source as name, sha256(concat_ws(',', coalesce(sha256(cast(doc_id as varchar)), '-'), coalesce(sha256(cast(text as varchar)), '-'), coalesce(sha256(cast(lang as varchar)), '-'), coalesce(sha256(cast(source as varchar)), '-'), coalesce(sha256(cast(n_chars as varchar)), '-'))) as h, count(*) as n from documents group by all), p5 as (select name, substr(h, 1, 5) as h, sha256(string_agg(h || ':' || n, ',' order by h)) as p, sum(n) as n from h group by name, substr(h, 1, 5)),
+        p2 as (select name, substr(h, 1, 2) as h, sha256(string_agg(p, ',' order by h)) as p, sum(n) as n from p5 group by name, substr(h, 1, 2)), a as (select name, cast(sum(n) as bigint) as n, sha256(string_agg(p, ',' order by h)) as p from p2 group by name)
+        select name, n, sha256('doc_id:bigint,text:string,lang:string,source:string,n_chars:bigint' || chr(10) || p) as content_hash from a""",
     "r2_next_versions": REG + " select name, 'v' || lpad(cast(cast(substr(arg_max(version, created_at), 2) as int) + 1 as varchar), 3, '0') as version from g group by name",
-    "r3_register": REG + " select distinct content_hash from g where content_hash not in (select sha256(text) from conversations)",
+    "r3_register": REG + " select content_hash, arg_min(name, path) as name, min(path) as path, regexp_extract(min(path), '(?:^|/)(v[0-9]+)(?:/|$)', 1) as version from g where content_hash not in (select sha256(text) from conversations) group by content_hash",
     "r4_profile": "select 'documents' as name, count(*) as records, '{\"doc_id\": \"bigint\", \"text\": \"string\", \"lang\": \"string\", \"source\": \"string\", \"n_chars\": \"bigint\"}' as fields from documents",
     "r5_audit_state": "select user_id as content_hash, (array_agg(event_type order by ts desc, event_id desc))[1] as state, count(*) as n_actions from events group by user_id",
     "r6_resolve": REG + " select name, version, any_value(path) as path, any_value(content_hash) as content_hash from g group by name, version having count(*) = 1",

@@ -6,9 +6,10 @@ from quern.operators import answers as A
 from quern.operators import embed as E
 from quern.operators import neardup as N
 from quern.operators import questions as Q
+from quern.sources.files import load_keyed, save_keyed, shared_path, upsert
 
 from .flagship import flagship
-from .views import duck, table, view
+from .views import crc32_sql, duck, table, view
 
 RAW = """select q.doc_id, q.question_index - 1 as ord, case (q.question_index + q.doc_id) % 4 when 0 then 'what ' || lower(substr(d.text, 1, 60)) when 1 then 'Where ' || substr(d.text, 1, 40) || '?'
  when 2 then 'Why ' || substr(d.text, 10, 50) || '?' else 'so who ' || substr(d.text, 1, 30) end as question, d.text as context from {v_questions} q join {documents} d on d.doc_id = q.doc_id"""
@@ -59,6 +60,57 @@ def _what_is():
     return make
 
 
+def _strict():
+    """As _what_is, but it doesn't take blank texts."""
+
+    def make():
+        def model(pdf):
+            if (pdf["text"].str.strip() == "").any():
+                raise ValueError("a blank text")
+            return pdf[["doc_id", "ord"]].assign(question=["What is " + t + "?" for t in pdf["text"]])
+
+        return model
+
+    return make
+
+
+def _q15_resumable(s, d):
+    """All blocks in slices; blank ones can't be asked about and come back with the reason."""
+    out = shared_path(s, "questions")
+    made = Q.generate_resumable(view(s, d, "v_blocks").select("doc_id", "ord", "text"), _strict(), "doc_id long, ord int, question string", ["doc_id", "ord"], out, slices=4)
+    return made.select("doc_id", "ord", "question", "error")
+
+
+def _a17_by_model(s, d):
+    """Every question to three models, dealt by model; a second call finds all answers there."""
+    out = shared_path(s, "answers")
+    asked = view(s, d, "v_questions").select("question_id", "question", F.explode(F.array(*map(F.lit, ["m0", "m1", "m2"]))).alias("model_name"))
+    how = ("question_id long, model_name string, answer string", ["question_id", "model_name"], out, "model_name", 3, 4)
+    Q.generate_resumable(asked, Q.by_class_path("quern.operators.models.NamedModel"), *how)
+    return Q.generate_resumable(asked, Q.by_class_path("quern.operators.models.NamedModel"), *how).drop("error")
+
+
+def _cleaned_by_model(s, d):
+    """Dressed answers as if of every family of models."""
+    family = F.element_at(F.array(*map(F.lit, ["openelm-simple", "TinyLlama", "qwen2", "flan"])), (F.col("question_id") % 4 + 1).cast("int"))
+    return A.clean_by_model(_dressed(s, d).withColumn("model_name", family)).select("question_id", "ord", "model_name", "answer")
+
+
+def _rankings(s, d):
+    return A.rerank(_scored(s, d)).select("question_id", "best_model", "best_answer", "worst_model", "worst_answer")
+
+
+def _a14_overwrite(s, d):
+    """Stored rankings, of which those of labelled documents are replaced in place."""
+    path = shared_path(s, "rankings")
+    rankings = _rankings(s, d)
+    save_keyed(rankings, path, "question_id", 16)
+    labelled = view(s, d, "v_questions").join(table(s, d, "labels").select("doc_id"), "doc_id", "left_semi").select("question_id")
+    again = rankings.join(labelled, "question_id", "left_semi").withColumns({"best_model": F.col("worst_model"), "worst_model": F.col("best_model")})
+    upsert(path, again, "question_id", A.overwrite_rankings, 16)
+    return load_keyed(s, path).select("question_id", "best_model", "worst_model")
+
+
 def _attempts(s, d):
     raw = _raw(s, d).withColumn("attempt", (F.col("ord") % 3 + 1)).withColumn("crashed", (F.col("doc_id") % 5 == 0) & (F.col("attempt") == 1))
     return Q.choose_attempt(raw, "doc_id").select("doc_id", "attempt", "ord", "question")
@@ -87,6 +139,7 @@ QUERIES = {
     "q13_number_questions": lambda s, d: Q.number_questions(view(s, d, "v_questions").select("doc_id", F.col("question_id").alias("ord")), "doc_id"),
     "q14_render_prompt": lambda s, d: Q.render_prompt(_raw(s, d), "CONTEXT:\n{context}\n\nQUESTION: {question}", 1230, "head", strict=False).select("doc_id", "ord", F.sha2("prompt", 256).alias("prompt_sha"), F.length("prompt").alias("n"), (~F.col("prompt").rlike(Q.PLACE)).alias("ok")),
     "q15_generate_questions": lambda s, d: Q.generate(view(s, d, "v_blocks").select("doc_id", "ord", "text"), _what_is(), "doc_id long, ord int, question string"),
+    "q15_resumable": _q15_resumable,
     "a1_work_items": lambda s, d: A.work_items(
         view(s, d, "v_questions").groupBy("doc_id").agg(F.array_sort(F.collect_list("question")).alias("questions")).withColumn("chunk_id", F.lit("p1_c1")),
         table(s, d, "documents").select("doc_id", F.lit("p1_c1").alias("chunk_id"), F.col("text").alias("context")), view(s, d, "v_questions").withColumn("chunk_id", F.lit("p1_c1")),
@@ -95,8 +148,10 @@ QUERIES = {
     "a3_extract": lambda s, d: view(s, d, "v_candidates").join(view(s, d, "v_questions").select("question_id", "question"), "question_id").select("question_id", "ord", A.extract(F.concat(F.lit("x Answer: "), F.col("answer"), F.when(F.col("ord") % 3 == 1, " Question: y").otherwise("")), F.col("question")).alias("answer")),
     "a4_keywords": lambda s, d: view(s, d, "v_candidates").select("question_id", "ord", F.array_join(F.array_sort(A.keywords(F.col("answer"))), " ").alias("keywords")),
     "a5_clean_output": lambda s, d: _dressed(s, d).select("question_id", "ord", A.clean_output(F.col("answer")).alias("answer")),
+    "a5_clean_by_model": _cleaned_by_model,
     "a6_strip_prompt": lambda s, d: view(s, d, "v_candidates").select("question_id", "ord", A.strip_prompt(F.concat(F.when(F.col("ord") % 2 == 0, "a ").otherwise(""), F.lit("PROMPT "), "answer"), F.lit("PROMPT")).alias("answer")),
     "a7_grounding": lambda s, d: view(s, d, "v_candidates").select("question_id", "ord", A.grounded(F.col("answer"), F.col("context")).alias("ok"), A.grounded(F.col("answer"), F.col("context"), 4).alias("ok_aggressive"), A.grounded_long(F.col("answer"), F.col("context")).alias("ok_long"), A.grounded_strict(F.col("answer"), F.col("context")).alias("ok_strict")),
+    "a7_ground_or_refuse": lambda s, d: A.ground_or_refuse(view(s, d, "v_candidates"), A.grounded(F.col("answer"), F.col("context"))).select("question_id", "ord", "answer"),
     "a8_score": lambda s, d: A.scored_in(_scored(s, d).withColumnRenamed("score", "s"), _contexts(s, d), none_shared=-5.0, by_length=False).select("question_id", "ord", F.col("s").alias("score"), F.col("score").alias("plain_score")),
     "a9_sample_plan": lambda s, d: A.sample_plan(view(s, d, "v_questions").select("question_id"), _models(s, d).filter("enabled").select("name")),
     "a10_best_of_n": lambda s, d: _best(s, d).select("question_id", "model_name", "ord", "score"),
@@ -104,12 +159,14 @@ QUERIES = {
     "a12_nested_samples": lambda s, d: A.nested_samples(_scored(s, d)).select("question_id", F.explode("per_model_samples").alias("model_name", "_s")).select("question_id", "model_name", F.size("_s").alias("n"), F.array_join(F.transform("_s", lambda r: r["sample_id"].cast("string")), ",").alias("sample_order")),
     "a13_wide_answers": lambda s, d: A.wide_answers(_best(s, d), ["m0", "m1", "m2"]),
     "a14_rerank": lambda s, d: A.rerank(_scored(s, d)).select("question_id", "best_model", "best_answer", "worst_model", "worst_answer", F.size("answer_scores").alias("n_models")),
-    "a15_unknown_models": lambda s, d: A.unknown_models(view(s, d, "v_candidates").select("question_id", "ord", "model_name"), _models(s, d).filter("name <> 'm2'")),
+    "a14_overwrite": _a14_overwrite,
+    "a15_unknown_models": lambda s, d: A.unknown_models(view(s, d, "v_candidates").select("question_id", "ord", "model_name"), _models(s, d).filter("enabled")),
     "a16_select_models": lambda s, d: A.select_models(_models(s, d), [" M2 ", "m4", "m5", "nope"])[0].withColumn("what", F.lit("chosen")).drop("enabled").unionByName(A.select_models(_models(s, d), [" M2 ", "m4", "m5", "nope"])[1].withColumn("what", F.lit("missing"))),
     "a17_generate_answers": lambda s, d: Q.generate(view(s, d, "v_blocks").select("doc_id", "ord", "text").repartition("doc_id"), Q.by_class_path("quern.operators.models.EchoModel"), "doc_id long, ord int, answer string"),
-    "e1_embed": lambda s, d: E.embed(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text")).select("id", F.round(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x), 6).alias("norm")),
+    "a17_by_model": _a17_by_model,
+    "e1_embed": lambda s, d: E.embed(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text")).select("id", F.posexplode("vector").alias("dim", "value")).filter("value <> 0").withColumn("value", F.round("value", 9)),
     "e2_embedding_table": lambda s, d: E.embedding_table(view(s, d, "v_embeddings"), "hash64").select("parent_type", "parent_id", "model_name", "actual_dimensions", F.col("meta")["source"].alias("source")),
-    "e3_group_cosine": lambda s, d: E.group_cosine(view(s, d, "v_embeddings").filter("label is not null").select("label", "id", F.col("embedding").alias("vector")), "label", 0.6).withColumn("cosine", F.round("cosine", 6)),
+    "e3_group_cosine": lambda s, d: E.group_cosine(view(s, d, "v_embeddings").filter("label is not null").select("label", "id", F.col("embedding").alias("vector")), "label", 0.3).withColumn("cosine", F.round("cosine", 6)),
 }
 STARTS = "(lower(s) like 'this %' or lower(s) like 'that %' or lower(s) like 'these %' or lower(s) like 'those %' or lower(s) like 'it %')"
 MARKS = "(" + " or ".join(f"contains(lower(s), '{m}')" for m in Q.FACT_MARKS) + ")"
@@ -131,6 +188,8 @@ CAND = """with c as (select question_id, model_name, ord, case when (question_id
 n as (select *, len(list_intersect(WS(S(answer)), WS(context))) as n, len(WS(S(answer))) as w from c),
 s as (select *, case when answer = '' then '-infinity'::double else n + case when n = 0 then -10.0 else 0.0 end + case when w between 5 and 40 then 1.0 when w < 3 or w > 80 then -2.0 else 0.0 end end as score,
   case when answer = '' then '-infinity'::double else n + case when n = 0 then -5.0 else 0.0 end end as plain_score from n)"""
+RERANK = CAND + """, p as (select question_id, model_name, max(score) as top, min(ord) as ord from s group by all),
+bw as (select question_id, (array_agg(model_name order by top desc, ord))[1] as best_model, (array_agg(model_name order by top, ord))[1] as worst_model from p group by question_id)"""
 BEST = CAND + ", b as (select * from s qualify row_number() over (partition by question_id, model_name order by score desc, ord) = 1)"
 TEMPLATED = rf"""with q as ({DRAW}), t as (select doc_id, ord, context, case when regexp_matches(S(question), '^\p{{Lu}}') and S(question) like '%?' then S(question)
   else replace(['What is #?', 'What does # refer to?', 'Where is # located?', 'Which # is mentioned?', 'When does # occur?'][ord % 5 + 1], '#', regexp_replace(case when regexp_matches(S(question), '(?i)(what|where|which|when|who)\s+') then S(regexp_extract(S(question), '(?i)(what|where|which|when|who)\s+(.*)', 2)) else S(question) end, '\?+$', '')) end as question from q)"""
@@ -177,6 +236,10 @@ SQL = {
         o as (select question_id, ord, case when regexp_extract(x, '^(.+?[.!?])(\s|$)', 1) <> '' then S(regexp_extract(x, '^(.+?[.!?])(\s|$)', 1)) else x end as x from q) select question_id, ord, case when x <> '' and not regexp_matches(x, '[.!?]$') then x || '.' else x end as answer from o""",
     "a7_grounding": r"""with g as (select *, len(list_intersect(WS(answer), WS(context))) as n, len(list_intersect(list_filter(WS(answer), lambda k: length(k) > 3), list_filter(WS(context), lambda k: length(k) > 3))) as l from v_candidates)
         select question_id, ord, n >= 2 as ok, n >= 4 as ok_aggressive, l > 0 as ok_long, len(W(answer)) >= 3 and n >= 2 as ok_strict from g""",
+    "a7_ground_or_refuse": "select question_id, ord, case when len(list_intersect(WS(answer), WS(context))) >= 2 then answer else 'Insufficient information in context.' end as answer from v_candidates",
+    "a14_overwrite": RERANK + " select question_id, case when again then worst_model else best_model end as best_model, case when again then best_model else worst_model end as worst_model from (select bw.*, q.doc_id in (select doc_id from labels) as again from bw join v_questions q using (question_id)) x",
+    "a17_by_model": "select question_id, m as model_name, m || ': ' || question as answer from v_questions, (select unnest(['m0', 'm1', 'm2']) as m) x",
+    "q15_resumable": "select doc_id, ord, case when S(text) <> '' then 'What is ' || text || '?' end as question, case when S(text) = '' then 'ValueError: a blank text' end as error from v_blocks",
     "a8_score": CAND + " select question_id, ord, score, plain_score from s",
     "a9_sample_plan": "select question_id, 'm' || n_nationkey as name, cast(i as int) as sample_id, i > 3 as do_sample from v_questions, nation, range(1, 9) r(i) where n_nationkey % 2 = 0",
     "a10_best_of_n": BEST + " select question_id, model_name, ord, score from b",
@@ -190,12 +253,14 @@ SQL = {
         bw as (select question_id, (array_agg(model_name order by top desc, ord))[1] as best_model, (array_agg(model_name order by top, ord))[1] as worst_model, cast(count(*) as int) as n_models from p group by question_id)
         select bw.question_id, best_model, (select s.answer from s where s.question_id = bw.question_id and s.model_name = best_model order by score desc, ord limit 1) as best_answer, worst_model,
         (select s.answer from s where s.question_id = bw.question_id and s.model_name = worst_model order by score, ord limit 1) as worst_answer, n_models from bw""",
-    "a15_unknown_models": "select question_id, ord, model_name from v_candidates where model_name = 'm2'",
+    "a15_unknown_models": "select question_id, ord, model_name from v_candidates where model_name not in (select 'm' || n_nationkey from nation where n_nationkey % 2 = 0)",
     "a16_select_models": "select 'm' || n_nationkey as name, 'chosen' as what from nation where n_nationkey in (2, 4) union all select 'm5', 'missing' union all select 'nope', 'missing'",
     "e2_embedding_table": "select parent_type, parent_id, 'hash64' as model_name, cast(len(embedding) as int) as actual_dimensions, parent_type as source from v_embeddings",
     "e3_group_cosine": """with v as (select label, id, list_transform(embedding, lambda x: x::double) as e from v_embeddings where label is not null),
-        p as (select a.label, a.id as a, b.id as b, list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) as cosine from v a join v b on a.label = b.label and a.id < b.id) select label, a, b, round(cosine, 6) as cosine from p where cosine >= 0.6""",
-    "e1_embed": "select doc_id as id, case when len(W(coalesce(text, ''))) > 0 then 1.0::double else 0.0 end as norm from documents",
+        p as (select a.label, a.id as a, b.id as b, list_dot_product(a.e, b.e) / sqrt(list_dot_product(a.e, a.e) * list_dot_product(b.e, b.e)) as cosine from v a join v b on a.label = b.label and a.id < b.id) select label, a, b, round(cosine, 6) as cosine from p where cosine >= 0.3""",
+    "e1_embed": f"""with w as (select doc_id as id, unnest(W(lower(coalesce(text, '')))) as w from documents), u as (select w, hex(encode(w)) as hx from (select distinct w from w) d),
+        h as materialized (select w, cast({crc32_sql("list_transform(range(1, len(hx), 2), lambda i: cast('0x' || substr(hx, i, 2) as bigint))")} % 64 as int) as dim from u),
+        c as (select id, dim, count(*) as n from w join h using (w) group by id, dim) select id, dim, round(n / sqrt(sum(n * n) over (partition by id)), 9) as value from c""",
     "a17_generate_answers": "select doc_id, ord, string_split(text, '.')[1] as answer from v_blocks",
 }
 ORACLE_SQL = {k: duck(v) for k, v in SQL.items()}

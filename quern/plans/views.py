@@ -4,6 +4,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.functions.text import SPACE
+
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 _BLOCKS = "select doc_id, ord, text, {page} as page, case when length(text) < 40 then 'heading' else 'text' end as chunk_type from ({lines}) b"
 VIEWS = {
@@ -44,12 +46,18 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(text, **{t: table(spark, sf_dir, t) for t in set(re.findall(r"\{(\w+)\}", text))})
 
 
+def crc32_sql(codes: str) -> str:
+    """SQL for the unsigned crc32 of a list of bytes."""
+    step = "list_reduce(list_concat([xor(c, b)], range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce(list_concat([4294967295::bigint], {codes}), lambda c, b: {step}), 4294967295)"
+
+
 def duck(body: str) -> str:
     """The body with a WITH clause for the views it names; S(x), W(x) and WS(x) stand for strip, words and word set."""
     macros = {
-        "WS": "list_distinct(list_filter(regexp_split_to_array(lower({0}), '\\s+'), lambda w: w <> ''))",
-        "W": "list_filter(regexp_split_to_array({0}, '\\s+'), lambda w: w <> '')",
-        "S": "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')",
+        "WS": f"list_distinct(list_filter(regexp_split_to_array(lower({{0}}), '{SPACE}+'), lambda w: w <> ''))",
+        "W": f"list_filter(regexp_split_to_array({{0}}, '{SPACE}+'), lambda w: w <> '')",
+        "S": f"regexp_replace({{0}}, '\\A{SPACE}+|{SPACE}+\\z', '', 'g')",
     }
     for name, text in macros.items():
         while m := re.search(rf"\b{name}\(", body):

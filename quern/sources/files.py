@@ -1,8 +1,14 @@
 """Folders, JSON and JSONL, append logs, and the relational store."""
 
+import functools
+import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from datetime import UTC, datetime
 
+import pandas as pd
+import pyarrow.fs as fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +55,48 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
 
 
+def list_folders(paths: list[str], pruned: list[str] = PRUNED):
+    """(path, folder, length, modificationTime) of what folders hold; a folder whose name holds a pruned part is left out.
+
+    Links to folders are not followed.
+    """
+    for path in paths:
+        if "://" in path:
+            store, inside = fs.FileSystem.from_uri(path)
+            head = path[: len(path) - len(inside)] if path.endswith(inside) else ""
+            found = [(head + x.path, x.type == fs.FileType.Directory, x.size or 0, x.mtime) for x in store.get_file_info(fs.FileSelector(inside))]
+        else:
+            found = []
+            with os.scandir(path) as entries:
+                for e in entries:
+                    info = e.stat(follow_symlinks=False)
+                    if not (e.is_symlink() and e.is_dir()):
+                        found.append((e.path, e.is_dir(follow_symlinks=False), info.st_size, datetime.fromtimestamp(info.st_mtime, UTC)))
+        for row in found:
+            if not (row[1] and any(p in row[0].rpartition("/")[2].lower() for p in pruned)):
+                yield row
+
+
+def walk(spark: SparkSession, root: str, pruned: list[str] = PRUNED) -> DataFrame:
+    """path, length, modificationTime of the files below root, listed level by level on the executors; pruned folders are never opened.
+
+    root is a path that all machines see, or a URI that pyarrow opens. A level's folders are dealt out by path.
+    """
+
+    def run(frames):
+        for pdf in frames:
+            rows = list(list_folders(pdf["path"].tolist(), pruned))
+            yield pd.DataFrame(rows, columns=["path", "folder", "length", "modificationTime"]).astype({"path": str, "folder": bool, "length": "int64", "modificationTime": "datetime64[us, UTC]"})
+
+    level, files = spark.createDataFrame([(root.removeprefix("file://").rstrip("/"),)], "path string"), []
+    while True:
+        listed = stored(level.repartition("path").mapInPandas(run, "path string, folder boolean, length long, modificationTime timestamp"))
+        files.append(listed.filter("not folder").drop("folder"))
+        level = listed.filter("folder").select("path")
+        if level.isEmpty():
+            return functools.reduce(DataFrame.unionByName, files)
+
+
 def allowed_files(files: DataFrame, allowed: list[str] | None = None) -> DataFrame:
     """Files whose suffix, in any case, is allowed."""
     return files.filter(suffix(F.col("path")).isin(allowed or ALLOWED))
@@ -148,11 +196,48 @@ def save_table(df: DataFrame, target: str, jdbc: dict | None = None, mode: str =
         df.write.mode(mode).parquet(target)
 
 
-def load_table(spark: SparkSession, target: str, jdbc: dict | None = None) -> DataFrame:
-    return spark.read.format("jdbc").options(dbtable=target, **jdbc).load() if jdbc else spark.read.parquet(target)
+def load_table(spark: SparkSession, target: str, jdbc: dict | None = None, split: str | None = None, parts: int = 8) -> DataFrame:
+    """A table of the store. split: a number column by whose range a JDBC table is read in parts at once."""
+    if not jdbc:
+        return spark.read.parquet(target)
+    reader = spark.read.format("jdbc").options(**jdbc)
+    if split:
+        low, high = reader.option("query", f"select min({split}) as low, max({split}) as high from {target}").load().first()
+        if low is not None and high > low:
+            reader = reader.options(partitionColumn=split, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
+    return reader.option("dbtable", target).load()
 
 
 def save_report(tables: dict[str, DataFrame], path: str, form: str = "csv") -> None:
     """The report's tables side by side, each in a folder of its name."""
     for name, df in tables.items():
         df.write.format(form).option("header", True).save(f"{path}/{name}")
+
+
+#: Folders of a table that is kept up to date by key.
+KEY_PARTS = 64
+
+
+def _keyed(df: DataFrame, key: str, parts: int) -> DataFrame:
+    return df.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+
+
+def save_keyed(df: DataFrame, path: str, key: str, parts: int = KEY_PARTS) -> None:
+    """A table that upsert keeps up to date: rows lie in folders by the hash of their key."""
+    _keyed(df, key, parts).repartition("_part").write.partitionBy("_part").parquet(path)
+
+
+def load_keyed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("_part")
+
+
+def upsert(path: str, new: DataFrame, key: str, merge: Callable[[DataFrame, DataFrame], DataFrame], parts: int = KEY_PARTS) -> None:
+    """Writes merge(stored, new) back into the table at path: only the folders that hold keys of new are read and replaced.
+
+    Files of other folders stay as they are. merge keeps each key, and its rows have the table's columns.
+    """
+    spark, rows = new.sparkSession, stored(_keyed(new, key, parts))
+    touched = [r["_part"] for r in rows.select("_part").distinct().collect()]
+    before = spark.read.parquet(path).filter(F.col("_part").isin(touched))
+    after = _keyed(merge(before.drop("_part"), rows.drop("_part")), key, parts).select(*before.columns)
+    after.repartition("_part").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_part").parquet(path)
