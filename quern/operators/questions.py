@@ -235,7 +235,7 @@ def generate_resumable(df: DataFrame, make: Callable, schema: str, key: list[str
         todo = df.filter(slot == i)
         done = f"{out}/slice={i}"
         try:
-            todo = todo.join(spark.read.parquet(done).select(*key).distinct(), key, "left_anti")
+            todo = todo.join(spark.read.schema(schema).parquet(done).select(*key).distinct(), key, "left_anti")
         except AnalysisException as e:
             if "PATH_NOT_FOUND" not in str(e):
                 raise

@@ -196,13 +196,15 @@ def save_table(df: DataFrame, target: str, jdbc: dict | None = None, mode: str =
         df.write.mode(mode).parquet(target)
 
 
-def load_table(spark: SparkSession, target: str, jdbc: dict | None = None, split: str | None = None, parts: int = 8) -> DataFrame:
-    """A table of the store. split: a number column by whose range a JDBC table is read in parts at once."""
+def load_table(spark: SparkSession, target: str, jdbc: dict | None = None, split: str | None = None, parts: int = 8, quote: str = '"') -> DataFrame:
+    """A table of the store. split: a number column by whose range a JDBC table is read in parts at once; quote: the store's mark around names."""
     if not jdbc:
         return spark.read.parquet(target)
     reader = spark.read.format("jdbc").options(**jdbc)
     if split:
-        low, high = reader.option("query", f"select min({split}) as low, max({split}) as high from {target}").load().first()
+        name = f"{quote}{split}{quote}"
+        ends = spark.read.format("jdbc").options(**jdbc).option("query", f"select min({name}) as low, max({name}) as high from {target}")
+        low, high = ends.load().first()
         if low is not None and high > low:
             reader = reader.options(partitionColumn=split, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts))
     return reader.option("dbtable", target).load()

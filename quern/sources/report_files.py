@@ -91,6 +91,6 @@ def save_reports(reports: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    """(name, text) of the reports at path."""
+    """(name, text) of the reports at path; Spark passes over files without a byte."""
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").load(f"{path}/part-*")
     return rows.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.decode("content", "UTF-8").alias("text"))
