@@ -18,15 +18,15 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from xxhash import xxh32_intdigest
 
 from .shared import kept, partitions, stored
 
-#: Bound of the fit: labelled examples of each class (those of the smallest hashes).
-EXAMPLES = 4096
+#: Bounds of the fit: labelled examples of each class (those of the smallest hashes), and bytes of their texts in all.
+EXAMPLES, FIT_BYTES = 4096, 1 << 26
 #: Minimum hashes that tell near copies of an example from other texts.
 KINDS = 4
 NEIGHBOURS = 15
@@ -74,6 +74,17 @@ def counted(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarr
     return text, word.astype(np.int32), count, np.bincount(where, (1 + np.log(times)) ** 2, len(sizes))
 
 
+def counted_slices(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As counted, for many texts: slice by slice, so that only one slice's words are in memory."""
+    done, out = 0, [[np.zeros(0, np.int32)] for _ in range(3)]
+    for part in text_slices(texts):
+        text, word, count, _ = counted(part, vocabulary)
+        for kept_, x in zip(out, (text + done, word, count)):
+            kept_.append(x.astype(np.int32))
+        done += len(part)
+    return tuple(map(np.concatenate, out))
+
+
 def text_slices(texts: pa.Array):
     """Parts of an array of about SLICE bytes; a text is never cut."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy()) // SLICE
@@ -96,6 +107,18 @@ def sample_labels(labels: DataFrame, n: int = EXAMPLES) -> tuple[DataFrame, dict
     return stored(few[0].unionByName(few[1])), {c: sizes.get(c, 0) / max(1, min(n, sizes.get(c, 0))) for c in (0, 1)}
 
 
+def within_bytes(fit: DataFrame, share: dict[int, float], most: int) -> tuple[DataFrame, dict[int, float]]:
+    """The examples, in the order of their hashes, that fill half of so many bytes in each class; and what they stand for."""
+    size = F.octet_length("text")
+    total = {r["toxic"]: (r["n"], r["bytes"]) for r in fit.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("bytes")).collect()}
+    if all(b <= most // 2 for _, b in total.values()):
+        return fit, share
+    upto = F.sum(size).over(Window.partitionBy("toxic").orderBy(F.xxhash64(F.lit("example"), "doc_id"), "doc_id"))
+    few = stored(fit.withColumn("_upto", upto).filter(F.col("_upto") <= most // 2).drop("_upto"))
+    left = {r["toxic"]: r["n"] for r in few.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return few, {c: share[c] * total[c][0] / max(1, left.get(c, 0)) if c in total else share[c] for c in share}
+
+
 def kinds(text: str) -> list[int]:
     """KINDS minimum hashes of three-word shingles; near copies share most of them."""
     words = text.lower().split()
@@ -341,7 +364,7 @@ class Model:
     @staticmethod
     def fit(ids, texts: pa.Array, toxic: np.ndarray, stands_for: list[float], vocabulary: pa.Array, rows: int, df: np.ndarray) -> "Model":
         """rows, df: documents in all, and those that hold each word."""
-        text, word, count, _ = counted(texts, vocabulary)
+        text, word, count = counted_slices(texts, vocabulary)
         idf = (np.log((rows + 1) / (df + 1)) + 1) * mark_weights(texts, toxic, text, word, len(vocabulary))
         vectors = Vectors.of(len(texts), text, word, count, idf)
         index, order = BlockMaxIndex.build(ids, toxic, stands_for, vectors, len(vocabulary))
@@ -380,11 +403,12 @@ def calibration(examples: DataFrame, model, vocabulary) -> tuple[np.ndarray, np.
     return isotonic(got.column("vote").to_numpy(), index.labels[at].astype(float), index.stands_for[at])
 
 
-def fitted(fit: DataFrame, docs: DataFrame, share: dict[int, float]) -> tuple:
+def fitted(fit: DataFrame, share: dict[int, float], docs: DataFrame) -> tuple:
     """Broadcast vocabulary and model of the examples (doc_id, text, toxic); share: documents one of each class stands for."""
     sc, rows = docs.sparkSession.sparkContext, fit.toArrow()
     texts = rows.column("text").combine_chunks() if len(rows) else pa.array([], pa.string())
-    words = pc.unique(words_of(texts)[0])
+    slices = [pc.unique(words_of(part)[0]) for part in text_slices(texts)] if len(texts) else [pa.array([], pa.string())]
+    words = pc.unique(pa.concat_arrays(slices))
     vocabulary = sc.broadcast(words.filter(pc.not_equal(words, "")))
     toxic = rows.column("toxic").to_numpy().astype(np.int64)
     counts = document_counts(docs, vocabulary)
@@ -406,7 +430,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, carry
     docs = along.select("doc_id", F.col("_text").alias("text"))
     chosen, share = sample_labels(labels, examples)
     fit = stored(docs.join(F.broadcast(chosen), "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
-    vocabulary, model = fitted(fit, docs, share)
+    fit, share = within_bytes(fit, share, FIT_BYTES)
+    vocabulary, model = fitted(fit, share, docs)
     knots = calibration(fit, model, vocabulary)
 
     def run(batches):

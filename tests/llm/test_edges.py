@@ -370,6 +370,19 @@ def check_brute(spark, rows, labels):
     return got
 
 
+def test_examples_are_bounded_in_bytes(spark, monkeypatch):
+    """A very long labelled text doesn't enter the fit, and those that do stand for the rest."""
+    from quern.llm import toxicity as T
+
+    rows = [(i, f"plain words about thing {i}", "a") for i in range(60)] + [(100 + i, f"vile foul thing {i}", "a") for i in range(60)] + [(300, "plain words " * 50_000, "a")]
+    labels = spark.createDataFrame([(i, int(100 <= i < 200)) for i, _, _ in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(T, "FIT_BYTES", 2000)
+    got = {r.doc_id: r for r in toxicity(docs(spark, *rows), labels).collect()}
+    assert len(got) == 121 and sum(got[i].predicted == int(100 <= i < 200) for i in got) >= 115
+    ids = {e.doc_id for r in got.values() for e in r.evidence}
+    assert 300 not in ids and len(ids) < 90
+
+
 def test_strange_words_count_in_the_length(spark):
     """Two marked words among a thousand that no example has: far from the examples, and scored below them."""
     rows = [(i, f"plain words about thing {i} and matter {i % 7}", "a") for i in range(200)] + [(200 + i, f"alpha beta gamma{i}", "a") for i in range(40)]
