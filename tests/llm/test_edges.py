@@ -374,7 +374,7 @@ def test_examples_are_bounded_in_bytes(spark, monkeypatch):
     """A very long labelled text doesn't enter the fit, and those that do stand for the rest."""
     from quern.llm import toxicity as T
 
-    rows = [(i, f"plain words about thing {i}", "a") for i in range(60)] + [(100 + i, f"vile foul thing {i}", "a") for i in range(60)] + [(300, "plain words " * 50_000, "a")]
+    rows = [(i, f"plain words about thing {i}", "a") for i in range(60)] + [(100 + i, f"vile foul matter x{i}", "a") for i in range(60)] + [(300, "plain words " * 50_000, "a")]
     labels = spark.createDataFrame([(i, int(100 <= i < 200)) for i, _, _ in rows], "doc_id long, toxic int")
     monkeypatch.setattr(T, "FIT_BYTES", 2000)
     got = {r.doc_id: r for r in toxicity(docs(spark, *rows), labels).collect()}
