@@ -66,9 +66,10 @@ def wrap_lines(s: pd.Series) -> pd.Series:
     return s.map(lambda t: "\n".join(textwrap.wrap(t, WIDTH)) if t else "")
 
 
-def text_report(qna: DataFrame) -> DataFrame:
-    """doc_id, report: one text for each document: its chunks by page and id, questions by index, answers by model.
+def report_parts(qna: DataFrame) -> DataFrame:
+    """doc_id, page, chunk_id, part: the pieces of the text reports: a head for each document, then its chunks by page and id.
 
+    In a chunk questions come by index and answers by model. The head's chunk_id is null, as is no chunk's.
     qna: doc_id, context, question_id, question_index, question, model_name, answer, is_best; document, file_path, page,
     section, subsection and chunk_id where there are any. Rows without a question stand for a chunk without questions,
     rows whose first answer is empty for a question without answers. Contexts and answers are wrapped.
@@ -94,8 +95,15 @@ def text_report(qna: DataFrame) -> DataFrame:
     head = F.concat(F.lit("[CHUNK] chunk_id="), said(F.col("chunk_id")), F.lit("   (page="), said(F.col("page")), F.lit(", section="), said(F.col("section")), F.lit(", subsection="), said(F.col("subsection")), F.lit(")"))
     body = F.when(F.size("questions") == 0, F.lit("  (No questions for this chunk)")).otherwise(F.array_join(F.transform("questions", lambda r: r["block"]), "\n"))
     text = F.concat_ws("\n", F.concat(F.lit("\n"), rule), head, rule, wrap_lines("context"), rule, body)
-    part = F.struct(F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("chunk_id", F.lit("")).alias("chunk_id"), F.col("text"))
-    whole = chunks.withColumn("text", text).groupBy("doc_id").agg(*first("document", "file_path"), F.array_join(F.transform(F.array_sort(F.collect_list(part)), lambda r: r["text"]), "\n").alias("text"))
+    parts = chunks.select("doc_id", F.coalesce("page", F.lit(0)).alias("page"), F.coalesce("chunk_id", F.lit("")).alias("chunk_id"), text.alias("part"))
     rule = F.lit("=" * RULE)
-    report = F.concat_ws("\n", rule, F.concat(F.lit("DOCUMENT: "), said(F.col("document"))), F.concat(F.lit("PATH:     "), said(F.col("file_path"))), rule, "text")
-    return whole.select("doc_id", report.alias("report"))
+    head = F.concat_ws("\n", rule, F.concat(F.lit("DOCUMENT: "), said(F.col("document"))), F.concat(F.lit("PATH:     "), said(F.col("file_path"))), rule)
+    heads = rows.groupBy("doc_id").agg(*first("document", "file_path"))
+    return parts.unionByName(heads.select("doc_id", F.lit(None).cast("long").alias("page"), F.lit(None).cast("string").alias("chunk_id"), head.alias("part")))
+
+
+def text_report(qna: DataFrame) -> DataFrame:
+    """doc_id, report: one text for each document, its report_parts one below the other; for texts beyond a row see save_report_parts."""
+    part = F.struct("page", "chunk_id", "part")
+    ordered = F.sort_array(F.collect_list(part))
+    return report_parts(qna).groupBy("doc_id").agg(F.array_join(F.transform(ordered, lambda r: r["part"]), "\n").alias("report"))

@@ -10,7 +10,7 @@ from quern.operators import quality as K
 from quern.operators import registry as R
 from quern.operators import trainset as T
 from quern.sources.files import load_keyed, save_keyed, shared_path, upsert
-from quern.sources.report_files import read_reports, save_reports
+from quern.sources.report_files import read_reports, save_report_parts
 
 from .qa_queries import CAND, _scored
 from .views import duck, table, view
@@ -99,14 +99,18 @@ def _sketched(s, d):
 
 
 def _report_files(s, d):
-    """The text reports as files, read back."""
+    """The text reports as files, written part by part, read back."""
     out = shared_path(s, "reports")
-    save_reports(_reports(s, d), out)
+    save_report_parts(X.report_parts(_reported(s, d)), out)
     return read_reports(s, out).select("name", F.sha2("text", 256).alias("text_sha"))
 
 
+def _reported(s, d):
+    return (_flat(s, d).join(_docs(s, d).select(F.col("id").alias("doc_id"), F.col("file_name").alias("document"), "file_path"), "doc_id").withColumns({"chunk_id": F.lit("p1_c1"), "page": F.lit(1)}))
+
+
 def _reports(s, d):
-    return X.text_report(_flat(s, d).join(_docs(s, d).select(F.col("id").alias("doc_id"), F.col("file_name").alias("document"), "file_path"), "doc_id").withColumns({"chunk_id": F.lit("p1_c1"), "page": F.lit(1)}))
+    return X.text_report(_reported(s, d))
 
 
 def _flat_chat(df):

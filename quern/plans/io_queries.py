@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quern.operators import extract as X
 from quern.sources import files as S
+from quern.sources.report_files import save_reports
 from quern.streaming import streams as ST
 
 from .views import duck, table, view
@@ -22,6 +23,16 @@ def _structures(s, d):
     return docs.select(F.from_json(text, S.STRUCTURE).alias("r")).select("r.*")
 
 
+def s1_walk(spark, sf_dir):
+    """Documents as files in folders by source, some of which a walk passes over, listed again with their sizes."""
+    root = S.shared_path(spark, "tree")
+    rows = table(spark, sf_dir, "documents").filter("length(text) > 0").select("doc_id", F.col("text").alias("report"), F.col("lang").alias("lang"))
+    save_reports(rows.filter("lang <> 'en'"), f"{root}/docs/other")
+    save_reports(rows.filter("lang = 'en'"), f"{root}/docs/en-venv")
+    found = S.allowed_files(S.walk(spark, root))
+    return found.select(F.regexp_extract("path", r"([0-9]+)\.txt$", 1).cast("long").alias("doc_id"), "length")
+
+
 def st1_ingest(spark, sf_dir):
     """Every document comes twice in one stream and again in a second one; a path is taken once."""
     docs = ST.table_stream(spark, sf_dir, "documents").select(F.explode(F.array(F.lit(0), F.lit(1))).alias("again"), F.col("doc_id").cast("string").alias("path"), "text")
@@ -106,6 +117,7 @@ def s11_store(spark, sf_dir):
 
 QUERIES = {
     "s1_allowed_files": lambda s, d: S.allowed_files(_paths(s, d)),
+    "s1_walk": s1_walk,
     "s2_new_files": lambda s, d: S.new_files(view(s, d, "v_documents").select("file_path").unionByName(view(s, d, "v_documents").select("file_path")), view(s, d, "v_documents").join(table(s, d, "labels").select(F.col("doc_id").alias("id")), "id")),
     "s3_normalize_path": lambda s, d: view(s, d, "v_documents").select("id", S.normalize_path(F.when(F.col("id") % 2 == 0, F.concat(F.lit("D:\\"), F.replace("file_path", F.lit("/"), F.lit("\\")))).otherwise(F.col("file_path"))).alias("path")),
     "s4_explode_structures": lambda s, d: S.explode_structures(_structures(s, d)).select(F.col("source_path").cast("long").alias("doc_id"), "ord", "page", "chunk_type", "text"),
@@ -125,6 +137,7 @@ QUERIES = {
 PATHS = "with f as (select case when doc_id % 11 = 0 then '/my.cache/' when doc_id % 13 = 0 then '/x/venv_' else '/docs/' end || doc_id || ['.txt', '.PDF', '.bin', '.exe', '.log'][doc_id % 5 + 1] as path, doc_id, n_chars * case when doc_id % 7 = 0 then 100000 else 1 end as length from documents)"
 SQL = {
     "s1_allowed_files": PATHS + " select path, length from f where doc_id % 5 in (0, 1)",
+    "s1_walk": "select doc_id, strlen(text) as length from documents where lang <> 'en' and length(text) > 0",
     "s2_new_files": "select distinct file_path from v_documents where file_path not in (select file_path from v_documents join labels on doc_id = id)",
     "s3_normalize_path": "select id, case when id % 2 = 0 then '/mnt/d/' || file_path else file_path end as path from v_documents",
     "s4_explode_structures": "select doc_id, ord, page, chunk_type, text from v_blocks",

@@ -88,7 +88,8 @@ def walk(spark: SparkSession, root: str, pruned: list[str] = PRUNED) -> DataFram
             rows = list(list_folders(pdf["path"].tolist(), pruned))
             yield pd.DataFrame(rows, columns=["path", "folder", "length", "modificationTime"]).astype({"path": str, "folder": bool, "length": "int64", "modificationTime": "datetime64[us, UTC]"})
 
-    level, files = spark.createDataFrame([(root.removeprefix("file://").rstrip("/"),)], "path string"), []
+    root = "/" + root[5:].lstrip("/") if root.startswith("file:") else root
+    level, files = spark.createDataFrame([(root.rstrip("/"),)], "path string"), []
     while True:
         listed = stored(level.repartition("path").mapInPandas(run, "path string, folder boolean, length long, modificationTime timestamp"))
         files.append(listed.filter("not folder").drop("folder"))

@@ -1,7 +1,7 @@
 """Text reports as files, one for each document, by a data source with commit.
 
-df.write.format("report_files").option("path", folder).save() takes (name, text) rows. Every task writes its files to a folder
-of its own attempt, and the commit gives the folders their final names, one rename a task. A task that is tried again, or
+df.write.format("report_files").option("path", folder).save() takes (name, text) rows; rows of one name that follow one another
+are the lines of one file, so a long report passes through a task piece by piece. Every task writes to a folder of its own attempt, and the commit gives the folders their final names, one rename a task. A task that is tried again, or
 runs twice, leaves nothing behind, and a write that fails takes its folders with it.
 """
 
@@ -29,10 +29,10 @@ class Written(WriterCommitMessage):
 
 
 class ReportWriter(DataSourceWriter):
-    def __init__(self, path: str, columns: list[str], overwrite: bool):
+    def __init__(self, path: str, columns: list[str], overwrite: bool, once: bool):
         if missing := {"name", "text"} - set(columns):
             raise ValueError(f"reports need columns {sorted(missing)}")
-        self.path, self.name, self.text, self.overwrite, self.write_id = path, columns.index("name"), columns.index("text"), overwrite, uuid.uuid4().hex
+        self.path, self.name, self.text, self.overwrite, self.once, self.write_id = path, columns.index("name"), columns.index("text"), overwrite, once, uuid.uuid4().hex
 
     @property
     def staging(self) -> str:
@@ -40,18 +40,28 @@ class ReportWriter(DataSourceWriter):
 
     def write(self, iterator: Iterator) -> Written:
         store, root = open_folder(self.path)
-        folder, n = f"{self.staging}/{uuid.uuid4().hex}", 0
-        for row in iterator:
-            name = row[self.name]
-            if not name or "/" in name or name in (".", ".."):
-                raise ValueError(f"no file name: {name!r}")
-            if not n:
-                store.create_dir(f"{root}/{folder}", recursive=True)
-            elif store.get_file_info(f"{root}/{folder}/{name}").type != fs.FileType.NotFound:
-                raise ValueError(f"two reports named {name!r}")
-            with store.open_output_stream(f"{root}/{folder}/{name}") as out:
-                out.write((row[self.text] or "").encode())
-            n += 1
+        folder, n, last, out = f"{self.staging}/{uuid.uuid4().hex}", 0, None, None
+        try:
+            for row in iterator:
+                name, data = row[self.name], (row[self.text] or "").encode()
+                if out and name == last:
+                    if self.once:
+                        raise ValueError(f"two reports named {name!r}")
+                    out.write(b"\n" + data)
+                    continue
+                if not name or "/" in name or name in (".", ".."):
+                    raise ValueError(f"no file name: {name!r}")
+                if out:
+                    out.close()
+                else:
+                    store.create_dir(f"{root}/{folder}", recursive=True)
+                if n and store.get_file_info(f"{root}/{folder}/{name}").type != fs.FileType.NotFound:
+                    raise ValueError(f"two reports named {name!r}")
+                out, last, n = store.open_output_stream(f"{root}/{folder}/{name}"), name, n + 1
+                out.write(data)
+        finally:
+            if out:
+                out.close()
         return Written(folder if n else None, n)
 
     def commit(self, messages: list) -> None:
@@ -80,13 +90,21 @@ class ReportFiles(DataSource):
         return "report_files"
 
     def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-        return ReportWriter(self.options["path"], schema.fieldNames(), overwrite)
+        return ReportWriter(self.options["path"], schema.fieldNames(), overwrite, self.options.get("once", "false") == "true")
 
 
 def save_reports(reports: DataFrame, path: str, mode: str = "append") -> None:
     """(doc_id, report) as {doc_id}.txt in the part folders of path; a doc_id comes once. mode: append or overwrite."""
     reports.sparkSession.dataSource.register(ReportFiles)
     rows = reports.select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.col("report").alias("text"))
+    rows.write.format("report_files").options(path=path, once=True).mode(mode).save()
+
+
+def save_report_parts(parts: DataFrame, path: str, mode: str = "append") -> None:
+    """(doc_id, page, chunk_id, part) as {doc_id}.txt, the parts in order, the head (nulls) first; no report is ever whole in memory."""
+    parts.sparkSession.dataSource.register(ReportFiles)
+    order = [F.asc_nulls_first(c) for c in ("doc_id", "page", "chunk_id")]
+    rows = parts.repartition("doc_id").sortWithinPartitions(*order).select(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.col("part").alias("text"))
     rows.write.format("report_files").option("path", path).mode(mode).save()
 
 

@@ -181,6 +181,16 @@ def test_report_files(spark, tmp_path):
     assert sorted(p.name for p in out.glob("part-*/*.txt")) == ["0.txt", "1.txt", "2.txt"]
 
 
+def test_report_parts_are_streamed_into_one_file(spark, tmp_path):
+    """Heads first, then chunks by page and id, as in the text of one row; a long report in many parts."""
+    rng = random.Random(4)
+    data = [(d, f"ctx {d} {c}", f"d{d}", rng.choice([None, 1, 2, 10]), f"c{c}", d * 100 + c, 1, "q?", "m", "a", True) for d in range(12) for c in range(200 if d == 5 else 3)]
+    df = spark.createDataFrame(data, "doc_id long, context string, document string, page int, chunk_id string, question_id int, question_index int, question string, model_name string, answer string, is_best boolean").repartition(5)
+    P.save_report_parts(E.report_parts(df), str(tmp_path / "r"))
+    files = {p.name: p.read_text() for p in (tmp_path / "r").glob("part-*/*.txt")}
+    assert files == {f"{r.doc_id}.txt": r.report for r in E.text_report(df).collect()} and len(files["5.txt"]) > 50_000
+
+
 def test_a_failed_report_write_leaves_nothing(spark, tmp_path):
     out = tmp_path / "reports"
     df = spark.createDataFrame([(1, "a"), (2, "b"), (1, "c")], "doc_id long, report string").coalesce(1)
@@ -286,6 +296,13 @@ def test_labels_are_numbered_over_partitions(spark):
     assert {r.label: r.label_id for r in T.first_seen_labels(df).collect()} == seen and T.sorted_labels(df.limit(0)).count() == 0
 
 
+def test_surrogate_ids_and_newest_rows(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 2, "z")], "k string, at int, v string")
+    ids = D.next_ids(df.repartition(3), ["k", "at"]).collect()
+    assert len({r.id for r in ids}) == 3 and {r.id for r in ids} == {r.id for r in D.next_ids(df.repartition(1), ["k", "at"]).collect()}
+    assert rows(D.latest(df, "k", "at")) == [("a", 3, "y"), ("b", 2, "z")]
+
+
 def test_rejected_training_rows(spark):
     df = spark.createDataFrame([("p", "r", None), (None, "r", None), ("p", "", "t"), ("p", None, "")], "prompt string, response string, text string")
     assert rows(T.sft_rejects(df).select(F.coalesce("prompt", F.lit("-")), F.coalesce("response", F.lit("-")))) == [("-", "r"), ("p", "-")]
