@@ -4,7 +4,9 @@ Candidates come from signed random projections: rows that agree on all bits of a
 undecided row looks for the smallest earlier row of its buckets that is near enough and not dropped. A row that finds none
 is kept, and one that finds a kept row is dropped; the rest wait for the row that they found. This is what the loop
 in order does, without a kept list: each round passes over the buckets in blocks, and a row leaves a task with one
-partner at most, never with all of its pairs.
+partner at most, never with all of its pairs. Before that, cheap rounds look at the first row of each bucket only: a row that
+is the first of all its buckets is kept, and rows near a kept first one are dropped, so a large family of near copies goes in
+one pass, in proportion to its size.
 """
 
 import math
@@ -20,6 +22,8 @@ from quern.sources.files import stored
 BLOCK = 1024
 #: Rows that a bucket of unlike vectors has on average, at most, when the bits are chosen by the size of the table.
 CROWD = 64
+#: Share of the undecided rows that a look at the first rows must decide to be taken again.
+SHARE = 0.1
 
 
 def plan(n: int, threshold: float, recall: float) -> tuple[int, int]:
@@ -71,6 +75,28 @@ def _earliest(threshold: float, kind: str):
     return run, f"ord {kind}, near {kind}"
 
 
+def _look_at_firsts(state: DataFrame, spots: DataFrame, threshold: float) -> DataFrame:
+    """state after a look at the first row of each bucket that isn't dropped; nothing is decided that isn't certain."""
+    live = stored(spots.join(state.select("ord", "kept"), "ord").select("band", "key", "ord", "kept"))
+    firsts = stored(live.groupBy("band", "key").agg(F.min("ord").alias("first")))
+    behind = stored(live.filter("not kept").join(firsts, ["band", "key"]).filter("first <> ord").select("ord", "first").distinct())
+    # A row without a bucket, or first in all of them, has no earlier row to be near to.
+    free = state.join(behind.select("ord").distinct(), "ord", "left_anti").select("ord", "vector", F.lit(True).alias("kept"))
+    looked = stored(free.unionByName(state.join(behind.select("ord").distinct(), "ord", "left_semi")))
+    leaders = looked.filter("kept").select(F.col("ord").alias("first"), F.col("vector").alias("_w"))
+    met = behind.join(leaders, "first").join(looked.select("ord", "vector"), "ord")
+
+    def near(batches):
+        for pdf in batches:
+            if len(pdf):
+                dots = np.einsum("ij,ij->i", np.stack(pdf["vector"]), np.stack(pdf["_w"]))
+                yield pdf.loc[dots > threshold, ["ord"]]
+
+    kind = state.schema["ord"].dataType.simpleString()
+    gone = met.select("ord", "vector", "_w").mapInPandas(near, f"ord {kind}").distinct()
+    return stored(looked.join(gone, "ord", "left_anti"))
+
+
 def keep_first(df: DataFrame, threshold: float = 0.70, recall: float = 0.999) -> DataFrame:
     """The ord of the rows of (ord, vector) that stay: in order, those to which no kept row is nearer than the threshold.
 
@@ -92,6 +118,10 @@ def keep_first(df: DataFrame, threshold: float = 0.70, recall: float = 0.999) ->
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     spots = stored(spots.join(sizes, ["band", "key"]).select("band", "key", "ord", _tasks(blocks).alias("tasks")))
     run, schema = _earliest(threshold, kind)
+    places, left, before = spots.select("band", "key", "ord"), state.count(), None
+    while left and (before is None or before - left > SHARE * before):
+        before, state = left, _look_at_firsts(state, places, threshold)
+        left = state.filter("not kept").count()
     while not state.filter("not kept").isEmpty():
         # Only buckets with an undecided row are looked at again.
         live = spots.join(state.select("ord", "kept"), "ord")

@@ -23,10 +23,11 @@ def frame(spark, rows):
     return spark.createDataFrame([(o, v, 1, True) for o, v in rows], "ord long, vector array<double>, near int, kept boolean").repartition(5)
 
 
-@pytest.mark.parametrize("block", [1024, 7])
-def test_equals_the_loop(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, share", [(1024, 0.1), (7, 1.0)])
+def test_equals_the_loop(spark, monkeypatch, block, share):
     """Chains (each near the next, not the one after), families of near copies, equal and unlike vectors."""
     monkeypatch.setattr(N, "BLOCK", block)
+    monkeypatch.setattr(N, "SHARE", share)
     rng = np.random.default_rng(4)
     rows = []
     for c in range(6):
@@ -43,6 +44,15 @@ def test_equals_the_loop(spark, monkeypatch, block):
     assert got == loop(data, 0.7)
 
 
+def test_a_large_family_goes_in_one_pass(spark, monkeypatch):
+    """Near copies of one vector are settled by the first look, so no block of theirs is ever compared."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal(16)
+    data = [(i, (base + 0.02 * rng.standard_normal(16)).tolist()) for i in range(3000)]
+    monkeypatch.setattr(N, "_earliest", lambda *_: (None, None))
+    assert [r.ord for r in N.keep_first(frame(spark, data), 0.7).collect()] == [0]
+
+
 def test_empty_and_alone(spark):
     assert N.keep_first(frame(spark, []).limit(0)).count() == 0
     assert [r.ord for r in N.keep_first(frame(spark, [(3, [1.0, 0.0])])).collect()] == [3]
