@@ -21,7 +21,9 @@ EXAMPLES, CHUNKS = 1536, 24
 #: Bytes of a chunk, and those by which the next one starts later.
 CHUNK, STEP = 512, 448
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 8, 4, 32, 16
-EPOCHS, MINI, RATE, DECAY = 14, 32, 0.004, 1e-4
+EPOCHS, MINI, RATE, DECAY = 22, 32, 0.004, 1e-4
+#: Share of the examples of a step that are cut to a short piece, so that short texts are known as well, and its bytes.
+CUT, PIECE = 0.15, (8, 160)
 #: Chunks that go through the network at once, and bytes of text that are scored together.
 GROUP, SLICE = 256, 1 << 20
 ACCEPT = 0.5
@@ -40,6 +42,16 @@ def chunks_of(data: bytes) -> np.ndarray:
     return np.lib.stride_tricks.sliding_window_view(padded, CHUNK)[::STEP]
 
 
+def piece(chunks: np.ndarray, r: np.random.Generator) -> np.ndarray:
+    """A short run of bytes of one of the chunks, as the chunk of a text of its own."""
+    chunk, n = chunks[r.integers(len(chunks))], int(r.integers(*PIECE))
+    end = max(1, int(np.count_nonzero(chunk)))
+    start = int(r.integers(max(1, end - n + 1)))
+    out = np.zeros((1, CHUNK), np.uint8)
+    out[0, : min(n, end - start)] = chunk[start : min(start + n, end)]
+    return out
+
+
 @dataclass
 class Net:
     embed: np.ndarray  # (256, EMBED)
@@ -126,8 +138,9 @@ class Net:
             order = r.permutation(len(y))
             for i in range(0, len(y), MINI):
                 own = order[i : i + MINI]
-                first = np.cumsum([0, *(len(chunks[j]) for j in own[:-1])])
-                grads = net.gradients(np.concatenate([chunks[j] for j in own]), first, y[own], weight[own] / len(own))
+                each = [piece(chunks[j], r) if r.random() < CUT else chunks[j] for j in own]
+                first = np.cumsum([0, *map(len, each[:-1])])
+                grads = net.gradients(np.concatenate(each), first, y[own], weight[own] / len(own))
                 step += 1
                 rate = RATE * (1 - step / (total + 1))
                 for k, (p, g) in enumerate(zip(net.parts, grads)):
