@@ -1,10 +1,13 @@
 """Helpers that several corpus operators use."""
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -38,6 +41,9 @@ def kept(key, make):
             _kept.clear()
             gc.unfreeze()
             gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where the C library has no such function
+                ctypes.CDLL(None).malloc_trim(0)
         _kept[key] = make()
     return _kept[key]
 

@@ -30,12 +30,14 @@ EXAMPLES, FIT_BYTES = 4096, 1 << 26
 #: Minimum hashes that tell near copies of an example from other texts.
 KINDS = 4
 NEIGHBOURS = 15
-#: Weight of the vote for the rate of all examples; a neighbour of cosine 0.5 has about as much.
+#: Weight of the vote for the rate of all examples; a neighbour of cosine 0.34 has about as much.
 BASE_VOTE = 0.5
 #: Examples of a block; a word of at least one in WIDE examples is a row of the matrix.
 BLOCK, WIDE = 64, 16
 #: Texts that are searched together, and bytes of text whose words are looked up together.
-BATCH, SLICE = 128, 1 << 22
+BATCH, SLICE = 128, 1 << 21
+#: Votes that the calibration can't tell apart still rank by this much of a score.
+TILT = 1e-6
 #: Score from which a document counts as toxic.
 REJECT = 0.3
 
@@ -336,22 +338,23 @@ class BlockMaxIndex:
         """Share of toxic votes; a vote falls with the distance 1 - cosine. base has a vote of its own, the only one where no example is near."""
         if not len(found):
             return base
-        v = self.stands_for[found] * sims**2 / (1.02 - sims)
+        v = self.stands_for[found] * sims / (1.02 - sims)
         own = BASE_VOTE * self.stands_for.mean()
         return float(((v * self.labels[found]).sum() + own * base) / (v.sum() + own))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Knots of the weighted non-decreasing fit of y to x."""
+    """Knots of the weighted non-decreasing fit of y to x: the first and last x of every pool of equal fit."""
     values, at = np.unique(x, return_inverse=True)
     weight = np.bincount(at, w)
-    pools: list[list[float]] = []
-    for pool in zip(weight, np.bincount(at, w * y), weight * values):
+    pools: list[list[float]] = []  # weight, weighted sum of y, first and last x
+    for pool in zip(weight, np.bincount(at, w * y), values, values):
         pools.append(list(pool))
         while len(pools) > 1 and pools[-2][1] * pools[-1][0] >= pools[-1][1] * pools[-2][0]:
             last = pools.pop()
-            pools[-1] = [a + b for a, b in zip(pools[-1], last)]
-    return np.array([p[2] / p[0] for p in pools]), np.array([p[1] / p[0] for p in pools])
+            pools[-1] = [pools[-1][0] + last[0], pools[-1][1] + last[1], pools[-1][2], last[3]]
+    ends = [(p[k], p[1] / p[0]) for p in pools for k in ((2, 3) if p[2] < p[3] else (2,))]
+    return np.array([e[0] for e in ends]), np.array([e[1] for e in ends])
 
 
 @dataclass
@@ -426,8 +429,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, carry
     without labels every score is 0. Examples of equal similarity count by the smaller doc_id. Repeated rows score alike;
     other columns are not read. No rows give no rows.
     """
-    along = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), *carry)
-    docs = along.select("doc_id", F.col("_text").alias("text"))
+    # A carried text isn't sent to the workers twice.
+    along = docs.select("doc_id", *carry) if "text" in carry else docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"), *carry)
+    docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     chosen, share = sample_labels(labels, examples)
     fit = stored(docs.join(F.broadcast(chosen), "doc_id").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")))
     fit, share = within_bytes(fit, share, FIT_BYTES)
@@ -441,17 +445,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, carry
         kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("toxic", pa.int32()), ("similarity", pa.float64())]))
         for batch in batches:
             done = 0
-            for part in text_slices(batch.column("_text")):
+            for part in text_slices(pc.fill_null(batch.column(read), "")):
                 coded = part.dictionary_encode()  # equal texts are looked up once
                 each = m.votes(coded.dictionary, known_words)
                 shown = [[{"doc_id": int(ids[i]), "toxic": int(labels_[i]), "similarity": float(s)} for i, s in zip(found[:3], sims)] for _, found, sims in each]
-                score = pa.array(np.interp([x[0] for x in each], *knots).clip(0, 1), pa.float64()).take(coded.indices)
+                votes = np.array([x[0] for x in each])
+                score = pa.array((np.interp(votes, *knots) + TILT * votes).clip(0, 1), pa.float64()).take(coded.indices)
                 own = batch.slice(done, len(part))
                 columns = [*(own.column(n) for n in names), score, pa.array(shown, kind).take(coded.indices)]
                 yield pa.RecordBatch.from_arrays(columns, [*names, "score", "evidence"])
                 done += len(part)
 
-    names = ["doc_id", *carry]
+    names, read = ["doc_id", *carry], "text" if "text" in carry else "_text"
     more = StructType.fromDDL("score double, evidence array<struct<doc_id:bigint,toxic:int,similarity:double>>")
     schema = StructType(along.select(*names).schema.fields + more.fields)
     out = along.mapInArrow(run, schema)
