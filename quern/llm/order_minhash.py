@@ -8,8 +8,8 @@ shingle sequences matches enough: aligned / (all - aligned) >= 0.8. Equal word s
 Candidates are compared in two rounds, so that a large group of near copies costs in proportion to its size. Round one
 compares every entry with one other, the smallest first entry of its buckets. A bucket whose entries are then connected
 is done, and of buckets with the same entries one is enough. Round two compares the others bucket by bucket: in those of
-more than a block, the entries outside the part of most entries with all entries of their own and adjoining sizes, since
-aligned shingles are no more than the smaller text's. The multiset Jaccard index, exact for all pairs of a block by matrix
+more than a block, the entries outside the part of most entries with all entries of their own and adjoining sizes, any two blocks
+once, since aligned shingles are no more than the smaller text's. The multiset Jaccard index, exact for all pairs of a block by matrix
 products, bounds the alignment from above, and pairs that links already connect need none. No pair that shares a key and
 could link two parts is left out, and no bucket of more than two emits its pairs.
 """
@@ -147,47 +147,46 @@ def compare(ids: np.ndarray, group: np.ndarray, side: np.ndarray, seqs: list[np.
     return out
 
 
-def _levels(members: DataFrame, *counts: Column) -> DataFrame:
-    """A row for every level of a bucket: its blocks, whether the bucket is larger than a block, and the levels beside it.
-
-    With counts of (all, outside), the blocks of these at the level itself and at those below and above.
+def _levels(members: DataFrame) -> DataFrame:
+    """A row for every level of a bucket: whether the bucket is larger than a block, and the blocks of its main part and of
+    its outside entries at the level itself and at those below and above.
     """
-    names = ["n", "out"][: len(counts)]
-    per = members.groupBy("bucket", "level").agg(*(c.alias(n) for c, n in zip(counts, names)))
+    per = members.groupBy("bucket", "level").agg(F.count_if(~F.col("outside")).alias("main"), F.count_if("outside").alias("out"))
     bucket = Window.partitionBy("bucket")
     at = lambda by, n: F.coalesce(F.max(F.ceil(F.col(n) / BLOCK)).over(bucket.orderBy("level").rangeBetween(by, by)), F.lit(0)).cast("int")
-    return per.select("bucket", "level", (F.sum("n").over(bucket) > BLOCK).alias("large"), *(at(by, n).alias(f"{n}{by}") for n in names for by in (-1, 0, 1)))
+    return per.select("bucket", "level", (F.sum(F.col("main") + F.col("out")).over(bucket) > BLOCK).alias("large"), *(at(by, n).alias(f"{n}{by}") for n in ("main", "out") for by in (-1, 0, 1)))
 
 
-def _code(level: Column, block: Column) -> Column:
-    return F.shiftleft(level, 32) + block
+def _code(level: Column, block: Column, main: bool) -> Column:
+    return F.shiftleft(level, 32) + block + (1 << 31 if main else 0)
 
 
-def _numbers(n: Column, start: int = 0) -> Column:
-    return F.when(n > start, F.sequence(F.lit(start), n - 1)).otherwise(F.array().cast("array<int>"))
+def _numbers(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
 
 
 def _task(x: Column, y: Column, side) -> Column:
     return F.struct(x.alias("x"), y.alias("y"), (side if isinstance(side, Column) else F.lit(side)).alias("side"))
 
 
-def _only(condition: Column, task: Column) -> Column:
-    return F.filter(F.array(F.when(condition, task)), lambda t: t.isNotNull())
-
-
 def _tasks() -> Column:
-    """The tasks of an entry: with every block of outside entries near its level, and as one of these with all blocks near.
+    """The tasks of an entry: blocks of outside entries meet the blocks of the main part and each other near their level, each two once.
 
     A bucket of one block at most is a single task.
     """
     level = F.col("level")
-    block = F.pmod(F.xxhash64("id"), F.col("n0")).cast("int")
-    own = F.pmod(F.xxhash64(F.lit("outside"), "id"), F.greatest(F.col("out0"), F.lit(1))).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.greatest(F.col(n), F.lit(1))).cast("int")
+    main, own = _code(level, block("main0"), True), _code(level, block("out0"), False)
+
+    def among(other: Column) -> Column:
+        return _task(F.least(own, other), F.greatest(own, other), F.when(own == other, 2).when(own < other, 0).otherwise(1))
 
     def beside(by: int) -> Column:
-        others = F.transform(_numbers(F.col(f"out{by}")), lambda o: _task(_code(level + by, o), _code(level, block), 1))
-        blocks = F.when(F.col("outside"), F.col(f"n{by}")).otherwise(0)
-        return F.concat(others, F.transform(_numbers(blocks), lambda o: _task(_code(level, own), _code(level + by, o), 0)))
+        outside = _numbers(F.col(f"out{by}"))
+        mains = F.transform(_numbers(F.col(f"main{by}")), lambda o: _task(own, _code(level + by, o, True), 0))
+        of_outside = F.concat(mains, F.transform(outside, lambda o: among(_code(level + by, o, False))))
+        of_main = F.transform(outside, lambda o: _task(_code(level + by, o, False), main, 1))
+        return F.when(F.col("outside"), of_outside).otherwise(of_main)
 
     return F.when(F.col("large"), F.concat(*map(beside, (-1, 0, 1)))).otherwise(F.array(_task(F.lit(0).cast("long"), F.lit(0).cast("long"), 2)))
 
@@ -236,7 +235,7 @@ def _within(members: DataFrame, labels: DataFrame, similarity: float) -> DataFra
         out = compare(pdf["id"].to_numpy(), pdf["group"].to_numpy(), pdf["side"].to_numpy(), seqs, similarity)
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    sizes = stored(_levels(members, F.count(F.lit(1)), F.count_if("outside")))
+    sizes = stored(_levels(members))
     placed = members.join(sizes, ["bucket", "level"]).select("bucket", "id", "group", _tasks().alias("tasks")).filter(F.size("tasks") > 0)
     each = placed.join(labels, "id").select("bucket", "id", "group", "labels", F.inline("tasks"))
     return stored(each.groupBy("bucket", "x", "y").applyInPandas(run, "a long, b long"))

@@ -5,6 +5,8 @@ import hashlib
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from oracle import both
 from quern.llm import queries as Q
 
@@ -235,3 +237,26 @@ def test_op9_on_vectors_with_links(spark, tmp_path, monkeypatch, block):
     same = sum(got[i].component_id == want[i]["component_id"] for i in got)
     assert same > 0.99 * len(got) and len({r["component_id"] for r in want.values()}) < 0.9 * len(want)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+
+
+def test_blocks_of_a_large_bucket_meet_once(spark, monkeypatch):
+    """Two entries of near sizes meet in one task, both of the main part in none; no entry is sent to a task twice."""
+    from itertools import combinations
+
+    from quern.llm import order_minhash as M
+
+    monkeypatch.setattr(M, "BLOCK", 3)
+    data = [(1, i, 7 + i % 3, i >= 10) for i in range(40)]
+    members = spark.createDataFrame(data, "bucket long, id long, level long, outside boolean")
+    dealt = members.join(M._levels(members), ["bucket", "level"]).select("id", F.inline(M._tasks())).collect()
+    tasks = {}
+    for r in dealt:
+        tasks.setdefault((r.x, r.y), []).append((r.id, r.side))
+    met = {}
+    for own in tasks.values():
+        assert len({i for i, _ in own}) == len(own)
+        for (a, s), (b, t) in combinations(sorted(own), 2):
+            if s == t == 2 or {s, t} == {0, 1}:
+                met[a, b] = met.get((a, b), 0) + 1
+    want = {(a[1], b[1]): 1 for a, b in combinations(data, 2) if abs(a[2] - b[2]) <= 1 and (a[3] or b[3])}
+    assert met == want
