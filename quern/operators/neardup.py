@@ -7,6 +7,9 @@ in order does, without a kept list: each round passes over the buckets in blocks
 partner at most, never with all of its pairs. Before that, cheap rounds look at the first row of each bucket only: a row that
 is the first of all its buckets is kept, and rows near a kept first one are dropped, so a large family of near copies goes in
 one pass, in proportion to its size.
+
+Before anything is hashed, the first FIRST rows in order are decided by the loop itself, and all later rows that are near to
+a kept one of them go, by matrix products; this is taken again as long as it removes a good share of the rows.
 """
 
 import math
@@ -22,6 +25,8 @@ from quern.sources.files import stored
 BLOCK = 1024
 #: Rows that a bucket of unlike vectors has on average, at most, when the bits are chosen by the size of the table.
 CROWD = 64
+#: Rows that the loop decides at once, in order; its kept ones are sent to all tasks.
+FIRST = 4096
 #: Share of the undecided rows that a look at the first rows must decide to be taken again.
 SHARE = 0.1
 
@@ -75,6 +80,36 @@ def _earliest(threshold: float, kind: str):
     return run, f"ord {kind}, near {kind}"
 
 
+def _settle_firsts(state: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The ord of those of the first FIRST rows that stay, and the rows after these to which none of them is near; both stored."""
+    kind = state.schema["ord"].dataType.simpleString()
+
+    def loop(frames):
+        pdf = pd.concat(list(frames) or [pd.DataFrame({"ord": [], "vector": []})]).sort_values("ord")
+        if len(pdf):
+            v, gone = np.stack(pdf["vector"]), np.zeros(len(pdf), bool)
+            for i in range(len(v)):
+                if not gone[i]:
+                    gone[i + 1 :] |= v[i + 1 :] @ v[i] > threshold
+            yield pdf[~gone]
+
+    head = stored(state.select("ord", "vector").orderBy("ord").limit(FIRST))
+    kept = stored(head.coalesce(1).mapInPandas(loop, f"ord {kind}, vector array<double>"))
+    held = state.sparkSession.sparkContext.broadcast([np.array(r["vector"]) for r in kept.select("vector").collect()])
+
+    def far(frames):
+        firsts = np.stack(held.value).T if held.value else None
+        for pdf in frames:
+            if len(pdf) and firsts is not None:
+                v = np.stack(pdf["vector"])
+                near = np.concatenate([(v[i : i + 1024] @ firsts > threshold).any(1) for i in range(0, len(v), 1024)])
+                pdf = pdf[~near]
+            yield pdf
+
+    later = state.select("ord", "vector").join(F.broadcast(head.select("ord")), "ord", "left_anti")
+    return kept.select("ord"), stored(later.mapInPandas(far, f"ord {kind}, vector array<double>"))
+
+
 def _look_at_firsts(state: DataFrame, spots: DataFrame, threshold: float) -> DataFrame:
     """state after a look at the first row of each bucket that isn't dropped; nothing is decided that isn't certain."""
     live = stored(spots.join(state.select("ord", "kept"), "ord").select("band", "key", "ord", "kept"))
@@ -111,14 +146,21 @@ def keep_first(df: DataFrame, threshold: float = 0.70, recall: float = 0.999) ->
     real = F.coalesce(F.col("norm") > 0, F.lit(False)) & ~F.isnan("norm")
     odd = rows.filter(~real).select("ord")
     unit = rows.filter(real).select("ord", F.transform("vector", lambda x: x / F.col("norm")).alias("vector"))
-    state = stored(unit.groupBy("vector").agg(F.min("ord").alias("ord")).select("ord", "vector", F.lit(False).alias("kept")))
-    bits, n = plan(state.count(), threshold, recall)
+    state = stored(unit.groupBy("vector").agg(F.min("ord").alias("ord")).select("ord", "vector"))
+    settled, left, before = odd, state.count(), None
+    while left and (before is None or before - left > SHARE * before):
+        kept, state = _settle_firsts(state, threshold)
+        settled, before, left = settled.unionByName(kept), left, state.count()
+    if not left:
+        return settled
+    state = state.withColumn("kept", F.lit(False))
+    bits, n = plan(left, threshold, recall)
     spots = bands(state.select("ord", "vector"), bits, n)
     sizes = stored(spots.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     spots = stored(spots.join(sizes, ["band", "key"]).select("band", "key", "ord", _tasks(blocks).alias("tasks")))
     run, schema = _earliest(threshold, kind)
-    places, left, before = spots.select("band", "key", "ord"), state.count(), None
+    places, before = spots.select("band", "key", "ord"), None
     while left and (before is None or before - left > SHARE * before):
         before, state = left, _look_at_firsts(state, places, threshold)
         left = state.filter("not kept").count()
@@ -132,4 +174,4 @@ def keep_first(df: DataFrame, threshold: float = 0.70, recall: float = 0.999) ->
         kept = stored(looked.filter("kept").select(F.col("ord").alias("near")))
         waiting = looked.filter("not kept").join(kept, "near", "left_anti")
         state = stored(looked.filter("kept").unionByName(waiting).select("ord", "vector", "kept"))
-    return state.select("ord").unionByName(odd)
+    return state.select("ord").unionByName(settled)

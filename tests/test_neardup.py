@@ -77,3 +77,23 @@ def test_recall_at_the_threshold(spark):
     spots = N.bands(frame(spark, rows).select("ord", "vector"), bits, n)
     met = spots.groupBy("band", "key", F.shiftright("ord", 1).alias("pair")).count().filter("count = 2").select("pair").distinct().count()
     assert met >= 0.98 * 1500
+
+
+@pytest.mark.parametrize("first, share", [(5, 1.0), (40, 0.1)])
+def test_first_rows_then_bands(spark, monkeypatch, first, share):
+    """Families of near copies beside unlike vectors: the loop over first rows takes the families, bands the rest."""
+    monkeypatch.setattr(N, "FIRST", first)
+    monkeypatch.setattr(N, "SHARE", share)
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((3, 16))
+    rows = [base[i % 3] + 0.2 * rng.standard_normal(16) for i in range(90)] + list(rng.standard_normal((60, 16)))
+    rng.shuffle(rows)
+    data = [(i, [float(x) for x in v]) for i, v in enumerate(rows)] + [(-1, None), (500, [0.0] * 16)]
+    assert sorted(r.ord for r in N.keep_first(frame(spark, data), 0.7, 0.99999).collect()) == loop(data, 0.7)
+
+
+def test_few_rows_are_never_hashed(spark, monkeypatch):
+    monkeypatch.setattr(N, "bands", None)
+    rng = np.random.default_rng(6)
+    data = [(i, rng.standard_normal(16).tolist()) for i in range(300)]
+    assert sorted(r.ord for r in N.keep_first(frame(spark, data), 0.7).collect()) == loop(data, 0.7)
