@@ -15,6 +15,8 @@ TERMINAL = ("finished", "failed", "cancelled")
 SILENT = "timed out"
 #: Folders of the catalogue of paths; a batch reads those of its own paths only.
 CATALOG_PARTS = 64
+#: Parts of the jobs, by hash; a part is one key of the state, since a call a job costs far more than the job's events.
+JOB_PARTS = 4096
 
 
 @contextmanager
@@ -123,25 +125,33 @@ def job_states(events: DataFrame, silence: str = "1 day", delay: str = "1 hour",
         return first if a[0] in done else last
 
     def run(key: tuple, frames, state: GroupState):
-        old = state.get if state.exists else None
-        if state.hasTimedOut:
-            state.update((*old[:2], True))
-            yield pd.DataFrame({"job": [key[0]], "state": [SILENT], "at": [old[1]]})
-            return
-        new = old[:2] if old else None
-        for pdf in frames:
-            for event in zip(pdf["state"], pdf["at"].tolist()):
-                new = later(new, event) if new else event
-        if not old or (*new, False) != tuple(old):
-            state.update((*new, False))
-            yield pd.DataFrame({"job": [key[0]], "state": [new[0]], "at": [new[1]]})
-        if new[0] not in done:
-            state.setTimeoutTimestamp(max((new[1] + quiet) // 1000, state.getCurrentWatermarkMs() + 1))
+        mark = state.getCurrentWatermarkMs()
+        #: Of every job of the part: state, at, silent, and when it is timed out (null: never).
+        held = {job: tuple(rest) for job, *rest in zip(*state.get)} if state.exists else {}
+        heard, out = {}, []
+        for pdf in () if state.hasTimedOut else frames:
+            for job, *event in zip(pdf["job"].tolist(), pdf["state"], pdf["at"].tolist()):
+                old = heard.get(job) or held.get(job, ())[:2]
+                heard[job] = later(old, tuple(event)) if old else tuple(event)
+        for job, new in heard.items():
+            if job not in held or (*new, False) != held[job][:3]:
+                out.append((job, *new))
+            held[job] = (*new, False, None if new[0] in done else max((new[1] + quiet) // 1000, mark + 1))
+        for job, (name, at, _, due) in held.items():
+            if due is not None and due < mark and job not in heard:
+                held[job] = (name, at, True, None)
+                out.append((job, SILENT, at))
+        state.update(tuple(map(list, zip(*((job, *rest) for job, rest in held.items())))))
+        if dues := [due for *_, due in held.values() if due is not None]:
+            state.setTimeoutTimestamp(min(dues))
+        if out:
+            yield pd.DataFrame(out, columns=["job", "state", "at"])
 
     kind = events.schema["job"].dataType.simpleString()
     rows = events.filter("job is not null and state is not null and ts is not null").select("job", "state", F.col("ts").cast("timestamp").alias("ts"))
-    rows = rows.withWatermark("ts", delay).withColumn("at", F.unix_micros("ts"))
-    states = rows.groupBy("job").applyInPandasWithState(run, f"job {kind}, state string, at long", "state string, at long, silent boolean", "update", GroupStateTimeout.EventTimeTimeout)
+    rows = rows.withWatermark("ts", delay).withColumns({"at": F.unix_micros("ts"), "part": F.pmod(F.xxhash64("job"), F.lit(JOB_PARTS))})
+    kept = f"job array<{kind}>, state array<string>, at array<long>, silent array<boolean>, due array<long>"
+    states = rows.groupBy("part").applyInPandasWithState(run, f"job {kind}, state string, at long", kept, "update", GroupStateTimeout.EventTimeTimeout)
     return states.select("job", "state", F.timestamp_micros("at").alias("ts"))
 
 

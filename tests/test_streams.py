@@ -92,3 +92,10 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
             p.unlink()
     means()
     assert read() == want
+
+
+def test_jobs_that_share_a_part(spark, tmp_path, monkeypatch):
+    """All jobs in one key of the state: a part with news also times out its silent jobs, and one without news does."""
+    monkeypatch.setattr(ST, "JOB_PARTS", 1)
+    test_jobs_over_restarts(spark, tmp_path)
+    assert spark.read.format("statestore").load(str(tmp_path / "state")).count() == 1
