@@ -1,5 +1,6 @@
 """Export formats, and the report tables."""
 
+import re
 import textwrap
 
 import pandas as pd
@@ -58,12 +59,19 @@ def report_tables(qna: DataFrame) -> dict[str, DataFrame]:
 
 #: Width of wrapped text, and rules of the text report; fixed values.
 WIDTH, RULE = 100, 140
+#: Words of a line at most, one space apart, no hyphens: what textwrap breaks at spaces only, where LINE breaks it too.
+PLAIN, LINE = re.compile(rf"[^\s-]{{1,{WIDTH}}}(?: [^\s-]{{1,{WIDTH}}})*"), re.compile(rf"(.{{1,{WIDTH}}})(?: |\Z)")
+
+
+def wrap(text: str | None) -> str:
+    """Lines of WIDTH characters at most, as textwrap makes them; empty for null and blank texts."""
+    flat = (text or "").replace("\n", " ")
+    return "\n".join(LINE.findall(flat) if PLAIN.fullmatch(flat) else textwrap.wrap(text, WIDTH)) if text else ""
 
 
 @F.pandas_udf(T.StringType())
 def wrap_lines(s: pd.Series) -> pd.Series:
-    """Lines of WIDTH characters at most; empty for null and blank texts."""
-    return s.map(lambda t: "\n".join(textwrap.wrap(t, WIDTH)) if t else "")
+    return s.map(wrap)
 
 
 def report_parts(qna: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Literal frames for branches that the tables don't hold, and loops that the window forms must equal."""
 
 import random
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -282,3 +283,36 @@ def test_clean_by_model(spark):
 def test_report_columns_come_in_order(spark):
     df = spark.createDataFrame([(0.5, True, "a", 1, "x", "c")], "score double, is_best boolean, answer string, doc_id int, own string, context string")
     assert E.report_tables(df)["qna"].columns == ["doc_id", "answer", "is_best", "context", "score", "own"]
+
+
+def test_wrapped_as_textwrap_does(monkeypatch):
+    """Plain texts don't need textwrap; all others still go through it."""
+    r, said, real = random.Random(5), [], textwrap.wrap
+    some = ["a", "bc", "déf", "x" * 99, "y" * 100, "z" * 101, " ", "  ", "-", "--", "\t", "\n", "\r", "\xa0", "well-known", "Satz.", "(in)", "\u3000", "ß", "\x1c", "\u2028"]
+    texts = ["".join(r.choice(some) + " " * (r.random() < 0.7) for _ in range(r.randrange(60))) for _ in range(3000)]
+    texts += [r.choice(" \n").join(w for w in t.replace("-", "").split() if len(w) <= 100) for t in texts]
+    assert [E.wrap(t) for t in texts] == ["\n".join(real(t, 100)) for t in texts] and E.wrap(None) == ""
+    monkeypatch.setattr(textwrap, "wrap", lambda t, n: said.append(t) or real(t, n))
+    E.wrap("one two\nthree. " * 99 + "end"), E.wrap("two  spaces"), E.wrap("well-known")
+    assert said == ["two  spaces", "well-known"]
+
+
+def test_an_answer_is_scored_once_in_a_context(spark):
+    """Equal answers to many questions are one row where they are scored, words are split at one place; rows stay as they are."""
+    contexts = spark.createDataFrame([(1, "the pump is RED and big"), (2, None), (3, "x"), (1, "pump")], "doc_id int, context string")
+    texts = ["The pump is red.", "pump pump", "", None, "red big " * 50, "no"]
+    rows = [(q, d, q % 3, texts[q % 6]) for q in range(40) for d in (1, 2, 4)]
+    answers = spark.createDataFrame(rows, "question_id int, doc_id int, ord int, answer string").repartition(3)
+    got = A.scored_in(answers, contexts)
+    assert got.columns == ["doc_id", "question_id", "ord", "answer", "score"]
+
+    def points(answer, context):
+        own = set((answer or "").lower().split())
+        n = len(own & set((context or "").lower().split()))
+        return float("-inf") if not answer else n + (-10.0 if not n else 0.0) + (1.0 if 5 <= len(own) <= 40 else -2.0 if len(own) < 3 or len(own) > 80 else 0.0)
+
+    want = [(d, q, o, a, points(a, c)) for q, d, o, a in rows for k, c in [(1, "the pump is RED and big"), (2, None), (1, "pump")] if k == d]
+    order = lambda r: (r[0], r[1], r[4])
+    assert sorted(map(tuple, got.collect()), key=order) == sorted(want, key=order)
+    plan = answers.select(A.score(F.col("answer"), F.lit(None), known=F.array("answer")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
