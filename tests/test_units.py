@@ -6,6 +6,7 @@ import textwrap
 import pytest
 from pyspark.sql import functions as F
 
+from quern.functions.text import SPACE, SPACE_JAVA, SPACES
 from quern.operators import answers as A
 from quern.operators import catalog as D
 from quern.operators import chunks as C
@@ -316,3 +317,22 @@ def test_an_answer_is_scored_once_in_a_context(spark):
     assert sorted(map(tuple, got.collect()), key=order) == sorted(want, key=order)
     plan = answers.select(A.score(F.col("answer"), F.lit(None), known=F.array("answer")).alias("s"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("split(") == 1
+
+
+def test_both_forms_of_white_space_are_the_same(spark):
+    c = F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')")
+    chars = spark.range(0xD800).union(spark.range(0xE000, 0x10000)).select("id", c.rlike(SPACE).alias("a"), c.rlike(SPACE_JAVA).alias("b"))
+    assert chars.filter("a <> b").count() == 0 and chars.filter("b").count() == len(SPACES)
+
+
+def test_the_flagship_finds_facts_once(spark):
+    """Sentences are split at one place of the plan, and a chunk's words only where it has facts; the rows are those of rule_based_qa."""
+    from quern.plans.flagship import flagship
+
+    df = flagship(spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?<=[.!?])") == 1 and "CASE WHEN (size(facts" in plan
+    texts = df.select("doc_id", "chunk_id", "context").distinct()
+    qa = Q.rule_based_qa(texts.select(F.struct("doc_id", "chunk_id").alias("doc_id"), F.col("context").alias("text")))
+    want = sorted(tuple(r) for r in qa.select("doc_id.doc_id", "doc_id.chunk_id", "ord", "question", "response").collect())
+    assert sorted(tuple(r) for r in df.select("doc_id", "chunk_id", "ord", "prompt", "response").collect()) == want and want
