@@ -6,14 +6,19 @@ scans, none of which ships a text that could not repeat:
 1. anchors are counted by hash; those seen once are done with;
 2. anchors of very many segments ("hot") have their windows counted as well, so that what is unique around a passage
    that a third of all documents share isn't gathered in one place;
-3. segments of repeated anchors go to their shards, each content once for each flush with the places it stands at.
-A bit filter of at most FILTER_BITS carries the repeated hashes to the executors. It has no false negatives; where it
-fills up, scan 3 ships more and the shards sort it out. In a shard an engine finds, for every window, the smallest
-document that holds it. Hot anchors are dealt over salts by document, each over as many as its own segments call for;
-their contents go to every one of these. Filters carry the hot anchors too, one for each power of SPLIT above HOT, so that
-no list of them is gathered anywhere; an anchor that a filter takes for hotter than it is has a few salts more.
+3. segments of repeated anchors go to their shards, several of which travel and are dealt with in one bucket, so that
+   the number of rows grows no faster than the input. Those of hot anchors go by content, once a flush, with the places.
+Bit filters carry the repeated hashes to the executors. They have no false negatives; the bits of a bucket of hashes are
+packed where these were counted, and FILTER_BITS is the most that comes together: where that fills up, scan 3 ships more
+and the shards sort it out. In a shard an engine finds, for every window, the smallest document that holds it. It gets
+the contents that share half a window about their anchor with another; windows of the rest are in no other content.
+Places of anchors of more than DEALT segments are dealt over salts by document, as many as the anchor's own segments call
+for; their contents, which are few since they are trimmed to repeated windows, go to every one of these. Filters carry
+the hot anchors too, one for each power of two above DEALT, so that no list of them is gathered anywhere; an anchor that
+a filter takes for hotter than it is has a few salts more.
 """
 
+from collections import Counter
 from collections.abc import Callable
 
 import numpy as np
@@ -29,17 +34,19 @@ from .shared import mix64, partitions, stored
 WINDOW = 50
 #: Units of an anchor's gram.
 GRAM = {"word": 6, "byte": 16}
-FILTER_BITS, PIECE = 1 << 27, 1 << 19
-#: Keys for each task that packs bits, and such tasks at most; each sends FILTER_BITS at most, one after another.
-PACKED, PACKERS = 1 << 20, 32
-#: Segments from which an anchor is hot, and bytes of segments that a shard is planned for.
-HOT, SHARD_BYTES = 4096, 1_500_000
-#: A hot anchor of HOT * SPLIT**i segments to SPLIT times as many has SPLIT**(i + 1) salts.
-SPLIT = 8
+#: Bits of a filter at most, bits of a key below that, 64-bit words of a bucket of keys at least, and such buckets at most.
+FILTER_BITS, KEY_BITS, LEAST_WORDS, MOST_PARTS = 1 << 29, 16, 8, 1 << 15
+#: Segments from which an anchor is hot, times as many from which its places are dealt over salts, and powers of two of these.
+HOT, DEALT, SALTS = 4096, 8, 24
+#: Bytes of segments that a shard is planned for, buckets of shards that are aimed at, and shards of a bucket at most.
+SHARD_BYTES, BUCKETS, PER_BUCKET = 1_500_000, 512, 32
 #: Bytes of text that are looked at together (their arrays stay in the cache), and keys or bytes held before a flush.
 SLICE, KEYS_HELD, BYTES_HELD = 1 << 17, 1 << 21, 1 << 24
+#: Bytes that a place of a hot segment is counted for while it is held.
+PLACE_HELD = 64
 
 MULT = np.uint64(0x9E3779B97F4A7C15 | 1)
+SPREAD = np.uint64(0x5851F42D4C957F2D)
 PLACE = np.uint64(28)  # bits of a place within a slice, beside 36 of a hash
 
 
@@ -113,11 +120,22 @@ class Slice:
         last = np.minimum(np.append(first[1:], n) - 1, self.begin[doc + 1] - WINDOW)
         place = (anchor[first] & np.uint64((1 << int(PLACE)) - 1)).astype(np.int64)
         self.runs = np.stack([doc, first, last, place], 1)  # windows first..last of a document share an anchor
-        self.keys = gram[place]
-
-    def windows(self) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return mix64(_poly(self.values, WINDOW) ^ np.uint64(0x5851F42D4C957F2D))
+            self.keys = mix64(gram[place] ^ SPREAD)  # the smallest hashes are no even keys
+
+    def windows(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of every window of runs: its run, its place and its hash."""
+        if not len(runs):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        size = runs[:, 2] - runs[:, 1] + 1
+        long = size + WINDOW - 1
+        skipped = np.cumsum(long) - long
+        units = np.arange(long.sum()) + np.repeat(runs[:, 1] - skipped, long)
+        of = np.repeat(np.arange(len(runs)), size)
+        own = np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size)
+        with np.errstate(over="ignore"):
+            hashes = mix64(_poly(self.values[units], WINDOW)[skipped[of] + own] ^ SPREAD)
+        return of, runs[of, 1] + own, hashes
 
     def contents(self, first, end) -> list[bytes]:
         """The bytes of units first to end, for arrays of both."""
@@ -126,15 +144,23 @@ class Slice:
         return [self.data[a:b] for a, b in zip(first, end)]
 
 
-def _blobs(texts: list[bytes], docs: np.ndarray, places: np.ndarray) -> tuple[bytes, bytes]:
-    numbers = np.array([len(texts)], np.int64).tobytes() + np.array([len(t) for t in texts], np.int32).tobytes() + docs.astype(np.int64).tobytes() + places.astype(np.int32).tobytes()
-    return zstandard.compress(numbers, 1), zstandard.compress(b"".join(texts), 1)
+#: Of a row: for every place, document and place; for every text, its bytes, places, shard in the bucket, windows and anchor.
+KINDS = [("docs", np.int64), ("places", np.int32)], [("sizes", np.int32), ("counts", np.int32), ("shard", np.uint8), ("windows", np.uint8), ("anchor", np.uint8)]
 
 
-def _numbers(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    blob = zstandard.decompress(blob)
-    n = int(np.frombuffer(blob, np.int64, 1)[0])
-    return np.frombuffer(blob, np.int32, n, 8).astype(np.int64), np.frombuffer(blob, np.int64, n, 8 + 4 * n), np.frombuffer(blob, np.int32, n, 8 + 12 * n).astype(np.int64)
+def _blobs(squeeze: Callable, texts: list[bytes], **numbers: np.ndarray) -> tuple[bytes, bytes]:
+    """A blob of numbers and one of texts; the places of a text stand together, the texts by shard."""
+    head = np.array([len(numbers["docs"]), len(texts)], np.int64).tobytes()
+    return squeeze(head + b"".join(numbers[name].astype(kind).tobytes() for kinds in KINDS for name, kind in kinds)), squeeze(b"".join(texts))
+
+
+def _numbers(blob: bytes) -> dict[str, np.ndarray]:
+    out, at = {}, 16
+    for n, kinds in zip(np.frombuffer(blob, np.int64, 2).tolist(), KINDS):
+        for name, kind in kinds:
+            out[name] = np.frombuffer(blob, kind, n, at).astype(np.int64)
+            at += out[name].size * np.dtype(kind).itemsize
+    return out
 
 
 def slices(batches, unit: str):
@@ -142,8 +168,7 @@ def slices(batches, unit: str):
     ids, texts, size = [], [], 0
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            x = text.as_py()
-            x = x.encode() if isinstance(x, str) else x
+            x = text.as_buffer().to_pybytes()
             if len(x) < WINDOW:
                 continue
             ids.append(doc)
@@ -156,60 +181,80 @@ def slices(batches, unit: str):
         yield np.array(ids, np.int64), Slice(texts, unit)
 
 
-def probes(keys48: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def bucket_of(keys48: np.ndarray, parts: int) -> np.ndarray:
+    """By range, so that sorted keys stand by bucket."""
+    return ((keys48 >> np.uint64(16)) * np.uint64(parts)) >> np.uint64(32)
+
+
+def probes(keys48: np.ndarray, parts: int, words: int):
+    """Two bits of every key, in the words of its bucket."""
     with np.errstate(over="ignore"):
-        return keys48, mix64(keys48)
+        h = mix64(keys48 ^ SPREAD)
+    own, bits = bucket_of(keys48, parts) * np.uint64(64 * words), np.uint64(64 * words)
+    for half in (h >> np.uint64(32), h & np.uint64(0xFFFFFFFF)):
+        yield own + ((half * bits) >> np.uint64(32))
 
 
 class BitFilter:
     """Membership of 48-bit keys by two bits of each."""
 
-    def __init__(self, words: np.ndarray):
-        self.words, self.mask = words, np.uint64(64 * len(words) - 1)
+    def __init__(self, parts: int, words: int):
+        self.parts, self.each = parts, words
+        self.words = np.zeros(parts * words, np.uint64)
 
     def has(self, keys48: np.ndarray) -> np.ndarray:
         out = np.ones(len(keys48), bool)
-        for key in probes(keys48):
-            at = key & self.mask
+        for at in probes(keys48, self.parts, self.each):
             out &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
         return out
 
     @staticmethod
-    def of(keys: DataFrame, n: int) -> "BitFilter":
-        """Executors pack the bits, FILTER_BITS / PIECE pieces at most come to the driver."""
-        bits = 1 << min(FILTER_BITS.bit_length() - 1, max(16, (16 * n - 1).bit_length()))
-        piece = min(bits, PIECE)
+    def of(found: DataFrame, above: list[tuple[int, int]]) -> "list[BitFilter]":
+        """Of (key, n), a filter for each (least, how many keys have a larger n).
+
+        Every task packs the bits of the buckets it holds, so what comes to the driver is the filters, once.
+        """
+        parts = _parts(found)
+        limits = [(least, int(min(max(LEAST_WORDS, -(-KEY_BITS * n // (64 * parts))), max(1, FILTER_BITS // (64 * parts))))) for least, n in above]
 
         def pack(batches):
-            held: dict[int, np.ndarray] = {}
-            for batch in batches:
-                at = np.concatenate(probes(batch.column(0).to_numpy().view(np.uint64))) & np.uint64(bits - 1)
-                for c in np.unique(at // np.uint64(piece)).tolist():
-                    own = at[at // np.uint64(piece) == c] & np.uint64(piece - 1)
-                    bit = np.uint64(1) << (own & np.uint64(63))
-                    np.bitwise_or.at(held.setdefault(c, np.zeros(piece // 64, np.uint64)), (own >> np.uint64(6)).astype(np.int64), bit)
-            if held:
-                yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array([x.tobytes() for x in held.values()], pa.binary())], ["piece", "bits"])
-
-        words = np.zeros(bits // 64, np.uint64)
-        for r in keys.select("key").coalesce(min(PACKERS, 1 + n // PACKED)).mapInArrow(pack, "piece int, bits binary").toLocalIterator():
-            words[r["piece"] * piece // 64 : (r["piece"] + 1) * piece // 64] |= np.frombuffer(r["bits"], np.uint64)
-        return BitFilter(words)
+            both = [(batch.column(0).to_numpy(), batch.column(1).to_numpy()) for batch in batches]
+            keys, n = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (zip(*both) if both else ((), ())))
+            keys = keys.view(np.uint64)
+            for i, (least, words) in enumerate(limits):
+                own = keys[n > least]
+                buckets = bucket_of(own, parts)
+                for b in np.unique(buckets).tolist():
+                    flags = np.zeros(64 * words, np.uint8)
+                    for at in probes(own[buckets == b], parts, words):
+                        flags[at - np.uint64(64 * words * b)] = 1
+                    bits = np.packbits(flags, bitorder="little").tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([b], pa.int64()), pa.array([bits], pa.binary())], ["filter", "bucket", "bits"])
+
+        out = [BitFilter(parts, words) for _, words in limits]
+        for r in found.mapInArrow(pack, "filter int, bucket long, bits binary").collect():
+            f = out[r["filter"]]
+            f.words[r["bucket"] * f.each : (r["bucket"] + 1) * f.each] |= np.frombuffer(r["bits"], np.uint64)
+        return out
+
+
+def _parts(df: DataFrame) -> int:
+    """Buckets of keys."""
+    return min(MOST_PARTS, 4 * partitions(df.sparkSession))
 
 
 def repeated(docs: DataFrame, unit: str, keys_of: Callable) -> DataFrame:
     """(key, n): 48-bit keys that keys_of(Slice) gives at least twice. Keys travel packed, counted once a flush."""
-    parts = 4 * partitions(docs.sparkSession)
+    parts = _parts(docs)
+    starts = np.array([-(-(b << 32) // parts) << 16 for b in range(parts + 1)], np.uint64)
 
     def flush(held):
         keys, counts = np.unique(np.concatenate(held) >> np.uint64(16), return_counts=True)
         packed = (keys << np.uint64(16)) | np.minimum(counts, 65535).astype(np.uint64)
-        bucket = (keys % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.searchsorted(bucket[order], np.arange(parts + 1))
-        blobs = [packed[order[a:b]].tobytes() for a, b in zip(edges[:-1], edges[1:])]
-        some = [i for i, x in enumerate(blobs) if x]
-        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([blobs[i] for i in some], pa.binary())], ["bucket", "keys"])
+        edges = np.searchsorted(keys, starts)
+        some = np.flatnonzero(edges[1:] > edges[:-1])
+        blobs = [packed[edges[b] : edges[b + 1]].tobytes() for b in some.tolist()]
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "keys"])
 
     def emit(batches):
         held, n = [], 0
@@ -236,10 +281,27 @@ def repeated(docs: DataFrame, unit: str, keys_of: Callable) -> DataFrame:
             keep = n > 1
             yield pa.RecordBatch.from_arrays([pa.array((x[at][keep] >> np.uint64(16)).astype(np.int64)), pa.array(n[keep])], ["key", "n"])
 
-    sent = docs.mapInArrow(emit, "bucket int, keys binary").repartition(parts, "bucket")
+    sent = docs.mapInArrow(emit, "bucket int, keys binary").repartition(partitions(docs.sparkSession), "bucket")
     return stored(sent.mapInArrow(count, "key long, n long"))
 
 
+def contested(texts: list[bytes], anchor: np.ndarray, unit: str) -> np.ndarray:
+    """The texts that may share a window with another one, each given with the place of its anchor.
+
+    A window holds half of its units beside the anchor to the left of it, or else to the right. Texts that share one have
+    that half and the anchor in common.
+    """
+    k = GRAM[unit]
+    half = (WINDOW - k) // 2
+    at = anchor.tolist()
+    units, joined = (texts, bytes) if unit == "byte" else ([x.split(b" ") for x in texts], b" ".join)
+    left = [joined(x[i - half : i + k]) if i >= half else None for x, i in zip(units, at)]
+    right = [joined(x[i : i + k + half]) if len(x) >= i + k + half else None for x, i in zip(units, at)]
+    lefts, rights = Counter(left), Counter(right)
+    lefts[None] = rights[None] = 0
+    return np.flatnonzero([lefts[a] > 1 or rights[b] > 1 for a, b in zip(left, right)])
+
+
 def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, first, end) in units: stretches covered by windows that also start in a smaller document.
 
@@ -247,115 +309,158 @@ def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT,
     the documents of all contents that hold it; and the number of windows of each content. Stretches of a document may overlap or touch; a row may come twice.
     """
     spark = docs.sparkSession
-    found = repeated(docs, unit, lambda s: s.keys)
     if hot_from < 1:
         raise ValueError("hot_from is 1 at least")
-    n, total, most = found.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
-    wanted = spark.sparkContext.broadcast(BitFilter.of(found, n))
-    tiers, least = [], hot_from
-    while most > least:
-        above = found.filter(F.col("n") > least)
-        tiers.append(BitFilter.of(above, above.count()))
-        least *= SPLIT
-    hotter = spark.sparkContext.broadcast(tiers)
+    found = repeated(docs, unit, lambda s: s.keys)
+    levels = [1, hot_from, *(hot_from * DEALT << i for i in range(SALTS))]
+    total, *above = found.agg(F.coalesce(F.sum("n"), F.lit(0)), *(F.count_if(F.col("n") > least) for least in levels)).first()
+    filters = BitFilter.of(found, [x for x in zip(levels, above) if x[0] == 1 or x[1]])
+    wanted, hotter = spark.sparkContext.broadcast(filters[0]), spark.sparkContext.broadcast(filters[1:])
     trim = None
 
     def heat(keys48):
-        """The tier of every anchor, 0: not hot."""
+        """The salts of every anchor, 0: not hot."""
         out = np.zeros(len(keys48), np.int64)
         at = np.arange(len(keys48))
-        for tier, keys in enumerate(hotter.value, 1):
+        for tier, keys in enumerate(hotter.value):
             at = at[keys.has(keys48[at])]
-            out[at] = tier
+            out[at] = 1 << tier
         return out
 
-    if tiers:
-
-        def hot_windows(s: Slice):
-            runs = s.runs[heat(s.keys >> np.uint64(16)) > 0]
-            at = np.concatenate([np.arange(a, b + 1) for _, a, b, _ in runs.tolist()] or [np.zeros(0, np.int64)])
-            return s.windows()[at] if len(at) else np.zeros(0, np.uint64)
-
-        again = repeated(docs, unit, hot_windows)
-        trim = spark.sparkContext.broadcast(BitFilter.of(again, again.count()))
+    if len(filters) > 1:
+        again = repeated(docs, unit, lambda s: s.windows(s.runs[heat(s.keys >> np.uint64(16)) > 0])[2])
+        trim = spark.sparkContext.broadcast(BitFilter.of(again, [(1, again.count())])[0])
     shards = max(1, int(total * (72 if unit == "byte" else 500) // shard_bytes))
+    per = min(PER_BUCKET, -(-shards // BUCKETS))
 
     def send(batches):
-        """Segments packed by shard: a blob of lengths, documents and places, and one of texts, once a flush."""
-        plain, hot_held, size = [], {}, 0
+        """Segments packed by bucket, once a flush; those of hot anchors are held longer."""
+        plain, hot_held, size, hot_size = [], {}, 0, 0
         for ids, s in slices(batches, unit):
             keys48 = s.keys >> np.uint64(16)
             pick = np.flatnonzero(wanted.value.has(keys48)) if len(keys48) else np.zeros(0, np.int64)
             if not len(pick):
                 continue
-            tier = heat(keys48[pick])
-            hots = tier > 0
-            runs, keys = s.runs[pick[~hots]], keys48[pick[~hots]]
+            salts = heat(keys48[pick])
+            hot, cold, salts = pick[salts > 0], pick[salts == 0], salts[salts > 0]
+            runs = s.runs[cold]
             texts = s.contents(runs[:, 1], runs[:, 2] + WINDOW)
-            plain.append((keys % np.uint64(shards), texts, ids[runs[:, 0]], runs[:, 1] - s.begin[runs[:, 0]]))
-            size += sum(map(len, texts)) + 16 * len(texts)
-            if hots.any():
-                windows = s.windows()
-                for (doc, first, last, _), key, salts in zip(s.runs[pick[hots]].tolist(), keys48[pick[hots]].tolist(), (SPLIT ** tier[hots]).tolist()):
-                    kept = np.flatnonzero(trim.value.has(windows[first : last + 1] >> np.uint64(16))) + first
-                    breaks = np.flatnonzero(np.diff(kept) > 1)
-                    for a, b in zip(kept[np.append(0, breaks + 1)].tolist(), kept[np.append(breaks, -1)].tolist()) if len(kept) else ():
-                        doc_id, text = int(ids[doc]), s.contents([a], [b + WINDOW])[0]
-                        least, places = hot_held.setdefault((key % shards, salts, text), [doc_id, []])
-                        hot_held[key % shards, salts, text][0] = min(least, doc_id)
-                        places.append((doc_id, a - int(s.begin[doc])))
-                        size += len(text) * salts * (len(places) == 1) + 16
+            sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+            plain.append((bucket_of(keys48[cold], shards).astype(np.int64), texts, sizes, ids[runs[:, 0]], runs[:, 1] - s.begin[runs[:, 0]], runs[:, 2] - runs[:, 1] + 1, runs[:, 3] - runs[:, 1]))
+            size += int(sizes.sum()) + 16 * len(texts)
+            if len(hot):
+                shard = bucket_of(keys48[hot], shards).astype(np.int64)
+                runs = s.runs[hot]
+                of, at, windows = s.windows(runs)
+                kept = trim.value.has(windows >> np.uint64(16))
+                of, at = of[kept], at[kept]
+                first = np.flatnonzero((np.diff(at, prepend=-2) != 1) | (np.diff(of, prepend=-1) != 0))
+                n = np.diff(np.append(first, len(at)))
+                of, at = of[first], at[first]
+                texts = s.contents(at, at + n - 1 + WINDOW)
+                for text, *key, doc, place, n_windows, anchor in zip(texts, shard[of].tolist(), salts[of].tolist(), ids[runs[of, 0]].tolist(), (at - s.begin[runs[of, 0]]).tolist(), n.tolist(), (runs[of, 3] - at).tolist()):
+                    held = hot_held.get((*key, text))
+                    if held is None:
+                        held = hot_held[(*key, text)] = (n_windows, anchor, [], [])
+                        hot_size += len(text) * key[1]
+                    held[2].append(doc)
+                    held[3].append(place)
+                    hot_size += PLACE_HELD
             if size >= BYTES_HELD:
-                yield from pack(plain, hot_held)
-                plain, hot_held, size = [], {}, 0
-        yield from pack(plain, hot_held)
+                yield from pack(plain)
+                plain, size = [], 0
+            if hot_size >= BYTES_HELD:
+                yield from pack_hot(hot_held)
+                hot_held, hot_size = {}, 0
+        yield from pack(plain)
+        yield from pack_hot(hot_held)
+
+    def batch_of(rows):
+        if rows:
+            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["bucket", "salt", "numbers", "texts"])
 
-    def pack(plain, hot_held):
+    def pack(plain):
+        if not plain:
+            return
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        shard, sizes, docs_, places, windows, anchor = (np.concatenate([x[i] for x in plain]) for i in (0, 2, 3, 4, 5, 6))
+        texts = [t for x in plain for t in x[1]]
+        order = np.argsort(shard, kind="stable")
+        bucket = shard[order] // per
+        edges = np.flatnonzero(np.diff(bucket, prepend=-1, append=-1)).tolist()
         rows = []
-        if plain:
-            shard, docs_, places = (np.concatenate([x[i] for x in plain]) for i in (0, 2, 3))
-            texts = [t for x in plain for t in x[1]]
-            order = np.argsort(shard, kind="stable")
-            edges = np.flatnonzero(np.concatenate([[True], shard[order][1:] != shard[order][:-1], [True]])) if len(order) else []
-            for a, b in zip(edges[:-1], edges[1:]):
-                at = order[a:b]
-                rows.append((int(shard[at[0]]), -1, *_blobs([texts[i] for i in at], docs_[at], places[at])))
+        for a, b in zip(edges[:-1], edges[1:]):
+            at = order[a:b]
+            numbers = {"docs": docs_[at], "places": places[at], "sizes": sizes[at], "counts": np.ones(b - a), "shard": shard[at] % per, "windows": windows[at], "anchor": anchor[at]}
+            rows.append((int(bucket[a]), -1, *_blobs(squeeze, [texts[i] for i in at.tolist()], **numbers)))
+        yield from batch_of(rows)
+
+    def pack_hot(held):
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         by: dict[tuple, list] = {}
-        for (shard, salts, text), (least, found_at) in hot_held.items():
+        for (shard, salts, text), (windows, anchor, docs_, places) in sorted(held.items(), key=lambda x: x[0]):
+            docs_, places = np.array(docs_, np.int64), np.array(places, np.int64)
+            if salts == 1:
+                by.setdefault((shard // per, -1), []).append((text, shard % per, windows, anchor, docs_, places))
+                continue
+            own = docs_ % salts
             for salt in range(salts):  # the owner, without a place, goes to every salt
-                by.setdefault((shard, salt), []).append((text, least, -1))
-            for doc, place in found_at:
-                by[shard, doc % salts].append((text, doc, place))
-        for (shard, salt), x in by.items():
-            rows.append((shard, salt, *_blobs([t for t, _, _ in x], np.array([d for _, d, _ in x]), np.array([p for _, _, p in x]))))
-        if rows:
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["shard", "salt", "numbers", "texts"])
+                mine = own == salt
+                by.setdefault((shard // per, salt), []).append((text, shard % per, windows, anchor, np.append(docs_[mine], docs_.min()), np.append(places[mine], -1)))
+        rows = []
+        for (bucket, salt), x in by.items():
+            texts, shard, windows, anchor, docs_, places = zip(*x)
+            numbers = {"docs": np.concatenate(docs_), "places": np.concatenate(places), "sizes": np.array(list(map(len, texts))), "counts": np.array(list(map(len, docs_)))}
+            rows.append((bucket, salt, *_blobs(squeeze, list(texts), **numbers, shard=np.array(shard), windows=np.array(windows), anchor=np.array(anchor))))
+        yield from batch_of(rows)
 
     def settle(table: pa.Table) -> pa.Table:
+        """The shards of a bucket, one after another."""
+        expand, rows = zstandard.ZstdDecompressor().decompress, []
+        for numbers, blob in zip(table.column("numbers"), table.column("texts")):
+            x = _numbers(expand(numbers.as_py()))
+            rows.append((x, expand(blob.as_py()), np.append(0, np.cumsum(x["sizes"])), np.append(0, np.cumsum(x["counts"])), np.searchsorted(x["shard"], np.arange(per + 1))))
+        out = np.concatenate([settle_shard(rows, shard) for shard in range(per)])
+        return pa.table({"doc_id": out[:, 0].astype(np.int64), "first": out[:, 1].astype(np.int32), "end": out[:, 2].astype(np.int32)})
+
+    def settle_shard(rows, shard):
         number: dict[bytes, int] = {}
-        of, docs_, places = [], [], []
-        for numbers, blob in zip(table.column("numbers").to_pylist(), table.column("texts").to_pylist()):
-            sizes, d, p = _numbers(numbers)
-            ends = np.cumsum(sizes)
-            blob = zstandard.decompress(blob)
-            of.append(np.array([number.setdefault(blob[a:b], len(number)) for a, b in zip((ends - sizes).tolist(), ends.tolist())], np.int64))
-            docs_.append(d)
-            places.append(p)
-        of, docs_, places = (np.concatenate(x) for x in (of, docs_, places))
+        of, docs_, places, windows, anchor = [], [], [], [], []
+        for x, blob, ends, lots, at in rows:
+            a, b = int(at[shard]), int(at[shard + 1])
+            if a == b:
+                continue
+            cuts = ends[a : b + 1].tolist()
+            known = len(number)
+            ids = np.array([number.setdefault(blob[i:j], len(number)) for i, j in zip(cuts[:-1], cuts[1:])], np.int64)
+            of.append(np.repeat(ids, x["counts"][a:b]))
+            docs_.append(x["docs"][lots[a] : lots[b]])
+            places.append(x["places"][lots[a] : lots[b]])
+            new = np.unique(ids, return_index=True)
+            new = a + new[1][new[0] >= known]
+            windows.append(x["windows"][new])
+            anchor.append(x["anchor"][new])
+        if not of:
+            return np.zeros((0, 3), np.int64)
+        of, docs_, places, windows, anchor = (np.concatenate(x) for x in (of, docs_, places, windows, anchor))
         texts = list(number)
         least = np.full(len(texts), np.iinfo(np.int64).max)
         np.minimum.at(least, of, docs_)
-        own, windows = owners(texts, least)
         whole = (docs_ > least[of]) & (places >= 0)
         out = [np.stack([docs_[whole], places[whole], places[whole] + windows[of[whole]] + WINDOW - 1], 1)]
+        some = contested(texts, anchor, unit)
+        if not len(some):
+            return out[0]
         # In its smallest document a segment loses what a smaller document of another segment holds.
-        text_of = np.repeat(np.arange(len(texts)), windows)
+        own, n = owners([texts[i] for i in some.tolist()], least[some])
+        text_of = np.repeat(some, n)
         gone = own < least[text_of]
         joined = np.concatenate([[False], gone[:-1] & (text_of[1:] == text_of[:-1])])
         follows = np.concatenate([gone[1:] & (text_of[1:] == text_of[:-1]), [False]])
         start, stop = np.flatnonzero(gone & ~joined), np.flatnonzero(gone & ~follows)
-        begin = np.concatenate([[0], np.cumsum(windows)])
+        begin = np.zeros(len(texts), np.int64)
+        begin[some] = np.cumsum(n) - n
         mine = np.flatnonzero((docs_ == least[of]) & (places >= 0))
         mine = mine[np.argsort(of[mine], kind="stable")]
         low, high = (np.searchsorted(of[mine], text_of[start], side) for side in ("left", "right"))
@@ -363,15 +468,14 @@ def removals(docs: DataFrame, unit: str, owners: Callable, hot_from: int = HOT,
         at = mine[np.arange(len(run)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[run]] if len(run) else np.zeros(0, np.int64)
         head = begin[text_of[start[run]]]
         out.append(np.stack([docs_[at], places[at] + start[run] - head, places[at] + stop[run] - head + WINDOW], 1))
-        rows = np.concatenate(out)
-        return pa.table({"doc_id": rows[:, 0].astype(np.int64), "first": rows[:, 1].astype(np.int32), "end": rows[:, 2].astype(np.int32)})
+        return np.concatenate(out)
 
-    sent = docs.mapInArrow(send, "shard long, salt int, numbers binary, texts binary")
-    return sent.groupBy("shard", "salt").applyInArrow(settle, "doc_id long, first int, end int")
+    sent = docs.mapInArrow(send, "bucket long, salt int, numbers binary, texts binary")
+    return sent.groupBy("bucket", "salt").applyInArrow(settle, "doc_id long, first int, end int")
 
 
 def cut_documents(docs: DataFrame, unit: str, owners: Callable, finish: Callable, schema: str, **limits) -> DataFrame:
-    """Joins every document of (doc_id, text) with its stretches and maps (doc_id, text, first[], end[]) by finish."""
+    """Joins every document of (doc_id, text) with its stretches; finish(bytes, firsts, ends) gives the other columns."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     found = removals(texts.filter("doc_id is not null"), unit, owners, **limits)
     lists = found.groupBy("doc_id").agg(F.collect_list(F.struct("first", "end")).alias("cuts"))
@@ -379,10 +483,12 @@ def cut_documents(docs: DataFrame, unit: str, owners: Callable, finish: Callable
 
     def run(batches):
         for batch in batches:
+            first, end = (batch.column(i).values.to_numpy() for i in (2, 3))
+            edges = [list(zip(x.offsets[:-1].to_pylist(), x.offsets[1:].to_pylist())) for x in (batch.column(2), batch.column(3))]
             rows = []
-            for doc, text, first, end in zip(*(batch.column(i) for i in range(4))):
-                cuts = list(zip(first.as_py() or (), end.as_py() or ()))
-                rows.append((doc.as_py(), *finish(text.as_py(), cuts)))
+            for doc, text, some, a, b in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).is_valid().to_pylist(), *edges):
+                cuts = (first[slice(*a)], end[slice(*b)]) if some else (first[:0], end[:0])
+                rows.append((doc, *finish(text.as_buffer().to_pybytes(), *cuts)))
             columns = list(zip(*rows)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 

@@ -107,12 +107,12 @@ def owners(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return best[place <= np.repeat(sizes, sizes + 1) - WINDOW], sizes - WINDOW + 1
 
 
-def _finish(text: str, cuts: list) -> tuple[int, int, str]:
-    words = text.encode().split()
+def _finish(data: bytes, first: np.ndarray, end: np.ndarray) -> tuple[int, int, str]:
+    words = data.split()
     kept = words
-    if cuts:
+    if len(first):
         gone = np.zeros(len(words) + 1, bool)
-        for a, b in cuts:
+        for a, b in zip(first.tolist(), end.tolist()):
             gone[a:b] = True
         kept = [w for w, g in zip(words, gone.tolist()) if not g]
     return len(words), len(words) - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()

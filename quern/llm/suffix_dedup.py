@@ -78,14 +78,12 @@ def owners(texts: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return best[is_window], sizes - WINDOW + 1
 
 
-def _finish(text: str, cuts: list) -> tuple[int, int, int, str]:
-    data = text.encode()
-    if not cuts:
+def _finish(data: bytes, first: np.ndarray, end: np.ndarray) -> tuple[int, int, int, str]:
+    if not len(first):
         return len(data), 0, 0, hashlib.sha256(data).hexdigest()
-    edge = np.zeros(len(data) + 1, np.int64)
-    first, end = np.minimum(np.array(cuts).T, len(data))
-    np.add.at(edge, first, 1)
-    np.add.at(edge, end, -1)
+    edge = np.zeros(len(data) + 1, np.int32)
+    np.add.at(edge, np.minimum(first, len(data)), 1)
+    np.add.at(edge, np.minimum(end, len(data)), -1)
     gone = np.cumsum(edge[:-1]) > 0
     spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
     return len(data), int(gone.sum()), spans, hashlib.sha256(np.frombuffer(data, np.uint8)[~gone].tobytes()).hexdigest()
